@@ -94,13 +94,12 @@ def coded_dimension(values: DataFrame, source: str, lookup: DataFrame, lookup_co
     return codes.join(ref, F.col("_code_lower") == F.col("_ref_code"), "left").select(*cols)
 
 
-def alternates(df: DataFrame, parent: str, ordering: str, key: str, columns: dict,
-               trimmed: dict | None = None, tags: dict | None = None,
-               stamp: str | None = None) -> DataFrame:
-    """GD-09: key ``parent_ordering``; trimmed foreign keys; renamed payload columns."""
+def alternates(df: DataFrame, parent: str, ordering: str, key: str, columns: list,
+               stamp: str | None = None, tags: dict | None = None) -> DataFrame:
+    """GD-09: key ``parent_ordering`` then ordered ``(name, Column_or_name)`` payload
+    (trimmed foreign keys are passed as ``F.trim(...)``), stamp and constant tags."""
     cols = [composite_key(parent, ordering).alias(key)]
-    cols += [F.trim(old).alias(new) for new, old in (trimmed or {}).items()]
-    cols += [F.col(old).alias(new) for new, old in columns.items()]
+    cols += [(v if not isinstance(v, str) else F.col(v)).alias(k) for k, v in columns]
     if stamp:
         cols.append(F.current_timestamp().alias(stamp))
     cols += [F.lit(v).alias(k) for k, v in (tags or {}).items()]

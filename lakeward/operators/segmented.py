@@ -133,3 +133,98 @@ def run_versions(df: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence
                  ).otherwise(F.when(F.col("_next_first_change") == 1, F.col("_next_first_seq")))
     return (d.filter(is_last)
             .select(*[F.col(c) for c in cols], start.alias(start_col), end.alias(end_col)))
+
+
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence, values: dict,
+                 bucket: Column) -> DataFrame:
+    """Inclusive running sums ``{out: value}`` per key in ``order``, skew-safe.
+
+    ``bucket`` must be non-decreasing in ``order`` (a contiguous slice of it). The
+    in-bucket part is a window over ``(keys, bucket)``; the sum of earlier buckets comes
+    from a per-``(key, bucket)`` total table (one row per bucket) joined back.
+    """
+    keys = list(keys)
+    names = list(values)
+    d = df.withColumn("_b", F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
+    for i, n in enumerate(names):
+        d = d.withColumn(f"_v{i}", values[n])
+    w = (Window.partitionBy(*keys, "_b").orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    for i, _ in enumerate(names):
+        d = d.withColumn(f"_l{i}", F.sum(f"_v{i}").over(w))
+    totals = d.groupBy(*keys, "_b").agg(*[F.sum(f"_v{i}").alias(f"_t{i}")
+                                          for i, _ in enumerate(names)])
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, "_b", *[F.coalesce(F.sum(f"_t{i}").over(wb), F.lit(0))
+                                          .alias(f"_c{i}") for i, _ in enumerate(names)])
+    d = _null_safe_join(d, totals, [*keys, "_b"])
+    for i, n in enumerate(names):
+        d = d.withColumn(n, F.col(f"_c{i}") + F.col(f"_l{i}"))
+    return d.drop("_b", *[f"_{p}{i}" for i, _ in enumerate(names) for p in "vlc"])
+
+
+def next_value(df: DataFrame, keys: Sequence[str], order: str, value: str, bucket: Column,
+               out: str = "_next", tiebreak: str | None = None) -> DataFrame:
+    """``lead(value)`` per key in ``(order, tiebreak)`` order (ascending, NULLs first),
+    skew-safe: the last row of a bucket takes the first value of the key's next
+    non-empty bucket (from a one-row-per-bucket table)."""
+    keys = list(keys)
+    tb = tiebreak or value
+    d = df.withColumn("_b", F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
+    w = Window.partitionBy(*keys, "_b").orderBy(F.col(order).asc_nulls_first(),
+                                                 F.col(tb).asc_nulls_first())
+    d = (d.withColumn("_in_next", F.lead(value).over(w))
+         .withColumn("_has_next", F.lead(F.lit(1)).over(w).isNotNull()))
+    firsts = d.groupBy(*keys, "_b").agg(
+        F.min_by(F.col(value), F.struct(F.col(order), F.col(tb))).alias("_first"))
+    wb = Window.partitionBy(*keys).orderBy("_b")
+    firsts = firsts.select(*keys, "_b", F.lead("_first").over(wb).alias("_carry_next"))
+    d = _null_safe_join(d, firsts, [*keys, "_b"])
+    return (d.withColumn(out, F.when(F.col("_has_next"), F.col("_in_next"))
+                         .otherwise(F.col("_carry_next")))
+            .drop("_b", "_in_next", "_has_next", "_carry_next"))
+
+
+def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
+                  bucket_of) -> DataFrame:
+    """Count ordered pairs (a, b) of one key with ``a.start < b.end``, ``a.end > b.start``
+    and ``a.start != b.start`` — the self-join metric — without forming pairs.
+
+    Pairs with a NULL bound never match (as in the join). For periods with
+    ``start < end``: #overlapping b for a = #(b.start < a.end) - #(b.end <= a.start)
+    - #(b.start = a.start); each term is a running count in one sorted sweep of
+    start/end/query points per key (``running_sums``). ``bucket_of(col)`` maps a
+    position column to its bucket. Returns one row: ``pairs``.
+    """
+    keys = list(keys)
+    closed = periods.filter(F.col(start).isNotNull() & F.col(end).isNotNull()
+                            & (F.col(start) < F.col(end))).select(*keys, start, end)
+
+    def pts(pos, kind, order, s_w, e_w, sign):
+        return closed.select(*keys, F.col(pos).alias("_pos"), F.lit(order).alias("_ord"),
+                             F.lit(s_w).alias("_sw"), F.lit(e_w).alias("_ew"),
+                             F.lit(kind).alias("_kind"), F.lit(sign).alias("_sign"))
+
+    # order at equal position: queries counting "< pos" (0), starts (1), ends (2),
+    # queries counting "<= pos" (3).
+    pts_all = reduce_union([
+        pts(start, "S", 1, 1, 0, 0),
+        pts(end, "E", 2, 0, 1, 0),
+        pts(end, "Q_start_lt_end", 0, 0, 0, 1),       # + #(b.start < a.end)
+        pts(start, "Q_end_le_start", 3, 0, 0, -1),    # - #(b.end <= a.start)
+        pts(start, "Q_start_le_start", 3, 0, 0, -1),  # - #(b.start <= a.start)
+        pts(start, "Q_start_lt_start", 0, 0, 0, 1),   # + #(b.start < a.start)
+    ])
+    order = [F.col("_pos"), F.col("_ord"), F.col("_kind")]
+    b = bucket_of("_pos")
+    s = running_sums(pts_all, keys, order, {"_cs": F.col("_sw"), "_ce": F.col("_ew")}, b)
+    term = F.when(F.col("_kind") == "Q_end_le_start", F.col("_ce")).otherwise(F.col("_cs"))
+    return (s.filter(F.col("_sign") != 0)
+            .agg(F.coalesce(F.sum(F.col("_sign") * term), F.lit(0)).cast("long").alias("pairs")))
+
+
+def reduce_union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
