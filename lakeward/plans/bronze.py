@@ -1,0 +1,33 @@
+"""Raw tables of the film/TV model: BR-1..7 = one generic ingest per ``RawSpec``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lakeward.operators.expectations import expect
+from lakeward.sources.tsv import ingest_stream, list_files, read_tsv_evolving
+from lakeward.specs import RAW_SPECS, RawSpec, TableLayout
+
+RAW_GLOB = "*.tsv*"
+
+
+def bronze_batch(spark: SparkSession, layout: TableLayout, spec: RawSpec,
+                 observation=None) -> DataFrame | None:
+    """Batch form: every file of the spec's folder, header-aware, warn rules counted."""
+    files = list_files(spark, f"{layout.path('raw', spec.folder)}", RAW_GLOB)
+    df = read_tsv_evolving(spark, files, spec.multiline, spec.columns)
+    if df is None:
+        return None
+    return expect(df, spec.rules, observation)
+
+
+def start_bronze(spark: SparkSession, layout: TableLayout, spec: RawSpec,
+                 available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Incremental form (SRC-01): only files not yet ingested; returns the query."""
+    return ingest_stream(spark, layout.path("raw", spec.folder), layout.path("bronze", spec.name),
+                         layout.checkpoint(spec.name), spec.multiline, spec.columns, spec.rules,
+                         RAW_GLOB, max_files_per_trigger, available_now,
+                         metrics_name=f"{spec.name}_rules")
+
+
+__all__ = ["bronze_batch", "start_bronze", "RAW_SPECS"]
