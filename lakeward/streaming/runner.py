@@ -32,7 +32,8 @@ def _observed(q) -> dict:
     for p in q.recentProgress:
         for name, row in (p.get("observedMetrics") or {}).items():
             acc = out.setdefault(name, {})
-            for k, v in row.items():
+            vals = row.asDict() if hasattr(row, "asDict") else dict(row)
+            for k, v in vals.items():
                 acc[k] = acc.get(k, 0) + (v or 0)
     return out
 
