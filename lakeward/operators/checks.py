@@ -172,20 +172,21 @@ def duplicate_keys(df: DataFrame, table: str, keys: Sequence[str], check_id: str
 
 def orphan_counts(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
                   skip_null: bool = False) -> DataFrame:
-    """JN-02..04: child rows whose key has no parent row; one row (orphans, total).
+    """JN-02..04: child rows whose key has no parent row; one row (orphan_rows, total_rows).
 
     The child side is first reduced to (key, count) — map-side partial aggregation, so a
-    key held by a third of the rows is one row per task — then anti-joined with the
-    parent's distinct keys. NULL keys are orphans unless ``skip_null`` (P6)."""
+    key held by a third of the rows is one row per task — then outer-joined once with the
+    parent's distinct keys (the anti-join and the total in one pass). NULL keys are
+    orphans unless ``skip_null`` (P6)."""
     c = child.select(F.col(child_col).alias("_k"))
     if skip_null:
         c = c.filter(F.col("_k").isNotNull())
     per_key = c.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    parents = parent.select(F.col(parent_col).alias("_p")).distinct()
-    orphans = per_key.join(parents, per_key["_k"] == parents["_p"], "left_anti")
-    total = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_rows"))
-    orph = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphan_rows"))
-    return orph.crossJoin(total)   # 1 x 1
+    parents = parent.select(F.col(parent_col).alias("_p")).distinct().withColumn("_hit", F.lit(1))
+    j = per_key.join(parents, per_key["_k"] == parents["_p"], "left")
+    return j.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0))
+                 .cast("long").alias("orphan_rows"),
+                 F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_rows"))
 
 
 def foreign_key(child: DataFrame, child_table: str, child_col: str, parent: DataFrame,

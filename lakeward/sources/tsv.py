@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,11 +99,22 @@ def file_header(spark: SparkSession, path: str, multiline: bool = False) -> tupl
     return tuple(spark.read.options(**tsv_options(multiline)).csv(path).columns)
 
 
+HEADER_THREADS = 16
+
+
 def header_groups(spark: SparkSession, files: Sequence[str], multiline: bool = False
                   ) -> "OrderedDict[tuple, list[str]]":
+    """Files grouped by header line. Each header read is a one-line job; they are
+    submitted concurrently (Spark schedules jobs from several driver threads)."""
+    files = list(files)
+    if len(files) > 1:
+        with ThreadPoolExecutor(min(HEADER_THREADS, len(files))) as pool:
+            headers = list(pool.map(lambda f: file_header(spark, f, multiline), files))
+    else:
+        headers = [file_header(spark, f, multiline) for f in files]
     groups: OrderedDict[tuple, list[str]] = OrderedDict()
-    for f in files:
-        groups.setdefault(file_header(spark, f, multiline), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     return groups
 
 
