@@ -86,6 +86,16 @@ def with_deltas(history: DataFrame) -> DataFrame:
         .cast("long"))
 
 
+def record_row_counts(tables: Sequence[tuple[DataFrame, AuditTarget]], history_path: str,
+                      recorded_at: Column | None = None) -> DataFrame:
+    """QL-3 persisted: append this run's snapshot to the history table, return the history
+    with ``delta_from_previous`` (first snapshot of a table = 0)."""
+    snap = row_count_snapshot(tables, recorded_at)
+    snap.write.mode("append").parquet(history_path)
+    spark = snap.sparkSession
+    return with_deltas(spark.read.parquet(history_path))
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """AGG-03: one ``count_if(isNull)`` per column (0 on an empty table, P8)."""
     return [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]

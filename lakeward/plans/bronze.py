@@ -26,8 +26,8 @@ def start_bronze(spark: SparkSession, layout: TableLayout, spec: RawSpec,
     """Incremental form (SRC-01): only files not yet ingested; returns the query."""
     return ingest_stream(spark, layout.path("raw", spec.folder), layout.path("bronze", spec.name),
                          layout.checkpoint(spec.name), spec.multiline, spec.columns, spec.rules,
-                         RAW_GLOB, max_files_per_trigger, available_now,
-                         metrics_name=f"{spec.name}_rules")
+                         RAW_GLOB, max_files_per_trigger, available_now, dataset=spec.name,
+                         metrics_path=layout.path("qa", "expectation_log"))
 
 
 __all__ = ["bronze_batch", "start_bronze", "RAW_SPECS"]

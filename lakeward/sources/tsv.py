@@ -141,35 +141,56 @@ def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool
 
 
 class _EvolvingBatchWriter:
-    """foreachBatch body: read this batch's files by header, overwrite its partition."""
+    """foreachBatch body: read this batch's files by header, count rules, overwrite the
+    batch's partition; rule counts go to ``self.metrics`` and an optional log table."""
 
-    def __init__(self, target: str, multiline: bool, expected, rules, metrics_name):
+    def __init__(self, target: str, multiline: bool, expected, rules, dataset: str,
+                 metrics_path: str | None):
         self.target, self.multiline, self.expected = target, multiline, expected
-        self.rules, self.metrics_name = rules, metrics_name
+        self.rules, self.dataset, self.metrics_path = rules, dataset, metrics_path
+        self.metrics: list[dict] = []
 
     def __call__(self, files_df: DataFrame, batch_id: int) -> None:
+        from pyspark.sql import Observation
+
+        from lakeward.operators.expectations import expect, observed_counts
         spark = files_df.sparkSession
         files = sorted(r.path for r in files_df.select("path").distinct().collect())
         df = read_tsv_evolving(spark, files, self.multiline, self.expected)
         if df is None:
             return
-        if self.rules:
-            from lakeward.operators.expectations import expect
-            df = expect(df, self.rules, self.metrics_name)
+        obs = Observation(f"{self.dataset}_{batch_id}") if self.rules else None
+        if obs is not None:
+            df = expect(df, self.rules, obs)
         (df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_batch_id").parquet(self.target))
+        if obs is not None:
+            rows = [dict(c, dataset=self.dataset, batch_id=int(batch_id))
+                    for c in observed_counts(obs, self.rules)]
+            self.metrics.extend(rows)
+            if self.metrics_path:
+                (spark.createDataFrame(rows, EXPECTATION_LOG_SCHEMA)
+                 .write.mode("append").parquet(self.metrics_path))
+
+
+EXPECTATION_LOG_SCHEMA = T.StructType([
+    T.StructField("rule", T.StringType()), T.StructField("action", T.StringType()),
+    T.StructField("failed", T.LongType()), T.StructField("passed", T.LongType()),
+    T.StructField("dataset", T.StringType()), T.StructField("batch_id", T.LongType())])
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
                   multiline: bool = False, expected: Sequence[str] | None = None,
                   rules=(), glob: str | None = None, max_files_per_trigger: int | None = None,
-                  available_now: bool = True, metrics_name: str | None = None):
+                  available_now: bool = True, dataset: str | None = None,
+                  metrics_path: str | None = None):
     """SRC-01 + SRC-05 + SNK-01: incremental, header-aware ingest into an append-only
     parquet table. Returns the started ``StreamingQuery``.
 
-    Warn rules (EXP-01) are counted with ``observe`` on each batch (the metrics appear in
-    the batch's listener events); nothing is filtered at this layer.
+    Warn rules (EXP-01) are counted with an ``Observation`` on the same pass that writes
+    each batch; the counts are appended to ``metrics_path`` (an expectation log table)
+    and kept on the returned query as ``expectation_metrics``.
     """
     r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
          .option("recursiveFileLookup", "true"))
@@ -178,11 +199,13 @@ def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint:
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     files = r.load(source_dir).select("path")
-    w = (files.writeStream.foreachBatch(
-        _EvolvingBatchWriter(target, multiline, list(expected or []), list(rules), metrics_name))
-         .option("checkpointLocation", checkpoint))
+    writer = _EvolvingBatchWriter(target, multiline, list(expected or []), list(rules),
+                                  dataset or target.rstrip("/").split("/")[-1], metrics_path)
+    w = files.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    q = w.start()
+    q.expectation_metrics = writer.metrics
+    return q
 
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:

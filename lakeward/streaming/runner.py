@@ -48,6 +48,9 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
             continue
         q = start_bronze(spark, layout, spec)
         q.awaitTermination()
+        for m in getattr(q, "expectation_metrics", []):
+            acc = metrics.setdefault(f"{spec.name}_rules", {})
+            acc[f"failed_{m['rule']}"] = acc.get(f"failed_{m['rule']}", 0) + m["failed"]
     # silver (SV-1..7, EXP-01..03), one stream per table
     for spec in CLEAN_SPECS:
         src = layout.path("bronze", spec.source)
@@ -87,6 +90,26 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     return metrics
 
 
+def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
+    """QL-1..6: recompute the load-audit and data-quality tables over the raw (bronze)
+    tables and append a row-count snapshot to the history; returns the three paths."""
+    from lakeward.operators.audit import AuditTarget, data_quality, load_audit, record_row_counts
+    from lakeward.sources.tables import write_table as _write
+    tables = []
+    for spec in RAW_SPECS:
+        p = layout.path("bronze", spec.name)
+        if _exists(spark, p):
+            tables.append((read_table(spark, p).drop("_batch_id"),
+                           AuditTarget(spec.name, spec.keys, spec.columns)))
+    out = {n: layout.path("qa", n) for n in ("qa_load_audit", "qa_row_count_history",
+                                            "qa_data_quality")}
+    if tables:
+        _write(load_audit(tables), out["qa_load_audit"])
+        _write(data_quality(tables), out["qa_data_quality"])
+        record_row_counts(tables, out["qa_row_count_history"])
+    return out
+
+
 def _exists_raw(spark: SparkSession, layout: TableLayout, folder: str) -> bool:
     try:
         return bool(list_files(spark, layout.path("raw", folder), "*.tsv*"))

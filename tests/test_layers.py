@@ -127,3 +127,42 @@ def test_reports(layered, spark):
     assert g[("QA-16", "gold_dim_region", "region_name")].metric == pytest.approx(200 / 3)
     assert g[("QA-26", "gold_dim_title", "load_dt")].status == "PASS"
     assert len(RAW_SPECS) == 7
+
+
+def test_bronze_warn_metrics_and_expectation_log(layered, spark):
+    layout, metrics, _, _ = layered
+    assert metrics["bronze_name_basics_rules"]["failed_valid_nconst"] == 2   # xx.. and NULL
+    assert metrics["bronze_title_principals_rules"]["failed_valid_nconst"] == 1
+    log = spark.read.parquet(layout.path("qa", "expectation_log"))
+    basics = log.filter("dataset = 'bronze_title_basics' AND rule = 'valid_tconst'")
+    assert basics.agg({"failed": "sum"}).collect()[0][0] == 1
+
+
+def test_audit_tables(layered, spark):
+    from lakeward.streaming.runner import run_audits
+    layout = layered[0]
+    p1 = run_audits(spark, layout)
+    p2 = run_audits(spark, layout)
+    audit = {r.table_name: r for r in spark.read.parquet(p2["qa_load_audit"]).collect()}
+    nb = audit["bronze_name_basics"]
+    assert nb.schema_drift_detected and nb.new_columns_added == "extraInfo"
+    assert nb.rows_loaded == 17 and nb.file_name == "name_basics.tsv.gz"
+    assert not audit["bronze_title_crew"].schema_drift_detected
+    dq = {r.table_name: r for r in spark.read.parquet(p1["qa_data_quality"]).collect()}
+    assert dq["bronze_name_basics"].duplicate_count == 1 and dq["bronze_name_basics"].quality_score == 80.0
+    assert dq["bronze_name_basics"].issues_found == "DUPLICATE_PK|1"
+    assert "nconst:1" in dq["bronze_name_basics"].null_counts
+    assert dq["bronze_title_crew"].quality_score == 100.0 and dq["bronze_title_crew"].issues_found == ""
+    from lakeward.operators.audit import with_deltas
+    hist = with_deltas(spark.read.parquet(p2["qa_row_count_history"])).collect()
+    assert len(hist) == 14 and all(h.delta_from_previous == 0 for h in hist)
+
+
+def test_register_table_with_comment_and_properties(layered, spark):
+    from lakeward.sources.tables import register_table
+    layout = layered[0]
+    register_table(spark, "gold_fact_ratings_t", layout.path("gold", "gold_fact_ratings"),
+                   "Ratings fact table", {"quality": "gold"})
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gold_fact_ratings_t").collect()}
+    assert props.get("quality") == "gold"
+    assert spark.table("gold_fact_ratings_t").count() == 3
