@@ -8,7 +8,7 @@ spaces here — genres, categories, jobs — are small).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.functions.cleanse import composite_key, mapped
@@ -17,6 +17,25 @@ from lakeward.functions.cleanse import composite_key, mapped
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
+    """AGG-09/10: one row per ``key``.
+
+    Streaming: stateful ``dropDuplicates`` (the modelled behaviour; small key spaces).
+    Batch: a hash ``distinct`` of the (few) selected columns first — partial aggregation
+    shrinks the input map-side without sorting it — then the smallest row per key on that
+    tiny result, so the pick is deterministic.
+    """
+    if df.isStreaming:
+        return df.dropDuplicates([key])
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return df.distinct()
+    # A window (not an aggregate) on top keeps Catalyst from removing the hash distinct.
+    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in others])
+    return (df.distinct().withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1).drop("_rn"))
+
+
 def renamed(df: DataFrame, columns: dict, tags: dict | None = None,
             stamp: str | None = None) -> DataFrame:
     """GD-03/11/12: select + rename (``{new: old}``) + constant tags + load stamp."""
@@ -34,7 +53,7 @@ def exploded_dimension(df: DataFrame, array_col: str, key: str, name: str,
     cols = [F.trim("_item").alias(key), F.trim("_item").alias(name)]
     if stamp:
         cols.append(F.current_timestamp().alias(stamp))
-    return items.select(*cols).dropDuplicates([key])
+    return one_row_per_key(items.select(*cols), key)
 
 
 def mapped_dimension(df: DataFrame, source: str, key: str, name: str, group: str,
@@ -44,7 +63,7 @@ def mapped_dimension(df: DataFrame, source: str, key: str, name: str, group: str
     cols = [F.trim(src).alias(key), src.alias(name), mapped(src, mapping, default).alias(group)]
     if stamp:
         cols.append(F.current_timestamp().alias(stamp))
-    return df.select(source).filter(src.isNotNull()).select(*cols).dropDuplicates([key])
+    return one_row_per_key(df.select(source).filter(src.isNotNull()).select(*cols), key)
 
 
 def composite_dimension(df: DataFrame, parent: str, child: str, key: str, parent_key: str,
@@ -57,8 +76,8 @@ def composite_dimension(df: DataFrame, parent: str, child: str, key: str, parent
         cols.append(F.col(child).alias(child_description))
     if stamp:
         cols.append(F.current_timestamp().alias(stamp))
-    return (df.select(parent, child).filter(F.col(child).isNotNull())
-            .select(*cols).dropDuplicates([key]))
+    return one_row_per_key(df.select(parent, child).filter(F.col(child).isNotNull())
+                           .select(*cols), key)
 
 
 def dedupe_lookup(lookup: DataFrame, code: str, name: str) -> DataFrame:

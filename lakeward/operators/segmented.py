@@ -200,21 +200,22 @@ def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
     closed = periods.filter(F.col(start).isNotNull() & F.col(end).isNotNull()
                             & (F.col(start) < F.col(end))).select(*keys, start, end)
 
-    def pts(pos, kind, order, s_w, e_w, sign):
-        return closed.select(*keys, F.col(pos).alias("_pos"), F.lit(order).alias("_ord"),
-                             F.lit(s_w).alias("_sw"), F.lit(e_w).alias("_ew"),
-                             F.lit(kind).alias("_kind"), F.lit(sign).alias("_sign"))
+    def pt(pos, kind, order, s_w, e_w, sign):
+        return F.struct(F.col(pos).alias("_pos"), F.lit(order).alias("_ord"),
+                        F.lit(kind).alias("_kind"), F.lit(s_w).alias("_sw"),
+                        F.lit(e_w).alias("_ew"), F.lit(sign).alias("_sign"))
 
-    # order at equal position: queries counting "< pos" (0), starts (1), ends (2),
+    # All sweep points of a period from ONE scan (a generator, no union of re-scans).
+    # Order at equal position: queries counting "< pos" (0), starts (1), ends (2),
     # queries counting "<= pos" (3).
-    pts_all = reduce_union([
-        pts(start, "S", 1, 1, 0, 0),
-        pts(end, "E", 2, 0, 1, 0),
-        pts(end, "Q_start_lt_end", 0, 0, 0, 1),       # + #(b.start < a.end)
-        pts(start, "Q_end_le_start", 3, 0, 0, -1),    # - #(b.end <= a.start)
-        pts(start, "Q_start_le_start", 3, 0, 0, -1),  # - #(b.start <= a.start)
-        pts(start, "Q_start_lt_start", 0, 0, 0, 1),   # + #(b.start < a.start)
-    ])
+    points = F.array(
+        pt(start, "S", 1, 1, 0, 0),
+        pt(end, "E", 2, 0, 1, 0),
+        pt(end, "Q_start_lt_end", 0, 0, 0, 1),       # + #(b.start < a.end)
+        pt(start, "Q_end_le_start", 3, 0, 0, -1),    # - #(b.end <= a.start)
+        pt(start, "Q_start_le_start", 3, 0, 0, -1),  # - #(b.start <= a.start)
+        pt(start, "Q_start_lt_start", 0, 0, 0, 1))   # + #(b.start < a.start)
+    pts_all = closed.select(*keys, F.explode(points).alias("_p")).select(*keys, "_p.*")
     order = [F.col("_pos"), F.col("_ord"), F.col("_kind")]
     b = bucket_of("_pos")
     s = running_sums(pts_all, keys, order, {"_cs": F.col("_sw"), "_ce": F.col("_ew")}, b)
