@@ -1081,3 +1081,72 @@ def q_stream_chain(spark, sf):
     TB.append_stream(gold, f"{root}/gold/events", f"{root}/_checkpoints/gold_events"
                      ).awaitTermination()
     return spark.read.parquet(f"{root}/gold/events")
+
+
+# ---------------------------------------------------------------------------------------
+# Tie rule at scale and the report runner (SCD-01 rule 5, QA-27)
+# ---------------------------------------------------------------------------------------
+
+_SCD_TIES_SQL = """
+WITH src AS (SELECT user_id, date_trunc('hour', ts) AS seq, event_type, event_id, value FROM events),
+t AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, seq
+                                                ORDER BY event_type DESC, event_id DESC, value DESC) AS rt
+                     FROM src) x WHERE rt = 1),
+s AS (SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY seq) AS prev_t,
+             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY seq) AS rn FROM t),
+f AS (SELECT *, CASE WHEN rn = 1 OR prev_t IS DISTINCT FROM event_type THEN 1 ELSE 0 END AS chg FROM s),
+v AS (SELECT *, SUM(chg) OVER (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS ver FROM f),
+l AS (SELECT *, MIN(seq) OVER (PARTITION BY user_id, ver) AS start_at,
+             ROW_NUMBER() OVER (PARTITION BY user_id, ver ORDER BY seq DESC) AS rdesc FROM v)
+SELECT user_id, seq, event_type, event_id, value, start_at AS "__START_AT",
+       LEAD(start_at) OVER (PARTITION BY user_id ORDER BY start_at) AS "__END_AT"
+FROM l WHERE rdesc = 1"""
+
+
+@query("scd2_ties", _SCD_TIES_SQL)
+def q_scd2_ties(spark, sf):
+    """SCD-01 rule 5: the sequence truncated to the hour makes many (key, seq) ties; each
+    collapses to the greatest (event_type, event_id, value) before versions are cut."""
+    ev = _t(spark, sf, "events").select(
+        "user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("seq"), "event_type",
+        "event_id", "value")
+    return scd2_history(ev, ["user_id"], "seq", ["event_type"])
+
+
+_REPORT_PARTS = ["key_nulls", "id_format", "range_checks", "enum_check", "dup_surplus",
+                 "fk_orphans", "freshness"]
+
+
+@query("qa_report", "\nUNION ALL ".join(f"SELECT * FROM ({ORACLE[p]}) r{i}"
+                                        for i, p in enumerate(_REPORT_PARTS)))
+def q_qa_report(spark, sf):
+    """QA-27: one result DataFrame for a suite of checks over several tables (NULL keys,
+    formats, ranges, enumeration, duplicates, orphans, freshness)."""
+    return K.union_results([QUERIES[p](spark, sf) for p in _REPORT_PARTS])
+
+
+_SCD_HOT_SQL = """
+WITH src AS (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id, ts, event_type,
+                    event_id, value, props FROM events),
+t AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, ts
+                     ORDER BY event_type DESC, event_id DESC, value DESC, props DESC) AS rt FROM src) x
+      WHERE rt = 1),
+s AS (SELECT *, LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS prev_t,
+             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts) AS rn FROM t),
+f AS (SELECT *, CASE WHEN rn = 1 OR prev_t IS DISTINCT FROM event_type THEN 1 ELSE 0 END AS chg FROM s),
+v AS (SELECT *, SUM(chg) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS ver FROM f),
+l AS (SELECT *, MIN(ts) OVER (PARTITION BY user_id, ver) AS start_at,
+             ROW_NUMBER() OVER (PARTITION BY user_id, ver ORDER BY ts DESC) AS rdesc FROM v)
+SELECT user_id, ts, event_type, event_id, value, props, start_at AS "__START_AT",
+       LEAD(start_at) OVER (PARTITION BY user_id ORDER BY start_at) AS "__END_AT"
+FROM l WHERE rdesc = 1"""
+
+
+@query("scd2_hot_key", _SCD_HOT_SQL)
+def q_scd2_hot_key(spark, sf):
+    """SCD-01 under skew: every user with ``user_id % 3 = 0`` is folded into key 0, so one
+    key holds about a third of all events; the (key, day) buckets spread it over tasks."""
+    ev = _t(spark, sf, "events").select(
+        F.when(F.col("user_id") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("user_id"))
+        .alias("user_id"), *SCD_COLUMNS[1:])
+    return scd2_history(ev, ["user_id"], "ts", ["event_type"])
