@@ -60,3 +60,16 @@ def test_lookup_csv(spark):
     df = read_lookup_csv(spark, os.path.join(FIXTURES, "lookups/iso_country_codes.csv"),
                          ["region_code", "region_name"])
     assert df.count() == 4 and dict(df.dtypes)["region_code"] == "string"
+
+
+def test_fixed_schema_stream_source(spark, tmp_path):
+    """SRC-01 with a fixed header: streaming CSV source + lineage into a parquet sink."""
+    from lakeward.sources.tables import append_stream
+    root = str(tmp_path)
+    copy_raw("run1", root)
+    spec = raw_spec("bronze_title_crew")
+    s = S.stream_tsv(spark, f"{root}/raw/title_crew", spec.columns)
+    append_stream(s, f"{root}/out", f"{root}/_ck").awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    assert out.count() == 3 and S.SOURCE_FILE in out.columns
+    assert out.filter("tconst = 'tt0000001'").collect()[0].directors == "nm0000001,nm0000002"
