@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce shuffle partitions to the advisory size (not to the core count): on a
+    # large cluster this keeps tasks near 128 MB; set the initial partition number high
+    # (``cluster_conf``) and let AQE merge.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -48,6 +53,16 @@ def build_session(app: str = "lakeward", master: str | None = None,
     return spark
 
 
+def cluster_conf(input_bytes: int, cores: int) -> dict:
+    """Settings for a large cluster: an initial shuffle partition count from the input size
+    (about 128 MB per partition, at least 2 waves of the cluster's cores) that AQE then
+    coalesces; scan splits of 128 MB."""
+    parts = max(2 * cores, int(input_bytes // (128 * 1024 * 1024)) + 1)
+    return {"spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+            "spark.sql.files.maxPartitionBytes": "128m"}
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

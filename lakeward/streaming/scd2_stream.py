@@ -5,8 +5,9 @@ Each micro-batch:
 1. appends its rows to a change log partitioned by ``(_kb, _batch)`` where ``_kb`` is a
    hash bucket of the key; the batch's own partitions are *overwritten*, so a replayed
    batch id rewrites the same files (idempotent);
-2. finds the touched key buckets from the log's partition directory names — at most
-   ``key_buckets`` values reach the driver;
+2. finds the touched key buckets from the (persisted) micro-batch — at most
+   ``key_buckets`` values reach the driver — and lists/reads only those bucket folders
+   of the log, so the cost does not grow with the number of log files elsewhere;
 3. recomputes the history of only those buckets with ``scd2_history`` (which splits
    hot keys by time bucket) and overwrites exactly those ``_kb`` partitions of the
    target (dynamic partition overwrite).
@@ -43,16 +44,20 @@ class Scd2Writer:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        (batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
-         .withColumn(BATCH, F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
-        log = spark.read.parquet(self.change_log)
-        touched = [r[0] for r in log.filter(F.col(BATCH) == batch_id)
-                   .select(KEY_BUCKET).distinct().collect()]
-        if not touched:
-            return
-        changes = log.filter(F.col(KEY_BUCKET).isin(touched)).drop(KEY_BUCKET, BATCH)
+        b = batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets)).persist()
+        try:
+            touched = sorted(r[0] for r in b.select(KEY_BUCKET).distinct().collect())
+            if not touched:
+                return
+            (b.withColumn(BATCH, F.lit(batch_id).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
+        finally:
+            b.unpersist()
+        # Only the touched bucket folders are listed and read (partition pruning by path).
+        changes = (spark.read.option("basePath", self.change_log)
+                   .parquet(*[f"{self.change_log}/{KEY_BUCKET}={k}" for k in touched])
+                   .drop(KEY_BUCKET, BATCH))
         hist = scd2_history(changes, self.keys, self.seq, self.tracked, self.bucket_width)
         (hist.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
