@@ -242,9 +242,15 @@ def column_types(df: DataFrame, table: str, expected: dict, check_id: str = "QA-
     return out
 
 
+def first_non_null(df: DataFrame, column: str) -> DataFrame:
+    """LIM-02: the first non-NULL sample value of a column (``limit(1)``; the scan stops
+    early). The array-type check below uses the schema instead of such a sample."""
+    return df.filter(F.col(column).isNotNull()).select(column).limit(1)
+
+
 def array_columns(df: DataFrame, table: str, columns: Sequence[str], check_id: str = "QA-06"
                   ) -> list[tuple]:
-    """QA-06: the columns really are arrays (from the schema, not a sample row)."""
+    """QA-06: the columns really are arrays (from the schema, not a LIM-02 sample row)."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in columns:
