@@ -3,8 +3,8 @@
 
 Each table is scanned once: the total, the per-column NULL counts and the latest load
 stamp are one aggregate; duplicate groups are one ``groupBy`` with map-side partial
-counts (a hot key collapses before the shuffle). Per-table rows are combined with
-``unionByName`` into one plan.
+counts (a hot key collapses before the shuffle). The two one-row results are put side by
+side without a cross join (JN-06), and per-table rows are combined with ``unionByName``.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeward.operators.checks import side_by_side
 from lakeward.specs import SCORE_CLEAN, SCORE_WITH_DUPLICATES
 
 
@@ -117,7 +118,7 @@ def quality_row(df: DataFrame, target: AuditTarget, check_ts: Column | None = No
     null_text = F.concat_ws(",", *[F.concat_ws(":", F.lit(c), F.col(f"null_{c}").cast("string"))
                                    for c in cols])
     has_dups = F.col("duplicate_count") > 0
-    return stats.crossJoin(dups).select(
+    return side_by_side(stats, dups).select(
         F.lit(target.name).alias("table_name"),
         F.col("total_rows"),
         null_text.alias("null_counts"),

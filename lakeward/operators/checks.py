@@ -71,6 +71,13 @@ def union_results(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """JN-06 without a cross join: one-row aggregates with disjoint columns become one row
+    (union by name with the missing columns NULL, then a single ``max`` per column)."""
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return u.agg(*[F.max(c).alias(c) for f in frames for c in f.columns])
+
+
 def result_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     """Result rows computed from metadata (schemas), not data."""
     return spark.createDataFrame(list(rows), RESULT_SCHEMA)
@@ -213,7 +220,7 @@ def reconcile(upstream: DataFrame, downstream: DataFrame, table: str,
     """QA-01 (drop % <= max; 0 when upstream is empty) or QA-13 (ratio % >= min)."""
     up = upstream.agg(F.count(F.lit(1)).alias("_up"))
     down = downstream.agg(F.count(F.lit(1)).alias("_down"))
-    j = up.crossJoin(down)
+    j = side_by_side(up, down)
     if max_drop_pct is not None:
         metric = F.when(F.col("_up") > 0, (F.col("_up") - F.col("_down")) * F.lit(100.0)
                         / F.col("_up")).otherwise(F.lit(0.0))

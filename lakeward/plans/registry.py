@@ -586,8 +586,8 @@ def q_scd2_overlap(spark, sf):
                                    F.col("o_orderdate"))).alias("e"))
     ref = reference_overlaps(periods, ["k"], "s", "e", 30 * 86400)
     strict = strict_overlaps(periods, ["k"], "s", "e", 30 * 86400)
-    return ref.crossJoin(strict).select(F.col("pairs").alias("reference_pairs"),
-                                        F.col("overlaps").alias("strict_overlaps"))
+    return K.side_by_side(ref, strict).select(F.col("pairs").alias("reference_pairs"),
+                                              F.col("overlaps").alias("strict_overlaps"))
 
 
 # ---------------------------------------------------------------------------------------

@@ -199,7 +199,7 @@ def scd2_report(history: DataFrame, keys, table: str = "gold_dim_person") -> Dat
     s = split_counts(history, keys)
     ref = reference_overlaps(history, keys)
     strict = strict_overlaps(history, keys)
-    j = s.crossJoin(ref).crossJoin(strict)
+    j = K.side_by_side(s, ref, strict)
 
     def row(cid, col, metric, ok, thr):
         status = F.lit(K.INFO) if ok is None else F.when(ok, F.lit(K.PASS)).otherwise(F.lit(K.FAIL))
