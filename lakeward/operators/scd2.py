@@ -29,11 +29,29 @@ START = "__START_AT"
 END = "__END_AT"
 
 
+# Keys with more rows than this get narrower time buckets (see segmented.with_hot_key_factor).
+HOT_KEY_ROWS = 1_000_000
+
+
 def scd2_history(changes: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence[str],
                  bucket_width: int | None = None, tiebreak: Column | None = None,
-                 start_col: str = START, end_col: str = END) -> DataFrame:
-    """SCD-01: the full type-2 history of ``changes`` (batch or a micro-batch's log)."""
-    return run_versions(changes, list(keys), seq, list(tracked),
+                 start_col: str = START, end_col: str = END,
+                 hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """SCD-01: the full type-2 history of ``changes`` (batch or a micro-batch's log).
+
+    ``bucket_width`` is the time slice (seconds; default one day) a key's rows are split
+    into; keys with more than ``hot_key_rows`` rows get proportionally narrower slices.
+    """
+    keys, cols = list(keys), list(changes.columns)
+    if tiebreak is None:
+        tiebreak = F.struct(*[F.col(c) for c in cols if c not in keys and c != seq])
+    if hot_key_rows:
+        from lakeward.operators.segmented import HOT_FACTOR, with_hot_key_factor
+        feed = with_hot_key_factor(changes, keys, hot_key_rows)
+        bucket = bucket_for(feed, seq, bucket_width, F.col(HOT_FACTOR))
+        out = run_versions(feed, keys, seq, list(tracked), bucket, tiebreak, start_col, end_col)
+        return out.select(*cols, start_col, end_col)
+    return run_versions(changes, keys, seq, list(tracked),
                         bucket_for(changes, seq, bucket_width), tiebreak, start_col, end_col)
 
 

@@ -19,25 +19,58 @@ from pyspark.sql import functions as F
 DAY_SECONDS = 86_400
 
 
-def time_bucket(seq: str, seconds: int = DAY_SECONDS) -> Column:
-    """Contiguous slice id of a timestamp column (``seconds`` wide)."""
+def _per(width, factor: Column | None) -> Column:
+    w = F.lit(float(width))
+    return w if factor is None else w / factor
+
+
+def time_bucket(seq: str, seconds: int = DAY_SECONDS, factor: Column | None = None) -> Column:
+    """Contiguous slice id of a timestamp column (``seconds / factor`` wide)."""
     micros = F.unix_micros(F.col(seq).cast("timestamp"))  # NTZ -> instant keeps the order
-    return F.floor(micros / F.lit(int(seconds) * 1_000_000)).cast("long")
+    return F.floor(micros / _per(int(seconds) * 1_000_000, factor)).cast("long")
 
 
-def number_bucket(seq: str, width: int) -> Column:
-    """Contiguous slice id of a numeric column (``width`` wide)."""
-    return F.floor(F.col(seq) / F.lit(width)).cast("long")
+def number_bucket(seq: str, width: int, factor: Column | None = None) -> Column:
+    """Contiguous slice id of a numeric column (``width / factor`` wide)."""
+    return F.floor(F.col(seq) / _per(width, factor)).cast("long")
 
 
-def bucket_for(df: DataFrame, seq: str, width: int | None = None) -> Column:
-    """Pick a bucket expression from the type of ``seq``."""
+def bucket_for(df: DataFrame, seq: str, width: int | None = None,
+               factor: Column | None = None) -> Column:
+    """Pick a bucket expression from the type of ``seq``. ``factor`` (>= 1, constant per
+    key) narrows the buckets of hot keys; a per-key constant keeps them contiguous."""
     dtype = dict(df.dtypes)[seq]
     if dtype in ("timestamp", "timestamp_ntz"):
-        return time_bucket(seq, width or DAY_SECONDS)
+        return time_bucket(seq, width or DAY_SECONDS, factor)
     if dtype == "date":
-        return F.floor(F.unix_date(F.col(seq)) / F.lit(width or 1)).cast("long")
-    return number_bucket(seq, width or 1_000_000)
+        return F.floor(F.unix_date(F.col(seq)) / _per(width or 1, factor)).cast("long")
+    return number_bucket(seq, width or 1_000_000, factor)
+
+
+HOT_FACTOR = "_hot_factor"
+BROADCAST_MAX_HOT_KEYS = 2_000_000
+
+
+def with_hot_key_factor(df: DataFrame, keys: Sequence[str], hot_key_rows: int) -> DataFrame:
+    """Add ``_hot_factor`` = ceil(rows of the key / ``hot_key_rows``) for keys above
+    ``hot_key_rows`` rows (1 otherwise), so a hot key gets proportionally narrower buckets
+    even when its rows crowd into a short time span.
+
+    The hot-key table has at most total_rows / ``hot_key_rows`` rows by construction; it
+    is broadcast only after a count confirms the bound, and joined NULL-safely.
+    """
+    keys = list(keys)
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+           .filter(F.col("_cnt") > hot_key_rows)
+           .select(*keys, F.ceil(F.col("_cnt") / F.lit(hot_key_rows)).cast("double")
+                   .alias(HOT_FACTOR)))
+    n_hot = hot.count()
+    if n_hot == 0:                      # common case: no join at all
+        return df.withColumn(HOT_FACTOR, F.lit(1.0))
+    if n_hot <= BROADCAST_MAX_HOT_KEYS:
+        hot = F.broadcast(hot)
+    out = _null_safe_join(df, hot, keys, "left")
+    return out.withColumn(HOT_FACTOR, F.coalesce(F.col(HOT_FACTOR), F.lit(1.0)))
 
 
 def null_safe_differs(a: Column, b: Column) -> Column:
