@@ -170,8 +170,10 @@ class _EvolvingBatchWriter:
                     for c in observed_counts(obs, self.rules)]
             self.metrics.extend(rows)
             if self.metrics_path:
-                (spark.createDataFrame(rows, EXPECTATION_LOG_SCHEMA)
-                 .write.mode("append").parquet(self.metrics_path))
+                # one folder per dataset: concurrent streams never share a write path;
+                # read the log root to get ``dataset`` back as a partition column
+                (spark.createDataFrame(rows, EXPECTATION_LOG_SCHEMA).drop("dataset")
+                 .write.mode("append").parquet(f"{self.metrics_path}/dataset={self.dataset}"))
 
 
 EXPECTATION_LOG_SCHEMA = T.StructType([

@@ -38,45 +38,60 @@ def _observed(q) -> dict:
     return out
 
 
+def _await_all(queries: dict) -> None:
+    """Wait for every query; re-raise the first failure after all have stopped."""
+    errors = []
+    for q in queries.values():
+        try:
+            q.awaitTermination()
+        except Exception as e:  # noqa: BLE001 - collect, then raise
+            errors.append(e)
+    if errors:
+        raise errors[0]
+
+
 def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, languages_csv: str,
                key_buckets: int = 64) -> dict:
-    """Run every layer once (availableNow). Returns observed rule metrics per query."""
+    """Run every layer once (availableNow). Returns observed rule metrics per query.
+
+    Streams of one layer are independent, so they run concurrently (one session, several
+    streaming queries); layers run in dependency order.
+    """
     metrics: dict = {}
     # bronze (SRC-01..06, EX-01..08)
-    for spec in RAW_SPECS:
-        if not _exists_raw(spark, layout, spec.folder):
-            continue
-        q = start_bronze(spark, layout, spec)
-        q.awaitTermination()
+    bronze = {spec.name: start_bronze(spark, layout, spec) for spec in RAW_SPECS
+              if _exists_raw(spark, layout, spec.folder)}
+    _await_all(bronze)
+    for name, q in bronze.items():
         for m in getattr(q, "expectation_metrics", []):
-            acc = metrics.setdefault(f"{spec.name}_rules", {})
+            acc = metrics.setdefault(f"{name}_rules", {})
             acc[f"failed_{m['rule']}"] = acc.get(f"failed_{m['rule']}", 0) + m["failed"]
     # silver (SV-1..7, EXP-01..03), one stream per table
+    silver = {}
     for spec in CLEAN_SPECS:
         src = layout.path("bronze", spec.source)
-        if not _exists(spark, src):
-            continue
-        df = cleanse(spec.name, stream_table(spark, src), observation=f"{spec.name}_rules")
-        q = append_stream(df, layout.path("silver", spec.name), layout.checkpoint(spec.name))
-        q.awaitTermination()
+        if _exists(spark, src):
+            df = cleanse(spec.name, stream_table(spark, src), observation=f"{spec.name}_rules")
+            silver[spec.name] = append_stream(df, layout.path("silver", spec.name),
+                                              layout.checkpoint(spec.name))
+    _await_all(silver)
+    for q in silver.values():
         metrics.update(_observed(q))
-    # gold streaming tables (GD-03..06, GD-09..13, STR-03/04)
+    # gold streaming tables (GD-03..06, GD-09..13, STR-03/04) and the type-2 person
+    # dimension from the change feed (GD-01/02, SCD-02, STR-06)
+    gold = {}
     for name, (source, build) in G.STREAMING_GOLD.items():
         src = layout.path("silver", source)
-        if not _exists(spark, src):
-            continue
-        q = append_stream(build(stream_table(spark, src)), layout.path("gold", name),
-                          layout.checkpoint(name))
-        q.awaitTermination()
-    # type-2 person dimension from the change feed (GD-01/02, SCD-02, STR-06)
+        if _exists(spark, src):
+            gold[name] = append_stream(build(stream_table(spark, src)), layout.path("gold", name),
+                                       layout.checkpoint(name))
     names = layout.path("silver", "silver_name_basics")
     if _exists(spark, names):
-        q = apply_changes_stream(G.person_changes(stream_table(spark, names)),
-                                 layout.path("gold", "gold_dim_person"),
-                                 layout.path("gold", "_changes_gold_dim_person"),
-                                 layout.checkpoint("gold_dim_person"),
-                                 ["nconst"], G.STAMP, G.PERSON_TRACKED, key_buckets)
-        q.awaitTermination()
+        gold["gold_dim_person"] = apply_changes_stream(
+            G.person_changes(stream_table(spark, names)), layout.path("gold", "gold_dim_person"),
+            layout.path("gold", "_changes_gold_dim_person"), layout.checkpoint("gold_dim_person"),
+            ["nconst"], G.STAMP, G.PERSON_TRACKED, key_buckets)
+    _await_all(gold)
     # batch dimensions after the streams drained (GD-07/08, STR-05)
     akas = layout.path("silver", "silver_title_akas")
     if _exists(spark, akas):
