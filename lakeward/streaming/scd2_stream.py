@@ -5,9 +5,9 @@ Each micro-batch:
 1. appends its rows to a change log partitioned by ``(_kb, _batch)`` where ``_kb`` is a
    hash bucket of the key; the batch's own partitions are *overwritten*, so a replayed
    batch id rewrites the same files (idempotent);
-2. finds the touched key buckets from the (persisted) micro-batch — at most
-   ``key_buckets`` values reach the driver — and lists/reads only those bucket folders
-   of the log, so the cost does not grow with the number of log files elsewhere;
+2. learns the touched key buckets from an ``Observation`` on that same write (at most
+   ``key_buckets`` values reach the driver) and lists/reads only those bucket folders of
+   the log, so the cost does not grow with the number of log files elsewhere;
 3. recomputes the history of only those buckets with ``scd2_history`` (which splits
    hot keys by time bucket) and overwrites exactly those ``_kb`` partitions of the
    target (dynamic partition overwrite).
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.operators.scd2 import scd2_history
@@ -44,16 +44,16 @@ class Scd2Writer:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets)).persist()
-        try:
-            touched = sorted(r[0] for r in b.select(KEY_BUCKET).distinct().collect())
-            if not touched:
-                return
-            (b.withColumn(BATCH, F.lit(batch_id).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
-        finally:
-            b.unpersist()
+        # The touched buckets (<= key_buckets values) are observed on the log write itself.
+        obs = Observation(f"scd2_touched_{batch_id}")
+        (batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
+         .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"))
+         .withColumn(BATCH, F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
+        touched = sorted(obs.get.get("kb") or [])
+        if not touched:
+            return
         # Only the touched bucket folders are listed and read (partition pruning by path).
         changes = (spark.read.option("basePath", self.change_log)
                    .parquet(*[f"{self.change_log}/{KEY_BUCKET}={k}" for k in touched])
