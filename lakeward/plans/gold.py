@@ -124,3 +124,20 @@ STREAMING_GOLD = {
     "gold_fact_episodes": ("silver_title_episode", fact_episodes),
     "gold_fact_title_credits": ("silver_title_principals", fact_title_credits),
 }
+
+
+# Table comments of the star schema (catalog metadata, SNK-05).
+COMMENTS = {
+    "gold_dim_person": "People, type-2 history of name, death year and professions",
+    "gold_dim_title": "Titles",
+    "gold_dim_genre": "Genres",
+    "gold_dim_category": "Credit categories with their department",
+    "gold_dim_job": "Jobs within a credit category",
+    "gold_dim_region": "Regions named from the country lookup",
+    "gold_dim_language": "Languages named from the language lookup",
+    "gold_dim_title_alternates": "Alternative titles by region and language",
+    "gold_bridge_title_genre": "Title to genre bridge",
+    "gold_fact_ratings": "Ratings",
+    "gold_fact_episodes": "Episodes of series",
+    "gold_fact_title_credits": "Cast and crew credits",
+}

@@ -145,3 +145,26 @@ def load_tables(spark: SparkSession, layout: TableLayout) -> dict:
                 df = read_table(spark, p)
                 out[n] = df.drop("_kb") if n == "gold_dim_person" else df
     return out
+
+
+def register_layout(spark: SparkSession, layout: TableLayout, database: str | None = None) -> list:
+    """SNK-05: expose every stored table of the layout in the catalog with its comment and
+    its layer as the ``quality`` property; ``database`` prefixes the names (created if
+    missing). Returns the registered names."""
+    from lakeward.sources.tables import register_table
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    comments = {s.name: s.comment for s in RAW_SPECS}
+    comments.update({s.name: s.comment for s in CLEAN_SPECS})
+    comments.update(G.COMMENTS)
+    out = []
+    for layer, names in (("bronze", [s.name for s in RAW_SPECS]),
+                         ("silver", [s.name for s in CLEAN_SPECS]),
+                         ("gold", list(G.COMMENTS))):
+        for n in names:
+            p = layout.path(layer, n)
+            if _exists(spark, p):
+                full = f"{database}.{n}" if database else n
+                register_table(spark, full, p, comments.get(n, ""), {"quality": layer})
+                out.append(full)
+    return out

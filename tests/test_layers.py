@@ -166,3 +166,12 @@ def test_register_table_with_comment_and_properties(layered, spark):
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gold_fact_ratings_t").collect()}
     assert props.get("quality") == "gold"
     assert spark.table("gold_fact_ratings_t").count() == 3
+
+
+def test_register_layout(layered, spark):
+    from lakeward.streaming.runner import register_layout
+    names = register_layout(spark, layered[0], "lw_test")
+    assert "lw_test.gold_dim_person" in names and "lw_test.bronze_title_crew" in names
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES lw_test.silver_title_akas").collect()}
+    assert props["quality"] == "silver"
+    assert spark.table("lw_test.gold_dim_genre").count() == 3
