@@ -10,6 +10,7 @@ Semantics (from the change-application call being modelled):
 4. Out-of-order arrivals land by sequence value (this is a recompute, not a replay).
 5. Rows tying on (key, sequence) collapse to the greatest struct of the other columns.
 6. ``A -> B -> A`` gives three versions.
+7. A change with a NULL sequence value cannot be ordered and is not applied.
 
 Plan: one shuffle of the feed on (key, time bucket) with windows inside buckets and a
 small per-(key, bucket) carry table (``segmented.run_versions``); each version is its

@@ -96,7 +96,8 @@ def run_versions(df: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence
     untracked columns carry their latest values) plus ``start_col`` (sequence value of
     the run's first row) and ``end_col`` (that of the next run's first row, NULL for the
     open run). Rows tying on ``(keys, seq)`` collapse first to the greatest
-    ``tiebreak`` (default: the struct of all other columns) — deterministic.
+    ``tiebreak`` (default: the struct of all other columns) — deterministic. A row
+    with a NULL sequence value cannot be placed in order and is not applied.
 
     Plan: the rows shuffle once on ``(keys, bucket)``; windows run inside a bucket; a
     per-bucket summary (one row per key and bucket) carries "previous bucket's last
@@ -109,7 +110,8 @@ def run_versions(df: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence
     others = [c for c in cols if c not in keys and c != seq]
     tb = tiebreak if tiebreak is not None else F.struct(*[F.col(c) for c in others])
 
-    d = (df.withColumn("_b", F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
+    d = (df.filter(F.col(seq).isNotNull())
+         .withColumn("_b", F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
          .withColumn("_tb", tb))
     w = Window.partitionBy(*keys, "_b").orderBy(F.col(seq), F.col("_tb").desc())
     # Tie collapse: the first row per (keys, seq) in (seq, tiebreak desc) order wins.

@@ -173,3 +173,10 @@ def test_hot_key_narrower_buckets_same_result(spark, hot_rows):
     got = sorted(((r.key, r[START], r[END], r.t, r.u) for r in h.collect()), key=str)
     assert got == brute_force(rows, 1)
     assert h.columns == ["key", "seq", "t", "u", START, END]
+
+
+def test_null_sequence_rows_are_not_applied(spark):
+    df = spark.createDataFrame([(None, "k", "Z"), (1, "k", "A"), (2, "k", "B")],
+                               "seq long, key string, t string")
+    h = scd2_history(df, ["key"], "seq", ["t"])
+    assert sorted((r[START], r[END], r.t) for r in h.collect()) == [(1, 2, "A"), (2, None, "B")]
