@@ -35,7 +35,7 @@ HOT_KEY_ROWS = 1_000_000
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence[str],
-                 bucket_width: int | None = None, tiebreak: Column | None = None,
+                 bucket_width: int | None = None, tiebreak: Sequence[str] | None = None,
                  start_col: str = START, end_col: str = END,
                  hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """SCD-01: the full type-2 history of ``changes`` (batch or a micro-batch's log).
@@ -44,8 +44,8 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], seq: str, tracked: Seq
     into; keys with more than ``hot_key_rows`` rows get proportionally narrower slices.
     """
     keys, cols = list(keys), list(changes.columns)
-    if tiebreak is None:
-        tiebreak = F.struct(*[F.col(c) for c in cols if c not in keys and c != seq])
+    if tiebreak is None:   # all other source columns, compared in order (greatest wins)
+        tiebreak = [c for c in cols if c not in keys and c != seq]
     if hot_key_rows:
         from lakeward.operators.segmented import HOT_FACTOR, with_hot_key_factor
         feed = with_hot_key_factor(changes, keys, hot_key_rows)

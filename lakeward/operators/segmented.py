@@ -87,7 +87,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
 
 
 def run_versions(df: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence[str],
-                 bucket: Column, tiebreak: Column | None = None,
+                 bucket: Column, tiebreak: Sequence[str] | None = None,
                  start_col: str = "__START_AT", end_col: str = "__END_AT") -> DataFrame:
     """One row per run of unchanged ``tracked`` values per key, in ``seq`` order.
 
@@ -96,8 +96,10 @@ def run_versions(df: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence
     untracked columns carry their latest values) plus ``start_col`` (sequence value of
     the run's first row) and ``end_col`` (that of the next run's first row, NULL for the
     open run). Rows tying on ``(keys, seq)`` collapse first to the greatest
-    ``tiebreak`` (default: the struct of all other columns) — deterministic. A row
-    with a NULL sequence value cannot be placed in order and is not applied.
+    ``tiebreak`` columns compared in order (default: all other columns; NULL lowest, as
+    in struct ordering) — deterministic. The tie order is a sort key of the window, not
+    a materialized column, so the shuffle carries each value once. A row with a NULL
+    sequence value cannot be placed in order and is not applied.
 
     Plan: the rows shuffle once on ``(keys, bucket)``; windows run inside a bucket; a
     per-bucket summary (one row per key and bucket) carries "previous bucket's last
@@ -108,16 +110,16 @@ def run_versions(df: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence
     keys = list(keys)
     cols = list(df.columns)
     others = [c for c in cols if c not in keys and c != seq]
-    tb = tiebreak if tiebreak is not None else F.struct(*[F.col(c) for c in others])
+    tb = list(tiebreak) if tiebreak is not None else others
 
     d = (df.filter(F.col(seq).isNotNull())
-         .withColumn("_b", F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long")))
-         .withColumn("_tb", tb))
-    w = Window.partitionBy(*keys, "_b").orderBy(F.col(seq), F.col("_tb").desc())
+         .withColumn("_b", F.coalesce(bucket, F.lit(-(2 ** 63)).cast("long"))))
+    w = Window.partitionBy(*keys, "_b").orderBy(
+        F.col(seq), *[F.col(c).desc_nulls_last() for c in tb])
     # Tie collapse: the first row per (keys, seq) in (seq, tiebreak desc) order wins.
     d = (d.withColumn("_prev_seq", F.lag(seq).over(w))
          .filter(F.col("_prev_seq").isNull() | (F.col("_prev_seq") != F.col(seq)))
-         .drop("_prev_seq", "_tb"))
+         .drop("_prev_seq"))
     w = Window.partitionBy(*keys, "_b").orderBy(F.col(seq))
     d = (d.withColumn("_t", F.struct(*[F.col(c) for c in tracked]))
          .withColumn("_rn", F.row_number().over(w))
