@@ -7,7 +7,6 @@ the dataset's rules. Works unchanged on a streaming bronze source.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakeward.functions.cleanse import (DIGITS, YEAR_1_TO_4_DIGITS, YEAR_4_DIGITS, carry_load_time,
                                         flag, guarded_int, lower_code, split_list, strip_brackets,
@@ -112,4 +111,4 @@ def drop_stamps(df: DataFrame) -> DataFrame:
                                  "load_dt") if c in df.columns])
 
 
-__all__ = ["cleanse", "PROJECTIONS", "drop_stamps", "F"]
+__all__ = ["cleanse", "PROJECTIONS", "drop_stamps"]

@@ -9,7 +9,6 @@ import pytest
 from conftest import FIXTURES, copy_raw
 from pyspark.sql import functions as F
 
-from lakeward.plans import gold as G
 from lakeward.plans.bronze import bronze_batch
 from lakeward.plans.reports import gold_report, silver_report
 from lakeward.plans.silver import cleanse, drop_stamps
