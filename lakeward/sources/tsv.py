@@ -4,6 +4,10 @@ Dialect (SRC-02): header line, tab separator, ``\\N`` is NULL, quoting and escap
 Every column is read as STRING (SRC-04). Lineage (SRC-06): ``_source_file`` from the
 file-metadata column and ``_loaded_at``.
 
+Splittable multi-line semantics (SRC-03). The header read also detects the line ending,
+and each group is read without ``multiLine`` (which would make every file one task) but
+with options that give the same records (``group_options``).
+
 Schema evolution (SRC-05). With an explicit schema Spark maps CSV columns *by position*
 and silently mis-assigns a file whose header is reordered (P5). So files are grouped by
 their header line, each group is read with its own all-STRING schema, and the groups are
@@ -95,8 +99,25 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> list[
 
 
 def file_header(spark: SparkSession, path: str, multiline: bool = False) -> tuple:
-    """The header columns of one file (reads only its first line)."""
-    return tuple(spark.read.options(**tsv_options(multiline)).csv(path).columns)
+    """``(columns, crlf)`` of one file: its first line only (a one-line job), split on the
+    tab (quoting is off); ``crlf`` tells whether lines end with ``\\r\\n``."""
+    first = spark.read.option("lineSep", "\n").text(path).limit(1).collect()
+    line = first[0][0] if first else ""
+    crlf = line.endswith("\r")
+    return tuple(line[:-1].split("\t") if crlf else line.split("\t")), crlf
+
+
+def group_options(multiline: bool, crlf: bool) -> dict:
+    """Read options for one header group, always splittable.
+
+    With quoting off a record cannot span lines; the only effect of ``multiLine`` is that
+    a lone ``\\r`` inside a field does not end the record (P7). For ``\\n``-terminated
+    files ``lineSep="\\n"`` gives exactly that while keeping files splittable; for
+    ``\\r\\n`` files the default line handling already equals ``multiLine``.
+    """
+    if multiline and not crlf:
+        return tsv_options(False, lineSep="\n")
+    return tsv_options(False)
 
 
 HEADER_THREADS = 16
@@ -114,7 +135,8 @@ def header_groups(spark: SparkSession, files: Sequence[str], multiline: bool = F
         headers = [file_header(spark, f, multiline) for f in files]
     groups: OrderedDict[tuple, list[str]] = OrderedDict()
     for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
+        if h[0] != ("",):          # empty file: nothing to read
+            groups.setdefault(h, []).append(f)
     return groups
 
 
@@ -128,9 +150,12 @@ def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool
     files = list(files)
     if not files:
         return None
-    parts = [with_lineage(spark.read.options(**tsv_options(multiline))
+    groups = header_groups(spark, files, multiline)
+    if not groups:
+        return None
+    parts = [with_lineage(spark.read.options(**group_options(multiline, crlf))
                           .schema(string_schema(header)).csv(group))
-             for header, group in header_groups(spark, files, multiline).items()]
+             for (header, crlf), group in groups.items()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     order = list(expected or [])
     for c in df.columns:

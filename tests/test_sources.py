@@ -73,3 +73,24 @@ def test_fixed_schema_stream_source(spark, tmp_path):
     out = spark.read.parquet(f"{root}/out")
     assert out.count() == 3 and S.SOURCE_FILE in out.columns
     assert out.filter("tconst = 'tt0000001'").collect()[0].directors == "nm0000001,nm0000002"
+
+
+def test_multiline_semantics_stay_splittable(spark, tmp_path):
+    """SRC-03: same records as multiLine=true (lone CR kept in a field), but split into tasks."""
+    path = str(tmp_path / "big.tsv")
+    with open(path, "w", newline="") as f:
+        f.write("k\tv\n")
+        for i in range(40_000):
+            f.write(f"{i}\t{'x' if i % 7 else 'a' + chr(13) + 'b'}{'-' * 40}\n")
+    ref = (spark.read.options(**S.tsv_options(True)).schema(S.string_schema(["k", "v"]))
+           .csv(path).collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "262144")
+    try:
+        df = S.read_tsv_evolving(spark, [path], multiline=True, expected=["k", "v"])
+        assert df.rdd.getNumPartitions() > 1
+        got = df.select("k", "v").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, ref))
+    assert any("\r" in r.v for r in got)
