@@ -33,8 +33,12 @@ def violates(rule: Rule) -> Column:
 
 
 def metric_exprs(rules: Sequence[Rule]) -> list[Column]:
+    """``rows``, ``failed_<rule name>`` per rule and ``dropped`` (rows failing any drop rule)."""
+    names = [r.name for r in rules]
+    if len(set(names)) != len(names):
+        raise ValueError(f"rule names must be unique: {names}")
     out = [F.count(F.lit(1)).alias("rows")]
-    out += [F.count_if(violates(r)).alias(f"failed_{i}") for i, r in enumerate(rules)]
+    out += [F.count_if(violates(r)).alias(f"failed_{r.name}") for r in rules]
     drops = [r for r in rules if r.action == DROP]
     if drops:
         out.append(F.count_if(~keep_condition(drops)).alias("dropped"))
@@ -76,9 +80,9 @@ def observed_counts(obs: Observation, rules: Sequence[Rule]) -> list[dict]:
     """Read an ``Observation`` (after an action) into one dict per rule."""
     m = obs.get
     rows = m.get("rows", 0)
-    return [{"rule": r.name, "action": r.action, "failed": int(m.get(f"failed_{i}", 0)),
-             "passed": int(rows) - int(m.get(f"failed_{i}", 0))}
-            for i, r in enumerate(rules)]
+    return [{"rule": r.name, "action": r.action, "failed": int(m.get(f"failed_{r.name}", 0)),
+             "passed": int(rows) - int(m.get(f"failed_{r.name}", 0))}
+            for r in rules]
 
 
 def rule_metrics(df: DataFrame, rules: Sequence[Rule], dataset: str | None = None) -> DataFrame:
@@ -86,9 +90,9 @@ def rule_metrics(df: DataFrame, rules: Sequence[Rule], dataset: str | None = Non
     rules = list(rules)
     agg = df.agg(*metric_exprs(rules))
     entries = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.action).alias("action"),
-                        (F.col("rows") - F.col(f"failed_{i}")).alias("passed"),
-                        F.col(f"failed_{i}").alias("failed"))
-               for i, r in enumerate(rules)]
+                        (F.col("rows") - F.col(f"`failed_{r.name}`")).alias("passed"),
+                        F.col(f"`failed_{r.name}`").alias("failed"))
+               for r in rules]
     out = agg.select(F.explode(F.array(*entries)).alias("m")).select("m.*")
     if dataset is not None:
         out = out.select(F.lit(dataset).alias("dataset"), "*")

@@ -45,6 +45,16 @@ def test_cleansed_rows(layered):
     assert counts["silver_title_crew"] == 2
     m = metrics["silver_title_basics_rules"]
     assert m["rows"] == 8 and m["dropped"] == 1
+    # warn counts on the projected rows (FIXTURES.md §4)
+    assert m["failed_valid_title_type"] == 2       # tvPilotX and NULL
+    assert m["failed_valid_start_year"] == 2       # 1849 and 2036 (95 -> NULL passes)
+    assert m["failed_start_before_end"] == 1       # 2001 / 1999
+    assert m["failed_valid_runtime"] == 0
+    names = metrics["silver_name_basics_rules"]
+    assert names["failed_valid_birth_year"] == 1   # 0 is kept and counted
+    # self-reference, plus the NULL-parent row: a NULL predicate is a violation (NULL rule)
+    assert metrics["silver_title_episode_rules"]["failed_episode_not_same_as_parent"] == 2
+    assert metrics["silver_title_principals_rules"]["failed_valid_category"] == 1  # "sound dept"
 
 
 def test_typed_values(layered, spark):
