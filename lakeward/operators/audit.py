@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.operators.checks import side_by_side
-from lakeward.specs import SCORE_CLEAN, SCORE_WITH_DUPLICATES
+from lakeward.specs import (AUDIT_STATUS, ISSUE_DUPLICATE_PK, RAW_FILE_SUFFIX, RAW_TABLE_PREFIX,
+                            SCORE_CLEAN, SCORE_WITH_DUPLICATES)
 
 
 @dataclass(frozen=True)
@@ -49,13 +50,13 @@ def load_audit_row(df: DataFrame, target: AuditTarget) -> DataFrame:
     stamp = target.stamp
     actual = data_columns(df)
     new = schema_drift(df, target.expected)
-    file_name = target.file_name or f"{target.name.replace('bronze_', '')}.tsv.gz"
+    file_name = target.file_name or target.name.replace(RAW_TABLE_PREFIX, "") + RAW_FILE_SUFFIX
     latest = (F.max(stamp) if stamp and stamp in df.columns
               else F.lit(None).cast("timestamp"))
     return df.agg(
         F.lit(target.name).alias("table_name"),
         F.lit(file_name).alias("file_name"),
-        F.lit("SUCCESS").alias("status"),
+        F.lit(AUDIT_STATUS).alias("status"),
         F.lit(None).cast("string").alias("error_message"),
         F.count(F.lit(1)).alias("rows_loaded"),
         latest.alias("load_timestamp"),
@@ -127,7 +128,7 @@ def quality_row(df: DataFrame, target: AuditTarget, check_ts: Column | None = No
         ts.alias("check_timestamp"),
         F.when(has_dups, F.lit(SCORE_WITH_DUPLICATES)).otherwise(F.lit(SCORE_CLEAN))
         .alias("quality_score"),
-        F.when(has_dups, F.concat_ws("|", F.lit("DUPLICATE_PK"),
+        F.when(has_dups, F.concat_ws("|", F.lit(ISSUE_DUPLICATE_PK),
                                      F.col("duplicate_count").cast("string")))
         .otherwise(F.lit("")).alias("issues_found"))
 

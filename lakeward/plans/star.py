@@ -13,10 +13,9 @@ from lakeward.operators.dims import (alternates, coded_dimension, composite_dime
                                      exploded_dimension, mapped_dimension, renamed)
 from lakeward.operators.facts import bridge, credits_fact, fact
 from lakeward.operators.scd2 import change_feed, scd2_history
-from lakeward.specs import DEFAULT_DEPARTMENT, DEPARTMENTS, PERSON_TRACKED
+from lakeward.specs import DEFAULT_DEPARTMENT, DEPARTMENTS, LOADED_BY, PERSON_TRACKED
 
 STAMP = "load_dt"
-LOADED_BY = ("loaded_by", "dlt_pipeline")   # fixed tag value of the modelled tables
 
 
 def person_changes(silver_names: DataFrame) -> DataFrame:

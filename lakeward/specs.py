@@ -111,40 +111,47 @@ FRESHNESS_HOURS = 24.0
 SCORE_WITH_DUPLICATES = 80.0
 SCORE_CLEAN = 100.0
 
+# Literal values written into audit and fact tables.
+RAW_TABLE_PREFIX = "bronze_"        # stripped to name the raw file in the load audit
+RAW_FILE_SUFFIX = ".tsv.gz"
+AUDIT_STATUS = "SUCCESS"
+ISSUE_DUPLICATE_PK = "DUPLICATE_PK"
+LOADED_BY = ("loaded_by", "dlt_pipeline")
+
 # Raw file sets: bronze table, folder, header columns, key, warn rules, multiLine.
 RAW_SPECS = [
     RawSpec("bronze_name_basics", "name_basics",
             ("nconst", "primaryName", "birthYear", "deathYear", "primaryProfession", "knownForTitles"),
             ("nconst",), (Rule("valid_nconst", not_null_prefix("nconst", "nm")),),
-            True, "Raw name/person data"),
+            True, "People, as delivered (all text)"),
     RawSpec("bronze_title_basics", "title_basics",
             ("tconst", "titleType", "primaryTitle", "originalTitle", "isAdult", "startYear",
              "endYear", "runtimeMinutes", "genres"),
             ("tconst",), (Rule("valid_tconst", not_null_prefix("tconst", "tt")),),
-            True, "Raw title data"),
+            True, "Titles, as delivered (all text)"),
     RawSpec("bronze_title_ratings", "title_ratings",
             ("tconst", "averageRating", "numVotes"),
             ("tconst",), (Rule("valid_tconst", not_null_prefix("tconst", "tt")),),
-            False, "Raw ratings data"),
+            False, "Title ratings, as delivered (all text)"),
     RawSpec("bronze_title_episode", "title_episode",
             ("tconst", "parentTconst", "seasonNumber", "episodeNumber"),
             ("tconst",), (Rule("valid_tconst", not_null_prefix("tconst", "tt")),),
-            False, "Raw episode data"),
+            False, "Episode links, as delivered (all text)"),
     RawSpec("bronze_title_akas", "title_akas",
             ("titleId", "ordering", "title", "region", "language", "types", "attributes",
              "isOriginalTitle"),
             ("titleId", "ordering"), (Rule("valid_titleid", not_null_prefix("titleId", "tt")),),
-            True, "Raw alternative titles"),
+            True, "Localized titles, as delivered (all text)"),
     RawSpec("bronze_title_principals", "title_principals",
             ("tconst", "ordering", "nconst", "category", "job", "characters"),
             ("tconst", "ordering"),
             (Rule("valid_tconst", not_null_prefix("tconst", "tt")),
              Rule("valid_nconst", not_null_prefix("nconst", "nm"))),
-            True, "Raw cast/crew data"),
+            True, "Title credits, as delivered (all text)"),
     RawSpec("bronze_title_crew", "title_crew",
             ("tconst", "directors", "writers"),
             ("tconst",), (Rule("valid_tconst", not_null_prefix("tconst", "tt")),),
-            False, "Raw crew data"),
+            False, "Directors and writers, as delivered (all text)"),
 ]
 
 _TYPES = ",".join(repr(t) for t in VALID_TITLE_TYPES)
@@ -157,7 +164,7 @@ CLEAN_SPECS = [
         Rule("valid_birth_year", "birth_year IS NULL OR birth_year > 0"),
         Rule("valid_death_year", "death_year IS NULL OR death_year > 0"),
         Rule("valid_name", "primary_name IS NOT NULL AND LENGTH(primary_name) > 1", DROP),
-    ), "Cleansed person/talent data"),
+    ), "People, typed and checked"),
     CleanSpec("silver_title_basics", "bronze_title_basics", ("tconst",), (
         Rule("valid_tconst", not_null_prefix("tconst", "tt"), DROP),
         Rule("valid_tconst_format", "LENGTH(tconst) BETWEEN 9 AND 12", DROP),
@@ -170,34 +177,34 @@ CLEAN_SPECS = [
         Rule("start_before_end", "start_year IS NULL OR end_year IS NULL OR start_year <= end_year"),
         Rule("valid_is_adult", "is_adult IN (true, false)"),
         Rule("has_primary_title", "primary_title IS NOT NULL AND LENGTH(primary_title) >= 1"),
-    ), "Cleansed title data"),
+    ), "Titles, typed and checked"),
     CleanSpec("silver_title_ratings", "bronze_title_ratings", ("tconst",), (
         Rule("valid_tconst", not_null_prefix("tconst", "tt"), DROP),
         Rule("valid_rating_range", "average_rating >= 1.0 AND average_rating <= 10.0", DROP),
         Rule("valid_num_votes", "num_votes > 0", DROP),
-    ), "Cleansed ratings data"),
+    ), "Title ratings, typed and checked"),
     CleanSpec("silver_title_episode", "bronze_title_episode", ("tconst",), (
         Rule("valid_tconst", not_null_prefix("tconst", "tt"), DROP),
         Rule("valid_parent_tconst", not_null_prefix("parent_tconst", "tt"), DROP),
         Rule("valid_season_number", "season_number IS NULL OR season_number >= 0"),
         Rule("valid_episode_number", "episode_number IS NULL OR episode_number >= 0"),
         Rule("episode_not_same_as_parent", "tconst != parent_tconst"),
-    ), "Cleansed episode data"),
+    ), "Episode links, typed and checked"),
     CleanSpec("silver_title_akas", "bronze_title_akas", ("title_id", "ordering"), (
         Rule("valid_title_id", not_null_prefix("title_id", "tt"), DROP),
         Rule("valid_ordering", "ordering IS NOT NULL AND ordering > 0", DROP),
         Rule("has_title", "title IS NOT NULL AND LENGTH(title) >= 1"),
         Rule("valid_is_original", "is_original_title IN (true, false)"),
-    ), "Cleansed alternative titles"),
+    ), "Localized titles, typed and checked"),
     CleanSpec("silver_title_principals", "bronze_title_principals", ("tconst", "ordering"), (
         Rule("valid_tconst", not_null_prefix("tconst", "tt"), DROP),
         Rule("valid_nconst", not_null_prefix("nconst", "nm"), DROP),
         Rule("valid_ordering", "ordering IS NOT NULL AND ordering > 0", DROP),
         Rule("valid_category", "category IS NOT NULL AND category RLIKE '^[a-z_]+$'"),
-    ), "Cleansed cast/crew data"),
+    ), "Title credits, typed and checked"),
     CleanSpec("silver_title_crew", "bronze_title_crew", ("tconst",), (
         Rule("valid_tconst", not_null_prefix("tconst", "tt"), DROP),
-    ), "Cleansed crew data"),
+    ), "Directors and writers, typed and checked"),
 ]
 
 # Star-schema primary keys (duplicate checks) and the modelled foreign keys.

@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from lakeward.plans import gold as G
-from lakeward.plans.bronze import start_bronze
-from lakeward.plans.silver import cleanse
+from lakeward.plans import star as G
+from lakeward.plans.raw_tables import start_bronze
+from lakeward.plans.cleansed import cleanse
 from lakeward.sources.tables import append_stream, read_lookup_csv, read_table, stream_table, write_table
 from lakeward.sources.tsv import list_files
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout

@@ -9,9 +9,9 @@ import pytest
 from conftest import FIXTURES, copy_raw
 from pyspark.sql import functions as F
 
-from lakeward.plans.bronze import bronze_batch
+from lakeward.plans.raw_tables import bronze_batch
 from lakeward.plans.reports import gold_report, silver_report
-from lakeward.plans.silver import cleanse, drop_stamps
+from lakeward.plans.cleansed import cleanse, drop_stamps
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout, raw_spec
 from lakeward.streaming.runner import load_tables, run_layers
 
@@ -188,7 +188,7 @@ def test_register_layout(layered, spark):
 
 def test_streaming_gold_equals_batch_builders(layered, spark):
     """Every streaming gold table equals its builder applied to the cleansed table in batch."""
-    from lakeward.plans import gold as G
+    from lakeward.plans import star as G
     layout, _, _, t = layered
     for name, (source, build) in G.STREAMING_GOLD.items():
         batch = build(t[source]).drop("load_dt")
