@@ -134,7 +134,7 @@ COMMENTS = {
     "gold_dim_job": "Jobs within a credit category",
     "gold_dim_region": "Regions named from the country lookup",
     "gold_dim_language": "Languages named from the language lookup",
-    "gold_dim_title_alternates": "Alternative titles by region and language",
+    "gold_dim_title_alternates": "Localized titles per region and language",
     "gold_bridge_title_genre": "Title to genre bridge",
     "gold_fact_ratings": "Ratings",
     "gold_fact_episodes": "Episodes of series",

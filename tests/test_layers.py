@@ -171,7 +171,7 @@ def test_register_table_with_comment_and_properties(layered, spark):
     from lakeward.sources.tables import register_table
     layout = layered[0]
     register_table(spark, "gold_fact_ratings_t", layout.path("gold", "gold_fact_ratings"),
-                   "Ratings fact table", {"quality": "gold"})
+                   "Ratings per title", {"quality": "gold"})
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES gold_fact_ratings_t").collect()}
     assert props.get("quality") == "gold"
     assert spark.table("gold_fact_ratings_t").count() == 3
