@@ -43,18 +43,25 @@ class Scd2Writer:
         self.key_buckets, self.bucket_width = key_buckets, bucket_width
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # The touched buckets (<= key_buckets values) are observed on the log write itself.
+        touched = self.append_log(batch, batch_id)
+        if touched:
+            self.recompute(batch.sparkSession, touched)
+
+    def append_log(self, batch: DataFrame, batch_id: int) -> list:
+        """Step 1: (over)write this batch's log partitions; return the touched buckets,
+        observed on that same write (at most ``key_buckets`` values)."""
         obs = Observation(f"scd2_touched_{batch_id}")
         (batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
          .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"))
          .withColumn(BATCH, F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
-        touched = sorted(obs.get.get("kb") or [])
-        if not touched:
-            return
-        # Only the touched bucket folders are listed and read (partition pruning by path).
+        return sorted(obs.get.get("kb") or [])
+
+    def recompute(self, spark: SparkSession, touched: list) -> None:
+        """Steps 2-3: history of the touched buckets from their whole log, then a dynamic
+        overwrite of exactly those target partitions. Only the touched bucket folders are
+        listed and read."""
         changes = (spark.read.option("basePath", self.change_log)
                    .parquet(*[f"{self.change_log}/{KEY_BUCKET}={k}" for k in touched])
                    .drop(KEY_BUCKET, BATCH))
