@@ -29,6 +29,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming de-duplication state lives in RocksDB (off-heap, spills to local disk,
+    # checkpointed to the shared folder) instead of executor JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

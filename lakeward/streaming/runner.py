@@ -20,6 +20,12 @@ from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout
 from lakeward.streaming.scd2_stream import apply_changes_stream
 
 
+# Bounded micro-batches: a first run over a large backlog proceeds in batches of at most
+# this many files, so a failure redoes one batch, not the whole history.
+RAW_FILES_PER_TRIGGER = 1000
+TABLE_FILES_PER_TRIGGER = 10000
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         return bool(list_files(spark, path, "*.parquet"))
@@ -59,8 +65,9 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     """
     metrics: dict = {}
     # bronze (SRC-01..06, EX-01..08)
-    bronze = {spec.name: start_bronze(spark, layout, spec) for spec in RAW_SPECS
-              if _exists_raw(spark, layout, spec.folder)}
+    bronze = {spec.name: start_bronze(spark, layout, spec,
+                                      max_files_per_trigger=RAW_FILES_PER_TRIGGER)
+              for spec in RAW_SPECS if _exists_raw(spark, layout, spec.folder)}
     _await_all(bronze)
     for name, q in bronze.items():
         for m in getattr(q, "expectation_metrics", []):
@@ -71,7 +78,8 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     for spec in CLEAN_SPECS:
         src = layout.path("bronze", spec.source)
         if _exists(spark, src):
-            df = cleanse(spec.name, stream_table(spark, src), observation=f"{spec.name}_rules")
+            df = cleanse(spec.name, stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER),
+                         observation=f"{spec.name}_rules")
             silver[spec.name] = append_stream(df, layout.path("silver", spec.name),
                                               layout.checkpoint(spec.name))
     _await_all(silver)
@@ -83,12 +91,15 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     for name, (source, build) in G.STREAMING_GOLD.items():
         src = layout.path("silver", source)
         if _exists(spark, src):
-            gold[name] = append_stream(build(stream_table(spark, src)), layout.path("gold", name),
-                                       layout.checkpoint(name))
+            gold[name] = append_stream(
+                build(stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
+                layout.path("gold", name), layout.checkpoint(name))
     names = layout.path("silver", "silver_name_basics")
     if _exists(spark, names):
         gold["gold_dim_person"] = apply_changes_stream(
-            G.person_changes(stream_table(spark, names)), layout.path("gold", "gold_dim_person"),
+            G.person_changes(stream_table(spark, names,
+                                          max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
+            layout.path("gold", "gold_dim_person"),
             layout.path("gold", "_changes_gold_dim_person"), layout.checkpoint("gold_dim_person"),
             ["nconst"], G.STAMP, G.PERSON_TRACKED, key_buckets)
     _await_all(gold)
