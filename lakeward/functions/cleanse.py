@@ -25,7 +25,8 @@ def text(c) -> Column:
 
 
 def guarded_int(c, pattern: str = DIGITS) -> Column:
-    """PRJ-03..05: integer only when the raw text matches ``pattern``; NULL otherwise.
+    """PRJ-03..05, FN-04, FN-14: integer only when the raw text matches ``pattern`` (``rlike``);
+    NULL otherwise.
 
     ``try_cast`` keeps out-of-range digit strings (``99999999999``) NULL instead of failing.
     """
@@ -112,10 +113,11 @@ def mapped(c, mapping, default: str) -> Column:
 
 
 def carry_load_time(src: str = "_loaded_at") -> list[Column]:
-    """PRJ-13: carry the load time forward and stamp the processing time."""
+    """PRJ-13, FN-15: carry the load time forward and stamp the processing time
+    (``current_timestamp``)."""
     return [F.col(src).alias("source_loaded_at"), F.current_timestamp().alias("silver_processed_at")]
 
 
 def typed_null(dtype: str = "string") -> Column:
-    """FN-13: a typed NULL literal."""
+    """FN-13: a typed NULL literal (``lit(None).cast``)."""
     return F.lit(None).cast(dtype)

@@ -111,7 +111,8 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def quality_row(df: DataFrame, target: AuditTarget, check_ts: Column | None = None
                 ) -> DataFrame:
-    """QL-4..6 for one table: totals, ``col:n`` NULL text, duplicate groups, score, issues."""
+    """QL-4..6 for one table: totals, ``col:n`` NULL text (FN-10 ``concat_ws``), duplicate
+    groups, score, issues."""
     cols = data_columns(df)
     stats = df.agg(F.count(F.lit(1)).alias("total_rows"), *null_counts(df, cols))
     dups = duplicate_groups(df, list(target.keys))

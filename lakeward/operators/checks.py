@@ -100,7 +100,7 @@ def id_format(column: str, pattern: str, check_id: str = "QA-04") -> Measure:
 
 
 def violations(column: str, violation_sql: str, check_id: str = "QA-05") -> Measure:
-    """QA-05/17/18: rows for which ``violation_sql`` holds."""
+    """QA-05/17/18, AGG-02: rows for which ``violation_sql`` holds (a conditional count)."""
     return Measure(check_id, column, F.count_if(F.expr(violation_sql)), _eq0, "= 0")
 
 
@@ -116,7 +116,7 @@ def self_reference(column: str, parent: str, check_id: str = "QA-08") -> Measure
 
 
 def non_empty(check_id: str = "QA-11") -> Measure:
-    """QA-11: the table has rows."""
+    """QA-11, AGG-01: the table has rows (a whole-table count)."""
     return Measure(check_id, None, F.count(F.lit(1)), lambda m: m > 0, "> 0")
 
 
@@ -145,7 +145,8 @@ def statistic(label: str, value: Column, check_id: str = "QA-24") -> Measure:
 
 def freshness(column: str, as_of: Column, max_hours: float, check_id: str = "QA-10",
               empty_status: str = FAIL) -> Measure:
-    """QA-10/26: hours between the newest stamp and ``as_of``; no stamp -> ``empty_status``."""
+    """QA-10/26, AGG-06: hours between the newest stamp (``max``) and ``as_of``; no stamp ->
+    ``empty_status``."""
     newest = F.max(F.col(column).cast("timestamp"))
     hours = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(newest)) / F.lit(3.6e9)
     return Measure(check_id, column, hours, lambda m: m < max_hours, f"< {max_hours}",

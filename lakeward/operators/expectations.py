@@ -24,7 +24,8 @@ NULL_PASSES = False
 
 
 def passes(rule: Rule) -> Column:
-    """True when the row satisfies the rule (NULL resolved by ``NULL_PASSES``)."""
+    """True when the row satisfies the rule (NULL resolved by ``NULL_PASSES``). Rules are SQL
+    predicates (FN-16: IS NULL, IN, LIKE, LENGTH, BETWEEN, RLIKE)."""
     return F.coalesce(F.expr(rule.predicate), F.lit(NULL_PASSES))
 
 

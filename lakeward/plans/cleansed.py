@@ -16,6 +16,7 @@ from lakeward.specs import clean_spec
 
 
 def project_name_basics(b: DataFrame) -> DataFrame:
+    """SV-1 projection (PRJ-01/02/03/09/13); rules EX-09..13."""
     return b.select(
         text("nconst").alias("nconst"),
         text("primaryName").alias("primary_name"),
@@ -27,6 +28,7 @@ def project_name_basics(b: DataFrame) -> DataFrame:
 
 
 def project_title_basics(b: DataFrame) -> DataFrame:
+    """SV-2 projection (PRJ-01/02/04/05/08/09/13); rules EX-14..22."""
     return b.select(
         text("tconst").alias("tconst"),
         text("titleType").alias("title_type"),
@@ -41,6 +43,7 @@ def project_title_basics(b: DataFrame) -> DataFrame:
 
 
 def project_title_ratings(b: DataFrame) -> DataFrame:
+    """SV-3 projection (PRJ-01/02/06/07/13); rules EX-23..25."""
     return b.select(
         text("tconst").alias("tconst"),
         to_double("averageRating").alias("average_rating"),
@@ -49,6 +52,7 @@ def project_title_ratings(b: DataFrame) -> DataFrame:
 
 
 def project_title_episode(b: DataFrame) -> DataFrame:
+    """SV-4 projection (PRJ-01/02/05/13); rules EX-26..30."""
     return b.select(
         text("tconst").alias("tconst"),
         text("parentTconst").alias("parent_tconst"),
@@ -58,6 +62,7 @@ def project_title_episode(b: DataFrame) -> DataFrame:
 
 
 def project_title_akas(b: DataFrame) -> DataFrame:
+    """SV-5 projection (PRJ-01/02/06/08/09/10/11/13); rules EX-31..34."""
     return b.select(
         text("titleId").alias("title_id"),
         to_int("ordering").alias("ordering"),
@@ -71,6 +76,7 @@ def project_title_akas(b: DataFrame) -> DataFrame:
 
 
 def project_title_principals(b: DataFrame) -> DataFrame:
+    """SV-6 projection (PRJ-01/02/06/11/12/13); rules EX-35..38."""
     return b.select(
         text("tconst").alias("tconst"),
         to_int("ordering").alias("ordering"),
@@ -82,6 +88,7 @@ def project_title_principals(b: DataFrame) -> DataFrame:
 
 
 def project_title_crew(b: DataFrame) -> DataFrame:
+    """SV-7 projection (PRJ-01/02/09/13); rules EX-39."""
     return b.select(
         text("tconst").alias("tconst"),
         split_list("directors").alias("directors"),

@@ -13,7 +13,8 @@ RAW_GLOB = "*.tsv*"
 
 def bronze_batch(spark: SparkSession, layout: TableLayout, spec: RawSpec,
                  observation=None) -> DataFrame | None:
-    """Batch form: every file of the spec's folder, header-aware, warn rules counted."""
+    """BR-1..7 batch form: every file of the spec's folder, header-aware, warn rules
+    (EX-01..08) counted."""
     files = list_files(spark, f"{layout.path('raw', spec.folder)}", RAW_GLOB)
     df = read_tsv_evolving(spark, files, spec.multiline, spec.columns)
     if df is None:
@@ -23,7 +24,7 @@ def bronze_batch(spark: SparkSession, layout: TableLayout, spec: RawSpec,
 
 def start_bronze(spark: SparkSession, layout: TableLayout, spec: RawSpec,
                  available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Incremental form (SRC-01): only files not yet ingested; returns the query."""
+    """BR-1..7 incremental form (SRC-01, SNK-01): only files not yet ingested."""
     return ingest_stream(spark, layout.path("raw", spec.folder), layout.path("bronze", spec.name),
                          layout.checkpoint(spec.name), spec.multiline, spec.columns, spec.rules,
                          RAW_GLOB, max_files_per_trigger, available_now, dataset=spec.name,

@@ -19,7 +19,8 @@ STAMP = "load_dt"
 
 
 def person_changes(silver_names: DataFrame) -> DataFrame:
-    """GD-01 / SCD-03: change feed for the person dimension."""
+    """GD-01 / SCD-03 / SNK-04: change feed for the person dimension (an unstored view is
+    just this function returning a DataFrame)."""
     return change_feed(silver_names, {
         "nconst": "nconst",
         "primaryName": "primary_name",

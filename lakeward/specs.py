@@ -118,7 +118,8 @@ AUDIT_STATUS = "SUCCESS"
 ISSUE_DUPLICATE_PK = "DUPLICATE_PK"
 LOADED_BY = ("loaded_by", "dlt_pipeline")
 
-# Raw file sets: bronze table, folder, header columns, key, warn rules, multiLine.
+# Raw file sets (BR-1..7): bronze table, folder, header columns, key, warn rules
+# (EX-01..08, QL-7), multiLine (SRC-03).
 RAW_SPECS = [
     RawSpec("bronze_name_basics", "name_basics",
             ("nconst", "primaryName", "birthYear", "deathYear", "primaryProfession", "knownForTitles"),
@@ -156,7 +157,8 @@ RAW_SPECS = [
 
 _TYPES = ",".join(repr(t) for t in VALID_TITLE_TYPES)
 
-# Cleansed tables: rules evaluated on the projected row (names as in the projection).
+# Cleansed tables (SV-1..7): rules EX-09..39 evaluated on the projected row (names as in
+# the projection).
 CLEAN_SPECS = [
     CleanSpec("silver_name_basics", "bronze_name_basics", ("nconst",), (
         Rule("valid_nconst", not_null_prefix("nconst", "nm"), DROP),

@@ -75,7 +75,8 @@ def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkp
                          keys: Sequence[str], seq: str, tracked: Sequence[str],
                          key_buckets: int = 64, bucket_width: int | None = None,
                          available_now: bool = True):
-    """SCD-02 / STR-06: start the stream that keeps ``target`` as a type-2 dimension."""
+    """SCD-02 / STR-06 / SNK-03: start the stream that keeps ``target`` (the
+    change-applied table) as a type-2 dimension."""
     w = (source.writeStream
          .foreachBatch(Scd2Writer(target, change_log, keys, seq, tracked, key_buckets,
                                   bucket_width))

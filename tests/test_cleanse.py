@@ -1,4 +1,4 @@
-"""PRJ-01..13 / FN-*: column expressions on the FIXTURES.md edge rows."""
+"""PRJ-01..13 / FN-01..16: column expressions on the FIXTURES.md edge rows."""
 from pyspark.sql import functions as F
 
 from lakeward.functions import cleanse as C

@@ -1,4 +1,5 @@
-"""EXP-01..03: warn counts, drop removes, NULL predicate is a violation, one drop per row."""
+"""EXP-01..03, FLT-01..08: warn counts, drop removes, NULL predicate is a violation, one
+drop per row."""
 from pyspark.sql import Observation
 
 from lakeward.operators.expectations import expect, observed_counts, rule_metrics

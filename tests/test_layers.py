@@ -1,4 +1,6 @@
-"""Pipeline tests: fixtures through raw -> bronze -> silver -> gold, twice, plus reports.
+"""Pipeline tests: fixtures through raw -> bronze -> silver -> gold, twice, plus reports
+(BR-1..7, SV-1..7, EX-01..39, PRJ-01..13, GD-01..13, SCD-02/03, STR-01..06, SRC-07..09,
+SNK-02..05, QL-1..7, QA-01..27, AGG-01/02/05/06/07/09/10, JN-01..04, SET-01).
 
 Checks the FIXTURES.md §4 expectations, incremental behaviour (second run: new files, a
 new column, a changed person) and streaming = batch equality for the cleansed layer.

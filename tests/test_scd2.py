@@ -1,4 +1,5 @@
-"""SCD-01/03/04, QA-21/22: type-2 history semantics, skew-safe buckets, overlap metrics."""
+"""SCD-01/03/04, QA-21/22, JN-05: type-2 history semantics, skew-safe buckets, overlap
+metrics (the self-join pair count without forming pairs)."""
 import datetime as dt
 import random
 

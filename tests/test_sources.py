@@ -56,6 +56,7 @@ def test_incremental_ingest_only_new_files(spark, tmp_path):
 
 
 def test_lookup_csv(spark):
+    """SRC-10."""
     from lakeward.sources.tables import read_lookup_csv
     df = read_lookup_csv(spark, os.path.join(FIXTURES, "lookups/iso_country_codes.csv"),
                          ["region_code", "region_name"])
