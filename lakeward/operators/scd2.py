@@ -30,26 +30,27 @@ START = "__START_AT"
 END = "__END_AT"
 
 
-# Keys with more rows than this get narrower time buckets (see segmented.with_hot_key_factor).
-HOT_KEY_ROWS = 1_000_000
+# A (key, time slice) holding more rows than this is cut into proportionally many
+# sub-slices (see segmented.with_dense_slice_factor).
+MAX_BUCKET_ROWS = 1_000_000
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence[str],
                  bucket_width: int | None = None, tiebreak: Sequence[str] | None = None,
                  start_col: str = START, end_col: str = END,
-                 hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                 max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """SCD-01: the full type-2 history of ``changes`` (batch or a micro-batch's log).
 
     ``bucket_width`` is the time slice (seconds; default one day) a key's rows are split
-    into; keys with more than ``hot_key_rows`` rows get proportionally narrower slices.
+    into; a (key, slice) with more than ``max_bucket_rows`` rows is cut finer.
     """
     keys, cols = list(keys), list(changes.columns)
     if tiebreak is None:   # all other source columns, compared in order (greatest wins)
         tiebreak = [c for c in cols if c not in keys and c != seq]
-    if hot_key_rows:
-        from lakeward.operators.segmented import HOT_FACTOR, with_hot_key_factor
-        feed = with_hot_key_factor(changes, keys, hot_key_rows)
-        bucket = bucket_for(feed, seq, bucket_width, F.col(HOT_FACTOR))
+    if max_bucket_rows:
+        from lakeward.operators.segmented import BUCKET_FACTOR, with_dense_slice_factor
+        feed = with_dense_slice_factor(changes, keys, seq, bucket_width, max_bucket_rows)
+        bucket = bucket_for(feed, seq, bucket_width, F.col(BUCKET_FACTOR))
         out = run_versions(feed, keys, seq, list(tracked), bucket, tiebreak, start_col, end_col)
         return out.select(*cols, start_col, end_col)
     return run_versions(changes, keys, seq, list(tracked),

@@ -19,58 +19,84 @@ from pyspark.sql import functions as F
 DAY_SECONDS = 86_400
 
 
-def _per(width, factor: Column | None) -> Column:
-    w = F.lit(float(width))
-    return w if factor is None else w / factor
+# A dense (key, slice) is cut into at most this many sub-slices; bucket ids stay ordered
+# as slice * SUB_SLICES + sub-slice.
+SUB_SLICES = 1 << 20
 
 
-def time_bucket(seq: str, seconds: int = DAY_SECONDS, factor: Column | None = None) -> Column:
-    """Contiguous slice id of a timestamp column (``seconds / factor`` wide)."""
-    micros = F.unix_micros(F.col(seq).cast("timestamp"))  # NTZ -> instant keeps the order
-    return F.floor(micros / _per(int(seconds) * 1_000_000, factor)).cast("long")
+def _units(df: DataFrame, seq: str, width: int | None) -> tuple[Column, int]:
+    """The sequence as an ordered number (microseconds for timestamps) and the slice width
+    in the same unit."""
+    dtype = dict(df.dtypes)[seq]
+    if dtype in ("timestamp", "timestamp_ntz"):   # NTZ -> instant keeps the order
+        return F.unix_micros(F.col(seq).cast("timestamp")), int(width or DAY_SECONDS) * 1_000_000
+    if dtype == "date":
+        return F.unix_date(F.col(seq)).cast("long"), int(width or 1)
+    return F.col(seq), int(width or 1_000_000)
 
 
-def number_bucket(seq: str, width: int, factor: Column | None = None) -> Column:
-    """Contiguous slice id of a numeric column (``width / factor`` wide)."""
-    return F.floor(F.col(seq) / _per(width, factor)).cast("long")
+def slice_of(df: DataFrame, seq: str, width: int | None = None) -> Column:
+    """Contiguous slice id of ``seq`` (``width`` seconds for timestamps, days for dates,
+    units otherwise)."""
+    u, w = _units(df, seq, width)
+    return F.floor(u / F.lit(w)).cast("long")
 
 
 def bucket_for(df: DataFrame, seq: str, width: int | None = None,
                factor: Column | None = None) -> Column:
-    """Pick a bucket expression from the type of ``seq``. ``factor`` (>= 1, constant per
-    key) narrows the buckets of hot keys; a per-key constant keeps them contiguous."""
-    dtype = dict(df.dtypes)[seq]
-    if dtype in ("timestamp", "timestamp_ntz"):
-        return time_bucket(seq, width or DAY_SECONDS, factor)
-    if dtype == "date":
-        return F.floor(F.unix_date(F.col(seq)) / _per(width or 1, factor)).cast("long")
-    return number_bucket(seq, width or 1_000_000, factor)
+    """Bucket id, non-decreasing in ``seq`` within a key. Without ``factor`` it is the
+    slice id; with ``factor`` (>= 1, constant per key and slice) each slice is cut into
+    ``factor`` equal sub-slices: ``slice * SUB_SLICES + sub``."""
+    u, w = _units(df, seq, width)
+    base = F.floor(u / F.lit(w)).cast("long")
+    if factor is None:
+        return base
+    offset = u - base * F.lit(w)
+    sub = F.floor(offset * factor.cast("long") / F.lit(w)).cast("long")
+    return base * F.lit(SUB_SLICES) + F.least(sub, F.lit(SUB_SLICES - 1))
+
+
+def time_bucket(seq: str, seconds: int = DAY_SECONDS) -> Column:
+    """Contiguous slice id of a timestamp column (``seconds`` wide)."""
+    micros = F.unix_micros(F.col(seq).cast("timestamp"))
+    return F.floor(micros / F.lit(int(seconds) * 1_000_000)).cast("long")
+
+
+def number_bucket(seq: str, width: int) -> Column:
+    """Contiguous slice id of a numeric column (``width`` wide)."""
+    return F.floor(F.col(seq) / F.lit(width)).cast("long")
 
 
-HOT_FACTOR = "_hot_factor"
-BROADCAST_MAX_HOT_KEYS = 2_000_000
+BUCKET_FACTOR = "_bucket_factor"
+BROADCAST_MAX_DENSE = 2_000_000
 
 
-def with_hot_key_factor(df: DataFrame, keys: Sequence[str], hot_key_rows: int) -> DataFrame:
-    """Add ``_hot_factor`` = ceil(rows of the key / ``hot_key_rows``) for keys above
-    ``hot_key_rows`` rows (1 otherwise), so a hot key gets proportionally narrower buckets
-    even when its rows crowd into a short time span.
+def with_dense_slice_factor(df: DataFrame, keys: Sequence[str], seq: str,
+                            width: int | None, max_rows: int) -> DataFrame:
+    """Add ``_bucket_factor``: ceil(rows / ``max_rows``) for (key, slice) pairs holding
+    more than ``max_rows`` rows, 1 elsewhere — so a hot key is cut finer exactly where its
+    rows crowd, and its sparse slices stay whole (its carry table stays ~rows/max_rows
+    plus its slice count).
 
-    The hot-key table has at most total_rows / ``hot_key_rows`` rows by construction; it
-    is broadcast only after a count confirms the bound, and joined NULL-safely.
+    The dense-pair table has at most total_rows / ``max_rows`` rows by construction; it
+    is broadcast only after a count confirms the bound, joined NULL-safely, and skipped
+    entirely when empty (the common case).
     """
     keys = list(keys)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-           .filter(F.col("_cnt") > hot_key_rows)
-           .select(*keys, F.ceil(F.col("_cnt") / F.lit(hot_key_rows)).cast("double")
-                   .alias(HOT_FACTOR)))
-    n_hot = hot.count()
-    if n_hot == 0:                      # common case: no join at all
-        return df.withColumn(HOT_FACTOR, F.lit(1.0))
-    if n_hot <= BROADCAST_MAX_HOT_KEYS:
-        hot = F.broadcast(hot)
-    out = _null_safe_join(df, hot, keys, "left")
-    return out.withColumn(HOT_FACTOR, F.coalesce(F.col(HOT_FACTOR), F.lit(1.0)))
+    d = df.withColumn("_slice", slice_of(df, seq, width))
+    dense = (d.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_cnt"))
+             .filter(F.col("_cnt") > max_rows)
+             .select(*keys, "_slice", F.least(F.ceil(F.col("_cnt") / F.lit(max_rows)),
+                                              F.lit(SUB_SLICES)).cast("long")
+                     .alias(BUCKET_FACTOR)))
+    n_dense = dense.count()
+    if n_dense == 0:
+        return df.withColumn(BUCKET_FACTOR, F.lit(1).cast("long"))
+    if n_dense <= BROADCAST_MAX_DENSE:
+        dense = F.broadcast(dense)
+    out = _null_safe_join(d, dense, [*keys, "_slice"], "left")
+    return (out.withColumn(BUCKET_FACTOR, F.coalesce(F.col(BUCKET_FACTOR), F.lit(1).cast("long")))
+            .drop("_slice"))
 
 
 def null_safe_differs(a: Column, b: Column) -> Column:

@@ -164,13 +164,13 @@ def test_stream_writer_replay_and_out_of_order(spark, tmp_path):
 
 
 @pytest.mark.parametrize("hot_rows", [50, 300])
-def test_hot_key_narrower_buckets_same_result(spark, hot_rows):
-    """Adaptive buckets: a key crowded into one short span is cut finer; result unchanged."""
+def test_dense_slices_cut_finer_same_result(spark, hot_rows):
+    """Adaptive buckets: a (key, slice) crowded with rows is cut finer; result unchanged."""
     rnd = random.Random(11)
     rows = [("hot", rnd.randint(0, 100), rnd.choice(["a", "b"]), rnd.randint(0, 9)) for _ in range(900)]
     rows += [(f"k{i % 7}", rnd.randint(0, 5000), rnd.choice(["a", "b"]), i) for i in range(300)]
     df = spark.createDataFrame(rows, "key string, seq long, t string, u int")
-    h = scd2_history(df, ["key"], "seq", ["t"], bucket_width=1000, hot_key_rows=hot_rows)
+    h = scd2_history(df, ["key"], "seq", ["t"], bucket_width=1000, max_bucket_rows=hot_rows)
     got = sorted(((r.key, r[START], r[END], r.t, r.u) for r in h.collect()), key=str)
     assert got == brute_force(rows, 1)
     assert h.columns == ["key", "seq", "t", "u", START, END]
