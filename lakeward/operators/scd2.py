@@ -91,26 +91,31 @@ def change_feed(df: DataFrame, columns: dict, stamp: str = "load_dt",
 
 
 def strict_overlaps(history: DataFrame, keys: Sequence[str], start_col: str = START,
-                    end_col: str = END, bucket_width: int | None = None) -> DataFrame:
+                    end_col: str = END, bucket_width: int | None = None,
+                    max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """QA-22 strict form: versions whose successor (by start, then end with NULLs first)
     starts before this one ends (an open end is +infinity, so two open versions of a key
     count). One row: ``overlaps``."""
-    from lakeward.operators.segmented import next_value
-    b = bucket_for(history, start_col, bucket_width)
-    n = next_value(history.select(*keys, start_col, end_col), keys, start_col, start_col, b,
-                   "_next_start", tiebreak=end_col)
+    from lakeward.operators.segmented import BUCKET_FACTOR, next_value, with_dense_slice_factor
+    h = history.select(*keys, start_col, end_col)
+    if max_bucket_rows:
+        h = with_dense_slice_factor(h, keys, start_col, bucket_width, max_bucket_rows)
+        b = bucket_for(h, start_col, bucket_width, F.col(BUCKET_FACTOR))
+    else:
+        b = bucket_for(h, start_col, bucket_width)
+    n = next_value(h, keys, start_col, start_col, b, "_next_start", tiebreak=end_col)
     bad = F.col("_next_start").isNotNull() & (
         F.col(end_col).isNull() | (F.col("_next_start") < F.col(end_col)))
     return n.agg(F.count_if(bad).alias("overlaps"))
 
 
 def reference_overlaps(history: DataFrame, keys: Sequence[str], start_col: str = START,
-                       end_col: str = END, bucket_width: int | None = None) -> DataFrame:
+                       end_col: str = END, bucket_width: int | None = None,
+                       max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """QA-22 / JN-05 metric of the modelled check: the count of ordered version pairs of a
     key with ``a.start < b.end AND a.end > b.start AND a.start != b.start`` (open versions
     never match; each closed overlap counts twice). Computed by a sorted sweep, never by
-    forming the pairs. One row: ``pairs``."""
+    forming the pairs; periods with ``start >= end`` are outside its scope. One row:
+    ``pairs``."""
     from lakeward.operators.segmented import overlap_pairs
-    return overlap_pairs(history, keys, start_col, end_col,
-                         lambda c: bucket_for(history.select(F.col(start_col).alias(c)), c,
-                                              bucket_width))
+    return overlap_pairs(history, keys, start_col, end_col, bucket_width, max_bucket_rows)

@@ -249,15 +249,16 @@ def next_value(df: DataFrame, keys: Sequence[str], order: str, value: str, bucke
 
 
 def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
-                  bucket_of) -> DataFrame:
+                  width: int | None = None, max_bucket_rows: int | None = None) -> DataFrame:
     """Count ordered pairs (a, b) of one key with ``a.start < b.end``, ``a.end > b.start``
     and ``a.start != b.start`` — the self-join metric — without forming pairs.
 
     Pairs with a NULL bound never match (as in the join). For periods with
     ``start < end``: #overlapping b for a = #(b.start < a.end) - #(b.end <= a.start)
     - #(b.start = a.start); each term is a running count in one sorted sweep of
-    start/end/query points per key (``running_sums``). ``bucket_of(col)`` maps a
-    position column to its bucket. Returns one row: ``pairs``.
+    start/end/query points per key (``running_sums``), bucketed by position slices of
+    ``width`` (dense slices cut finer when ``max_bucket_rows`` is set). Returns one row:
+    ``pairs``.
     """
     keys = list(keys)
     closed = periods.filter(F.col(start).isNotNull() & F.col(end).isNotNull()
@@ -280,7 +281,11 @@ def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
         pt(start, "Q_start_lt_start", 0, 0, 0, 1))   # + #(b.start < a.start)
     pts_all = closed.select(*keys, F.explode(points).alias("_p")).select(*keys, "_p.*")
     order = [F.col("_pos"), F.col("_ord"), F.col("_kind")]
-    b = bucket_of("_pos")
+    if max_bucket_rows:
+        pts_all = with_dense_slice_factor(pts_all, keys, "_pos", width, max_bucket_rows)
+        b = bucket_for(pts_all, "_pos", width, F.col(BUCKET_FACTOR))
+    else:
+        b = bucket_for(pts_all, "_pos", width)
     s = running_sums(pts_all, keys, order, {"_cs": F.col("_sw"), "_ce": F.col("_ew")}, b)
     term = F.when(F.col("_kind") == "Q_end_le_start", F.col("_ce")).otherwise(F.col("_cs"))
     return (s.filter(F.col("_sign") != 0)
