@@ -57,7 +57,7 @@ def _await_all(queries: dict) -> None:
 
 
 def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, languages_csv: str,
-               key_buckets: int = 64) -> dict:
+               key_buckets: int = 64, raw_glob: str = "*.tsv*") -> dict:
     """Run every layer once (availableNow). Returns observed rule metrics per query.
 
     Streams of one layer are independent, so they run concurrently (one session, several
@@ -66,8 +66,8 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     metrics: dict = {}
     # bronze (SRC-01..06, EX-01..08)
     bronze = {spec.name: start_bronze(spark, layout, spec,
-                                      max_files_per_trigger=RAW_FILES_PER_TRIGGER)
-              for spec in RAW_SPECS if _exists_raw(spark, layout, spec.folder)}
+                                      max_files_per_trigger=RAW_FILES_PER_TRIGGER, glob=raw_glob)
+              for spec in RAW_SPECS if _exists_raw(spark, layout, spec.folder, raw_glob)}
     _await_all(bronze)
     for name, q in bronze.items():
         for m in getattr(q, "expectation_metrics", []):
@@ -136,9 +136,10 @@ def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
     return out
 
 
-def _exists_raw(spark: SparkSession, layout: TableLayout, folder: str) -> bool:
+def _exists_raw(spark: SparkSession, layout: TableLayout, folder: str,
+                glob: str = "*.tsv*") -> bool:
     try:
-        return bool(list_files(spark, layout.path("raw", folder), "*.tsv*"))
+        return bool(list_files(spark, layout.path("raw", folder), glob))
     except Exception:  # noqa: BLE001
         return False
 
