@@ -15,7 +15,7 @@ from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
 from lakeward.plans.cleansed import cleanse
 from lakeward.sources.tables import append_stream, read_lookup_csv, read_table, stream_table, write_table
-from lakeward.sources.tsv import list_files
+from lakeward.sources.tsv import has_files
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout
 from lakeward.streaming.scd2_stream import apply_changes_stream
 
@@ -27,10 +27,7 @@ TABLE_FILES_PER_TRIGGER = 10000
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(list_files(spark, path, "*.parquet"))
-    except Exception:  # noqa: BLE001 - a missing folder is "no table yet"
-        return False
+    return has_files(spark, path, "*.parquet")
 
 
 def _observed(q) -> dict:
@@ -138,10 +135,7 @@ def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
 
 def _exists_raw(spark: SparkSession, layout: TableLayout, folder: str,
                 glob: str = "*.tsv*") -> bool:
-    try:
-        return bool(list_files(spark, layout.path("raw", folder), glob))
-    except Exception:  # noqa: BLE001
-        return False
+    return has_files(spark, layout.path("raw", folder), glob)
 
 
 def load_tables(spark: SparkSession, layout: TableLayout) -> dict:
