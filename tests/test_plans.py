@@ -51,7 +51,7 @@ def test_scd2_rows_shuffle_once(spark):
         p = R._scd(spark, SF)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    row_exchanges = re.findall(r"Exchange hashpartitioning\(user_id#\d+L, _b#\d+L", p)
+    row_exchanges = re.findall(r"\+- Exchange hashpartitioning\(user_id#\d+L, _b#\d+L", p)
     assert len(row_exchanges) == 1
     assert "ReusedExchange" in p
     assert p.count("FileScan parquet") == 1
