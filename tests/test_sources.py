@@ -95,3 +95,18 @@ def test_multiline_semantics_stay_splittable(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(map(tuple, got)) == sorted(map(tuple, ref))
     assert any("\r" in r.v for r in got)
+
+
+def test_gzip_files_with_different_headers(spark, tmp_path):
+    """SRC-01..05 on compressed raw files (the modelled delivery format)."""
+    import gzip
+    d = tmp_path / "ratings"
+    d.mkdir()
+    with gzip.open(d / "a.tsv.gz", "wt", newline="") as f:
+        f.write("tconst\taverageRating\tnumVotes\ntt0000001\t5.5\t10\n")
+    with gzip.open(d / "b.tsv.gz", "wt", newline="") as f:
+        f.write("numVotes\ttconst\taverageRating\r\n7\ttt0000002\t\\N\r\n")
+    files = S.list_files(spark, str(d), "*.tsv*")
+    df = S.read_tsv_evolving(spark, files, True, ["tconst", "averageRating", "numVotes"])
+    got = sorted((r.tconst, r.averageRating, r.numVotes) for r in df.collect())
+    assert got == [("tt0000001", "5.5", "10"), ("tt0000002", None, "7")]
