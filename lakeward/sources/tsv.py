@@ -153,7 +153,7 @@ def header_groups(spark: SparkSession, files: Sequence[str], multiline: bool = F
 
 
 def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool = False,
-                      expected: Sequence[str] | None = None) -> DataFrame | None:
+                      expected: Sequence[str] | None = None, groups=None) -> DataFrame | None:
     """SRC-05: read files grouped by header and union them by column name.
 
     ``expected`` columns come first (in that order, NULL if no file has them); columns
@@ -162,13 +162,19 @@ def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool
     files = list(files)
     if not files:
         return None
-    groups = header_groups(spark, files, multiline)
+    if groups is None:
+        groups = header_groups(spark, files, multiline)
     if not groups:
         return None
     parts = [with_lineage(spark.read.options(**group_options(multiline, crlf))
                           .schema(string_schema(header)).csv(group))
              for (header, crlf), group in groups.items()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _ordered(df, expected)
+
+
+def _ordered(df: DataFrame, expected: Sequence[str] | None) -> DataFrame:
+    """Expected columns first (NULL when absent), then extra columns, then lineage."""
     order = list(expected or [])
     for c in df.columns:
         if c not in order and c not in (SOURCE_FILE, LOADED_AT):
@@ -177,25 +183,66 @@ def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool
     return df.select(*cols, SOURCE_FILE, LOADED_AT)
 
 
+# Messages of Spark's CSV header check (names differ / column count differs).
+HEADER_MISMATCH = ("CSV header does not conform to the schema",
+                   "in CSV header is not equal to number of fields in the schema")
+
+
+def read_tsv_uniform(spark: SparkSession, files: Sequence[str], header: Sequence[str],
+                     multiline: bool = False, expected: Sequence[str] | None = None
+                     ) -> DataFrame:
+    """Read files that are expected to share ``header`` in one scan; Spark validates every
+    file's header line against it while reading (``enforceSchema=false``), so a file with
+    another header — or CRLF endings under the LF multi-line options — fails the job with
+    ``HEADER_MISMATCH`` instead of being mis-assigned by position."""
+    opts = dict(group_options(multiline, crlf=False), enforceSchema="false")
+    df = with_lineage(spark.read.options(**opts).schema(string_schema(header)).csv(list(files)))
+    return _ordered(df, expected)
+
+
 class _EvolvingBatchWriter:
-    """foreachBatch body: read this batch's files by header, count rules, overwrite the
-    batch's partition; rule counts go to ``self.metrics`` and an optional log table."""
+    """foreachBatch body: read this batch's files (one validated scan when all carry the
+    known header, else grouped by header), count rules, overwrite the batch's partition;
+    rule counts go to ``self.metrics`` and an optional log table."""
 
     def __init__(self, target: str, multiline: bool, expected, rules, dataset: str,
                  metrics_path: str | None):
         self.target, self.multiline, self.expected = target, multiline, expected
         self.rules, self.dataset, self.metrics_path = rules, dataset, metrics_path
         self.metrics: list[dict] = []
+        self.known_header: tuple = ()
+        self.try_uniform = True   # off for this run once a batch mixes headers
 
     def __call__(self, files_df: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import Observation
-
-        from lakeward.operators.expectations import expect, observed_counts
         spark = files_df.sparkSession
         files = sorted(r.path for r in files_df.select("path").distinct().collect())
-        df = read_tsv_evolving(spark, files, self.multiline, self.expected)
-        if df is None:
+        if not files:
             return
+        header = self.known_header or tuple(self.expected)
+        if header and self.try_uniform:
+            # Common case: every new file carries the known header -> one scan, headers
+            # validated inside it, no per-file jobs.
+            try:
+                self._write(read_tsv_uniform(spark, files, header, self.multiline,
+                                             self.expected), batch_id)
+                return
+            except Exception as e:  # noqa: BLE001 - only a header mismatch falls back
+                if not any(m in str(e) for m in HEADER_MISMATCH):
+                    raise
+        groups = header_groups(spark, files, self.multiline)
+        if len(groups) == 1 and not next(iter(groups))[1]:
+            self.known_header = next(iter(groups))[0]   # header changed once: follow it
+        elif len(groups) > 1:
+            self.try_uniform = False                     # mixed headers: group every batch
+        df = read_tsv_evolving(spark, files, self.multiline, self.expected, groups)
+        if df is not None:
+            self._write(df, batch_id)
+
+    def _write(self, df: DataFrame, batch_id: int) -> None:
+        from pyspark.sql import Observation
+
+        from lakeward.operators.expectations import expect, observed_counts
+        spark = df.sparkSession
         obs = Observation(f"{self.dataset}_{batch_id}") if self.rules else None
         if obs is not None:
             df = expect(df, self.rules, obs)

@@ -110,3 +110,22 @@ def test_gzip_files_with_different_headers(spark, tmp_path):
     df = S.read_tsv_evolving(spark, files, True, ["tconst", "averageRating", "numVotes"])
     got = sorted((r.tconst, r.averageRating, r.numVotes) for r in df.collect())
     assert got == [("tt0000001", "5.5", "10"), ("tt0000002", None, "7")]
+
+
+def test_ingest_skips_per_file_header_jobs_when_headers_match(spark, tmp_path, monkeypatch):
+    """Known header: one validated scan, no per-file header jobs; a reordered file falls
+    back to grouping by header and still maps by name."""
+    calls = []
+    real = S.header_groups
+    monkeypatch.setattr(S, "header_groups", lambda *a, **k: calls.append(1) or real(*a, **k))
+    root = str(tmp_path)
+    copy_raw("run1", root)
+    spec = raw_spec("bronze_title_ratings")
+    args = (spark, f"{root}/raw/title_ratings", f"{root}/bronze", f"{root}/_ck")
+    S.ingest_stream(*args, expected=spec.columns, glob="*.tsv*").awaitTermination()
+    assert calls == []
+    copy_raw("run2", root)                                   # reordered header arrives
+    S.ingest_stream(*args, expected=spec.columns, glob="*.tsv*").awaitTermination()
+    assert len(calls) == 1
+    r = S.read_ingested(spark, f"{root}/bronze").filter("tconst = 'tt0000011'").collect()[0]
+    assert (r.averageRating, r.numVotes) == ("5.5", "7")
