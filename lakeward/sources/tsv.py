@@ -268,12 +268,14 @@ EXPECTATION_LOG_SCHEMA = T.StructType([
 
 def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
                   multiline: bool = False, expected: Sequence[str] | None = None,
-                  rules=(), glob: str | None = None, max_files_per_trigger: int | None = None,
+                  rules=(), glob: str | None = None, max_files_per_trigger: int | None = 1000,
                   available_now: bool = True, dataset: str | None = None,
                   metrics_path: str | None = None):
     """SRC-01 + SRC-05 + SNK-01: incremental, header-aware ingest into an append-only
     parquet table. Returns the started ``StreamingQuery``.
 
+    Micro-batches take at most ``max_files_per_trigger`` files (only their paths reach the
+    driver), so a backlog is ingested in bounded, individually replayable batches.
     Warn rules (EXP-01) are counted with an ``Observation`` on the same pass that writes
     each batch; the counts are appended to ``metrics_path`` (an expectation log table)
     and kept on the returned query as ``expectation_metrics``.
