@@ -14,6 +14,14 @@ Each micro-batch:
 
 Out-of-order micro-batches give the batch result because each recompute reads the
 bucket's whole log. Limit: the partition swap is not atomic across buckets.
+
+In-order fast path (the usual case: the sequence is the load time). After every applied
+batch a one-row manifest entry records the batch, its buckets and the largest applied
+sequence. When a batch's smallest sequence is larger than everything applied in its
+buckets, the manifest agrees with the target (no partial newer commit, no missing bucket
+folder), only the *open* version of each touched key plus the new rows are run through
+``scd2_history``; closed versions are carried over unchanged. Anything else takes the
+exact full-bucket recompute, which also repairs a target left half-written by a crash.
 """
 
 from __future__ import annotations
@@ -27,6 +35,7 @@ from lakeward.operators.scd2 import scd2_history
 
 KEY_BUCKET = "_kb"
 BATCH = "_batch"
+MANIFEST = "_applied"
 
 
 def key_bucket(keys: Sequence[str], n: int):
@@ -37,38 +46,148 @@ class Scd2Writer:
     """``foreachBatch`` body maintaining a type-2 table at ``target``."""
 
     def __init__(self, target: str, change_log: str, keys: Sequence[str], seq: str,
-                 tracked: Sequence[str], key_buckets: int = 64, bucket_width: int | None = None):
+                 tracked: Sequence[str], key_buckets: int = 64, bucket_width: int | None = None,
+                 incremental: bool = True):
         self.target, self.change_log = target, change_log
         self.keys, self.seq, self.tracked = list(keys), seq, list(tracked)
         self.key_buckets, self.bucket_width = key_buckets, bucket_width
+        self.incremental = incremental
+        self.last_path = ""   # "full" or "in_order" (observability / tests)
+        self._manifest_ready = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        touched = self.append_log(batch, batch_id)
-        if touched:
-            self.recompute(batch.sparkSession, touched)
-
-    def append_log(self, batch: DataFrame, batch_id: int) -> list:
-        """Step 1: (over)write this batch's log partitions; return the touched buckets,
-        observed on that same write (at most ``key_buckets`` values)."""
+        spark = batch.sparkSession
+        touched, batch_min = self.append_log(batch, batch_id)
+        if not touched:
+            return
+        seq_type = dict(batch.dtypes)[self.seq]
+        if self.incremental and self._in_order(spark, touched, batch_min, batch_id, seq_type):
+            max_seq, seq_type = self.apply_in_order(spark, touched, batch_id)
+            self.last_path = "in_order"
+        else:
+            max_seq, seq_type = self.recompute(spark, touched)
+            self.last_path = "full"
+        self._record(spark, batch_id, touched, max_seq, seq_type)
+
+    def append_log(self, batch: DataFrame, batch_id: int) -> tuple[list, object]:
+        """Step 1: (over)write this batch's log partitions; return the touched buckets and
+        the smallest sequence, both observed on that same write."""
         obs = Observation(f"scd2_touched_{batch_id}")
         (batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
-         .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"))
+         .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"), F.min(self.seq).alias("mn"))
          .withColumn(BATCH, F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
-        return sorted(obs.get.get("kb") or [])
+        m = obs.get
+        return sorted(m.get("kb") or []), m.get("mn")
+
+    def _paths(self, root: str, touched: list) -> list:
+        return [f"{root}/{KEY_BUCKET}={k}" for k in touched]
+
+    def _read(self, spark: SparkSession, root: str, touched: list) -> DataFrame:
+        return spark.read.option("basePath", root).parquet(*self._paths(root, touched))
 
     def recompute(self, spark: SparkSession, touched: list) -> None:
-        """Steps 2-3: history of the touched buckets from their whole log, then a dynamic
+        """Full path: history of the touched buckets from their whole log, then a dynamic
         overwrite of exactly those target partitions. Only the touched bucket folders are
         listed and read."""
-        changes = (spark.read.option("basePath", self.change_log)
-                   .parquet(*[f"{self.change_log}/{KEY_BUCKET}={k}" for k in touched])
-                   .drop(KEY_BUCKET, BATCH))
+        changes = self._read(spark, self.change_log, touched).drop(KEY_BUCKET, BATCH)
         hist = scd2_history(changes, self.keys, self.seq, self.tracked, self.bucket_width)
+        return self._write_target(hist), dict(changes.dtypes)[self.seq]
+
+    def _write_target(self, hist: DataFrame):
+        """Dynamic overwrite of the touched target partitions; returns the largest sequence
+        written (observed on the write itself)."""
+        obs = Observation(f"scd2_written_{id(hist)}")
         (hist.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
+         .observe(obs, F.max(self.seq).alias("mx"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET).parquet(self.target))
+        return obs.get.get("mx")
+
+    # ---- in-order fast path ---------------------------------------------------------
+    def _manifest(self, spark: SparkSession, seq_type: str) -> DataFrame:
+        """The manifest; its folder is created (an empty file with the schema) on this
+        writer's first use, so it is never read before it exists."""
+        path = f"{self.target}/{MANIFEST}"
+        if not self._manifest_ready:
+            (spark.createDataFrame([], f"batch_id long, buckets array<int>, max_seq {seq_type}")
+             .coalesce(1).write.mode("append").parquet(path))
+            self._manifest_ready = True
+        return spark.read.parquet(path)
+
+    def _target_in(self, spark: SparkSession, touched: list) -> DataFrame:
+        """Target rows of the touched buckets (partition pruning; missing folders are
+        simply absent)."""
+        return spark.read.parquet(self.target).filter(F.col(KEY_BUCKET).isin(touched))
+
+    def _record(self, spark: SparkSession, batch_id: int, touched: list, max_seq,
+                seq_type: str) -> None:
+        """Append the manifest entry after the target commit (one row, no scan)."""
+        (spark.createDataFrame([(int(batch_id), [int(k) for k in touched], max_seq)],
+                               f"batch_id long, buckets array<int>, max_seq {seq_type}")
+         .coalesce(1).write.mode("append").parquet(f"{self.target}/{MANIFEST}"))
+
+    def _seq_type(self, df: DataFrame) -> str:
+        return dict(df.dtypes)[self.seq]
+
+    def _in_order(self, spark: SparkSession, touched: list, batch_min, batch_id: int,
+                  seq_type: str) -> bool:
+        """Fast path only when the manifest and the target agree on the touched buckets and
+        the batch is strictly newer than everything applied there; replays of recorded
+        batches and any disagreement take the full (repairing) path."""
+        if batch_min is None:
+            return False
+        m = (self._manifest(spark, seq_type)
+             .agg(F.count(F.lit(1)).alias("n"), F.max("batch_id").alias("b"),
+                  F.max("max_seq").alias("mx"),
+                  F.flatten(F.collect_list("buckets")).alias("kb")).collect()[0])
+        if m["n"] == 0:
+            return False                    # nothing applied yet: full path
+        if m["b"] is not None and m["b"] >= batch_id:
+            return False                    # replay of an applied batch
+        if m["mx"] is not None and not batch_min > m["mx"]:
+            return False                    # not newer than what was applied: full path
+        applied = {int(k) for k in (m["kb"] or [])}
+        try:
+            st = (self._target_in(spark, touched)
+                  .agg(F.max(self.seq).alias("mx"), F.collect_set(KEY_BUCKET).alias("kb"))
+                  .collect()[0])
+        except Exception:  # noqa: BLE001 - unreadable target: repair with the full path
+            return False
+        present = {int(k) for k in (st["kb"] or [])}
+        prior = {k for k in touched if k in applied}
+        if present != prior:                # missing folder, or data without a record
+            return False
+        if st["mx"] is not None and (m["mx"] is None or st["mx"] > m["mx"]):
+            return False                    # newer data than recorded: partial commit
+        return st["mx"] is None or batch_min > st["mx"]
+
+    def apply_in_order(self, spark: SparkSession, touched: list, batch_id: int) -> None:
+        """Open version of each touched key + this batch's rows -> new versions; closed
+        versions and untouched keys of the touched buckets are carried over."""
+        from lakeward.operators.scd2 import END, START
+        from lakeward.operators.segmented import _null_safe_join
+        new = (self._read(spark, self.change_log, touched)
+               .filter(F.col(BATCH) == batch_id).drop(KEY_BUCKET, BATCH))
+        cols = new.columns
+        tgt = self._target_in(spark, touched).drop(KEY_BUCKET)
+        keys = new.select(*self.keys).distinct()
+        cond = [tgt[k].eqNullSafe(keys[k]) for k in self.keys]
+        mine = tgt.join(keys, cond, "left_semi")
+        others = tgt.join(keys, cond, "left_anti")
+        open_rows = mine.filter(F.col(END).isNull())
+        seeds = open_rows.select(*self.keys, F.col(self.seq).alias("_seed_seq"),
+                                 F.col(START).alias("_seed_start"))
+        feed = open_rows.select(*cols).unionByName(new.select(*cols))
+        hist = scd2_history(feed, self.keys, self.seq, self.tracked, self.bucket_width)
+        hist = _null_safe_join(hist, seeds, self.keys, "left")
+        hist = (hist.withColumn(START, F.when(F.col(START) == F.col("_seed_seq"),
+                                              F.col("_seed_start")).otherwise(F.col(START)))
+                .drop("_seed_seq", "_seed_start"))
+        out = (others.unionByName(mine.filter(F.col(END).isNotNull()))
+               .unionByName(hist.select(*others.columns)))
+        return self._write_target(out), dict(new.dtypes)[self.seq]
 
 
 def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkpoint: str,
@@ -86,5 +205,6 @@ def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkp
 
 
 def read_dimension(spark: SparkSession, target: str) -> DataFrame:
-    """The maintained dimension without its storage bucket column."""
-    return spark.read.parquet(target).drop(KEY_BUCKET)
+    """The maintained dimension without its storage bucket column (and its manifest)."""
+    return (spark.read.option("basePath", target).parquet(f"{target}/{KEY_BUCKET}=*")
+            .drop(KEY_BUCKET))
