@@ -26,6 +26,8 @@ def main(argv=None) -> None:
     r.add_argument("--languages", required=True)
     r.add_argument("--key-buckets", type=int, default=64)
     r.add_argument("--database")
+    r.add_argument("--no-auto-partitions", action="store_true",
+                   help="keep the session's shuffle partition settings")
     q = sub.add_parser("report")
     q.add_argument("--root", required=True)
     q.add_argument("--as-of")
@@ -37,6 +39,8 @@ def main(argv=None) -> None:
     spark = build_session(app=f"lakeward-{a.cmd}")
     layout = TableLayout(a.root.rstrip("/"))
     if a.cmd == "run":
+        if not a.no_auto_partitions:
+            size_partitions(spark, layout.path("raw", ""))
         metrics = runner.run_layers(spark, layout, a.countries, a.languages, a.key_buckets)
         audits = runner.run_audits(spark, layout)
         if a.database:
@@ -56,5 +60,21 @@ def main(argv=None) -> None:
         print(json.dumps(summary))
 
 
+def size_partitions(spark, raw_root: str) -> dict:
+    """Initial shuffle partitions from the raw input size (file metadata only: the
+    ``binaryFile`` length column, content not read) and the cluster's parallelism; AQE
+    then coalesces to ~128 MB partitions."""
+    from lakeward.session import cluster_conf
+    try:
+        total = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(raw_root).agg(F.sum("length")).collect()[0][0]) or 0
+    except Exception:  # noqa: BLE001 - no raw files yet
+        total = 0
+    conf = cluster_conf(int(total), spark.sparkContext.defaultParallelism)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 if __name__ == "__main__":
     main()

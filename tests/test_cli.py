@@ -19,3 +19,14 @@ def test_run_and_report(spark, tmp_path, capsys):
     assert summary["qa_silver_report"]["PASS"] > 0 and summary["qa_gold_report"]["PASS"] > 0
     gold = spark.read.parquet(f"{root}/qa/qa_gold_report")
     assert gold.filter("check_id = 'QA-26' AND status = 'FAIL'").count() == 10   # stale as of 2030
+
+
+def test_size_partitions_from_raw_metadata(spark, tmp_path):
+    from lakeward.__main__ import size_partitions
+    copy_raw("run1", str(tmp_path))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        conf = size_partitions(spark, f"{tmp_path}/raw")
+        assert int(conf["spark.sql.shuffle.partitions"]) >= 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
