@@ -193,12 +193,12 @@ class Scd2Writer:
 def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkpoint: str,
                          keys: Sequence[str], seq: str, tracked: Sequence[str],
                          key_buckets: int = 64, bucket_width: int | None = None,
-                         available_now: bool = True):
+                         available_now: bool = True, incremental: bool = True):
     """SCD-02 / STR-06 / SNK-03: start the stream that keeps ``target`` (the
     change-applied table) as a type-2 dimension."""
     w = (source.writeStream
          .foreachBatch(Scd2Writer(target, change_log, keys, seq, tracked, key_buckets,
-                                  bucket_width))
+                                  bucket_width, incremental))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
