@@ -138,17 +138,18 @@ class Scd2Writer:
         batches and any disagreement take the full (repairing) path."""
         if batch_min is None:
             return False
-        m = (self._manifest(spark, seq_type)
-             .agg(F.count(F.lit(1)).alias("n"), F.max("batch_id").alias("b"),
-                  F.max("max_seq").alias("mx"),
-                  F.flatten(F.collect_list("buckets")).alias("kb")).collect()[0])
+        man = self._manifest(spark, seq_type)
+        m = man.agg(F.count(F.lit(1)).alias("n"), F.max("batch_id").alias("b"),
+                    F.max("max_seq").alias("mx")).collect()[0]
         if m["n"] == 0:
             return False                    # nothing applied yet: full path
         if m["b"] is not None and m["b"] >= batch_id:
             return False                    # replay of an applied batch
         if m["mx"] is not None and not batch_min > m["mx"]:
             return False                    # not newer than what was applied: full path
-        applied = {int(k) for k in (m["kb"] or [])}
+        # distinct applied buckets: at most key_buckets values reach the driver
+        applied = {int(r[0]) for r in
+                   man.select(F.explode("buckets").alias("k")).distinct().collect()}
         try:
             st = (self._target_in(spark, touched)
                   .agg(F.max(self.seq).alias("mx"), F.collect_set(KEY_BUCKET).alias("kb"))
