@@ -16,10 +16,10 @@ Out-of-order micro-batches give the batch result because each recompute reads th
 bucket's whole log. Limit: the partition swap is not atomic across buckets.
 
 In-order fast path (the usual case: the sequence is the load time). After every applied
-batch a one-row manifest entry records the batch, its buckets and the largest applied
-sequence. When a batch's smallest sequence is larger than everything applied in its
-buckets, the manifest agrees with the target (no partial newer commit, no missing bucket
-folder), only the *open* version of each touched key plus the new rows are run through
+batch a single-row state (last batch, applied buckets, largest applied sequence) is
+overwritten. When a batch's smallest sequence is larger than everything applied and the
+state agrees with the target (no partial newer commit, no missing bucket folder), only
+the *open* version of each touched key plus the new rows are run through
 ``scd2_history``; closed versions are carried over unchanged. Anything else takes the
 exact full-bucket recompute, which also repairs a target left half-written by a crash.
 """
@@ -106,50 +106,48 @@ class Scd2Writer:
         return obs.get.get("mx")
 
     # ---- in-order fast path ---------------------------------------------------------
-    def _manifest(self, spark: SparkSession, seq_type: str) -> DataFrame:
-        """The manifest; its folder is created (an empty file with the schema) on this
-        writer's first use, so it is never read before it exists."""
+    def _state_schema(self, seq_type: str) -> str:
+        return f"batch_id long, buckets array<int>, max_seq {seq_type}"
+
+    def _state(self, spark: SparkSession, seq_type: str):
+        """The applied-state row (last batch id, applied buckets, largest applied sequence)
+        or None. Its folder is created empty on this writer's first use, so it is never
+        read before it exists; it holds one row whatever the number of batches."""
         path = f"{self.target}/{MANIFEST}"
         if not self._manifest_ready:
-            (spark.createDataFrame([], f"batch_id long, buckets array<int>, max_seq {seq_type}")
+            (spark.createDataFrame([], self._state_schema(seq_type))
              .coalesce(1).write.mode("append").parquet(path))
             self._manifest_ready = True
-        return spark.read.parquet(path)
-
-    def _target_in(self, spark: SparkSession, touched: list) -> DataFrame:
-        """Target rows of the touched buckets (partition pruning; missing folders are
-        simply absent)."""
-        return spark.read.parquet(self.target).filter(F.col(KEY_BUCKET).isin(touched))
+        rows = spark.read.parquet(path).orderBy(F.desc("batch_id")).limit(1).collect()
+        return rows[0] if rows else None
 
     def _record(self, spark: SparkSession, batch_id: int, touched: list, max_seq,
                 seq_type: str) -> None:
-        """Append the manifest entry after the target commit (one row, no scan)."""
-        (spark.createDataFrame([(int(batch_id), [int(k) for k in touched], max_seq)],
-                               f"batch_id long, buckets array<int>, max_seq {seq_type}")
-         .coalesce(1).write.mode("append").parquet(f"{self.target}/{MANIFEST}"))
-
-    def _seq_type(self, df: DataFrame) -> str:
-        return dict(df.dtypes)[self.seq]
+        """Overwrite the state after the target commit. A crash before or during this
+        write leaves the state behind the target, which sends the next batch to the full
+        (repairing) path."""
+        prev = self._state(spark, seq_type)
+        buckets = sorted({int(k) for k in touched} | set(prev["buckets"] if prev else []))
+        seqs = [v for v in (max_seq, prev["max_seq"] if prev else None) if v is not None]
+        (spark.createDataFrame([(int(batch_id), buckets, max(seqs) if seqs else None)],
+                               self._state_schema(seq_type))
+         .coalesce(1).write.mode("overwrite").parquet(f"{self.target}/{MANIFEST}"))
 
     def _in_order(self, spark: SparkSession, touched: list, batch_min, batch_id: int,
                   seq_type: str) -> bool:
-        """Fast path only when the manifest and the target agree on the touched buckets and
-        the batch is strictly newer than everything applied there; replays of recorded
-        batches and any disagreement take the full (repairing) path."""
+        """Fast path only when the state and the target agree on the touched buckets and
+        the batch is strictly newer than everything applied; replays of recorded batches
+        and any disagreement take the full (repairing) path."""
         if batch_min is None:
             return False
-        man = self._manifest(spark, seq_type)
-        m = man.agg(F.count(F.lit(1)).alias("n"), F.max("batch_id").alias("b"),
-                    F.max("max_seq").alias("mx")).collect()[0]
-        if m["n"] == 0:
+        st0 = self._state(spark, seq_type)
+        if st0 is None:
             return False                    # nothing applied yet: full path
-        if m["b"] is not None and m["b"] >= batch_id:
+        if st0["batch_id"] is not None and st0["batch_id"] >= batch_id:
             return False                    # replay of an applied batch
-        if m["mx"] is not None and not batch_min > m["mx"]:
+        if st0["max_seq"] is not None and not batch_min > st0["max_seq"]:
             return False                    # not newer than what was applied: full path
-        # distinct applied buckets: at most key_buckets values reach the driver
-        applied = {int(r[0]) for r in
-                   man.select(F.explode("buckets").alias("k")).distinct().collect()}
+        applied = set(st0["buckets"] or [])
         try:
             st = (self._target_in(spark, touched)
                   .agg(F.max(self.seq).alias("mx"), F.collect_set(KEY_BUCKET).alias("kb"))
@@ -157,13 +155,17 @@ class Scd2Writer:
         except Exception:  # noqa: BLE001 - unreadable target: repair with the full path
             return False
         present = {int(k) for k in (st["kb"] or [])}
-        prior = {k for k in touched if k in applied}
-        if present != prior:                # missing folder, or data without a record
-            return False
-        if st["mx"] is not None and (m["mx"] is None or st["mx"] > m["mx"]):
+        if present != {k for k in touched if k in applied}:
+            return False                    # missing folder, or data without a record
+        if st["mx"] is not None and (st0["max_seq"] is None or st["mx"] > st0["max_seq"]):
             return False                    # newer data than recorded: partial commit
         return st["mx"] is None or batch_min > st["mx"]
 
+    def _target_in(self, spark: SparkSession, touched: list) -> DataFrame:
+        """Target rows of the touched buckets (partition pruning; missing folders are
+        simply absent)."""
+        return spark.read.parquet(self.target).filter(F.col(KEY_BUCKET).isin(touched))
+
     def apply_in_order(self, spark: SparkSession, touched: list, batch_id: int) -> None:
         """Open version of each touched key + this batch's rows -> new versions; closed
         versions and untouched keys of the touched buckets are carried over."""
