@@ -61,13 +61,14 @@ class Scd2Writer:
         if not touched:
             return
         seq_type = dict(batch.dtypes)[self.seq]
-        if self.incremental and self._in_order(spark, touched, batch_min, batch_id, seq_type):
+        state = self._state(spark, seq_type)           # read once per batch
+        if self.incremental and self._in_order(spark, touched, batch_min, batch_id, state):
             max_seq, seq_type = self.apply_in_order(spark, touched, batch_id)
             self.last_path = "in_order"
         else:
             max_seq, seq_type = self.recompute(spark, touched)
             self.last_path = "full"
-        self._record(spark, batch_id, touched, max_seq, seq_type)
+        self._record(spark, batch_id, touched, max_seq, seq_type, state)
 
     def append_log(self, batch: DataFrame, batch_id: int) -> tuple[list, object]:
         """Step 1: (over)write this batch's log partitions; return the touched buckets and
@@ -122,11 +123,10 @@ class Scd2Writer:
         return rows[0] if rows else None
 
     def _record(self, spark: SparkSession, batch_id: int, touched: list, max_seq,
-                seq_type: str) -> None:
+                seq_type: str, prev) -> None:
         """Overwrite the state after the target commit. A crash before or during this
         write leaves the state behind the target, which sends the next batch to the full
         (repairing) path."""
-        prev = self._state(spark, seq_type)
         buckets = sorted({int(k) for k in touched} | set(prev["buckets"] if prev else []))
         seqs = [v for v in (max_seq, prev["max_seq"] if prev else None) if v is not None]
         (spark.createDataFrame([(int(batch_id), buckets, max(seqs) if seqs else None)],
@@ -134,13 +134,12 @@ class Scd2Writer:
          .coalesce(1).write.mode("overwrite").parquet(f"{self.target}/{MANIFEST}"))
 
     def _in_order(self, spark: SparkSession, touched: list, batch_min, batch_id: int,
-                  seq_type: str) -> bool:
+                  st0) -> bool:
         """Fast path only when the state and the target agree on the touched buckets and
         the batch is strictly newer than everything applied; replays of recorded batches
         and any disagreement take the full (repairing) path."""
         if batch_min is None:
             return False
-        st0 = self._state(spark, seq_type)
         if st0 is None:
             return False                    # nothing applied yet: full path
         if st0["batch_id"] is not None and st0["batch_id"] >= batch_id:
