@@ -110,6 +110,24 @@ def has_files(spark: SparkSession, path: str, glob: str | None = None) -> bool:
         return False
 
 
+def folders_with_files(spark: SparkSession, root: str, glob: str | None = None) -> set:
+    """Names of the first-level folders under ``root`` that hold at least one (matching)
+    file — one listing job; only the distinct folder names reach the driver."""
+    import re
+    key = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    key = key.replace("'", "''")
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    try:
+        rel = r.load(root).select(
+            F.expr(f"substring(path, instr(path, '{key}') + {len(key)})").alias("rel"))
+        return {row[0] for row in rel.select(F.split("rel", "/").getItem(0).alias("f"))
+                .filter(F.col("f") != "").distinct().collect()}
+    except Exception:  # noqa: BLE001 - missing root: no folders
+        return set()
+
+
 def file_header(spark: SparkSession, path: str, multiline: bool = False) -> tuple:
     """``(columns, crlf)`` of one file: its first line only (a one-line job), split on the
     tab (quoting is off); ``crlf`` tells whether lines end with ``\\r\\n``."""

@@ -15,7 +15,7 @@ from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
 from lakeward.plans.cleansed import cleanse
 from lakeward.sources.tables import append_stream, read_lookup_csv, read_table, stream_table, write_table
-from lakeward.sources.tsv import has_files
+from lakeward.sources.tsv import folders_with_files
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout
 from lakeward.streaming.scd2_stream import apply_changes_stream
 
@@ -26,10 +26,6 @@ RAW_FILES_PER_TRIGGER = 1000
 TABLE_FILES_PER_TRIGGER = 10000
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    return has_files(spark, path, "*.parquet")
-
-
 def _observed(q) -> dict:
     out: dict = {}
     for p in q.recentProgress:
@@ -61,20 +57,23 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     streaming queries); layers run in dependency order.
     """
     metrics: dict = {}
+    # One listing job per layer tells which tables exist (not one probe per table).
+    raw = folders_with_files(spark, layout.path("raw", ""), raw_glob)
     # bronze (SRC-01..06, EX-01..08)
     bronze = {spec.name: start_bronze(spark, layout, spec,
                                       max_files_per_trigger=RAW_FILES_PER_TRIGGER, glob=raw_glob)
-              for spec in RAW_SPECS if _exists_raw(spark, layout, spec.folder, raw_glob)}
+              for spec in RAW_SPECS if spec.folder in raw}
     _await_all(bronze)
     for name, q in bronze.items():
         for m in getattr(q, "expectation_metrics", []):
             acc = metrics.setdefault(f"{name}_rules", {})
             acc[f"failed_{m['rule']}"] = acc.get(f"failed_{m['rule']}", 0) + m["failed"]
     # silver (SV-1..7, EXP-01..03), one stream per table
+    have = folders_with_files(spark, layout.path("bronze", ""), "*.parquet")
     silver = {}
     for spec in CLEAN_SPECS:
         src = layout.path("bronze", spec.source)
-        if _exists(spark, src):
+        if spec.source in have:
             df = cleanse(spec.name, stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER),
                          observation=f"{spec.name}_rules")
             silver[spec.name] = append_stream(df, layout.path("silver", spec.name),
@@ -84,15 +83,16 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
         metrics.update(_observed(q))
     # gold streaming tables (GD-03..06, GD-09..13, STR-03/04) and the type-2 person
     # dimension from the change feed (GD-01/02, SCD-02, STR-06)
+    have = folders_with_files(spark, layout.path("silver", ""), "*.parquet")
     gold = {}
     for name, (source, build) in G.STREAMING_GOLD.items():
         src = layout.path("silver", source)
-        if _exists(spark, src):
+        if source in have:
             gold[name] = append_stream(
                 build(stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
                 layout.path("gold", name), layout.checkpoint(name))
     names = layout.path("silver", "silver_name_basics")
-    if _exists(spark, names):
+    if "silver_name_basics" in have:
         gold["gold_dim_person"] = apply_changes_stream(
             G.person_changes(stream_table(spark, names,
                                           max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
@@ -102,7 +102,7 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     _await_all(gold)
     # batch dimensions after the streams drained (GD-07/08, STR-05)
     akas = layout.path("silver", "silver_title_akas")
-    if _exists(spark, akas):
+    if "silver_title_akas" in have:
         a = read_table(spark, akas)
         write_table(G.dim_region(a, read_lookup_csv(spark, countries_csv,
                                                     ["region_code", "region_name"])),
@@ -119,9 +119,10 @@ def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
     from lakeward.operators.audit import AuditTarget, data_quality, load_audit, record_row_counts
     from lakeward.sources.tables import write_table as _write
     tables = []
+    have = folders_with_files(spark, layout.path("bronze", ""), "*.parquet")
     for spec in RAW_SPECS:
         p = layout.path("bronze", spec.name)
-        if _exists(spark, p):
+        if spec.name in have:
             tables.append((read_table(spark, p).drop("_batch_id"),
                            AuditTarget(spec.name, spec.keys, spec.columns)))
     out = {n: layout.path("qa", n) for n in ("qa_load_audit", "qa_row_count_history",
@@ -133,11 +134,6 @@ def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
     return out
 
 
-def _exists_raw(spark: SparkSession, layout: TableLayout, folder: str,
-                glob: str = "*.tsv*") -> bool:
-    return has_files(spark, layout.path("raw", folder), glob)
-
-
 def load_tables(spark: SparkSession, layout: TableLayout) -> dict:
     """Every stored table of the layout as a batch DataFrame (name -> DataFrame)."""
     out = {}
@@ -145,9 +141,10 @@ def load_tables(spark: SparkSession, layout: TableLayout) -> dict:
                          ("silver", [s.name for s in CLEAN_SPECS]),
                          ("gold", list(G.STREAMING_GOLD) + ["gold_dim_person", "gold_dim_region",
                                                              "gold_dim_language"])):
+        have = folders_with_files(spark, layout.path(layer, ""), "*.parquet")
         for n in names:
             p = layout.path(layer, n)
-            if _exists(spark, p):
+            if n in have:
                 df = read_table(spark, p)
                 out[n] = df.drop("_kb") if n == "gold_dim_person" else df
     return out
@@ -167,9 +164,10 @@ def register_layout(spark: SparkSession, layout: TableLayout, database: str | No
     for layer, names in (("bronze", [s.name for s in RAW_SPECS]),
                          ("silver", [s.name for s in CLEAN_SPECS]),
                          ("gold", list(G.COMMENTS))):
+        have = folders_with_files(spark, layout.path(layer, ""), "*.parquet")
         for n in names:
             p = layout.path(layer, n)
-            if _exists(spark, p):
+            if n in have:
                 full = f"{database}.{n}" if database else n
                 register_table(spark, full, p, comments.get(n, ""), {"quality": layer})
                 out.append(full)
