@@ -56,12 +56,6 @@ def bucket_for(df: DataFrame, seq: str, width: int | None = None,
     return base * F.lit(SUB_SLICES) + F.least(sub, F.lit(SUB_SLICES - 1))
 
 
-def time_bucket(seq: str, seconds: int = DAY_SECONDS) -> Column:
-    """Contiguous slice id of a timestamp column (``seconds`` wide)."""
-    micros = F.unix_micros(F.col(seq).cast("timestamp"))
-    return F.floor(micros / F.lit(int(seconds) * 1_000_000)).cast("long")
-
-
 def number_bucket(seq: str, width: int) -> Column:
     """Contiguous slice id of a numeric column (``width`` wide)."""
     return F.floor(F.col(seq) / F.lit(width)).cast("long")
@@ -292,8 +286,3 @@ def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
             .agg(F.coalesce(F.sum(F.col("_sign") * term), F.lit(0)).cast("long").alias("pairs")))
 
 
-def reduce_union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out

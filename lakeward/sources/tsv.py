@@ -98,18 +98,6 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> list[
     return sorted(row.path for row in r.load(path).select("path").collect())
 
 
-def has_files(spark: SparkSession, path: str, glob: str | None = None) -> bool:
-    """Whether ``path`` holds at least one (matching) file — a one-row probe, no listing
-    is collected."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    try:
-        return r.load(path).select("path").limit(1).count() > 0
-    except Exception:  # noqa: BLE001 - a missing folder has no files
-        return False
-
-
 def folders_with_files(spark: SparkSession, root: str, glob: str | None = None) -> set:
     """Names of the first-level folders under ``root`` that hold at least one (matching)
     file — one listing job; only the distinct folder names reach the driver."""
