@@ -195,13 +195,13 @@ HEADER_MISMATCH = ("CSV header does not conform to the schema",
 
 
 def read_tsv_uniform(spark: SparkSession, files: Sequence[str], header: Sequence[str],
-                     multiline: bool = False, expected: Sequence[str] | None = None
-                     ) -> DataFrame:
+                     multiline: bool = False, expected: Sequence[str] | None = None,
+                     crlf: bool = False) -> DataFrame:
     """Read files that are expected to share ``header`` in one scan; Spark validates every
     file's header line against it while reading (``enforceSchema=false``), so a file with
     another header — or CRLF endings under the LF multi-line options — fails the job with
     ``HEADER_MISMATCH`` instead of being mis-assigned by position."""
-    opts = dict(group_options(multiline, crlf=False), enforceSchema="false")
+    opts = dict(group_options(multiline, crlf), enforceSchema="false")
     df = with_lineage(spark.read.options(**opts).schema(string_schema(header)).csv(list(files)))
     return _ordered(df, expected)
 
@@ -217,6 +217,7 @@ class _EvolvingBatchWriter:
         self.rules, self.dataset, self.metrics_path = rules, dataset, metrics_path
         self.metrics: list[dict] = []
         self.known_header: tuple = ()
+        self.known_crlf = False
         self.try_uniform = True   # off for this run once a batch mixes headers
 
     def __call__(self, files_df: DataFrame, batch_id: int) -> None:
@@ -230,14 +231,14 @@ class _EvolvingBatchWriter:
             # validated inside it, no per-file jobs.
             try:
                 self._write(read_tsv_uniform(spark, files, header, self.multiline,
-                                             self.expected), batch_id)
+                                             self.expected, self.known_crlf), batch_id)
                 return
             except Exception as e:  # noqa: BLE001 - only a header mismatch falls back
                 if not any(m in str(e) for m in HEADER_MISMATCH):
                     raise
         groups = header_groups(spark, files, self.multiline)
-        if len(groups) == 1 and not next(iter(groups))[1]:
-            self.known_header = next(iter(groups))[0]   # header changed once: follow it
+        if len(groups) == 1:                             # one header (and line ending):
+            self.known_header, self.known_crlf = next(iter(groups))   # follow it
         elif len(groups) > 1:
             self.try_uniform = False                     # mixed headers: group every batch
         df = read_tsv_evolving(spark, files, self.multiline, self.expected, groups)
