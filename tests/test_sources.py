@@ -129,3 +129,21 @@ def test_ingest_skips_per_file_header_jobs_when_headers_match(spark, tmp_path, m
     assert len(calls) == 1
     r = S.read_ingested(spark, f"{root}/bronze").filter("tconst = 'tt0000011'").collect()[0]
     assert (r.averageRating, r.numVotes) == ("5.5", "7")
+
+
+def test_crlf_multiline_stream_learns_line_ending(spark, tmp_path, monkeypatch):
+    """A CRLF file set under multi-line semantics: the first batch groups by header (and
+    line ending), later batches of the same stream reuse both in one validated scan."""
+    calls = []
+    real = S.header_groups
+    monkeypatch.setattr(S, "header_groups", lambda *a, **k: calls.append(1) or real(*a, **k))
+    d = tmp_path / "raw"
+    d.mkdir()
+    (d / "a.tsv").write_bytes(b"k\tv\r\n1\tx\r\n")
+    (d / "b.tsv").write_bytes(b"k\tv\r\n2\ty\r\n")
+    w = S._EvolvingBatchWriter(str(tmp_path / "bronze"), True, ["k", "v"], [], "t", None)
+    for i, f in enumerate(("a.tsv", "b.tsv")):
+        w(spark.createDataFrame([(str(d / f),)], "path string"), i)
+    assert len(calls) == 1 and w.known_crlf
+    out = sorted((r.k, r.v) for r in S.read_ingested(spark, str(tmp_path / "bronze")).collect())
+    assert out == [("1", "x"), ("2", "y")]
