@@ -88,7 +88,7 @@ class Scd2Writer:
     def _read(self, spark: SparkSession, root: str, touched: list) -> DataFrame:
         return spark.read.option("basePath", root).parquet(*self._paths(root, touched))
 
-    def recompute(self, spark: SparkSession, touched: list) -> None:
+    def recompute(self, spark: SparkSession, touched: list) -> tuple:
         """Full path: history of the touched buckets from their whole log, then a dynamic
         overwrite of exactly those target partitions. Only the touched bucket folders are
         listed and read."""
@@ -165,7 +165,7 @@ class Scd2Writer:
         simply absent)."""
         return spark.read.parquet(self.target).filter(F.col(KEY_BUCKET).isin(touched))
 
-    def apply_in_order(self, spark: SparkSession, touched: list, batch_id: int) -> None:
+    def apply_in_order(self, spark: SparkSession, touched: list, batch_id: int) -> tuple:
         """Open version of each touched key + this batch's rows -> new versions; closed
         versions and untouched keys of the touched buckets are carried over."""
         from lakeward.operators.scd2 import END, START
