@@ -20,7 +20,9 @@ batch a single-row state (last batch, applied buckets, largest applied sequence)
 overwritten. When a batch's smallest sequence is larger than everything applied and the
 state agrees with the target (no partial newer commit, no missing bucket folder), only
 the *open* version of each touched key plus the new rows are run through
-``scd2_history``; closed versions are carried over unchanged. Anything else takes the
+``scd2_history``; closed versions are carried over unchanged. When only a minority of
+the batch's rows are late (counted on the log write), late keys are rebuilt from their
+change log and the other keys take the open-version path. Anything else takes the
 exact full-bucket recompute, which also repairs a target left half-written by a crash.
 """
 
@@ -57,30 +59,42 @@ class Scd2Writer:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched, batch_min = self.append_log(batch, batch_id)
+        seq_type = dict(batch.dtypes)[self.seq]
+        state = self._state(spark, seq_type) if self.incremental else None  # once per batch
+        applied_max = state["max_seq"] if state is not None else None
+        touched, batch_min, rows, late_rows = self.append_log(batch, batch_id, applied_max)
         if not touched:
             return
-        seq_type = dict(batch.dtypes)[self.seq]
-        state = self._state(spark, seq_type)           # read once per batch
-        if self.incremental and self._in_order(spark, touched, batch_min, batch_id, state):
+        if not self.incremental or late_rows * 2 > rows:
+            mode = "full"                              # mostly late: plain recompute
+        else:
+            mode = self._mode(spark, touched, batch_min, batch_id, state)
+        if mode == "in_order":
             max_seq, seq_type = self.apply_in_order(spark, touched, batch_id)
-            self.last_path = "in_order"
+        elif mode == "mixed":
+            max_seq, seq_type = self.apply_in_order(spark, touched, batch_id, per_key=True)
         else:
             max_seq, seq_type = self.recompute(spark, touched)
-            self.last_path = "full"
+        self.last_path = mode
         self._record(spark, batch_id, touched, max_seq, seq_type, state)
 
-    def append_log(self, batch: DataFrame, batch_id: int) -> tuple[list, object]:
-        """Step 1: (over)write this batch's log partitions; return the touched buckets and
-        the smallest sequence, both observed on that same write."""
+    def append_log(self, batch: DataFrame, batch_id: int, applied_max=None) -> tuple:
+        """Step 1: (over)write this batch's log partitions; return the touched buckets, the
+        smallest sequence, the row count and the rows not newer than ``applied_max`` —
+        all observed on that same write."""
         obs = Observation(f"scd2_touched_{batch_id}")
+        seq_type = dict(batch.dtypes)[self.seq]
+        late = (F.count_if(F.col(self.seq) <= F.lit(applied_max).cast(seq_type))
+                if applied_max is not None else F.lit(0).cast("long"))
         (batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
-         .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"), F.min(self.seq).alias("mn"))
+         .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"), F.min(self.seq).alias("mn"),
+                  F.count(F.lit(1)).alias("n"), late.alias("late"))
          .withColumn(BATCH, F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
         m = obs.get
-        return sorted(m.get("kb") or []), m.get("mn")
+        return (sorted(m.get("kb") or []), m.get("mn"), int(m.get("n") or 0),
+                int(m.get("late") or 0))
 
     def _paths(self, root: str, touched: list) -> list:
         return [f"{root}/{KEY_BUCKET}={k}" for k in touched]
@@ -133,51 +147,67 @@ class Scd2Writer:
                                self._state_schema(seq_type))
          .coalesce(1).write.mode("overwrite").parquet(f"{self.target}/{MANIFEST}"))
 
-    def _in_order(self, spark: SparkSession, touched: list, batch_min, batch_id: int,
-                  st0) -> bool:
-        """Fast path only when the state and the target agree on the touched buckets and
-        the batch is strictly newer than everything applied; replays of recorded batches
-        and any disagreement take the full (repairing) path."""
-        if batch_min is None:
-            return False
-        if st0 is None:
-            return False                    # nothing applied yet: full path
+    def _mode(self, spark: SparkSession, touched: list, batch_min, batch_id: int,
+              st0) -> str:
+        """``in_order`` when the state and the target agree on the touched buckets and the
+        batch is newer than everything applied; ``mixed`` when they agree but the batch is
+        not (decided per key); ``full`` for the first batch, replays of recorded batches
+        and any disagreement (the full path repairs)."""
+        if batch_min is None or st0 is None:
+            return "full"                   # nothing applied yet
         if st0["batch_id"] is not None and st0["batch_id"] >= batch_id:
-            return False                    # replay of an applied batch
-        if st0["max_seq"] is not None and not batch_min > st0["max_seq"]:
-            return False                    # not newer than what was applied: full path
+            return "full"                   # replay of an applied batch
         applied = set(st0["buckets"] or [])
         try:
             st = (self._target_in(spark, touched)
                   .agg(F.max(self.seq).alias("mx"), F.collect_set(KEY_BUCKET).alias("kb"))
                   .collect()[0])
         except Exception:  # noqa: BLE001 - unreadable target: repair with the full path
-            return False
+            return "full"
         present = {int(k) for k in (st["kb"] or [])}
         if present != {k for k in touched if k in applied}:
-            return False                    # missing folder, or data without a record
+            return "full"                   # missing folder, or data without a record
         if st["mx"] is not None and (st0["max_seq"] is None or st["mx"] > st0["max_seq"]):
-            return False                    # newer data than recorded: partial commit
-        return st["mx"] is None or batch_min > st["mx"]
+            return "full"                   # newer data than recorded: partial commit
+        if st0["max_seq"] is None or batch_min > st0["max_seq"]:
+            return "in_order"
+        return "mixed"
 
     def _target_in(self, spark: SparkSession, touched: list) -> DataFrame:
         """Target rows of the touched buckets (partition pruning; missing folders are
         simply absent)."""
         return spark.read.parquet(self.target).filter(F.col(KEY_BUCKET).isin(touched))
 
-    def apply_in_order(self, spark: SparkSession, touched: list, batch_id: int) -> tuple:
+    def apply_in_order(self, spark: SparkSession, touched: list, batch_id: int,
+                       per_key: bool = False) -> tuple:
         """Open version of each touched key + this batch's rows -> new versions; closed
-        versions and untouched keys of the touched buckets are carried over."""
+        versions and untouched keys of the touched buckets are carried over. With
+        ``per_key``, keys with a new row not later than their applied rows ("late" keys)
+        are instead rebuilt from their whole change log."""
         from lakeward.operators.scd2 import END, START
         from lakeward.operators.segmented import _null_safe_join
         new = (self._read(spark, self.change_log, touched)
                .filter(F.col(BATCH) == batch_id).drop(KEY_BUCKET, BATCH))
         cols = new.columns
         tgt = self._target_in(spark, touched).drop(KEY_BUCKET)
+
+        def semi(df, keys, how):
+            return df.join(keys, [df[k].eqNullSafe(keys[k]) for k in self.keys], how)
+
         keys = new.select(*self.keys).distinct()
-        cond = [tgt[k].eqNullSafe(keys[k]) for k in self.keys]
-        mine = tgt.join(keys, cond, "left_semi")
-        others = tgt.join(keys, cond, "left_anti")
+        mine, others = semi(tgt, keys, "left_semi"), semi(tgt, keys, "left_anti")
+        parts = [others]
+        if per_key:
+            nmin = new.groupBy(*self.keys).agg(F.min(self.seq).alias("_nmin"))
+            tmax = mine.groupBy(*self.keys).agg(F.max(self.seq).alias("_tmax"))
+            late = (_null_safe_join(nmin, tmax, self.keys)
+                    .filter(F.col("_nmin") <= F.col("_tmax")).select(*self.keys))
+            log_late = semi(self._read(spark, self.change_log, touched)
+                            .drop(KEY_BUCKET, BATCH), late, "left_semi")
+            parts.append(scd2_history(log_late, self.keys, self.seq, self.tracked,
+                                      self.bucket_width).select(*others.columns))
+            keys = semi(keys, late, "left_anti")
+            mine, new = semi(mine, keys, "left_semi"), semi(new, keys, "left_semi")
         open_rows = mine.filter(F.col(END).isNull())
         seeds = open_rows.select(*self.keys, F.col(self.seq).alias("_seed_seq"),
                                  F.col(START).alias("_seed_start"))
@@ -187,8 +217,10 @@ class Scd2Writer:
         hist = (hist.withColumn(START, F.when(F.col(START) == F.col("_seed_seq"),
                                               F.col("_seed_start")).otherwise(F.col(START)))
                 .drop("_seed_seq", "_seed_start"))
-        out = (others.unionByName(mine.filter(F.col(END).isNotNull()))
-               .unionByName(hist.select(*others.columns)))
+        parts += [mine.filter(F.col(END).isNotNull()), hist.select(*others.columns)]
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
         return self._write_target(out), dict(new.dtypes)[self.seq]
 
 

@@ -213,6 +213,7 @@ def test_stream_writer_in_order_fast_path(spark, tmp_path):
                          rnd.choice(["a", "b", None]), rnd.randint(0, 9)))
         batches.append(rows)
     late = [(f"k{i}", 5 + i, "z", 99) for i in range(3)]   # arrives after, sequenced early
+    later = [(f"k{i}", 7 + i, "y", 98) for i in range(3)]  # another all-late batch
     w = Scd2Writer(str(tmp_path / "dim"), str(tmp_path / "log"), ["key"], "seq", ["t"],
                    key_buckets=4)
     schema = "key string, seq long, t string, u int"
@@ -223,14 +224,15 @@ def test_stream_writer_in_order_fast_path(spark, tmp_path):
                       for r in read_dimension(spark, str(tmp_path / "dim")).collect()), key=str)
         assert got == brute_force(seen, 1)
 
-    plan = [(0, batches[0]), (1, batches[1]), (2, batches[2]), (3, late), (4, batches[3]),
-            (5, batches[4])]
+    plan = [(0, batches[0]), (1, batches[1]), (2, batches[2]), (3, late + batches[3]),
+            (4, later), (5, batches[4])]
     for bid, rows in plan:
         w(spark.createDataFrame(rows, schema), bid)
         seen += rows
         paths.append(w.last_path)
         check()
-    assert paths == ["full", "in_order", "in_order", "full", "in_order", "in_order"]
+    # a few late rows -> per-key mixed path; only late rows -> full recompute
+    assert paths == ["full", "in_order", "in_order", "mixed", "full", "in_order"]
     w(spark.createDataFrame(batches[4], schema), 5)        # replay of the last batch
     assert w.last_path == "full"
     check()
