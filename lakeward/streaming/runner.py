@@ -100,6 +100,8 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
             layout.path("gold", "_changes_gold_dim_person"), layout.checkpoint("gold_dim_person"),
             ["nconst"], G.STAMP, G.PERSON_TRACKED, key_buckets)
     _await_all(gold)
+    if "gold_dim_person" in gold:
+        metrics["gold_dim_person_paths"] = list(getattr(gold["gold_dim_person"], "scd2_paths", []))
     # batch dimensions after the streams drained (GD-07/08, STR-05)
     akas = layout.path("silver", "silver_title_akas")
     if "silver_title_akas" in have:

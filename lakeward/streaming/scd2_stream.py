@@ -54,7 +54,8 @@ class Scd2Writer:
         self.keys, self.seq, self.tracked = list(keys), seq, list(tracked)
         self.key_buckets, self.bucket_width = key_buckets, bucket_width
         self.incremental = incremental
-        self.last_path = ""   # "full" or "in_order" (observability / tests)
+        self.last_path = ""   # "full", "mixed" or "in_order" (observability / tests)
+        self.paths: list = []  # (batch_id, path) per applied micro-batch
         self._manifest_ready = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -76,6 +77,7 @@ class Scd2Writer:
         else:
             max_seq, seq_type = self.recompute(spark, touched)
         self.last_path = mode
+        self.paths.append((int(batch_id), mode))
         self._record(spark, batch_id, touched, max_seq, seq_type, state)
 
     def append_log(self, batch: DataFrame, batch_id: int, applied_max=None) -> tuple:
@@ -230,12 +232,13 @@ def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkp
                          available_now: bool = True, incremental: bool = True):
     """SCD-02 / STR-06 / SNK-03: start the stream that keeps ``target`` (the
     change-applied table) as a type-2 dimension."""
-    w = (source.writeStream
-         .foreachBatch(Scd2Writer(target, change_log, keys, seq, tracked, key_buckets,
-                                  bucket_width, incremental))
-         .option("checkpointLocation", checkpoint))
+    writer = Scd2Writer(target, change_log, keys, seq, tracked, key_buckets, bucket_width,
+                        incremental)
+    w = source.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    q = w.start()
+    q.scd2_paths = writer.paths      # which path each micro-batch took
+    return q
 
 
 def read_dimension(spark: SparkSession, target: str) -> DataFrame:

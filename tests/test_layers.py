@@ -47,6 +47,7 @@ def test_cleansed_rows(layered):
     assert counts["silver_title_crew"] == 2
     m = metrics["silver_title_basics_rules"]
     assert m["rows"] == 8 and m["dropped"] == 1
+    assert [p for _, p in metrics["gold_dim_person_paths"]] == ["full"]   # first batch
     # warn counts on the projected rows (FIXTURES.md §4)
     assert m["failed_valid_title_type"] == 2       # tvPilotX and NULL
     assert m["failed_valid_start_year"] == 2       # 1849 and 2036 (95 -> NULL passes)
