@@ -40,8 +40,9 @@ def component_labels(links: DataFrame) -> DataFrame:
         if labels is None:
             labels = hooks.select("node", F.col("to").alias("label"))
         else:
-            labels = save(labels.join(hooks, F.col("label") == F.col("node"), "left").select(
-                labels["node"], F.coalesce("to", "label").alias("label")), "labels")
+            onward = hooks.select(F.col("node").alias("_label"), "to")
+            labels = save(labels.join(onward, F.col("label") == F.col("_label"), "left").select(
+                "node", F.coalesce("to", "label").alias("label")), "labels")
         one = hooks.select(F.col("node").alias("a"), F.col("to").alias("_a"))
         two = hooks.select(F.col("node").alias("b"), F.col("to").alias("_b"))
         links = save(links.join(one, "a").join(two, "b").where("_a <> _b")

@@ -1,0 +1,20 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import types as T
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+DOCUMENTS = T.StructType([T.StructField(n, t) for n, t in (
+    ("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()),
+    ("n_chars", T.LongType()))])
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Makes a documents table of (doc_id, text) or (doc_id, text, source) rows."""
+    def make(rows, schema=DOCUMENTS):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+        return spark.createDataFrame(full, schema)
+    return make
