@@ -23,5 +23,5 @@ def many(seed=1, n=60):
             text = " ".join(words)
         elif i % 5 == 3:
             text = f"{prose(20)}. {passage} {prose(rnd.randint(1, 30))}"
-        out.append((i, text, f"s{i % 4}"))
+        out.append((100 + i, text, f"s{i % 4}"))
     return out
