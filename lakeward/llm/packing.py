@@ -8,10 +8,11 @@ piece into another bin's gap, exchanges one piece for a smaller one there, or tw
 one, as long as the sum of squared fills rises, until bins are empty. Pieces of bins still
 underfull go into a second round, where those of all groups meet.
 
-Tokenizing: the tokenizer's own result for a text is the concatenation of its results for
-the text's words, which are kept in a bounded table for each worker process; texts where
-that does not hold for sure (special tokens' strings, separators, letters whose lower case
-or composition depends on context) are given to the tokenizer whole.
+Tokenizing: the tokenizer's result for a text is the concatenation of its model's results for
+the parts that its pattern finds in the text's words, which are kept in bounded tables for
+each worker process; texts where that does not hold for sure (special tokens' strings,
+separators, letters whose lower case or composition depends on context) are given to the
+tokenizer whole.
 
 Defined results: a null text is empty and gives one piece holding id 0; a text of any length
 is encoded whole; repeated rows are packed one by one; an empty table gives an empty result;
@@ -29,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,13 @@ from .base import doc_id_of, documents, save, ship, sorted_groups, text_of
 SEQUENCE = 2048
 GROUP = 8192
 END_ID = 0
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 500_000
+#: Fixed value: the tokenizer file's own pattern for the parts of a text.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Letters that stand for bytes in byte-level vocabularies: printable bytes for themselves,
+#: the others, in order, for the letters from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 #: Bins filled to this share are left as they are after the first round.
 FILLED = 0.98
 #: Beyond Latin letters, or what white space and composition could change: encode whole.
@@ -57,13 +65,13 @@ def _encoder(path: str):
     from tokenizers import Tokenizer
     kept = sys.modules.setdefault("_lakeward_words", types.ModuleType("_lakeward_words")).__dict__
     if path not in kept:
-        kept[path] = (Tokenizer.from_file(path), {})
+        kept[path] = (Tokenizer.from_file(path), {}, {})
     return kept[path]
 
 
 def token_bytes(text: str, path: str) -> bytes:
     """Ids of a text as little-endian 32-bit numbers, without the end id."""
-    tok, table = _encoder(path)
+    tok, table, parts = _encoder(path)
     whole = UNSURE.search(PLAIN.sub("", text)) or not unicodedata.is_normalized("NFC", text)
     if whole:
         ids = tok.encode(text, add_special_tokens=False).ids
@@ -73,15 +81,25 @@ def token_bytes(text: str, path: str) -> bytes:
         return b"".join(map(table.__getitem__, words))
     except KeyError:
         pass
-    new = list(set(words) - table.keys())
-    if len(table) + len(new) > CACHE_WORDS:
-        table.clear()
-        new = list(set(words))
-    for i in range(0, len(new), 4096):
-        part = new[i:i + 4096]
-        for word, got in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
-            table[word] = np.array(got.ids, "<u4").tobytes()
-    return b"".join(map(table.__getitem__, words))
+    own = {}
+    for word in set(words):
+        if (ids := table.get(word)) is None:
+            ids = b"".join([_part_bytes(p, tok, parts) for p in PARTS.findall(word)])
+        own[word] = ids
+    for known in (table, parts):
+        if len(known) > CACHE_WORDS:
+            known.clear()
+    table.update(own)
+    return b"".join(map(own.__getitem__, words))
+
+
+def _part_bytes(part: str, tok, parts: dict[str, bytes]) -> bytes:
+    """Ids of one match of the tokenizer's pattern, by the tokenizer's model."""
+    ids = parts.get(part)
+    if ids is None:
+        found = tok.model.tokenize(part.encode().decode("latin-1").translate(BYTE_LETTERS))
+        ids = parts[part] = b"".join([t.id.to_bytes(4, "little") for t in found])
+    return ids
 
 
 def pieces(docs: DataFrame, path: str | None = None, longest: int = SEQUENCE) -> DataFrame:

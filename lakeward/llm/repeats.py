@@ -124,9 +124,10 @@ def common(a: bytes, b: bytes) -> int:
 def factors(ranks: list, lcps: list[int], later: bool) -> list[int]:
     """For suffixes in suffix order (lcps[i]: common prefix of i - 1 and i), the longest
     factor shared with a suffix of smaller rank: the larger of those with the previous and
-    the next smaller rank in the order. ``later`` also counts suffixes of greater rank."""
+    the next smaller rank in the order; -1 if there is none. ``later`` also counts suffixes of
+    greater rank."""
     n = len(ranks)
-    best = [0] * n
+    best = [-1] * n
     if later:
         for i in range(1, n):
             best[i] = max(best[i], lcps[i])

@@ -39,7 +39,7 @@ GRAMS = (3, 4, 5)
 
 def parts(url: Column) -> tuple[Column, Column]:
     """Host and path of a URL."""
-    pattern = F.lit("(?s)^.*?://([^/?#]*)([^?#]*)")
+    pattern = "(?s)^.*?://([^/?#]*)([^?#]*)"
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     url = F.coalesce(url.cast("string"), F.lit(""))
     return (F.translate(F.regexp_extract(url, pattern, 1), upper, lower),
