@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 
@@ -68,7 +69,9 @@ def size_partitions(spark, raw_root: str) -> dict:
     try:
         total = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                  .load(raw_root).agg(F.sum("length")).collect()[0][0]) or 0
-    except Exception:  # noqa: BLE001 - no raw files yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":    # no raw files yet
+            raise
         total = 0
     conf = cluster_conf(int(total), spark.sparkContext.defaultParallelism)
     for k, v in conf.items():

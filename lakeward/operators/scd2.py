@@ -114,8 +114,8 @@ def reference_overlaps(history: DataFrame, keys: Sequence[str], start_col: str =
                        max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """QA-22 / JN-05 metric of the modelled check: the count of ordered version pairs of a
     key with ``a.start < b.end AND a.end > b.start AND a.start != b.start`` (open versions
-    never match; each closed overlap counts twice). Computed by a sorted sweep, never by
-    forming the pairs; periods with ``start >= end`` are outside its scope. One row:
+    never match; each closed overlap counts twice). Computed by a sorted sweep, not by
+    forming the pairs (but for those with a period of ``start >= end``). One row:
     ``pairs``."""
     from lakeward.operators.segmented import overlap_pairs
     return overlap_pairs(history, keys, start_col, end_col, bucket_width, max_bucket_rows)

@@ -247,16 +247,17 @@ def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
     """Count ordered pairs (a, b) of one key with ``a.start < b.end``, ``a.end > b.start``
     and ``a.start != b.start`` — the self-join metric — without forming pairs.
 
-    Pairs with a NULL bound never match (as in the join). For periods with
-    ``start < end``: #overlapping b for a = #(b.start < a.end) - #(b.end <= a.start)
+    Pairs with a NULL bound never match (as in the join), nor do rows with a NULL key. For
+    periods with ``start < end``: #overlapping b for a = #(b.start < a.end) - #(b.end <= a.start)
     - #(b.start = a.start); each term is a running count in one sorted sweep of
     start/end/query points per key (``running_sums``), bucketed by position slices of
-    ``width`` (dense slices cut finer when ``max_bucket_rows`` is set). Returns one row:
-    ``pairs``.
+    ``width`` (dense slices cut finer when ``max_bucket_rows`` is set). Pairs that hold a
+    period with ``start >= end`` are counted by a keyed join of those periods alone
+    (``_degenerate_pairs``). Returns one row: ``pairs``.
     """
     keys = list(keys)
-    closed = periods.filter(F.col(start).isNotNull() & F.col(end).isNotNull()
-                            & (F.col(start) < F.col(end))).select(*keys, start, end)
+    bounded = periods.filter(F.col(start).isNotNull() & F.col(end).isNotNull()).select(*keys, start, end)
+    closed = bounded.filter(F.col(start) < F.col(end))
 
     def pt(pos, kind, order, s_w, e_w, sign):
         return F.struct(F.col(pos).alias("_pos"), F.lit(order).alias("_ord"),
@@ -282,7 +283,22 @@ def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
         b = bucket_for(pts_all, "_pos", width)
     s = running_sums(pts_all, keys, order, {"_cs": F.col("_sw"), "_ce": F.col("_ew")}, b)
     term = F.when(F.col("_kind") == "Q_end_le_start", F.col("_ce")).otherwise(F.col("_cs"))
-    return (s.filter(F.col("_sign") != 0)
-            .agg(F.coalesce(F.sum(F.col("_sign") * term), F.lit(0)).cast("long").alias("pairs")))
+    swept = s.filter(F.col("_sign") != 0).agg(F.sum(F.col("_sign") * term).alias("pairs"))
+    return (swept.unionByName(_degenerate_pairs(bounded, keys, start, end))
+            .agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("pairs")))
+
+
+def _degenerate_pairs(bounded: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Ordered pairs with at least one period of ``start >= end``: each such period against the
+    periods of its key (the condition is symmetric, so a pair with one of them counts twice,
+    a pair of two is met from both). Periods and starts alike are counted before the join."""
+    alike = bounded.groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_n"))
+    odd = alike.filter(F.col(start) >= F.col(end)).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.col(start).alias("_s"), F.col(end).alias("_e"), F.col("_n").alias("_m"))
+    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    meet = ((F.col(start) < F.col("_e")) & (F.col(end) > F.col("_s")) & (F.col(start) != F.col("_s")))
+    times = F.when(F.col(start) < F.col(end), 2).otherwise(1)
+    return alike.join(odd, [*same, meet]).agg(F.sum(F.col("_n") * F.col("_m") * times).alias("pairs"))
 
 

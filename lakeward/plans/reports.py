@@ -1,8 +1,9 @@
 """Validation reports of the film/TV model (QA-27): a raw->cleansed suite and a
 cleansed->star-schema suite, each returning ONE result DataFrame of check rows.
 
-All measures of one table are evaluated in a single aggregate (one scan per table per
-suite); duplicate and foreign-key checks pre-aggregate per key before shuffling.
+All measures of one table are evaluated in a single aggregate; duplicate, reconcile and
+foreign-key checks are scans of their own that pre-aggregate per key before shuffling. A check
+whose table (or whose table's partner) is absent is a FAIL row without a metric.
 """
 
 from __future__ import annotations
@@ -50,10 +51,24 @@ SILVER_KEYS = {"silver_name_basics": ["nconst"], "silver_title_basics": ["tconst
 NM, TT = "^nm[0-9]+$", "^tt[0-9]+$"
 
 
-def _measured(tables: dict, measures: dict) -> list[DataFrame]:
+def _measured(tables: dict, measures: dict, absent: list) -> list[DataFrame]:
+    """One aggregate per table; the checks of absent tables go to ``absent``."""
+    for t, ms in measures.items():
+        if t not in tables:
+            absent += [(m.check_id, t, m.column, K.FAIL, None, m.threshold or "table present")
+                       for m in ms]
     return [K.measure_table(tables[t], t, ms) for t, ms in measures.items() if t in tables]
 
 
+def _present(tables: dict, absent: list, check_id: str, table: str, column: str | None,
+             *names: str) -> bool:
+    """Whether all named tables are there; else a FAIL row names the missing ones."""
+    missing = [n for n in names if n not in tables]
+    if missing:
+        absent.append((check_id, table, column, K.FAIL, None, "table present: " + ",".join(missing)))
+    return not missing
+
+
 def silver_report(spark: SparkSession, tables: dict, as_of: Column | None = None) -> DataFrame:
     """Raw -> cleansed checks (QA-01..10). ``tables``: name -> DataFrame."""
     as_of = as_of if as_of is not None else F.current_timestamp()
@@ -85,24 +100,26 @@ def silver_report(spark: SparkSession, tables: dict, as_of: Column | None = None
     for _, t in SILVER_PAIRS:
         m[t].append(K.freshness("silver_processed_at", as_of, FRESHNESS_HOURS))
 
-    out = _measured(tables, m)
+    rows: list = []
+    out = _measured(tables, m, rows)
     out += [K.reconcile(tables[b], tables[s], s, max_drop_pct=MAX_DROP_PCT)
-            for b, s in SILVER_PAIRS if b in tables and s in tables]
-    rows = []
+            for b, s in SILVER_PAIRS if _present(tables, rows, "QA-01", s, None, b, s)]
     for t, c, typ in SILVER_TYPES:
-        if t in tables:
+        if _present(tables, rows, "QA-03", t, c, t):
             rows += K.column_types(tables[t], t, {c: typ})
     for t, c in [("silver_title_basics", "genres"), ("silver_name_basics", "primary_professions"),
                  ("silver_title_crew", "directors")]:
-        if t in tables:
+        if _present(tables, rows, "QA-06", t, c, t):
             rows += K.array_columns(tables[t], t, [c])
-    if rows:
-        out.append(K.result_rows(spark, rows))
-    if "silver_title_episode" in tables and "silver_title_basics" in tables:
+    if _present(tables, rows, "QA-08", "silver_title_episode", "parent_tconst",
+                "silver_title_episode", "silver_title_basics"):
         out.append(K.foreign_key(tables["silver_title_episode"], "silver_title_episode",
                                  "parent_tconst", tables["silver_title_basics"],
                                  "silver_title_basics", "tconst", check_id="QA-08"))
-    out += [K.duplicate_keys(tables[t], t, k) for t, k in SILVER_KEYS.items() if t in tables]
+    out += [K.duplicate_keys(tables[t], t, k) for t, k in SILVER_KEYS.items()
+            if _present(tables, rows, "QA-09", t, ",".join(k), t)]
+    if rows:
+        out.append(K.result_rows(spark, rows))
     return K.union_results(out)
 
 
@@ -160,26 +177,33 @@ def gold_report(spark: SparkSession, tables: dict, as_of: Column | None = None)
         else:
             m[t].append(K.freshness("load_dt", as_of, FRESHNESS_HOURS, "QA-26", empty_status=K.WARN))
 
-    out = _measured(tables, m)
-    if "gold_dim_title" in tables and "silver_title_basics" in tables:
+    out = _measured(tables, m, schema_rows)
+    if _present(tables, schema_rows, "QA-13", "gold_dim_title", None, "gold_dim_title",
+                "silver_title_basics"):
         out.append(K.reconcile(tables["silver_title_basics"], tables["gold_dim_title"],
                                "gold_dim_title", min_ratio_pct=MIN_TITLE_RATIO_PCT,
                                check_id="QA-13"))
-    if "gold_fact_ratings" in tables and "silver_title_ratings" in tables:
+    if _present(tables, schema_rows, "QA-13", "gold_fact_ratings", None, "gold_fact_ratings",
+                "silver_title_ratings"):
         out.append(K.reconcile(tables["silver_title_ratings"], tables["gold_fact_ratings"],
                                "gold_fact_ratings", min_ratio_pct=MIN_RATINGS_RATIO_PCT,
                                check_id="QA-13"))
     for fk in FOREIGN_KEYS:
-        if fk.audited and fk.child in tables and fk.parent in tables:
-            cid = "QA-19" if fk.child == "gold_bridge_title_genre" else "QA-20"
+        cid = "QA-19" if fk.child == "gold_bridge_title_genre" else "QA-20"
+        if fk.audited and _present(tables, schema_rows, cid, fk.child,
+                                   f"{fk.child_col}->{fk.parent}.{fk.parent_col}", fk.child, fk.parent):
             out.append(K.foreign_key(tables[fk.child], fk.child, fk.child_col, tables[fk.parent],
                                      fk.parent, fk.parent_col, fk.skip_null, fk.tolerance_pct,
                                      check_id=cid))
-    if "gold_bridge_title_genre" in tables:
+    if _present(tables, schema_rows, "QA-19", "gold_bridge_title_genre", "tconst,genre_key",
+                "gold_bridge_title_genre"):
         out.append(K.duplicate_keys(tables["gold_bridge_title_genre"], "gold_bridge_title_genre",
                                     ["tconst", "genre_key"], "QA-19"))
-    out += [K.duplicate_keys(tables[t], t, k, "QA-25") for t, k in GOLD_KEYS.items() if t in tables]
-    if "gold_dim_person" in tables:
+    out += [K.duplicate_keys(tables[t], t, k, "QA-25") for t, k in GOLD_KEYS.items()
+            if _present(tables, schema_rows, "QA-25", t, ",".join(k), t)]
+    if (_present(tables, schema_rows, "QA-12", "gold_dim_person", f"{START},{END}", "gold_dim_person")
+            & _present(tables, schema_rows, "QA-21", "gold_dim_person", "current_rows", "gold_dim_person")
+            & _present(tables, schema_rows, "QA-22", "gold_dim_person", "overlap_pairs", "gold_dim_person")):
         person = tables["gold_dim_person"]
         schema_rows += K.required_columns(person, "gold_dim_person", [START, END], "QA-12")
         schema_rows += K.required_columns(person, "gold_dim_person", PERSON_TRACKED, "QA-12")

@@ -18,7 +18,8 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = N
     """SRC-07: incremental read of an upstream append-only table."""
     if schema is None:
         schema = spark.read.option("mergeSchema", "true").parquet(path).schema
-    r = spark.readStream.schema(schema)
+    from lakeward.sources.tsv import MAX_FILE_AGE
+    r = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(path)
@@ -39,6 +40,26 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def checked_stream(source: DataFrame, project, rules, path: str, checkpoint: str, dataset: str,
+                   metrics_path: str | None = None, available_now: bool = True):
+    """SNK-01 + EXP-01..03: per micro-batch, ``project`` the rows, count and apply ``rules``,
+    and overwrite the batch's partition of the table and of the rule log (so a replay changes
+    neither). Every batch's counts are kept on the returned query as
+    ``expectation_metrics``."""
+    from lakeward.sources.tsv import write_checked_batch
+    metrics: list[dict] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        metrics.extend(write_checked_batch(project(batch), rules, batch_id, path, dataset,
+                                           metrics_path))
+
+    w = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    q = w.start()
+    q.expectation_metrics = metrics
+    return q
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                   query_name: str | None = None):
     """SNK-01: append-only streaming table (parquet sink, exactly-once via checkpoint)."""
@@ -53,6 +74,7 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool
 def register_table(spark: SparkSession, name: str, path: str, comment: str = "",
                    properties: dict | None = None) -> None:
     """SNK-05: expose a stored table in the catalog with its comment and layer label."""
+    # A partitioned table on a Hive catalog knows no partition until they are recovered.
     props = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     sql = f"CREATE TABLE {name} USING parquet LOCATION '{path}'"
@@ -61,3 +83,6 @@ def register_table(spark: SparkSession, name: str, path: str, comment: str = "",
     if props:
         sql += f" TBLPROPERTIES ({props})"
     spark.sql(sql)
+    hive = spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
+    if hive and any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)

@@ -28,10 +28,13 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeward.specs import Rule
+
 # FIXED VALUES — the raw file dialect.
 TSV_OPTIONS = {
     "header": "true",
@@ -51,6 +54,13 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 SOURCE_FILE = "_source_file"
 LOADED_AT = "_loaded_at"
+# The whole line of a record whose number of fields is not the header's, else NULL.
+MALFORMED = "_malformed_record"
+
+# File streams ignore files this much older than the newest one seen (7 days by default,
+# which loses files copied with their time stamps); every file is to be taken, whatever
+# its age. The checkpoint remembers what was taken.
+MAX_FILE_AGE = "36500d"
 
 
 def tsv_options(multiline: bool = False, **extra) -> dict:
@@ -84,7 +94,8 @@ def read_tsv(spark: SparkSession, paths, columns: Sequence[str], multiline: bool
 def stream_tsv(spark: SparkSession, path: str, columns: Sequence[str], multiline: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """SRC-01 with a fixed header: a streaming CSV source over a directory."""
-    r = spark.readStream.options(**tsv_options(multiline)).schema(string_schema(columns))
+    r = (spark.readStream.options(**tsv_options(multiline)).schema(string_schema(columns))
+         .option("maxFileAge", MAX_FILE_AGE))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return with_lineage(r.csv(path))
@@ -112,7 +123,9 @@ def folders_with_files(spark: SparkSession, root: str, glob: str | None = None)
             F.expr(f"substring(path, instr(path, '{key}') + {len(key)})").alias("rel"))
         return {row[0] for row in rel.select(F.split("rel", "/").getItem(0).alias("f"))
                 .filter(F.col("f") != "").distinct().collect()}
-    except Exception:  # noqa: BLE001 - missing root: no folders
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":    # only a missing root has no folders
+            raise
         return set()
 
 
@@ -158,12 +171,23 @@ def header_groups(spark: SparkSession, files: Sequence[str], multiline: bool = F
     return groups
 
 
+def _schema_and_options(header: Sequence[str], opts: dict, malformed: bool) -> tuple:
+    """All-STRING schema and options of a group; ``malformed`` adds the column that keeps a
+    record with more or fewer fields than the header."""
+    if not malformed:
+        return string_schema(header), opts
+    return (string_schema([*header, MALFORMED]),
+            dict(opts, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED))
+
+
 def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool = False,
-                      expected: Sequence[str] | None = None, groups=None) -> DataFrame | None:
+                      expected: Sequence[str] | None = None, groups=None,
+                      malformed: bool = False) -> DataFrame | None:
     """SRC-05: read files grouped by header and union them by column name.
 
     ``expected`` columns come first (in that order, NULL if no file has them); columns
-    only some files carry follow in order of first appearance.
+    only some files carry follow in order of first appearance. ``malformed`` keeps the line
+    of each record that has more or fewer fields than its header (``MALFORMED``).
     """
     files = list(files)
     if not files:
@@ -172,9 +196,10 @@ def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool
         groups = header_groups(spark, files, multiline)
     if not groups:
         return None
-    parts = [with_lineage(spark.read.options(**group_options(multiline, crlf))
-                          .schema(string_schema(header)).csv(group))
-             for (header, crlf), group in groups.items()]
+    parts = []
+    for (header, crlf), group in groups.items():
+        schema, opts = _schema_and_options(header, group_options(multiline, crlf), malformed)
+        parts.append(with_lineage(spark.read.options(**opts).schema(schema).csv(group)))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return _ordered(df, expected)
 
@@ -182,11 +207,12 @@ def read_tsv_evolving(spark: SparkSession, files: Sequence[str], multiline: bool
 def _ordered(df: DataFrame, expected: Sequence[str] | None) -> DataFrame:
     """Expected columns first (NULL when absent), then extra columns, then lineage."""
     order = list(expected or [])
+    last = [c for c in (MALFORMED, SOURCE_FILE, LOADED_AT) if c in df.columns]
     for c in df.columns:
-        if c not in order and c not in (SOURCE_FILE, LOADED_AT):
+        if c not in order and c not in last:
             order.append(c)
     cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in order]
-    return df.select(*cols, SOURCE_FILE, LOADED_AT)
+    return df.select(*cols, *last)
 
 
 # Messages of Spark's CSV header check (names differ / column count differs).
@@ -196,13 +222,14 @@ HEADER_MISMATCH = ("CSV header does not conform to the schema",
 
 def read_tsv_uniform(spark: SparkSession, files: Sequence[str], header: Sequence[str],
                      multiline: bool = False, expected: Sequence[str] | None = None,
-                     crlf: bool = False) -> DataFrame:
+                     crlf: bool = False, malformed: bool = False) -> DataFrame:
     """Read files that are expected to share ``header`` in one scan; Spark validates every
     file's header line against it while reading (``enforceSchema=false``), so a file with
     another header — or CRLF endings under the LF multi-line options — fails the job with
     ``HEADER_MISMATCH`` instead of being mis-assigned by position."""
-    opts = dict(group_options(multiline, crlf), enforceSchema="false")
-    df = with_lineage(spark.read.options(**opts).schema(string_schema(header)).csv(list(files)))
+    schema, opts = _schema_and_options(header, dict(group_options(multiline, crlf),
+                                                    enforceSchema="false"), malformed)
+    df = with_lineage(spark.read.options(**opts).schema(schema).csv(list(files)))
     return _ordered(df, expected)
 
 
@@ -231,7 +258,8 @@ class _EvolvingBatchWriter:
             # validated inside it, no per-file jobs.
             try:
                 self._write(read_tsv_uniform(spark, files, header, self.multiline,
-                                             self.expected, self.known_crlf), batch_id)
+                                             self.expected, self.known_crlf, malformed=True),
+                            batch_id)
                 return
             except Exception as e:  # noqa: BLE001 - only a header mismatch falls back
                 if not any(m in str(e) for m in HEADER_MISMATCH):
@@ -241,36 +269,54 @@ class _EvolvingBatchWriter:
             self.known_header, self.known_crlf = next(iter(groups))   # follow it
         elif len(groups) > 1:
             self.try_uniform = False                     # mixed headers: group every batch
-        df = read_tsv_evolving(spark, files, self.multiline, self.expected, groups)
+        df = read_tsv_evolving(spark, files, self.multiline, self.expected, groups,
+                               malformed=True)
         if df is not None:
             self._write(df, batch_id)
 
     def _write(self, df: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import Observation
-
-        from lakeward.operators.expectations import expect, observed_counts
-        spark = df.sparkSession
-        obs = Observation(f"{self.dataset}_{batch_id}") if self.rules else None
-        if obs is not None:
-            df = expect(df, self.rules, obs)
-        (df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch_id").parquet(self.target))
-        if obs is not None:
-            rows = [dict(c, dataset=self.dataset, batch_id=int(batch_id))
-                    for c in observed_counts(obs, self.rules)]
-            self.metrics.extend(rows)
-            if self.metrics_path:
-                # one folder per dataset: concurrent streams never share a write path;
-                # read the log root to get ``dataset`` back as a partition column
-                (spark.createDataFrame(rows, EXPECTATION_LOG_SCHEMA).drop("dataset")
-                 .write.mode("append").parquet(f"{self.metrics_path}/dataset={self.dataset}"))
+        rules = [*self.rules, WELL_FORMED]
+        self.metrics.extend(write_checked_batch(df, rules, batch_id, self.target, self.dataset,
+                                                self.metrics_path))
+
 
+# Built-in warn rule of every ingested file set: as many fields as the header has.
+WELL_FORMED = Rule("well_formed_record", f"{MALFORMED} IS NULL")
 
+# The stored counts; ``dataset`` and ``batch_id`` are the log's partition columns.
 EXPECTATION_LOG_SCHEMA = T.StructType([
     T.StructField("rule", T.StringType()), T.StructField("action", T.StringType()),
-    T.StructField("failed", T.LongType()), T.StructField("passed", T.LongType()),
-    T.StructField("dataset", T.StringType()), T.StructField("batch_id", T.LongType())])
+    T.StructField("failed", T.LongType()), T.StructField("passed", T.LongType())])
+
+
+def write_checked_batch(df: DataFrame, rules: Sequence[Rule], batch_id: int, target: str,
+                        dataset: str, metrics_path: str | None) -> list[dict]:
+    """EXP-01..03 on one micro-batch: count the rules on the pass that writes the rows,
+    overwrite the batch's own partition of ``target`` and of the rule log (a replayed batch
+    replaces both), and return the counts (one dict per rule, with ``rows`` and
+    ``dropped``). Each dataset has its own log folder, so concurrent streams never share a
+    write path; reading the log's root gives ``dataset`` and ``batch_id`` as columns."""
+    from pyspark.sql import Observation
+
+    from lakeward.operators.expectations import expect, observed_counts
+    spark = df.sparkSession
+    obs = Observation(f"{dataset}_{batch_id}") if rules else None
+    if obs is not None:
+        df = expect(df, rules, obs)
+    (df.withColumn("_batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_batch_id").parquet(target))
+    if obs is None:
+        return []
+    counts = observed_counts(obs, rules)
+    if metrics_path:
+        names = EXPECTATION_LOG_SCHEMA.names
+        (spark.createDataFrame([tuple(c[n] for n in names) for c in counts], EXPECTATION_LOG_SCHEMA)
+         .coalesce(1).write.mode("overwrite")
+         .parquet(f"{metrics_path}/dataset={dataset}/batch_id={int(batch_id)}"))
+    total = obs.get
+    return [dict(c, dataset=dataset, batch_id=int(batch_id), rows=int(total.get("rows", 0)),
+                 dropped=int(total.get("dropped", 0))) for c in counts]
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
@@ -284,11 +330,17 @@ def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint:
     Micro-batches take at most ``max_files_per_trigger`` files (only their paths reach the
     driver), so a backlog is ingested in bounded, individually replayable batches.
     Warn rules (EXP-01) are counted with an ``Observation`` on the same pass that writes
-    each batch; the counts are appended to ``metrics_path`` (an expectation log table)
-    and kept on the returned query as ``expectation_metrics``.
+    each batch; the counts go to the batch's partition of ``metrics_path`` (the rule log)
+    and are kept on the returned query as ``expectation_metrics``. A record with more or
+    fewer fields than its header keeps its line in ``_malformed_record`` and counts as a
+    violation of ``well_formed_record``.
+
+    With ``available_now=False`` a replayed batch writes new files into its partition, which
+    a stream that reads ``target`` at the same time would take again: run readers after
+    this stream has stopped, as the runner does.
     """
     r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-         .option("recursiveFileLookup", "true"))
+         .option("recursiveFileLookup", "true").option("maxFileAge", MAX_FILE_AGE))
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:

@@ -4,7 +4,8 @@ raw files -> bronze (incremental, header-aware) -> silver (typed, rules) -> gold
 tables and the type-2 person dimension -> gold batch dimensions (region, language). Each
 streaming table is its own query with its own checkpoint under the layout, run with
 ``availableNow`` in dependency order, so a second run only processes what is new.
-Expectation counts are read from each query's observed metrics.
+Rule counts of the bronze and silver tables come from each micro-batch's own observation and
+are stored in the rule log (``qa/expectation_log``), one partition per dataset and batch.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ from pyspark.sql import SparkSession
 
 from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
-from lakeward.plans.cleansed import cleanse
-from lakeward.sources.tables import append_stream, read_lookup_csv, read_table, stream_table, write_table
-from lakeward.sources.tsv import folders_with_files
+from lakeward.plans.cleansed import PROJECTIONS
+from lakeward.sources.tables import (append_stream, checked_stream, read_lookup_csv, read_table,
+                                     stream_table, write_table)
+from lakeward.sources.tsv import MALFORMED, folders_with_files
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout
 from lakeward.streaming.scd2_stream import apply_changes_stream
 
@@ -26,14 +28,14 @@ RAW_FILES_PER_TRIGGER = 1000
 TABLE_FILES_PER_TRIGGER = 10000
 
 
-def _observed(q) -> dict:
+def _rule_totals(q) -> dict:
+    """``rows``, ``dropped`` and ``failed_<rule>`` over all micro-batches of a checked query."""
     out: dict = {}
-    for p in q.recentProgress:
-        for name, row in (p.get("observedMetrics") or {}).items():
-            acc = out.setdefault(name, {})
-            vals = row.asDict() if hasattr(row, "asDict") else dict(row)
-            for k, v in vals.items():
-                acc[k] = acc.get(k, 0) + (v or 0)
+    for b in {m["batch_id"] for m in q.expectation_metrics}:
+        own = [m for m in q.expectation_metrics if m["batch_id"] == b]
+        for k, v in (("rows", own[0]["rows"]), ("dropped", own[0]["dropped"]),
+                     *((f"failed_{m['rule']}", m["failed"]) for m in own)):
+            out[k] = out.get(k, 0) + v
     return out
 
 
@@ -64,23 +66,19 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
                                       max_files_per_trigger=RAW_FILES_PER_TRIGGER, glob=raw_glob)
               for spec in RAW_SPECS if spec.folder in raw}
     _await_all(bronze)
-    for name, q in bronze.items():
-        for m in getattr(q, "expectation_metrics", []):
-            acc = metrics.setdefault(f"{name}_rules", {})
-            acc[f"failed_{m['rule']}"] = acc.get(f"failed_{m['rule']}", 0) + m["failed"]
+    metrics.update({f"{name}_rules": _rule_totals(q) for name, q in bronze.items()})
     # silver (SV-1..7, EXP-01..03), one stream per table
     have = folders_with_files(spark, layout.path("bronze", ""), "*.parquet")
     silver = {}
     for spec in CLEAN_SPECS:
         src = layout.path("bronze", spec.source)
         if spec.source in have:
-            df = cleanse(spec.name, stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER),
-                         observation=f"{spec.name}_rules")
-            silver[spec.name] = append_stream(df, layout.path("silver", spec.name),
-                                              layout.checkpoint(spec.name))
+            silver[spec.name] = checked_stream(
+                stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER),
+                PROJECTIONS[spec.name], spec.rules, layout.path("silver", spec.name),
+                layout.checkpoint(spec.name), spec.name, layout.path("qa", "expectation_log"))
     _await_all(silver)
-    for q in silver.values():
-        metrics.update(_observed(q))
+    metrics.update({f"{name}_rules": _rule_totals(q) for name, q in silver.items()})
     # gold streaming tables (GD-03..06, GD-09..13, STR-03/04) and the type-2 person
     # dimension from the change feed (GD-01/02, SCD-02, STR-06)
     have = folders_with_files(spark, layout.path("silver", ""), "*.parquet")
@@ -125,7 +123,7 @@ def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
     for spec in RAW_SPECS:
         p = layout.path("bronze", spec.name)
         if spec.name in have:
-            tables.append((read_table(spark, p).drop("_batch_id"),
+            tables.append((read_table(spark, p).drop("_batch_id", MALFORMED),
                            AuditTarget(spec.name, spec.keys, spec.columns)))
     out = {n: layout.path("qa", n) for n in ("qa_load_audit", "qa_row_count_history",
                                             "qa_data_quality")}
@@ -148,7 +146,7 @@ def load_tables(spark: SparkSession, layout: TableLayout) -> dict:
             p = layout.path(layer, n)
             if n in have:
                 df = read_table(spark, p)
-                out[n] = df.drop("_kb") if n == "gold_dim_person" else df
+                out[n] = df.drop("_kb", "_batch_id") if layer != "bronze" else df
     return out
 
 

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,8 +165,10 @@ class Scd2Writer:
             st = (self._target_in(spark, touched)
                   .agg(F.max(self.seq).alias("mx"), F.collect_set(KEY_BUCKET).alias("kb"))
                   .collect()[0])
-        except Exception:  # noqa: BLE001 - unreadable target: repair with the full path
-            return "full"
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return "full"                   # no target yet: the full path writes it
         present = {int(k) for k in (st["kb"] or [])}
         if present != {k for k in touched if k in applied}:
             return "full"                   # missing folder, or data without a record
