@@ -23,10 +23,12 @@ from lakeward.operators import facts as FA
 from lakeward.operators.expectations import expect, rule_metrics
 from lakeward.operators.scd2 import (reference_overlaps, scd2_history, split_counts,
                                      strict_overlaps)
+from lakeward.plans import model_queries as M
 from lakeward.session import fresh_dir
 from lakeward.sources import tables as TB
 from lakeward.sources import tsv as S
 from lakeward.specs import DROP, WARN, Rule
+from lakeward.streaming.runner import load_tables
 from lakeward.streaming.scd2_stream import Scd2Writer, read_dimension
 
 # FIXED VALUES used by the oracle comparisons (both sides use the same literals).
@@ -1181,59 +1183,13 @@ WHERE COALESCE(tconst IS NOT NULL AND tconst LIKE 'tt%', false)
   AND COALESCE(ordering IS NOT NULL AND ordering > 0, false)"""
 
 
-def _derive_raw_files(spark, sf, root) -> None:
-    """Raw TSV file sets in the modelled layout, derived from the driver tables."""
-    from lakeward.specs import VALID_TITLE_TYPES
-    sup, part, li = _t(spark, sf, "supplier"), _t(spark, sf, "part"), _t(spark, sf, "lineitem")
-    nm = lambda c: F.format_string("nm%07d", F.col(c))
-    tt = lambda c: F.format_string("tt%07d", F.col(c))
-    S.write_tsv(sup.select(
-        nm("s_suppkey").alias("nconst"), F.col("s_name").alias("primaryName"),
-        (F.lit(1900) + F.col("s_suppkey") % 100).alias("birthYear"),
-        F.when(F.col("s_suppkey") % 7 == 0, F.lit(2000) + F.col("s_suppkey") % 20).alias("deathYear"),
-        F.when(F.col("s_nationkey") % 2 == 0, F.lit("actor,producer")).otherwise(F.lit("director"))
-        .alias("primaryProfession"),
-        F.lit(None).cast("string").alias("knownForTitles")), f"{root}/raw/name_basics")
-    types = F.array(*[F.lit(t) for t in VALID_TITLE_TYPES])
-    S.write_tsv(part.select(
-        tt("p_partkey").alias("tconst"),
-        F.element_at(types, (F.col("p_size") % len(VALID_TITLE_TYPES) + 1).cast("int")).alias("titleType"),
-        F.col("p_name").alias("primaryTitle"), F.col("p_name").alias("originalTitle"),
-        (F.col("p_size") % 2).alias("isAdult"), (F.lit(1950) + F.col("p_size")).alias("startYear"),
-        F.lit(None).cast("string").alias("endYear"), (F.col("p_size") * 3).alias("runtimeMinutes"),
-        F.regexp_replace("p_name", " ", ",").alias("genres")), f"{root}/raw/title_basics")
-    S.write_tsv(part.select(
-        tt("p_partkey").alias("tconst"),
-        (F.lit(1.0) + (F.col("p_partkey") % 90) / F.lit(10.0)).cast("decimal(3,1)").alias("averageRating"),
-        (F.col("p_partkey") % 500 + 1).alias("numVotes")), f"{root}/raw/title_ratings")
-    S.write_tsv(li.select(
-        F.concat(F.when(F.col("l_orderkey") % 50 == 0, F.lit("xx")).otherwise(F.lit("tt")),
-                 F.format_string("%07d", F.col("l_partkey"))).alias("tconst"),
-        F.col("l_linenumber").alias("ordering"), nm("l_suppkey").alias("nconst"),
-        F.when(F.col("l_returnflag") == "R", F.lit("Actor"))
-        .when(F.col("l_returnflag") == "A", F.lit(" director")).otherwise(F.lit("self"))
-        .alias("category"),
-        F.when(F.col("l_linestatus") == "O", F.lit(None))
-        .otherwise(F.concat(F.lit("line "), F.col("l_linestatus"))).alias("job"),
-        F.concat(F.lit('["Role '), F.col("l_linenumber").cast("string"), F.lit('"]'))
-        .alias("characters")), f"{root}/raw/title_principals")
-
-
 @query("layered_model", _MODEL_SQL)
 def q_layered_model(spark, sf):
-    """STR-01..06, BR-1..7, SV-1..7, GD-01..13: raw TSV sets derived from the driver tables
-    (suppliers -> people, parts -> titles and ratings, line items -> credits, with bad ids
-    injected) run through every layer with the ordered streaming runner; returns the
-    credits fact (GD-13) without its load stamp."""
-    from lakeward.specs import TableLayout
-    from lakeward.streaming.runner import run_layers
-    root = fresh_dir(spark, "layered_model")
-    _derive_raw_files(spark, sf, root)
-    lookup = f"{root}/lookups"
-    spark.createDataFrame([("US", "United States")], "region_code string, region_name string") \
-        .write.option("header", "true").csv(f"{lookup}/countries")
-    spark.createDataFrame([("en", "English")], "language_code string, language_name string") \
-        .write.option("header", "true").csv(f"{lookup}/languages")
-    run_layers(spark, TableLayout(root), f"{lookup}/countries", f"{lookup}/languages",
-               raw_glob="part-*")
-    return spark.read.parquet(f"{root}/gold/gold_fact_title_credits").drop("load_dt")
+    """STR-01..06: the credits fact (GD-13) of the model run (``model_queries``), without its
+    load stamp; the other tables are queries of their own."""
+    return M.comparable(load_tables(spark, M.model_run(spark, sf), ["gold_fact_title_credits"])
+                        ["gold_fact_title_credits"])
+
+
+QUERIES.update(M.QUERIES)
+ORACLE.update(M.ORACLE)

@@ -134,14 +134,16 @@ def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
     return out
 
 
-def load_tables(spark: SparkSession, layout: TableLayout) -> dict:
-    """Every stored table of the layout as a batch DataFrame (name -> DataFrame)."""
+def load_tables(spark: SparkSession, layout: TableLayout, only=None) -> dict:
+    """Every stored table of the layout (or those named in ``only``) as a batch DataFrame
+    (name -> DataFrame)."""
     out = {}
     for layer, names in (("bronze", [s.name for s in RAW_SPECS]),
                          ("silver", [s.name for s in CLEAN_SPECS]),
                          ("gold", list(G.STREAMING_GOLD) + ["gold_dim_person", "gold_dim_region",
                                                              "gold_dim_language"])):
-        have = folders_with_files(spark, layout.path(layer, ""), "*.parquet")
+        names = [n for n in names if only is None or n in only]
+        have = folders_with_files(spark, layout.path(layer, ""), "*.parquet") if names else ()
         for n in names:
             p = layout.path(layer, n)
             if n in have:
