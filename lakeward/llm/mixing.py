@@ -12,8 +12,9 @@ words queued before a document, as a share of the target, are the demand at its
 inverting the integral (a quadratic) gives its time. A second pass over the source continues
 the queue. Documents are range-sorted by position.
 
-The queue's running sums are taken in two steps, inside hash buckets of about ``BUCKET`` rows
-and over bucket totals, so that no source is gathered in one task. DataFrame functions only.
+A row's place in its source's queue is the MD5 of doc_id and text key. The queue's running
+sums are taken in two steps, inside ranges of places of about ``BUCKET`` rows and over their
+totals, so that no source is gathered in one task. DataFrame functions only.
 
 Defined results: a null text has size 0; sizes of 0 take nothing; a null source is a source
 of its own and sorts last; a document at the end of a target is taken in part (its words
@@ -66,9 +67,10 @@ def queue(sizes: DataFrame) -> DataFrame:
     sources = save(source_targets(sizes), "sources")
     named = sources.withColumnRenamed("source", "_source")
     rows = sizes.join(named, F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("place", F.xxhash64("doc_id", "sha"))
+    rows = rows.withColumn("place", F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.hex("sha")).cast("binary")))
+    part = F.conv(F.substring("place", 1, 8), 16, 10).cast("long")
     buckets = F.ceil(F.col("rows") / BUCKET)
-    rows = save(rows.withColumn("bucket", F.pmod("place", buckets)).drop("_source"), "queue")
+    rows = save(rows.withColumn("bucket", F.floor(part * buckets / F.lit(1 << 32))).drop("_source"), "queue")
     totals = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = save(totals.select(F.col("rank").alias("_rank"), F.col("bucket").alias("_bucket"),
@@ -121,6 +123,40 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     return repeat_rows(docs, save(told, "copies"))
 
 
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(concat_ws(':', CAST(doc_id AS VARCHAR), upper(md5(coalesce(text, ''))))) AS place FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rank
+  FROM d GROUP BY source),
+w AS (
+  SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight,
+         CASE (rank - 1) % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 0::DOUBLE ELSE -0.5::DOUBLE END AS c,
+         source_size * 2.0::DOUBLE AS cap, CAST(sum(source_size) OVER () AS DOUBLE) * 1.5::DOUBLE AS budget FROM s),
+l AS (
+  SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+k AS (SELECT *, cap <= level * weight AS capped FROM l),
+t AS (
+  SELECT source, rank, source_size, c,
+         CASE WHEN capped THEN cap
+              ELSE (budget - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ()) * weight
+                   / CAST(sum(CASE WHEN capped THEN 0 ELSE weight END) OVER () AS DOUBLE) END AS target FROM k),
+q AS (
+  SELECT d.*, t.source_size, t.target, t.c, CAST(round(t.target) AS BIGINT) AS goal,
+         CAST(coalesce(sum(size) OVER (PARTITION BY t.rank ORDER BY place, doc_id
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+r AS (SELECT *, greatest(0, least(size, goal - before)) + greatest(0, least(size, goal - before - source_size)) AS taken FROM q),
+x AS (SELECT *, least(1.0::DOUBLE, before / target) AS share, CAST(sum(taken) OVER () AS DOUBLE) AS words FROM r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(taken AS BIGINT) AS taken,
+       CASE WHEN taken > 0
+            THEN 2 * share / ((1 - c) + sqrt((1 - c) * (1 - c) + 4 * c * share)) * words END AS position
+FROM x
+"""
+
+
 def op7_source_mixing(spark, sf_dir):
     """Query: sizes, targets, words taken and positions of all documents."""
     return mix(documents(spark, sf_dir))
