@@ -759,9 +759,8 @@ SELECT l_suppkey, count(*) AS row_count FROM lineitem
 GROUP BY l_suppkey ORDER BY row_count DESC, l_suppkey LIMIT 15""")
 def q_distribution(spark, sf):
     """AGG-08, SRT-01, LIM-01: value distribution, top 15 by count (key breaks ties)."""
-    return (_t(spark, sf, "lineitem").groupBy("l_suppkey")
-            .agg(F.count(F.lit(1)).alias("row_count"))
-            .orderBy(F.desc("row_count"), F.asc("l_suppkey")).limit(15))
+    from lakeward.plans.reports import distribution
+    return distribution(_t(spark, sf, "lineitem"), "l_suppkey").withColumnRenamed("count", "row_count")
 
 
 def _fk_sql(check_id, table, child_col, child_from, parent_table, parent_col, parent_from,
@@ -924,6 +923,19 @@ def q_stats(spark, sf):
                  F.sum("v").cast("long").alias("total_votes"))
 
 
+_STATISTICS = [("avg_size", "avg(p_size)"), ("min_price", "min(p_retailprice)"),
+               ("max_price", "max(p_retailprice)"), ("total_size", "sum(p_size)")]
+
+
+@query("statistics", "\nUNION ALL ".join(
+    f"SELECT 'QA-24' AS check_id, 'part' AS table_name, '{label}' AS column_name, 'INFO' AS status, "
+    f"CAST({value} AS DOUBLE) AS metric, '' AS threshold FROM part" for label, value in _STATISTICS))
+def q_statistics(spark, sf):
+    """QA-24, AGG-07: reported statistics as result rows, one aggregate for all."""
+    return K.measure_table(_t(spark, sf, "part"), "part",
+                           [K.statistic(label, F.expr(value)) for label, value in _STATISTICS])
+
+
 # ---------------------------------------------------------------------------------------
 # Audit tables (QL-1..7, SET-01, JN-06)
 # ---------------------------------------------------------------------------------------
@@ -1022,11 +1034,28 @@ def q_data_quality(spark, sf):
 SELECT DISTINCT trim(w) AS genre_key, trim(w) AS genre_name
 FROM ({_WORDS_SQL}) t WHERE w IS NOT NULL""")
 def q_stream_dedupe(spark, sf):
-    """STR-03/04, AGG-09: streaming explode + stateful ``dropDuplicates`` (no watermark)."""
+    """STR-03/04, AGG-09: streaming explode to one row per key over three micro-batches (the
+    table is written as three files first, whatever its own layout)."""
     root = fresh_dir(spark, "stream_dedupe")
-    part = _t(spark, sf, "part")
-    src = (spark.readStream.schema(part.schema).option("pathGlobFilter", "part.parquet")
-           .option("maxFilesPerTrigger", 1).parquet(sf))
+    _t(spark, sf, "part").select("p_partkey", "p_name").repartition(3).write.parquet(f"{root}/part")
+    src = TB.stream_table(spark, f"{root}/part", max_files_per_trigger=1)
+
+    def build(batch):
+        words = batch.select("p_partkey", C.split_list("p_name", " ").alias("words"))
+        return D.exploded_dimension(words, "words", "genre_key", "genre_name")
+
+    TB.new_keys_stream(src, build, "genre_key", f"{root}/dim", f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/dim").drop("_batch_id")
+
+
+@query("stream_dedupe_stateful", f"""
+SELECT DISTINCT trim(w) AS genre_key, trim(w) AS genre_name
+FROM ({_WORDS_SQL}) t WHERE w IS NOT NULL""")
+def q_stream_dedupe_stateful(spark, sf):
+    """STR-03/04, AGG-09: the same with Spark's stateful ``dropDuplicates`` (no watermark)."""
+    root = fresh_dir(spark, "stream_dedupe_stateful")
+    _t(spark, sf, "part").select("p_partkey", "p_name").repartition(3).write.parquet(f"{root}/part")
+    src = TB.stream_table(spark, f"{root}/part", max_files_per_trigger=1)
     words = src.select("p_partkey", C.split_list("p_name", " ").alias("words"))
     dim = D.exploded_dimension(words, "words", "genre_key", "genre_name")
     TB.append_stream(dim, f"{root}/dim", f"{root}/_checkpoint").awaitTermination()

@@ -126,6 +126,11 @@ STREAMING_GOLD = {
 }
 
 
+# Streaming tables with one row per key (STR-03): kept by ``new_keys_stream``.
+ONE_ROW_PER_KEY = {"gold_dim_genre": "genre_key", "gold_dim_category": "category_key",
+                   "gold_dim_job": "job_key"}
+
+
 # Table comments of the star schema (catalog metadata, SNK-05).
 COMMENTS = {
     "gold_dim_person": "People, type-2 history of name, death year and professions",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -60,6 +62,38 @@ def checked_stream(source: DataFrame, project, rules, path: str, checkpoint: str
     return q
 
 
+def stored_batches(spark: SparkSession, path: str, before: int) -> DataFrame | None:
+    """Rows that earlier micro-batches stored at ``path``; None if there is no table yet."""
+    try:
+        return spark.read.parquet(path).filter(F.col("_batch_id") < before)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def new_keys_stream(source: DataFrame, build, key: str, path: str, checkpoint: str,
+                    available_now: bool = True):
+    """STR-03 / AGG-09 without state per row: a dimension with one row per ``key``, kept up to
+    date from a stream. Per micro-batch ``build`` reduces the rows to one per key (a distinct
+    that starts inside the tasks, so a key held by most rows sends one row per task), keys
+    stored by earlier batches are dropped by an anti-join to the small stored dimension, and
+    the rest overwrites the batch's own partition (a replay gives the same rows)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = build(batch)
+        stored = stored_batches(batch.sparkSession, path, batch_id)
+        if stored is not None:
+            known = stored.select(F.col(key).alias("_known"))
+            rows = rows.join(known, rows[key].eqNullSafe(known["_known"]), "left_anti")
+        (rows.withColumn("_batch_id", F.lit(batch_id).cast("long")).coalesce(1)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_batch_id").parquet(path))
+
+    w = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                   query_name: str | None = None):
     """SNK-01: append-only streaming table (parquet sink, exactly-once via checkpoint)."""

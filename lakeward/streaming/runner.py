@@ -15,8 +15,8 @@ from pyspark.sql import SparkSession
 from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
 from lakeward.plans.cleansed import PROJECTIONS
-from lakeward.sources.tables import (append_stream, checked_stream, read_lookup_csv, read_table,
-                                     stream_table, write_table)
+from lakeward.sources.tables import (append_stream, checked_stream, new_keys_stream,
+                                     read_lookup_csv, read_table, stream_table, write_table)
 from lakeward.sources.tsv import MALFORMED, folders_with_files
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout
 from lakeward.streaming.scd2_stream import apply_changes_stream
@@ -86,9 +86,13 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     for name, (source, build) in G.STREAMING_GOLD.items():
         src = layout.path("silver", source)
         if source in have:
-            gold[name] = append_stream(
-                build(stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
-                layout.path("gold", name), layout.checkpoint(name))
+            rows = stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER)
+            if name in G.ONE_ROW_PER_KEY:
+                gold[name] = new_keys_stream(rows, build, G.ONE_ROW_PER_KEY[name],
+                                             layout.path("gold", name), layout.checkpoint(name))
+            else:
+                gold[name] = append_stream(build(rows), layout.path("gold", name),
+                                           layout.checkpoint(name))
     names = layout.path("silver", "silver_name_basics")
     if "silver_name_basics" in have:
         gold["gold_dim_person"] = apply_changes_stream(

@@ -128,3 +128,21 @@ def test_absent_tables_fail_their_checks(spark):
 def test_no_tables_at_all(spark, tmp_path):
     layout = TableLayout(str(tmp_path / "empty"))
     assert load_tables(spark, layout) == {}
+
+
+def test_one_row_per_key_over_batches_with_a_partial_aggregate(spark, tmp_path):
+    """A key in every micro-batch, and NULL, are stored once; the batch is reduced inside the
+    tasks before rows move."""
+    root = str(tmp_path)
+    rows = [("hot", i) for i in range(50)] + [(None, 1), ("a", 2), (None, 3), ("b", 4)]
+    spark.createDataFrame(rows, "k string, v int").repartition(4).write.parquet(f"{root}/t")
+    build = lambda b: b.select("k").distinct()
+    TB.new_keys_stream(TB.stream_table(spark, f"{root}/t", max_files_per_trigger=1), build, "k",
+                       f"{root}/dim", f"{root}/ck").awaitTermination()
+    stored = spark.read.parquet(f"{root}/dim")
+    assert sorted(str(r.k) for r in stored.collect()) == ["None", "a", "b", "hot"]
+    from lakeward.operators.dims import exploded_dimension
+    d = exploded_dimension(spark.read.parquet(f"{root}/t").selectExpr("array(k) as ks"), "ks", "key", "name")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("hashpartitioning")
+    assert "HashAggregate" in plan[exchange:]
