@@ -147,3 +147,53 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def op3_personal_data(spark, sf_dir):
     """Query: personal data in all documents."""
     return personal_data(documents(spark, sf_dir))
+
+
+def _sql() -> str:
+    """The same in SQL: places from pieces and matches, checks on lists of digits."""
+    found = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+             "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "card": r"[0-9](?:[\x20-]?[0-9])+",
+             "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+             "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b"}
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = f"""list_sum(list_transform(range(0, length({digits})), lambda i: CASE WHEN i % 2 = 0
+      THEN CAST(substr({digits}, length({digits}) - i, 1) AS INT)
+      ELSE CAST(substr('0246813579', CAST(substr({digits}, length({digits}) - i, 1) AS INT) + 1, 1) AS INT) END)) % 10 = 0"""
+    turned = "substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4)"
+    numbers = (f"array_to_string(list_transform(regexp_extract_all({turned}, '.'), "
+               "lambda c: CASE WHEN ascii(c) < 58 THEN c ELSE CAST(ascii(c) - 55 AS VARCHAR) END), '')")
+    good = {"email": "true",
+            "ip": "list_sum(list_transform(string_split(m, '.'), lambda p: CASE WHEN length(ltrim(p, '0')) < 3 OR "
+                  "(length(ltrim(p, '0')) = 3 AND ltrim(p, '0') <= '255') THEN 0 ELSE 1 END)) = 0",
+            "card": f"CASE WHEN length({digits}) BETWEEN 13 AND 19 THEN {luhn} ELSE false END",
+            "phone": f"length({digits}) BETWEEN 9 AND 15"}
+    # An iban's number has up to 68 digits: the remainder goes digit by digit.
+    good["iban"] = (f"list_reduce(list_prepend(0, list_transform(regexp_extract_all({numbers}, '.'), lambda d: CAST(d AS INT))), "
+                    "lambda a, d: (a * 10 + d) % 97) = 1")
+    parts, unions = [], []
+    for n, (kind, pattern) in enumerate(found.items()):
+        parts.append(f"""{kind}_l AS (
+  SELECT rid, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d),
+{kind}_m AS (
+  SELECT rid, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, ms, ps FROM {kind}_l WHERE len(ms) > 0),
+{kind}_s AS (
+  SELECT rid, {n} AS n, '{kind}' AS kind, m,
+         CAST(list_sum(list_transform(ps[1:i], lambda x: length(x))) + list_sum(list_transform(ms[1:i], lambda x: length(x))) AS BIGINT) AS stop,
+         {SCORES[kind]} + CASE WHEN regexp_matches(lower(right(ps[i], {CONTEXT}) || ' ' || left(ps[i + 1], {CONTEXT})),
+                                '(^|[^a-z])({NEARBY[kind]})([^a-z]|$)') THEN 0.1::DOUBLE ELSE 0::DOUBLE END AS score
+  FROM {kind}_m WHERE {good[kind]})""")
+        unions.append(f"SELECT rid, n, kind, stop - length(m) AS start, stop, score FROM {kind}_s")
+    written = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY n, start)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+{', '.join(parts)},
+s AS ({' UNION ALL '.join(unions)}),
+a AS (SELECT rid, {counts}, {written} FILTER (WHERE n < {len(BASE)}) AS base, {written} AS spans, max(score) AS score
+      FROM s GROUP BY rid)
+SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(CAST(score AS DOUBLE), 0.0::DOUBLE) AS score
+FROM d LEFT JOIN a USING (rid)"""
+
+
+SQL = _sql()

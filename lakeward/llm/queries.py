@@ -10,4 +10,4 @@ QUERIES = {f.__name__: f for f in (
     quality.op5_quality_rules, url_filter.op6_url_filter, mixing.op7_source_mixing, packing.op8_best_fit_packing,
     lm_score.op9_lm_scores, exact_dedup.op10_exact_dedup)}
 
-ORACLE = {"op5_quality_rules": quality.SQL, "op7_source_mixing": mixing.SQL, "op10_exact_dedup": exact_dedup.SQL}
+ORACLE = {"op3_personal_data": personal_data.SQL, "op5_quality_rules": quality.SQL, "op7_source_mixing": mixing.SQL, "op10_exact_dedup": exact_dedup.SQL}

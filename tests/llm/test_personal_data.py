@@ -78,3 +78,14 @@ def test_main_path_is_native(docs):
 
 def test_empty(docs):
     assert D.personal_data(docs([])).collect() == []
+
+
+def test_sql_says_the_same(docs):
+    import duckdb
+    texts = [t for t in CASES + noise(2) + [r[1] for r in ODD + many(1, 10)] if t is None or len(t) < 3000]
+    texts += ["call my phone +1 (974) 555-3436", "my iban is DE89370400440532013000"]
+    table = docs(list(enumerate(texts)))
+    con = duckdb.connect()
+    con.register("documents", table.toPandas())
+    got = sorted((*r[:7], round(r[7], 9)) for r in con.execute(D.SQL).fetchall())
+    assert got == sorted((*r[:7], round(r[7], 9)) for r in map(tuple, D.personal_data(table).collect()))
