@@ -9,8 +9,8 @@ Words are ``[^\\x20\\x09-\\x0D]+``. Rules: ``short`` (n_words < 20) and ``repeat
 8-word windows found twice or more are over 30 % of words) are the base rules; ``symbols``
 (``#*$%&|<>`` per word over 0.3), ``dup_lines`` (over half of the lines with a word repeat an
 earlier line), ``shouting`` (over 60 % of ASCII letters are capitals), ``long_words`` (mean
-word over 40 code points) and ``no_letters`` (fewer letters than a third of word characters)
-are the method's; they are set to leave ordinary prose alone.
+word over 40 code points), ``no_letters`` (fewer letters than a third of word characters) and
+``runs`` (over half of the words equal the word before) are the method's; they are set to leave ordinary prose alone.
 
 Defined results: a null text is empty and has no word, so it fails ``short``; a text of any
 length is read whole; repeated rows are judged alike; an empty table gives an empty result;
@@ -19,6 +19,7 @@ extra columns are kept by ``keep_good`` whatever their names.
 
 from __future__ import annotations
 
+import operator
 import time
 from collections import Counter
 from functools import cached_property
@@ -75,6 +76,11 @@ class Text:
     def n_dup_lines(self) -> int:
         return len(self.lines) - len(set(self.lines))
 
+    @cached_property
+    def n_run_words(self) -> int:
+        """Words equal to the word before."""
+        return sum(map(operator.eq, self.words, self.words[1:]))
+
     @cached_property
     def capitals(self) -> int:
         return len(self.text) - self.without(CAPITALS)
@@ -119,6 +125,7 @@ def default_rules() -> dict:
         "shouting": lambda t: 10 * t.capitals > 6 * (t.capitals + len(t.text) - t.without(SMALL)),
         "long_words": lambda t: t.word_chars > 40 * t.n_words,
         "no_letters": lambda t: 3 * t.letters < t.word_chars,
+        "runs": lambda t: 2 * t.n_run_words > t.n_words,
     }
 
 
@@ -198,6 +205,7 @@ m AS (
   SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_run_words,
          len(ls) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper,
          length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower,
          length(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS beyond
@@ -205,7 +213,7 @@ m AS (
 v AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
          10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines OR 10 * upper > 6 * (upper + lower)
-         OR word_chars > 40 * n_words OR 3 * (upper + lower + beyond) < word_chars AS rejected FROM m)
+         OR word_chars > 40 * n_words OR 2 * n_run_words > n_words OR 3 * (upper + lower + beyond) < word_chars AS rejected FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT rejected AS kept FROM v
 """

@@ -23,12 +23,13 @@ def brute(text):
     upper, lower = sum("A" <= c <= "Z" for c in text), sum("a" <= c <= "z" for c in text)
     letters = upper + lower + sum(ord(c) > 127 for c in text)
     other = (10 * measures[2] > 3 * len(words) or 2 * measures[3] > len(lines) or 10 * upper > 6 * (upper + lower)
-             or measures[1] > 40 * len(words) or 3 * letters < measures[1])
+             or measures[1] > 40 * len(words) or 3 * letters < measures[1]
+             or 2 * sum(a == b for a, b in zip(words, words[1:])) > len(words))
     return (*measures, failed, not failed and not other)
 
 
 JUNK = [(900, "A! B! " * 30), (901, "x\ny\nx\nx\n" * 20 + "\n  \n"), (902, "$$$ ### " * 40), (903, "WORDS LOUD " * 3 + many(9, 1)[0][1].upper() * 2),
-        (904, "a b c d e f g h i j " * 4), (905, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21"), (906, "é" * 3000)]
+        (904, "a b c d e f g h i j " * 4), (905, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21"), (906, "é" * 3000), (907, " ".join(f"word{i // 6}" for i in range(60)))]
 
 
 def test_measures_and_verdict_match_brute_force_in_any_order(docs):
