@@ -48,7 +48,7 @@ def main(argv=None) -> None:
             runner.register_layout(spark, layout, a.database)
         print(json.dumps({"expectations": metrics, "audits": audits}, default=str))
     else:
-        from lakeward.plans.reports import gold_report, silver_report
+        from lakeward.plans.reports import gold_report, silver_report, title_type_distribution
         from lakeward.sources.tables import write_table
         tables = runner.load_tables(spark, layout)
         as_of = F.to_timestamp(F.lit(a.as_of)) if a.as_of else None
@@ -58,17 +58,23 @@ def main(argv=None) -> None:
             write_table(build(spark, tables, as_of), path)
             rows = spark.read.parquet(path).groupBy("status").count().collect()
             summary[name] = {row["status"]: row["count"] for row in rows}
+        types = title_type_distribution(tables)
+        if types is not None:
+            write_table(types, layout.path("qa", "qa_title_types"))
         print(json.dumps(summary))
 
 
 def size_partitions(spark, raw_root: str) -> dict:
-    """Initial shuffle partitions from the raw input size (file metadata only: the
-    ``binaryFile`` length column, content not read) and the cluster's parallelism; AQE
-    then coalesces to ~128 MB partitions."""
+    """Initial shuffle partitions from the size of one micro-batch (RAW_FILES_PER_TRIGGER files
+    of the mean size, from file metadata: the ``binaryFile`` length column, content not read)
+    and the cluster's parallelism; AQE then coalesces to ~128 MB partitions."""
     from lakeward.session import cluster_conf
+    from lakeward.streaming.runner import RAW_FILES_PER_TRIGGER
     try:
-        total = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(raw_root).agg(F.sum("length")).collect()[0][0]) or 0
+        size = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .load(raw_root).agg(F.sum("length").alias("total"), F.count(F.lit(1)).alias("files"))
+                .collect()[0])
+        total = (size["total"] or 0) * min(1.0, RAW_FILES_PER_TRIGGER / max(size["files"], 1))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":    # no raw files yet
             raise

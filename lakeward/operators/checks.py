@@ -120,10 +120,6 @@ def non_empty(check_id: str = "QA-11") -> Measure:
     return Measure(check_id, None, F.count(F.lit(1)), lambda m: m > 0, "> 0")
 
 
-def row_count(check_id: str = "AGG-01") -> Measure:
-    return Measure(check_id, None, F.count(F.lit(1)))
-
-
 def named_share(name: str, key: str, min_pct: float, check_id: str = "QA-16") -> Measure:
     """QA-16: % of rows whose name differs from the key (0 on an empty table)."""
     pct = F.coalesce(F.count_if(F.col(name) != F.col(key)) * F.lit(100.0)
@@ -155,12 +151,23 @@ def freshness(column: str, as_of: Column, max_hours: float, check_id: str = "QA-
 
 # ---- checks that shuffle ----------------------------------------------------------------
 
+def key_digest(df: DataFrame, keys: Sequence[str]) -> Column:
+    """SHA-256 of a key tuple: each part with its length (NULL apart from any text), so that
+    different tuples never read the same."""
+    parts = [F.coalesce(F.concat(F.length(df[k].cast("string")).cast("string"), F.lit(":"),
+                                 df[k].cast("string")), F.lit("-")) for k in keys]
+    return F.sha2(F.concat_ws(";", *parts), 256)
+
+
 def key_stats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """AGG-04/05 in one shuffle: total rows, distinct keys, surplus rows, duplicate groups.
 
     ``groupBy`` counts partially per task before the shuffle; NULL keys form a group
-    (as ``distinct`` does, unlike ``countDistinct``)."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    (as ``distinct`` does, unlike ``countDistinct``). Keys with a text column are shuffled as
+    their digest (``key_digest``), whatever the length of the text."""
+    wide = any(isinstance(f.dataType, T.StringType) for f in df.schema.fields if f.name in keys)
+    by = [key_digest(df, keys).alias("_key")] if wide else list(keys)
+    g = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     return g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_rows"),
                  F.count(F.lit(1)).alias("distinct_keys"),
                  F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("surplus_rows"),

@@ -72,11 +72,6 @@ def expect_warn(df: DataFrame, rules: Sequence[Rule], observation=None) -> DataF
     return expect(df, [Rule(r.name, r.predicate, WARN) for r in rules], observation)
 
 
-def expect_or_drop(df: DataFrame, rules: Sequence[Rule], observation=None) -> DataFrame:
-    """EXP-02: all rules drop."""
-    return expect(df, [Rule(r.name, r.predicate, DROP) for r in rules], observation)
-
-
 def observed_counts(obs: Observation, rules: Sequence[Rule]) -> list[dict]:
     """Read an ``Observation`` (after an action) into one dict per rule."""
     m = obs.get

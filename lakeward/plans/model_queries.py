@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeward.plans.raw_tables import RAW_SPECS
+from lakeward.plans.reports import gold_report, silver_report, title_type_distribution
 from lakeward.session import fresh_dir
 from lakeward.sources import tsv as S
 from lakeward.specs import CLEAN_SPECS, DEPARTMENTS, DEFAULT_DEPARTMENT, DROP, TableLayout
@@ -302,3 +303,169 @@ ORACLE["rule_counts"] = _with() + "\nUNION ALL ".join(
     [_counted(s.name, s.name, r) for s in RAW_SPECS for r in s.rules]
     + [f"SELECT '{s.name}', 'well_formed_record', 'warn', CAST(0 AS BIGINT), CAST(count(*) AS BIGINT) FROM {s.name}" for s in RAW_SPECS]
     + [_counted(s.name, f"typed_{s.name}", r) for s in CLEAN_SPECS for r in s.rules])
+
+
+# ---- the validation reports -------------------------------------------------------------------
+
+def _report_query(build):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        """QA-27 on the model's tables. Ages against the clock are not compared, their status
+        is; other metrics are rounded to six places."""
+        rows = build(spark, load_tables(spark, model_run(spark, sf)))
+        metric = F.when(~F.col("check_id").isin("QA-10", "QA-26"), F.round("metric", 6))
+        return rows.withColumn("metric", metric)
+    return run
+
+
+def _result(check: str, table: str, column: str | None, metric: str, ok: str | None, threshold: str,
+            source: str) -> str:
+    status = "'INFO'" if ok is None else f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END"
+    named = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
+    return (f"SELECT '{check}' AS check_id, '{table}' AS table_name, {named} AS column_name, {status} AS status, "
+            f"round(CAST({metric} AS DOUBLE), 6) AS metric, '{threshold}' AS threshold FROM {source}")
+
+
+def _violations(check: str, table: str, column: str, where: str) -> str:
+    return _result(check, table, column, "m", "m = 0", "= 0", f"(SELECT count(*) FILTER (WHERE {where}) AS m FROM g_{table}) x")
+
+
+def _fixed(check: str, table: str, column: str, threshold: str, metric: str = "0") -> str:
+    return _result(check, table, column, metric, "true", threshold, "(SELECT 1) x")
+
+
+def _surplus(check: str, table: str, keys: str) -> str:
+    return _result(check, table, keys, "m", "m = 0", "= 0",
+                   f"(SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM g_{table}) k) AS m FROM g_{table}) x")
+
+
+def _orphans(check: str, table: str, column: str, parent: str, key: str, skip_null: bool = False,
+             tolerance: float | None = None) -> str:
+    child = f"(SELECT {column} AS k FROM g_{table}" + (f" WHERE {column} IS NOT NULL" if skip_null else "") + ") c"
+    found = (f"(SELECT count(*) AS n, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM g_{parent} p WHERE p.{key} = c.k)) AS o "
+             f"FROM {child}) x")
+    name = f"{column}->{parent}.{key}"
+    if tolerance is None:
+        return _result(check, table, name, "o", "o = 0", "= 0", found)
+    share = "coalesce(o * 100.0::DOUBLE / nullif(n, 0), 0)"
+    return _result(check, table, name, share, f"{share} < {tolerance}", f"< {tolerance}", found)
+
+
+def _reconciled(check: str, up: str, table: str, metric: str, test: str) -> str:
+    return _result(check, table, None, metric, f"{metric} {test}", test,
+                   f"(SELECT (SELECT count(*) FROM g_{up}) AS u, (SELECT count(*) FROM g_{table}) AS d) x")
+
+
+def _report_sql(rows: list[str]) -> str:
+    tables = [f"g_{s.name} AS (SELECT * FROM {s.name})" for s in (*RAW_SPECS, *CLEAN_SPECS)]
+    tables += [f"g_{name} AS ({sql.strip()})" for name, sql in GOLD_SQL.items()]
+    return _with().rstrip() + ",\n" + ",\n".join(tables) + "\n" + "\nUNION ALL ".join(rows)
+
+
+_SILVER_NOT_NULL = [("name_basics", "nconst"), ("title_basics", "tconst"), ("title_ratings", "tconst"),
+                    ("title_episode", "tconst"), ("title_akas", "title_id"), ("title_principals", "tconst"),
+                    ("title_principals", "nconst"), ("title_crew", "tconst")]
+_SILVER_FORMATS = [("name_basics", "nconst", "nm"), ("title_basics", "tconst", "tt"), ("title_ratings", "tconst", "tt"),
+                   ("title_episode", "tconst", "tt"), ("title_principals", "tconst", "tt"), ("title_crew", "tconst", "tt"),
+                   ("title_akas", "title_id", "tt")]
+_SILVER_RANGES = [
+    ("name_basics", "birth_year", "birth_year <= 0"), ("name_basics", "death_year", "death_year <= 0"),
+    ("title_basics", "start_year", "start_year < 1850 OR start_year > 2035"),
+    ("title_basics", "end_year", "end_year < 1850 OR end_year > 2035"),
+    ("title_basics", "runtime_minutes", "runtime_minutes <= 0"),
+    ("title_ratings", "average_rating", "average_rating < 1.0 OR average_rating > 10.0"),
+    ("title_ratings", "num_votes", "num_votes <= 0")]
+_SILVER_TYPES = [
+    ("name_basics", "birth_year", "int"), ("name_basics", "death_year", "int"), ("title_basics", "start_year", "int"),
+    ("title_basics", "end_year", "int"), ("title_basics", "runtime_minutes", "int"), ("title_basics", "is_adult", "boolean"),
+    ("title_ratings", "average_rating", "double"), ("title_ratings", "num_votes", "int"),
+    ("title_episode", "season_number", "int"), ("title_episode", "episode_number", "int"), ("title_akas", "ordering", "int"),
+    ("title_akas", "is_original_title", "boolean"), ("title_principals", "ordering", "int")]
+_TITLE_TYPES = ("'movie', 'short', 'tvSeries', 'tvEpisode', 'tvMiniSeries', 'tvMovie', 'tvSpecial', 'tvShort', 'video', "
+                "'videoGame', 'tvPilot'")
+QUERIES["silver_report"] = _report_query(silver_report)
+ORACLE["silver_report"] = _report_sql(
+    [_violations("QA-02", f"silver_{t}", c, f"{c} IS NULL") for t, c in _SILVER_NOT_NULL]
+    + [_violations("QA-04", f"silver_{t}", c, f"NOT regexp_matches({c}, '^{p}[0-9]+$')") for t, c, p in _SILVER_FORMATS]
+    + [_violations("QA-05", f"silver_{t}", c, w) for t, c, w in _SILVER_RANGES]
+    + [_violations("QA-07", "silver_title_basics", "title_type", f"title_type NOT IN ({_TITLE_TYPES})"),
+       _violations("QA-08", "silver_title_episode", "tconst=parent_tconst", "tconst = parent_tconst"),
+       _orphans("QA-08", "silver_title_episode", "parent_tconst", "silver_title_basics", "tconst")]
+    + [_fixed("QA-10", s.name, "silver_processed_at", "< 24.0", "NULL") for s in CLEAN_SPECS]
+    + [_reconciled("QA-01", s.source, s.name, "(u - d) * 100.0::DOUBLE / u", "<= 5.0") for s in CLEAN_SPECS]
+    + [_fixed("QA-03", f"silver_{t}", c, f"{k}|{k}") for t, c, k in _SILVER_TYPES]
+    + [_fixed("QA-06", f"silver_{t}", c, "array") for t, c in (
+        ("title_basics", "genres"), ("name_basics", "primary_professions"), ("title_crew", "directors"))]
+    + [_surplus("QA-09", f"silver_{t}", k) for t, k in (
+        ("name_basics", "nconst"), ("title_basics", "tconst"), ("title_ratings", "tconst"), ("title_crew", "tconst"),
+        ("title_akas", "title_id,ordering"), ("title_principals", "tconst,ordering"))])
+
+_GOLD_NON_EMPTY = ("person", "genre", "category", "job", "region", "language", "title_alternates")
+_GOLD_RULES = [
+    ("QA-14", "gold_dim_genre", "genre_key", "genre_key IS NULL"),
+    ("QA-15", "gold_dim_category", "department", "department NOT IN ('cast', 'directing', 'production', 'writing', 'other')"),
+    ("QA-17", "gold_fact_ratings", "average_rating", "average_rating < 1.0 OR average_rating > 10.0"),
+    ("QA-17", "gold_fact_ratings", "num_votes", "num_votes <= 0"), ("QA-14", "gold_fact_ratings", "tconst", "tconst IS NULL"),
+    ("QA-17", "gold_fact_episodes", "season_number", "season_number < 0"),
+    ("QA-17", "gold_fact_episodes", "episode_number", "episode_number < 0"),
+    ("QA-18", "gold_fact_episodes", "episode_tconst=series_tconst", "episode_tconst = series_tconst"),
+    ("QA-14", "gold_fact_title_credits", "tconst", "tconst IS NULL"),
+    ("QA-14", "gold_fact_title_credits", "nconst", "nconst IS NULL"),
+    ("QA-17", "gold_fact_title_credits", "ordering", "ordering <= 0"),
+    ("QA-14", "gold_bridge_title_genre", "tconst", "tconst IS NULL"),
+    ("QA-14", "gold_bridge_title_genre", "genre_key", "genre_key IS NULL")]
+_RATING_FACTS = [("avg_rating", "avg(average_rating)"), ("min_rating", "min(average_rating)"),
+                 ("max_rating", "max(average_rating)"), ("avg_votes", "avg(num_votes)"), ("total_votes", "sum(num_votes)")]
+_NAMED = "coalesce(count(*) FILTER (WHERE region_name <> region_key) * 100.0::DOUBLE / nullif(count(*), 0), 0)"
+_PERSON = "(SELECT count(*) AS n, count(DISTINCT nconst) AS k FROM g_gold_dim_person) x"
+QUERIES["gold_report"] = _report_query(gold_report)
+ORACLE["gold_report"] = _report_sql(
+    [_result("QA-11", t, None, "n", "n > 0", "> 0", f"(SELECT count(*) AS n FROM g_{t}) x") for t in (
+        *(f"gold_dim_{n}" for n in _GOLD_NON_EMPTY), "gold_fact_episodes", "gold_fact_title_credits",
+        "gold_bridge_title_genre")]
+    + [_violations(*r) for r in _GOLD_RULES]
+    + [_result("QA-16", "gold_dim_region", "region_name", "m", "m >= 80.0", ">= 80.0",
+               f"(SELECT {_NAMED} AS m FROM g_gold_dim_region) x")]
+    + [_result("QA-23", t, c, "m", None, "", f"(SELECT count(\"{c}\") * 100.0::DOUBLE / count(*) AS m FROM g_{t}) x")
+       for t, c in (("gold_dim_title", "primaryTitle"), ("gold_dim_title", "titleType"), ("gold_dim_title", "startYear"),
+                    ("gold_dim_person", "primaryName"), ("gold_dim_person", "birthYear"),
+                    ("gold_dim_person", "primaryProfession"))]
+    + [_result("QA-24", "gold_fact_ratings", name, "m", None, "", f"(SELECT {value} AS m FROM g_gold_fact_ratings) x")
+       for name, value in _RATING_FACTS]
+    + [_fixed("QA-26", t, "load_dt", "< 24.0", "NULL") for t in (
+        "gold_dim_title", "gold_dim_genre", "gold_dim_category", "gold_dim_region", "gold_dim_language",
+        "gold_dim_title_alternates", "gold_bridge_title_genre", "gold_fact_ratings", "gold_fact_episodes",
+        "gold_fact_title_credits")]
+    + [_reconciled("QA-13", "silver_title_basics", "gold_dim_title", "d * 100.0::DOUBLE / u", ">= 95.0"),
+       _reconciled("QA-13", "silver_title_ratings", "gold_fact_ratings", "d * 100.0::DOUBLE / u", ">= 99.0"),
+       _orphans("QA-19", "gold_bridge_title_genre", "genre_key", "gold_dim_genre", "genre_key"),
+       _orphans("QA-20", "gold_dim_title_alternates", "region_key", "gold_dim_region", "region_key", True),
+       _orphans("QA-20", "gold_dim_title_alternates", "language_key", "gold_dim_language", "language_key", True),
+       _orphans("QA-20", "gold_fact_ratings", "tconst", "gold_dim_title", "tconst"),
+       _orphans("QA-20", "gold_fact_episodes", "episode_tconst", "gold_dim_title", "tconst"),
+       _orphans("QA-20", "gold_fact_episodes", "series_tconst", "gold_dim_title", "tconst"),
+       _orphans("QA-20", "gold_fact_title_credits", "tconst", "gold_dim_title", "tconst"),
+       _orphans("QA-20", "gold_fact_title_credits", "nconst", "gold_dim_person", "nconst", False, 1.0),
+       _orphans("QA-20", "gold_fact_title_credits", "category_key", "gold_dim_category", "category_key"),
+       _surplus("QA-19", "gold_bridge_title_genre", "tconst,genre_key")]
+    + [_surplus("QA-25", t, k) for t, k in (
+        ("gold_dim_title", "tconst"), ("gold_dim_genre", "genre_key"), ("gold_dim_category", "category_key"),
+        ("gold_dim_job", "job_key"), ("gold_dim_region", "region_key"), ("gold_dim_language", "language_key"),
+        ("gold_dim_title_alternates", "alternate_key"), ("gold_fact_ratings", "tconst"))]
+    + [_fixed("QA-12", "gold_dim_person", "__START_AT,__END_AT", "all present"),
+       _fixed("QA-12", "gold_dim_person", "primaryName,deathYear,primaryProfession", "all present"),
+       _result("QA-21", "gold_dim_person", "current_rows", "n", "n > 0", "> 0", _PERSON),
+       _result("QA-21", "gold_dim_person", "historical_rows", "0", None, "", _PERSON),
+       _result("QA-21", "gold_dim_person", "total_rows", "n", None, "", _PERSON),
+       _result("QA-21", "gold_dim_person", "distinct_keys", "k", None, "", _PERSON),
+       _fixed("QA-22", "gold_dim_person", "overlap_pairs", "= 0"),
+       _fixed("QA-22", "gold_dim_person", "strict_overlaps", "= 0")])
+
+
+def q_title_types(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-08: the value distribution of the raw -> cleansed suite."""
+    return title_type_distribution(load_tables(spark, model_run(spark, sf), ["silver_title_basics"]))
+
+
+QUERIES["title_types"] = q_title_types
+ORACLE["title_types"] = _with() + ("SELECT title_type, count(*) AS \"count\" FROM silver_title_basics "
+                                   "GROUP BY title_type ORDER BY count(*) DESC, title_type LIMIT 15")

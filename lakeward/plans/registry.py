@@ -21,8 +21,8 @@ from lakeward.operators import checks as K
 from lakeward.operators import dims as D
 from lakeward.operators import facts as FA
 from lakeward.operators.expectations import expect, rule_metrics
-from lakeward.operators.scd2 import (reference_overlaps, scd2_history, split_counts,
-                                     strict_overlaps)
+from lakeward.operators.scd2 import (closed_rows, current_rows, reference_overlaps, scd2_history,
+                                     split_counts, strict_overlaps)
 from lakeward.plans import model_queries as M
 from lakeward.session import fresh_dir
 from lakeward.sources import tables as TB
@@ -533,6 +533,18 @@ def q_scd2_history(spark, sf):
     return _scd(spark, sf)
 
 
+@query("scd2_current", f'SELECT * FROM ({_SCD_SQL}) h WHERE "__END_AT" IS NULL')
+def q_scd2_current(spark, sf):
+    """SCD-04: open versions of the flagship history."""
+    return current_rows(_scd(spark, sf))
+
+
+@query("scd2_closed", f'SELECT * FROM ({_SCD_SQL}) h WHERE "__END_AT" IS NOT NULL')
+def q_scd2_closed(spark, sf):
+    """SCD-04: closed versions of the flagship history."""
+    return closed_rows(_scd(spark, sf))
+
+
 @query("scd2_stream", _SCD_SQL)
 def q_scd2_stream(spark, sf):
     """SCD-02, STR-06: the same history maintained from a stream fed out of order
@@ -700,6 +712,36 @@ def q_column_types(spark, sf):
     return K.result_rows(spark, rows)
 
 
+_SCHEMA_EXPECT = [("orders", "o_orderkey", "bigint"), ("orders", "o_totalprice", "double"),
+                  ("orders", "o_custkey", "string"), ("lineitem", "l_linenumber", "int"),
+                  ("lineitem", "l_shipmode", "string"), ("documents", "text", "string"),
+                  ("part", "p_size", "int"), ("labels", "doc_id", "bigint")]
+
+
+@query("schema_checks", f"""
+WITH e(table_name, column_name, want) AS (VALUES {', '.join(map(str, _SCHEMA_EXPECT))}),
+a AS (SELECT DISTINCT table_name, column_name,
+             CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+                            WHEN 'DOUBLE' THEN 'double' ELSE lower(data_type) END AS got
+      FROM information_schema.columns),
+j AS (SELECT e.*, coalesce(got, 'NOT_FOUND') AS got FROM e LEFT JOIN a USING (table_name, column_name)),
+v AS (SELECT count(*) AS n FROM information_schema.columns
+      WHERE table_name = 'embeddings' AND column_name = 'embedding' AND data_type LIKE '%[]')
+SELECT 'QA-03' AS check_id, table_name, column_name, CASE WHEN want = got THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN want = got THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS metric, want || '|' || got AS threshold FROM j
+UNION ALL SELECT 'QA-06', 'embeddings', 'embedding', CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END,
+       CASE WHEN n > 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END, 'array' FROM v
+UNION ALL SELECT 'QA-12', 'labels', 'quality,toxic', CASE WHEN count(*) = 2 THEN 'PASS' ELSE 'FAIL' END,
+       CAST(2 - count(*) AS DOUBLE), 'all present' FROM (SELECT DISTINCT column_name FROM information_schema.columns
+       WHERE table_name = 'labels' AND column_name IN ('quality', 'toxic')) c""")
+def q_schema_checks(spark, sf):
+    """QA-03, QA-06, QA-12 on the stored tables' own schemas (the oracle asks DuckDB's)."""
+    rows = [r for t, c, want in _SCHEMA_EXPECT for r in K.column_types(_t(spark, sf, t), t, {c: want})]
+    rows += K.array_columns(_t(spark, sf, "embeddings"), "embeddings", ["embedding"])
+    rows += K.required_columns(_t(spark, sf, "labels"), "labels", ["quality", "toxic"])
+    return K.result_rows(spark, rows)
+
+
 _CUSTOMER_NAMES_SQL = """
 SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'Cust-' || CAST(c_custkey AS VARCHAR)
                        WHEN c_custkey % 17 = 0 THEN NULL ELSE c_name END AS c_name

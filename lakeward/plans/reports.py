@@ -129,6 +129,12 @@ def distribution(df: DataFrame, column: str, n: int = 15) -> DataFrame:
             .orderBy(F.desc("count"), F.asc(column)).limit(n))
 
 
+def title_type_distribution(tables: dict) -> DataFrame | None:
+    """The value distribution that goes with the raw -> cleansed suite: title types by count."""
+    titles = tables.get("silver_title_basics")
+    return None if titles is None else distribution(titles, "title_type")
+
+
 GOLD_FRESH = ["gold_dim_title", "gold_dim_genre", "gold_dim_category", "gold_dim_region",
               "gold_dim_language", "gold_dim_title_alternates", "gold_bridge_title_genre",
               "gold_fact_ratings", "gold_fact_episodes", "gold_fact_title_credits"]
@@ -235,6 +241,7 @@ def scd2_report(history: DataFrame, keys, table: str = "gold_dim_person") -> Dat
         row("QA-21", "current_rows", F.col("current_rows"), F.col("current_rows") > 0, "> 0"),
         row("QA-21", "historical_rows", F.col("historical_rows"), None, ""),
         row("QA-21", "total_rows", F.col("total_rows"), None, ""),
+        row("QA-21", "distinct_keys", F.col("distinct_keys"), None, ""),
         row("QA-22", "overlap_pairs", F.col("pairs"), F.col("pairs") == 0, "= 0"),
         row("QA-22", "strict_overlaps", F.col("overlaps"), F.col("overlaps") == 0, "= 0"))
     return j.select(F.explode(rows).alias("r")).select("r.*")

@@ -15,6 +15,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
+    """SRC-09: full batch read of a table by its catalog name, without the columns that only
+    say where a row is stored."""
+    return spark.table(name).drop("_kb", "_batch_id")
+
+
 def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """SRC-07: incremental read of an upstream append-only table."""
