@@ -251,10 +251,17 @@ def spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, width: int
     kinds = save(cut.groupBy("core", "flanks").agg(F.min(start).alias("start"), F.max(start).alias("end")), "kinds")
     sizes = save(kinds.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                  .select(F.col("core").alias("_core"), "n"), "cores")
-    differ = cut.join(sizes, F.col("core") == F.col("_core")).select("core", "flanks", "lf", "rf", "n", start.alias("start"))
-    members = differ.groupBy("core", "flanks").agg(F.first("lf").alias("lf"), F.first("rf").alias("rf"),
-                                                   F.first("n").alias("n"), F.min("start").alias("start"))
-    members = save(members, "members")
+    # Flanks of the first occurrence of each kind, found by its own place: no hot key.
+    firsts = kinds.join(sizes, F.col("core") == F.col("_core")).select(
+        F.col("core").alias("_core"), F.col("flanks").alias("_flanks"), "n", "start",
+        F.col("start.k").alias("_key"), F.col("start.p").alias("_pos"))
+    firsts = save(firsts, "firsts")
+    place = ["_core", "_flanks", "_key", "_pos"]
+    members = cut.join(firsts, (F.col("core") == F.col("_core")) & (F.col("flanks") == F.col("_flanks"))
+                       & (F.col("key") == F.col("_key")) & (F.col("pos") == F.col("_pos")))
+    members = members.groupBy(*place).agg(*[F.first(c).alias(c) for c in ("lf", "rf", "n", "start")])
+    members = save(members.select(F.col("_core").alias("core"), F.col("_flanks").alias("flanks"),
+                                  "lf", "rf", "n", "start"), "members")
     some = _by_gathering(members.where(F.col("n") <= max_members), width, later)
     some = some.unionByName(_by_counting(members.where(F.col("n") > max_members), width, later))
     some = save(some.select(F.col("core").alias("_core"), F.col("flanks").alias("_flanks"), "least", "most"), "repeated")
