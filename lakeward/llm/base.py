@@ -70,6 +70,14 @@ def repeat_rows(docs: DataFrame, copies: DataFrame) -> DataFrame:
     return one.unionByName(many).select("row", every).select("row.*")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by the keys into the session's number of shuffle partitions, sorted by them.
+    The number is given, so that adaptive execution does not merge small partitions whose
+    work is large."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Rows of each key from batches sorted by their first ``keys`` columns."""
     held: list[pa.RecordBatch] = []

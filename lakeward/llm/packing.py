@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import doc_id_of, documents, save, ship, sorted_groups, text_of
+from .base import doc_id_of, documents, save, ship, sorted_groups, spread, text_of
 
 SEQUENCE = 2048
 GROUP = 8192
@@ -199,7 +199,7 @@ def _packed(rows: DataFrame, group_rows: int, room: int, number: int) -> DataFra
     """One round: ``rows`` with sequence_id, offset and fill of their sequence."""
     groups = -(-rows.count() // group_rows) or 1
     dealt = rows.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    dealt = dealt.select("group", *rows.columns).repartition("group").sortWithinPartitions("group")
+    dealt = spread(dealt.select("group", *rows.columns), "group")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + \
         ", sequence_id long, offset long, fill long"
 

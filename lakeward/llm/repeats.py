@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import doc_id_of, documents, save, ship, sorted_groups, text_key, text_of
+from .base import doc_id_of, documents, save, ship, sorted_groups, spread, text_key, text_of
 
 LENGTH = 400
 GRAM = 32
@@ -176,8 +176,8 @@ def repeated_starts(lefts: list[bytes], rights: list[bytes], ranks: list, need:
 
 
 def _by_gathering(members: DataFrame, width: int, later: bool) -> DataFrame:
-    spread = (members.select("core", "flanks", "lf", "rf", F.col("start.d").alias("d"), F.col("start.k").alias("k"),
-                             F.col("start.p").alias("p")).repartition("core").sortWithinPartitions("core"))
+    dealt = spread(members.select("core", "flanks", "lf", "rf", F.col("start.d").alias("d"),
+                                  F.col("start.k").alias("k"), F.col("start.p").alias("p")), "core")
 
     def work(batches):
         for t in sorted_groups(batches, 1):
@@ -193,7 +193,7 @@ def _by_gathering(members: DataFrame, width: int, later: bool) -> DataFrame:
                      pa.array([got[i][0] for i in hit], pa.int64()), pa.array([got[i][1] for i in hit], pa.int64())],
                     ["core", "flanks", "least", "most"])
 
-    return spread.mapInArrow(work, "core binary, flanks long, least long, most long")
+    return dealt.mapInArrow(work, "core binary, flanks long, least long, most long")
 
 
 def _by_counting(members: DataFrame, width: int, later: bool) -> DataFrame:

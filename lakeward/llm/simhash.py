@@ -33,7 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import doc_id_of, documents, repeat_rows, save, ship, sorted_groups, text_key, text_of
+from .base import (doc_id_of, documents, repeat_rows, save, ship, sorted_groups, spread,
+                   text_key, text_of)
 from .components import component_labels
 
 SHINGLE = 4
@@ -116,8 +117,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFra
     chunks = F.ceil(F.col("n") / tile).cast("int")
     mine = F.pmod(F.xxhash64("fp"), chunks).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), chunks - 1), lambda o: F.least(o, mine) * chunks + F.greatest(o, mine))
-    tiled = met.select("list", F.explode(pairs).alias("tile"), "fp")
-    spread = tiled.repartition("list", "tile").sortWithinPartitions("list", "tile")
+    tiled = spread(met.select("list", F.explode(pairs).alias("tile"), "fp"), "list", "tile")
 
     def work(batches):
         for rows in sorted_groups(batches, 2):
@@ -126,7 +126,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, tile: int = TILE) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    return spread.mapInArrow(work, "a long, b long")
+    return tiled.mapInArrow(work, "a long, b long")
 
 
 def labelled(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
