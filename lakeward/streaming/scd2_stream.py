@@ -81,6 +81,9 @@ class Scd2Writer:
         self.paths.append((int(batch_id), mode))
         self._record(spark, batch_id, touched, max_seq, seq_type, state)
 
+    # Both writes are dealt by bucket first (``rebalance``: small buckets share a task, a large
+    # one is split), so that a bucket is a few files, not one from every task.
+
     def append_log(self, batch: DataFrame, batch_id: int, applied_max=None) -> tuple:
         """Step 1: (over)write this batch's log partitions; return the touched buckets, the
         smallest sequence, the row count and the rows not newer than ``applied_max`` —
@@ -92,7 +95,7 @@ class Scd2Writer:
         (batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
          .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"), F.min(self.seq).alias("mn"),
                   F.count(F.lit(1)).alias("n"), late.alias("late"))
-         .withColumn(BATCH, F.lit(batch_id).cast("long"))
+         .withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", KEY_BUCKET)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
         m = obs.get
@@ -118,7 +121,7 @@ class Scd2Writer:
         written (observed on the write itself)."""
         obs = Observation(f"scd2_written_{id(hist)}")
         (hist.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
-         .observe(obs, F.max(self.seq).alias("mx"))
+         .observe(obs, F.max(self.seq).alias("mx")).hint("rebalance", KEY_BUCKET)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET).parquet(self.target))
         return obs.get.get("mx")
@@ -191,8 +194,10 @@ class Scd2Writer:
         are instead rebuilt from their whole change log."""
         from lakeward.operators.scd2 import END, START
         from lakeward.operators.segmented import _null_safe_join
-        new = (self._read(spark, self.change_log, touched)
-               .filter(F.col(BATCH) == batch_id).drop(KEY_BUCKET, BATCH))
+        # The batch's own folders by name: no listing of other batches.
+        own = [f"{p}/{BATCH}={int(batch_id)}" for p in self._paths(self.change_log, touched)]
+        new = (spark.read.option("basePath", self.change_log).parquet(*own)
+               .drop(KEY_BUCKET, BATCH))
         cols = new.columns
         tgt = self._target_in(spark, touched).drop(KEY_BUCKET)
 
