@@ -142,8 +142,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     least = save(least.join(labels, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"), "least"),
                  "classes")
-    ids = least.groupBy("label").agg(F.min("least").alias("component_id"))
-    ids = save(least.join(ids, "label").select(F.col("fp").alias("_fp"), "component_id"), "ids")
+    # Written first: a join of two tables can have its skewed partitions split.
+    ids = save(least.groupBy(F.col("label").alias("_label")).agg(F.min("least").alias("component_id")), "components")
+    ids = save(least.join(ids, F.col("label") == F.col("_label")).select(F.col("fp").alias("_fp"), "component_id"), "ids")
     return rows.join(ids, F.col("fp") == F.col("_fp"), "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -156,8 +157,9 @@ def drop_near(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     kinds = rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"),
                                    F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "sha")).alias("best"))
     kinds = save(kinds.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "classes")
-    best = kinds.groupBy("label").agg(F.sum("n").alias("size"), F.min("best").alias("best")).where("size > 1")
-    multi = save(best.join(kinds.select("label", "fp"), "label").select(
+    best = save(kinds.groupBy(F.col("label").alias("_label")).agg(F.sum("n").alias("size"), F.min("best").alias("best"))
+                .where("size > 1"), "components")
+    multi = save(kinds.select("label", "fp").join(best, F.col("label") == F.col("_label")).select(
         "fp", F.col("best.doc_id").alias("b_id"), F.col("best.sha").alias("b_sha")), "kept")
     stays = F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("sha") == F.col("b_sha"))
     told = rows.join(multi.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp"), "left")
