@@ -114,7 +114,6 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool
 def register_table(spark: SparkSession, name: str, path: str, comment: str = "",
                    properties: dict | None = None) -> None:
     """SNK-05: expose a stored table in the catalog with its comment and layer label."""
-    # A partitioned table on a Hive catalog knows no partition until they are recovered.
     props = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     sql = f"CREATE TABLE {name} USING parquet LOCATION '{path}'"
@@ -123,6 +122,6 @@ def register_table(spark: SparkSession, name: str, path: str, comment: str = "",
     if props:
         sql += f" TBLPROPERTIES ({props})"
     spark.sql(sql)
-    hive = spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive"
-    if hive and any(c.isPartition for c in spark.catalog.listColumns(name)):
+    # The catalog knows no partition of a table that is already there until they are recovered.
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)

@@ -187,6 +187,12 @@ def test_register_layout(layered, spark):
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES lw_test.silver_title_akas").collect()}
     assert props["quality"] == "silver"
     assert spark.table("lw_test.gold_dim_genre").count() == 3
+    # every table, partitioned ones too, reads whole by its catalog name
+    from lakeward.sources.tables import read_catalog_table
+    stored = layered[3]
+    for name in ("bronze_title_crew", "silver_title_akas", "gold_dim_person", "gold_fact_ratings"):
+        df = read_catalog_table(spark, f"lw_test.{name}")
+        assert df.count() == stored[name].count() and not {"_kb", "_batch_id"} & set(df.columns)
 
 
 def test_streaming_gold_equals_batch_builders(layered, spark):
