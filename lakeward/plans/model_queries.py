@@ -143,10 +143,20 @@ def comparable(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields if f.name not in STAMPS])
 
 
+# What each table's query exercises (for the operator index).
+IDS = {spec.name: f"BR-{i}, SRC-01..06, SNK-01" for i, spec in enumerate(RAW_SPECS, 1)}
+IDS |= {spec.name: f"SV-{i}, PRJ-01..13, EXP-01..03, SRC-07" for i, spec in enumerate(CLEAN_SPECS, 1)}
+IDS |= {"gold_dim_person": "GD-01/02, SCD-02/03, STR-06, SNK-03/04", "gold_dim_title": "GD-03",
+        "gold_dim_genre": "GD-04, STR-03/04", "gold_dim_category": "GD-05, STR-03", "gold_dim_job": "GD-06, STR-03",
+        "gold_dim_region": "GD-07, STR-05, SRC-08/10, SNK-02", "gold_dim_language": "GD-08, STR-05, SRC-08/10, SNK-02",
+        "gold_dim_title_alternates": "GD-09", "gold_bridge_title_genre": "GD-10", "gold_fact_ratings": "GD-11",
+        "gold_fact_episodes": "GD-12", "gold_fact_title_credits": "GD-13"}
+
+
 def _table_query(name: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return comparable(load_tables(spark, model_run(spark, sf), [name])[name])
-    run.__doc__ = f"{name} of the model, from raw files through all layers."
+    run.__doc__ = f"{IDS[name]}: {name} of the model, from raw files through all layers."
     return run
 
 
@@ -307,13 +317,13 @@ ORACLE["rule_counts"] = _with() + "\nUNION ALL ".join(
 
 # ---- the validation reports -------------------------------------------------------------------
 
-def _report_query(build):
+def _report_query(build, ids: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        """QA-27 on the model's tables. Ages against the clock are not compared, their status
-        is; other metrics are rounded to six places."""
         rows = build(spark, load_tables(spark, model_run(spark, sf)))
         metric = F.when(~F.col("check_id").isin("QA-10", "QA-26"), F.round("metric", 6))
         return rows.withColumn("metric", metric)
+    run.__doc__ = (f"{ids}, QA-27 on the model's tables. Ages against the clock are not compared, their status is; "
+                   "other metrics are rounded to six places.")
     return run
 
 
@@ -382,7 +392,7 @@ _SILVER_TYPES = [
     ("title_akas", "is_original_title", "boolean"), ("title_principals", "ordering", "int")]
 _TITLE_TYPES = ("'movie', 'short', 'tvSeries', 'tvEpisode', 'tvMiniSeries', 'tvMovie', 'tvSpecial', 'tvShort', 'video', "
                 "'videoGame', 'tvPilot'")
-QUERIES["silver_report"] = _report_query(silver_report)
+QUERIES["silver_report"] = _report_query(silver_report, "QA-01..10, SET-01")
 ORACLE["silver_report"] = _report_sql(
     [_violations("QA-02", f"silver_{t}", c, f"{c} IS NULL") for t, c in _SILVER_NOT_NULL]
     + [_violations("QA-04", f"silver_{t}", c, f"NOT regexp_matches({c}, '^{p}[0-9]+$')") for t, c, p in _SILVER_FORMATS]
@@ -417,7 +427,7 @@ _RATING_FACTS = [("avg_rating", "avg(average_rating)"), ("min_rating", "min(aver
                  ("max_rating", "max(average_rating)"), ("avg_votes", "avg(num_votes)"), ("total_votes", "sum(num_votes)")]
 _NAMED = "coalesce(count(*) FILTER (WHERE region_name <> region_key) * 100.0::DOUBLE / nullif(count(*), 0), 0)"
 _PERSON = "(SELECT count(*) AS n, count(DISTINCT nconst) AS k FROM g_gold_dim_person) x"
-QUERIES["gold_report"] = _report_query(gold_report)
+QUERIES["gold_report"] = _report_query(gold_report, "QA-11..26, AGG-07, SET-01")
 ORACLE["gold_report"] = _report_sql(
     [_result("QA-11", t, None, "n", "n > 0", "> 0", f"(SELECT count(*) AS n FROM g_{t}) x") for t in (
         *(f"gold_dim_{n}" for n in _GOLD_NON_EMPTY), "gold_fact_episodes", "gold_fact_title_credits",
