@@ -1,4 +1,22 @@
-"""Rows that several tests use."""
+"""Rows and the fixture that several tests use (a module of its own: the tests above this folder
+import their own ``conftest`` by name)."""
+
+import pytest
+from pyspark.sql import types as T
+
+DOCUMENTS = T.StructType([T.StructField(n, t) for n, t in (
+    ("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()),
+    ("n_chars", T.LongType()))])
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Makes a documents table of (doc_id, text) or (doc_id, text, source) rows."""
+    def make(rows, schema=DOCUMENTS):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or "")) for r in rows]
+        return spark.createDataFrame(full, schema)
+    return make
+
 
 #: Nulls, empty texts, white space, repeated rows, ties.
 ODD = [(1, None), (2, ""), (3, " \t\n\x0b\x0c\r"), (4, "one"), (4, "one"), (5, "one "), (None, "one"), (None, None),

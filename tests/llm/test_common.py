@@ -3,7 +3,7 @@ and tables whose columns are all null."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 from lakeward.llm import (exact_dedup, licences, lm_score, mixing, packing, personal_data, quality, queries,
                           repeats, simhash, url_filter)
 

@@ -2,7 +2,7 @@ import hashlib
 from collections import defaultdict
 
 from lakeward.llm import exact_dedup as X
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 
 def brute(rows):

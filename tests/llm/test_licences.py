@@ -2,7 +2,7 @@ import random
 import re
 
 from lakeward.llm import licences as L
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeward.llm import lm_score as S
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 
 def tokens(text):

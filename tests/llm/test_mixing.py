@@ -3,7 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from lakeward.llm import mixing as M
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 
 def size(text):

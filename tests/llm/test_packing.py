@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from lakeward.llm import packing as P
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 TEXTS = ["", "It's DON'T we'll 'd ''s !'s", "<|endoftext|> a<|startoftext|>b", "a\x1cb\x85c\xa0d　e", "é é ÀÉÎ ß ẞ İ ı",
          "ΑΣ ΣΑΣ σς ΟΔΟΣ", "日本語 한국 \U0001f600\U0001f44d\U0001f3fd", "1234 5.6 v2_0 a_b", "“quotes” – dash… •", "x" * 5000,

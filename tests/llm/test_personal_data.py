@@ -3,7 +3,7 @@ import random
 import re
 
 from lakeward.llm import personal_data as D
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 CONTRACT = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
             ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

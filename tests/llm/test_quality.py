@@ -5,7 +5,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from lakeward.llm import quality as Q
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeward.llm import repeats as R
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 
 def brute(rows, length, keep="none"):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm import components as C
 from lakeward.llm import simhash as S
-from conftest_llm import ODD, many
+from conftest_llm import ODD, docs, many  # noqa: F401
 
 
 def plain_fingerprint(text):
