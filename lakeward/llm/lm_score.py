@@ -8,17 +8,25 @@ Counts: every training token is counted (partial counts in the tasks, then a shu
 the table of all words stays distributed. The ``KNOWN`` most frequent words of at most
 ``LONGEST`` bytes, a bounded table, go to the tasks.
 
-Model: classes are the ``CLASSES - 2`` most frequent words, the end, and all other words. The
-numbers of all pairs of neighbouring classes in the training documents, at most CLASSES^2, are
-what training needs of the corpus: minibatches are drawn from them, with noise classes from
-the unigram distribution. A class following h has score  q . r_h + b ; NCE tells true pairs
-from noise by that score as a log-probability. The scores of all classes after each class come
-from one matrix product and are normalised, so token probabilities sum to one. A word outside
-the classes has the probability of "other" times its smoothed share, (c + 0.1) over the sum of
-that over other words and one unseen one.
+Model: classes are the ``CLASSES - 2`` most frequent words, the end, and all other words. As a
+context, an other word counts as one of ``HASHED`` classes by its hash. The numbers of all pairs
+of context and class in the training documents are what training needs of the corpus: each step
+takes the expected NCE gradient over all of them (and over all noise classes, from the unigram
+distribution), so that every training pair counts in every step at any corpus size. A class
+following h has score  q . r_h + b ; NCE tells true pairs from noise by that score as a
+log-probability. The scores of all classes after each context come from one matrix product and
+are normalised.
+
+Other words: each word of the training texts, however many there are, has parameters of its own,
+one for each of ``GROUPS`` groups of contexts (by likeness of what follows them). Its share among
+other words after a context of group g is (n(w, g) + s p(w)) / (n(g) + s): its number after the
+group, where NCE without a tie between words has its optimum, drawn to its smoothed share p(w),
+(c + 0.1) over the sum of that over other words and one unseen one. The strength s is that of
+``STRENGTHS`` with the greatest leave-one-out likelihood. The shares sum to one, and with them
+all token probabilities after any context.
 
 Scoring: tasks score all tokens they know and give the rest, words beyond KNOWN, as (document,
-word, n) rows, which meet the distributed table of words in a join.
+word, group, n) rows, which meet the distributed tables of words in joins.
 
 Defined results: a null text is empty: one token, the end; a null doc_id is the empty text for
 crc32, so held out; without training documents every count is 0 and the model is uniform; a text
@@ -29,6 +37,7 @@ empty table gives an empty result; extra columns do not matter.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -41,6 +50,9 @@ from .base import doc_id_of, documents, save, ship, text_of
 KNOWN = 1 << 17
 LONGEST = 64
 CLASSES = 1024
+HASHED = 512
+GROUPS = 16
+STRENGTHS = tuple(10.0 ** k for k in range(2, 10))
 END, OTHER = 0, 1
 WIDTH = 24
 STEPS = 800
@@ -88,15 +100,24 @@ def class_ids(words: list[bytes], known: dict[bytes, int]) -> tuple[np.ndarray,
     return at, inside
 
 
+def context_ids(words: list[bytes], ids: np.ndarray) -> np.ndarray:
+    """Contexts of the tokens after the first end: the classes before them, other words by hash."""
+    before = ids[:-1].copy()
+    other = np.flatnonzero(before == OTHER)
+    before[other] = [CLASSES + zlib.crc32(words[i - 1]) % HASHED for i in other.tolist()]
+    return before
+
+
 def pair_counts(training: DataFrame, shared) -> DataFrame:
-    """(pair, n): neighbouring classes h, w of the training texts, pair = h * CLASSES + w."""
+    """(pair, n): context h and class w of the training tokens, pair = h * CLASSES + w."""
     def work(batches):
         known = {w: i for i, w in enumerate(shared.value[0][:CLASSES - 2])}
-        counts = np.zeros(CLASSES * CLASSES, np.int64)
+        counts = np.zeros((CLASSES + HASHED) * CLASSES, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                _, ids = class_ids(text.as_py().lower().split(), known)
-                np.add.at(counts, ids[:-1] * CLASSES + ids[1:], 1)
+                words = text.as_py().lower().split()
+                _, ids = class_ids(words, known)
+                np.add.at(counts, context_ids(words, ids) * CLASSES + ids[1:], 1)
         pair = np.flatnonzero(counts)
         for i in range(0, len(pair), 10_000):
             p = pair[i:i + 10_000]
@@ -107,35 +128,30 @@ def pair_counts(training: DataFrame, shared) -> DataFrame:
 
 
 def train(pair: np.ndarray, n: np.ndarray, classes: int = CLASSES, width: int = WIDTH, steps: int = STEPS,
-          seed: int = 9) -> np.ndarray:
-    """log10 probabilities (before, class) of the log-bilinear model fitted by NCE."""
+          seed: int = 9, *, contexts: int | None = None) -> np.ndarray:
+    """log10 probabilities (context, class) of the log-bilinear model fitted by NCE: the expected
+    gradient over all pairs and all noise, in the size of ``BATCH`` pairs."""
     rng = np.random.default_rng(seed)
-    h, w = np.divmod(pair, classes)
-    unigram = np.bincount(w, n, classes) + 0.1
+    contexts = contexts or classes
+    seen = np.zeros((contexts, classes), np.float32)
+    seen.ravel()[pair] = n
+    unigram = seen.sum(0, dtype=np.float64) + 0.1
     unigram /= unigram.sum()
     bias = np.log(unigram)
-    r = rng.normal(0, 0.1, (classes, width)).astype(np.float32)
+    r = rng.normal(0, 0.1, (contexts, width)).astype(np.float32)
     q = rng.normal(0, 0.1, (classes, width)).astype(np.float32)
     if n.sum() > 0:
-        upto = np.cumsum(n)
-        noise_upto = np.cumsum(unigram)
+        seen *= BATCH / n.sum()
+        # Noise as often as expected: NOISE samples to each true pair of the context.
+        noise = seen.sum(1, keepdims=True) * (NOISE * unigram).astype(np.float32)
         scale = np.log(NOISE) + bias  # of the noise, for NOISE samples to one true pair
-        speed = [np.full_like(r, 1e-6), np.full_like(q, 1e-6), np.full(classes, 1e-6)]
+        # Hardly more than nothing, so that rare contexts are learned as fast as frequent ones.
+        speed = [np.full_like(r, 1e-12), np.full_like(q, 1e-12), np.full(classes, 1e-12)]
         for step in range(steps):
-            at = np.searchsorted(upto, rng.integers(0, upto[-1], BATCH), side="right")
-            hs, ws = h[at], w[at]
-            noise = np.minimum(np.searchsorted(noise_upto, rng.random(NOISE)), classes - 1)
-            rh = r[hs]
-            true = np.einsum("ij,ij->i", rh, q[ws]) + bias[ws] - scale[ws]
-            false = rh @ q[noise].T + (bias - scale)[noise]
-            up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-            down = 1 / (1 + np.exp(np.clip(-false, -30, 30)))
-            gr, gq, gb = np.zeros_like(r), np.zeros_like(q), np.zeros(classes)
-            np.add.at(gr, hs, up[:, None] * q[ws] - down @ q[noise])
-            np.add.at(gq, ws, up[:, None] * rh)
-            np.add.at(gq, noise, -(down.T @ rh))
-            np.add.at(gb, ws, up)
-            np.add.at(gb, noise, -down.sum(0))
+            margin = r @ q.T + (bias - scale).astype(np.float32)
+            true = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+            slope = seen - (seen + noise) * true
+            gr, gq, gb = slope @ q, slope.T @ r, slope.sum(0, dtype=np.float64)
             rate = 0.1 * (1 - 0.9 * step / steps)
             for x, g, s in ((r, gr, speed[0]), (q, gq, speed[1]), (bias, gb, speed[2])):
                 s += g * g
@@ -145,6 +161,73 @@ def train(pair: np.ndarray, n: np.ndarray, classes: int = CLASSES, width: int =
     return (scores - top - np.log(np.exp(scores - top).sum(1, keepdims=True))) / np.log(10)
 
 
+def grouped(table: np.ndarray, often: np.ndarray, rounds: int = 10) -> np.ndarray:
+    """Group of each context: k-means over the roots of what follows, weighted by how often they come."""
+    root = np.sqrt(10 ** table)
+    order = np.argsort(-often, kind="stable")
+    middle = root[order[:GROUPS]]
+    for _ in range(rounds):
+        near = np.argmax(2 * root @ middle.T - (middle ** 2).sum(1), 1)
+        for g in range(len(middle)):
+            own = often * (near == g)
+            if own.sum() > 0:
+                middle[g] = own @ root / own.sum()
+    return np.argmax(2 * root @ middle.T - (middle ** 2).sum(1), 1)
+
+
+def other_counts(training: DataFrame, shared, group: np.ndarray) -> DataFrame:
+    """(word, g, n): how often each word outside the classes comes after a context of group g."""
+    def work(batches):
+        known = {w: i for i, w in enumerate(shared.value[0][:CLASSES - 2])}
+        marks = [bytes([g]) for g in range(GROUPS)]
+        counts: Counter = Counter()
+
+        def out():
+            table = pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["key", "n"])
+            counts.clear()
+            return table
+        for batch in batches:
+            for text in batch.column(0):
+                words = text.as_py().lower().split()
+                _, ids = class_ids(words, known)
+                at = group[context_ids(words, ids)[:-1]].tolist()
+                counts.update(words[i] + marks[at[i]] for i in np.flatnonzero(ids[1:-1] == OTHER).tolist())
+                if len(counts) > FLUSH:
+                    yield out()
+        yield out()
+
+    size = F.octet_length("key")
+    return (training.select("text").mapInArrow(work, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
+            .select(F.expr("substring(key, 1, octet_length(key) - 1)").alias("word"),
+                    F.ascii(F.substring("key", size, F.lit(1)).cast("string")).alias("g"), "n"))
+
+
+def known_counts(other: DataFrame, shared) -> np.ndarray:
+    """n(w, g) of the known words, at most KNOWN of them."""
+    def work(batches):
+        known = {w: i for i, w in enumerate(shared.value[0])}
+        for batch in batches:
+            at = np.fromiter((known.get(w, -1) for w in batch.column(0).to_pylist()), np.int64, batch.num_rows)
+            keep = pa.array(at >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(at).filter(keep), batch.column(1).filter(keep),
+                                              batch.column(2).filter(keep)], ["at", "g", "n"])
+
+    got = other.mapInArrow(work, "at long, g int, n long").toArrow()
+    out = np.zeros((len(shared.value[0]), GROUPS))
+    out[got.column("at").to_numpy(), got.column("g").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def strength(after: np.ndarray, plain: np.ndarray, whole: np.ndarray) -> float:
+    """The strength with the greatest leave-one-out likelihood of the known other words: numbers
+    n(w, g), shares p(w), numbers n(g) of all other words."""
+    w, g = np.nonzero(after)
+    n = after[w, g]
+    like = [(n * np.log((n - 1 + s * plain[w]) / (whole[g] - 1 + s))).sum() for s in STRENGTHS]
+    return STRENGTHS[int(np.argmax(like))]
+
+
 def frequent(counts: DataFrame, most: int = KNOWN) -> tuple[list[bytes], np.ndarray]:
     """The most frequent words of at most LONGEST bytes and their numbers, falling: all words
     from some number on, so that there are at most ``most`` (found by a histogram of numbers
@@ -173,12 +256,24 @@ def fit(docs: DataFrame):
     words, number = frequent(counts)
     shared = spark.sparkContext.broadcast((words, number))
     pairs = pair_counts(training, shared).toArrow()
-    table = train(pairs.column("pair").to_numpy(), pairs.column("n").to_numpy())
+    pair, often = pairs.column("pair").to_numpy(), pairs.column("n").to_numpy()
+    table = train(pair, often, CLASSES, contexts=CLASSES + HASHED)
+    h, w = np.divmod(pair, CLASSES)
+    group = grouped(table, np.bincount(h, often, CLASSES + HASHED))
+    other = save(other_counts(training, shared, group), "other")
     n_tokens, n_types = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     inside = number[:CLASSES - 2]
     rare_mass = (total["n"] or 0) - int(inside.sum()) + SMOOTH * (total["v"] - len(inside) + 1)
-    facts = {"tokens": n_tokens, "ends": ends, "base_mass": n_tokens + SMOOTH * (n_types + 1), "rare_mass": rare_mass}
-    return counts, spark.sparkContext.broadcast((words, number, table, facts)), facts
+    whole = np.bincount(group[h], often * (w == OTHER), GROUPS)
+    after = known_counts(other, shared)
+    plain = (number + SMOOTH) / rare_mass
+    s = strength(after, plain, whole)
+    rare = np.log10(after + s * plain[:, None]) - np.log10(whole + s)
+    rare[:CLASSES - 2] = 0
+    facts = {"tokens": n_tokens, "ends": ends, "base_mass": n_tokens + SMOOTH * (n_types + 1), "rare_mass": rare_mass,
+             "strength": s, "whole": whole.tolist(), "group": group, "rare": rare.astype(np.float32), "other": other}
+    told = {k: v for k, v in facts.items() if k != "other"}
+    return counts, spark.sparkContext.broadcast((words, number, table, told)), facts
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -190,8 +285,7 @@ def score(docs: DataFrame) -> DataFrame:
         words, number, table, facts = shared.value
         known = {w: i for i, w in enumerate(words)}
         base = np.log10(number + SMOOTH) - np.log10(facts["base_mass"])
-        rare = np.log10(number + SMOOTH) - np.log10(facts["rare_mass"])
-        rare[:CLASSES - 2] = 0
+        rare, group = facts["rare"], facts["group"]
         end = np.log10(facts["ends"] + SMOOTH) - np.log10(facts["base_mass"])
         for batch in batches:
             rows, rest = [], []
@@ -201,32 +295,39 @@ def score(docs: DataFrame) -> DataFrame:
                 own = raw.lower().split()
                 at, ids = class_ids(own, known)
                 seen = at[at >= 0]
+                before = context_ids(own, ids)
+                near = group[before[:-1]]
                 rows.append((doc_id, key, None, len(own) + 1, len(seen) + (facts["ends"] > 0),
                              float(base[seen].sum() + end),
-                             float(table[ids[:-1], ids[1:]].sum() + rare[seen].sum())))
+                             float(table[before, ids[1:]].sum() + rare[seen, near[at >= 0]].sum(dtype=float)), None))
                 if len(seen) < len(own):
-                    other = Counter(own[i] for i in np.flatnonzero(at < 0).tolist())
-                    other[b""] = 1  # stands for the row: rows with equal keys are told by it
-                    rest.extend((None, key, w, n, None, None, None) for w, n in other.items())
-            cols = list(zip(*rows, *rest)) if rows else [[]] * 7
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                    other = Counter((own[i], int(near[i])) for i in np.flatnonzero(at < 0).tolist())
+                    other[b"", 0] = 1  # stands for the row: rows with equal keys are told by it
+                    rest.extend((None, key, w, n, None, None, None, g) for (w, g), n in other.items())
+            cols = list(zip(*rows, *rest)) if rows else [[]] * 8
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["doc_id", "key", "word", "n", "n_known", "base", "model"])
+                                             ["doc_id", "key", "word", "n", "n_known", "base", "model", "g"])
 
     done = save(_rows(docs).mapInArrow(
-        work, "doc_id long, key binary, word binary, n long, n_known long, base double, model double"), "scored")
-    rows, rest = done.where("word is null"), done.where("word is not null").select("key", "word", "n")
+        work, "doc_id long, key binary, word binary, n long, n_known long, base double, model double, g int"), "scored")
+    rows, rest = done.where("word is null"), done.where("word is not null").select("key", "word", "g", "n")
     seen = counts.select(F.col("word").alias("_word"), F.col("n").alias("c"))
     real = F.octet_length("word") > 0
     words = rest.where(real).join(seen, F.col("word") == F.col("_word"), "left").drop("_word")
-    marks = rest.where(~real).withColumn("c", F.lit(None).cast("long"))
+    after = facts["other"].select(F.col("word").alias("_word"), F.col("g").alias("_g"), F.col("n").alias("after"))
+    words = words.join(after, (F.col("word") == F.col("_word")) & (F.col("g") == F.col("_g")), "left").drop("_word", "_g")
+    none = F.lit(None).cast("long")
+    marks = rest.where(~real).withColumn("c", none).withColumn("after", none)
     rest = words.unionByName(marks).withColumn("c", F.coalesce("c", F.lit(0)))
     share = F.log10(F.col("c") + F.lit(SMOOTH))
+    s, whole = facts["strength"], F.array(*[F.lit(float(x + facts["strength"])) for x in facts["whole"]])
+    drawn = F.coalesce("after", F.lit(0)) + (F.col("c") + F.lit(SMOOTH)) * F.lit(float(s / facts["rare_mass"]))
     rest = rest.groupBy("key").agg(
         F.sum((~real).cast("int")).alias("times"),
         F.sum(F.when(real & (F.col("c") > 0), F.col("n")).otherwise(0)).alias("more"),
         F.sum(F.when(real, F.col("n") * (share - F.log10(F.lit(float(facts["base_mass"])))))).alias("base_rest"),
-        F.sum(F.when(real, F.col("n") * (share - F.log10(F.lit(float(facts["rare_mass"])))))).alias("model_rest"))
+        F.sum(F.when(real, F.col("n") * (F.log10(drawn) - F.log10(F.get(whole, F.col("g")))))).alias("model_rest"))
     rest = save(rest.withColumnRenamed("key", "_key"), "rest")
     each = lambda c: F.coalesce(F.col(c) / F.col("times"), F.lit(0.0))
     return rows.join(rest, F.col("key") == F.col("_key"), "left").select(

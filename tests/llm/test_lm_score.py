@@ -96,3 +96,50 @@ def test_extra_columns_and_empty(docs):
     table = docs(many(1, 10)).withColumn("word", F.lit(1)).withColumn("n", F.lit(2)).withColumn("key", F.lit(3))
     assert S.score(table).count() == 10
     assert S.score(docs([])).collect() == []
+
+
+def chain(n_words, n_docs, seed):
+    import random
+    rnd = random.Random(seed)
+    rows = []
+    for d in range(n_docs):
+        w, text = rnd.randrange(n_words), []
+        for _ in range(60):
+            text.append(f"w{w}")
+            w = rnd.choice([(w * 7 + k) % n_words for k in (1, 2)])
+        rows.append((d, " ".join(text)))
+    return rows
+
+
+def test_words_outside_the_classes_have_contexts(docs, monkeypatch):
+    """With eight classes and forty words, nearly all words are others, known or not."""
+    monkeypatch.setattr(S, "CLASSES", 8)
+    for known in (1 << 17, 12):
+        monkeypatch.setattr(S.frequent, "__defaults__", (known,))
+        got = [r for r in S.score(docs(chain(40, 300, 1))).collect() if r.held_out]
+        tokens_ = sum(r.n_tokens for r in got)
+        assert (sum(r.score for r in got) - sum(r.base_score for r in got)) / tokens_ > 0.2
+
+
+def test_every_training_pair_counts():
+    """A context of a few hundred in a thousand million pairs, which a sample of three million
+    hardly meets, is learned."""
+    n = np.zeros((6, 6), np.int64)
+    n[0, 3:] = 3 * 10 ** 8
+    n[2, 3] = 300
+    pair = np.flatnonzero(n.ravel())
+    table = S.train(pair, n.ravel()[pair], 6, 8, 800)
+    assert np.allclose((10 ** table).sum(1), 1) and table[2, 3] > np.log10(0.7)
+
+
+def test_shares_of_other_words_sum_to_one(docs, monkeypatch):
+    monkeypatch.setattr(S, "CLASSES", 8)
+    counts, shared, facts = S.fit(docs(chain(40, 60, 2)))
+    words, number, table, told = shared.value
+    after = {(bytes(r.word), r.g): r.n for r in facts["other"].collect()}
+    assert sum(after.values()) == sum(r.n for r in counts.collect()) - number[:6].sum()
+    s = facts["strength"]
+    for g in range(S.GROUPS):
+        own = sum(10.0 ** told["rare"][i, g] for i in range(6, len(words)))
+        unseen = s * S.SMOOTH / facts["rare_mass"] / (facts["whole"][g] + s)
+        assert abs(own + unseen - 1) < 1e-5
