@@ -8,8 +8,9 @@ rule it fails. The order decides speed only: a text is kept if no rule rejects i
 Words are ``[^\\x20\\x09-\\x0D]+``. Rules: ``short`` (n_words < 20) and ``repeats`` (words in
 8-word windows found twice or more are over 30 % of words) are the base rules; ``symbols``
 (``#*$%&|<>`` per word over 0.3), ``dup_lines`` (over half of the lines with a word repeat an
-earlier line), ``shouting`` (over 60 % of ASCII letters are capitals), ``long_words`` (mean
-word over 40 code points), ``no_letters`` (fewer letters than a third of word characters) and
+earlier line), ``shouting`` (over 60 % of letters, all code points
+beyond ASCII included, are ASCII capitals), ``long_words`` (over 40 ASCII characters a word: scripts
+without blanks have long words), ``no_letters`` (fewer letters than a third of word characters) and
 ``runs`` (over half of the words equal the word before) are the method's; they are set to leave ordinary prose alone.
 
 Defined results: a null text is empty and has no word, so it fails ``short``; a text of any
@@ -38,6 +39,7 @@ SAMPLE_ROWS = 500
 SAMPLE_CHARS = 100_000
 BASE_RULES = ("short", "repeats")
 CONTINUATION = bytes(range(0x80, 0xC0))
+BEYOND = bytes(range(0x80, 0x100))
 SPACE = b" \t\n\x0b\x0c\r"
 CAPITALS = bytes(range(65, 91))
 SMALL = bytes(range(97, 123))
@@ -122,8 +124,8 @@ def default_rules() -> dict:
         "repeats": lambda t: 100 * t.n_repeat_words > 30 * t.n_words,
         "symbols": lambda t: 10 * t.n_symbols > 3 * t.n_words,
         "dup_lines": lambda t: 2 * t.n_dup_lines > len(t.lines),
-        "shouting": lambda t: 10 * t.capitals > 6 * (t.capitals + len(t.text) - t.without(SMALL)),
-        "long_words": lambda t: t.word_chars > 40 * t.n_words,
+        "shouting": lambda t: 10 * t.capitals > 6 * t.letters,
+        "long_words": lambda t: t.without(SPACE + BEYOND) > 40 * t.n_words,
         "no_letters": lambda t: 3 * t.letters < t.word_chars,
         "runs": lambda t: 2 * t.n_run_words > t.n_words,
     }
@@ -191,6 +193,8 @@ def op5_quality_rules(spark, sf_dir):
     return judge(documents(spark, sf_dir))
 
 
+#: Alike for texts of ASCII; beyond it, its shouting and long_words still reject clean texts of
+#: other scripts, which the rules above keep.
 SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),

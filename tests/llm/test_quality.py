@@ -71,3 +71,18 @@ def test_keep_good_keeps_all_columns(docs):
 
 def test_empty(docs):
     assert Q.judge(docs([])).collect() == [] and Q.keep_good(docs([])).collect() == []
+
+
+def test_clean_texts_of_other_scripts_are_kept(docs):
+    cyrillic = " ".join(f"слово{chr(0x430 + i)} и ещё{chr(0x430 + i)}" for i in range(20)) + " NASA"
+    greek = " ".join(f"λόγος{chr(0x3b1 + i)}" for i in range(24)) + " NASA"
+    arabic = " ".join(f"كلمة{chr(0x628 + i)}" for i in range(22)) + " NATO"
+    hindi = " ".join(f"शब्द{chr(0x915 + i)}" for i in range(24)) + " UNESCO"
+    chinese = " ".join("".join(chr(0x4e00 + 61 * i + 7 * k) for k in range(50)) + "。" for i in range(24)) + " NASA"
+    japanese = " ".join("".join(chr(0x3041 + (i * k + k) % 80) for k in range(55)) + "。" for i in range(24))
+    thai = " ".join("".join(chr(0xe01 + (i * k + k) % 40) for k in range(60)) for i in range(24))
+    rows = [(i, t) for i, t in enumerate((cyrillic, greek, arabic, hindi, chinese, japanese, thai))]
+    assert {r.doc_id for r in Q.judge(docs(rows)).collect() if r.kept} == set(range(7))
+    assert Q.keep_good(docs(rows)).count() == 7
+    loud = [(1, " ".join(f"{w}{chr(65 + i)}" for i, w in enumerate(["LOUD"] * 24))), (2, " ".join(f"{i:050x}" for i in range(24)) + " x y z")]
+    assert not any(r.kept for r in Q.judge(docs(loud)).collect())
