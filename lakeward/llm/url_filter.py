@@ -7,10 +7,10 @@ starts with the rule's; the longest fitting rule decides. Other URLs get the mod
 ``block`` if its probability is at least one half.
 
 Training: a table (url, blocked) of at most ``TRAIN_ROWS`` rows; of a larger one, the rows of
-least hash are taken, so the sample is bounded and the same in every run. The model is
-fitted by full-batch gradient descent with L2 weights, in numpy; its ``2**BITS`` weights are
-all that tasks get. ``seed_labels`` makes such a table from a list of host names known to be
-bad: other hosts of the same pages serve as good ones.
+least hash are taken, so the sample is bounded and the same in every run. The model is fitted by full-batch gradient descent with L2 weights,
+in numpy; its ``2**BITS`` weights are all that tasks get. The query trains on ``url_labels.tsv``
+beside this file, a table composed of host words and paths of both kinds and the known bad names,
+not of judged pages. ``seed_labels`` marks the pages of known bad host names; others have no label.
 
 Defined results: a null URL or one without ``://`` has empty host and path, fits no rule and
 is judged by the model on empty features; repeated rows are judged alike; an empty table
@@ -19,6 +19,7 @@ gives an empty result (and an untrained model, which allows); extra columns do n
 
 from __future__ import annotations
 
+import pkgutil
 import zlib
 
 import numpy as np
@@ -95,10 +96,18 @@ def probability(weights: np.ndarray, host: str, path: str) -> float:
 
 
 def seed_labels(pages: DataFrame, bad=BAD_HOSTS) -> DataFrame:
-    """(url, blocked) of the pages: blocked if a label of the host is a known bad name."""
+    """(url, blocked) of the pages: 1 if a label of the host is a known bad name, null otherwise."""
     host, _ = parts(pages["url"])
     labels = F.split(host, r"\.")
-    return pages.select("url", F.arrays_overlap(labels, F.array(*map(F.lit, bad))).cast("int").alias("blocked"))
+    known = F.arrays_overlap(labels, F.array(*map(F.lit, bad)))
+    return pages.select("url", F.when(known, 1).alias("blocked"))
+
+
+def labelled_urls(spark) -> DataFrame:
+    """(url, blocked) of the package's labelled table."""
+    lines = pkgutil.get_data("lakeward.llm", "url_labels.tsv").decode().splitlines()
+    rows = [(url, int(blocked)) for url, blocked in (line.split("\t") for line in lines)]
+    return spark.createDataFrame(rows, "url string, blocked int")
 
 
 def train(labelled: DataFrame, most: int = TRAIN_ROWS) -> np.ndarray:
@@ -129,9 +138,9 @@ def judge(pages: DataFrame, weights: np.ndarray, rules=RULES) -> DataFrame:
 
 
 def op6_url_filter(spark, sf_dir):
-    """Query: rule and verdict of all pages, the model trained on seed labels."""
+    """Query: rule and verdict of all pages, the model trained on the labelled table."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return judge(pages, train(seed_labels(pages)))
+    return judge(pages, train(labelled_urls(spark)))
 
 
 ship(__name__)

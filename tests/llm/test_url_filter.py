@@ -73,3 +73,12 @@ def test_training_is_bounded_and_repeatable(spark):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string")
     assert U.judge(pages, U.train(U.seed_labels(pages))).collect() == []
+
+
+def test_unknown_hosts_are_not_labelled_good_and_unlisted_bad_hosts_are_blocked(spark, tmp_path):
+    urls = ["http://www.poker-bonus.example.org/en/1", "http://jackpot-palace.example.org/en/2", "http://town-library.example.org/en/3"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert U.seed_labels(pages).where("blocked is not null").count() == 0
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.verdict for r in U.op6_url_filter(spark, str(tmp_path)).collect()}
+    assert got == {0: "block", 1: "block", 2: "allow"}
