@@ -6,8 +6,9 @@ up to ``?`` or ``#``. A rule (host/path prefix) fits its host and all subdomains
 starts with the rule's; the longest fitting rule decides. Other URLs get the model's verdict:
 ``block`` if its probability is at least one half.
 
-Training: a table (url, blocked) of at most ``TRAIN_ROWS`` rows; of a larger one, the rows of
-least hash are taken, so the sample is bounded and the same in every run. The model is fitted by full-batch gradient descent with L2 weights,
+Training: a table (url, blocked), each (host, path, blocked) once; of more than ``TRAIN_ROWS``
+blocked or ``TRAIN_ROWS`` allowed ones, those of least hash are taken, so the sample is bounded
+and the same in every run. The model is fitted by full-batch gradient descent with L2 weights,
 in numpy; its ``2**BITS`` weights are all that tasks get. The query trains on ``url_labels.tsv``
 beside this file, a table composed of host words and paths of both kinds and the known bad names,
 not of judged pages. ``seed_labels`` marks the pages of known bad host names; others have no label.
@@ -111,14 +112,18 @@ def labelled_urls(spark) -> DataFrame:
 
 
 def train(labelled: DataFrame, most: int = TRAIN_ROWS) -> np.ndarray:
-    """Weights from a bounded sample of the labelled table: the URLs of least hash."""
+    """Weights from a bounded sample of the labelled table: of the blocked and of the allowed ones,
+    at most ``most`` different (host, path) each, those of least hash."""
     host, path = parts(labelled["url"])
-    rows = labelled.select(host.alias("h"), path.alias("p"), "blocked").where("h <> '' and blocked is not null")
-    # Only about twice as many rows as needed, those of low hash, leave the tasks at all.
-    share = 2 * most / max(rows.count(), 1)
+    kind = (labelled["blocked"].cast("int") != 0).cast("int").alias("blocked")
+    rows = labelled.select(host.alias("h"), path.alias("p"), kind).where("h <> '' and blocked is not null").distinct()
     place = F.pmod(F.xxhash64("h", "p"), F.lit(1 << 30))
-    sample = (rows.where(place < int(min(share, 1.0) * (1 << 30))).orderBy(place, "h", "p", "blocked")
-              .limit(most).collect())
+    sample = []
+    for r in sorted(rows.groupBy("blocked").count().collect()):
+        # Only about twice as many rows as needed, those of low hash, leave the tasks at all.
+        share = min(2 * most / r["count"], 1.0)
+        own = rows.where((F.col("blocked") == r["blocked"]) & (place < int(share * (1 << 30))))
+        sample += own.orderBy(place, "h", "p").limit(most).collect()
     return fit([(r.h, r.p, int(r.blocked)) for r in sample])
 
 

@@ -82,3 +82,12 @@ def test_unknown_hosts_are_not_labelled_good_and_unlisted_bad_hosts_are_blocked(
     pages.write.parquet(str(tmp_path / "pages.parquet"))
     got = {r.page_id: r.verdict for r in U.op6_url_filter(spark, str(tmp_path)).collect()}
     assert got == {0: "block", 1: "block", 2: "allow"}
+
+
+def test_repeats_do_not_fill_the_sample(spark):
+    once = labelled(spark, 4, 60)
+    hot = spark.range(3000).selectExpr("'http://hot.example.org/en/1' as url", "0 as blocked")
+    often = once.unionByName(hot).unionByName(once)
+    few = once.unionByName(hot.limit(1))
+    weights = U.train(often, 100)
+    assert np.array_equal(weights, U.train(few, 100)) and weights.any()
