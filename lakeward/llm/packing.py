@@ -141,6 +141,20 @@ def best_fit(lengths: np.ndarray, room: int) -> list[list[int]]:
     return bins
 
 
+def _pairs(own: list[int], lengths: np.ndarray) -> list[list[int]]:
+    """Two pieces of a bin, one pair for each sum of lengths, the largest first."""
+    alike: dict[int, list[int]] = {}
+    for i in own:
+        alike.setdefault(int(lengths[i]), []).append(i)
+    found: dict[int, list[int]] = {}
+    kinds = list(alike.values())  # at most 64 lengths in a bin of 2048
+    for n, one in enumerate(kinds):
+        for other in kinds[n:]:
+            if one is not other or len(one) > 1:
+                found.setdefault(int(lengths[one[0]] + lengths[other[0]]), [one[0], other[-1]])
+    return [found[size] for size in sorted(found, reverse=True)]
+
+
 def improve(bins: list[list[int]], lengths: np.ndarray, room: int) -> list[list[int]]:
     """Empty the least filled bins by moves and exchanges, as long as that raises the sum of
     squared fills: a piece goes to a bin at least as full as its own after the change."""
@@ -165,7 +179,7 @@ def improve(bins: list[list[int]], lengths: np.ndarray, room: int) -> list[list[
 
     for donor in np.argsort(fill, kind="stable").tolist():
         if fill[donor] >= FILLED * room or room - fill[donor] <= 1:
-            break
+            continue  # filled by now; later ones may not be
         improved = True
         while improved and held[donor]:
             improved = False
@@ -181,7 +195,8 @@ def improve(bins: list[list[int]], lengths: np.ndarray, room: int) -> list[list[
             if improved:
                 continue
             # One or two pieces of the donor for one of another bin, the largest gain first.
-            offers = [[i] for i in own] + [[i, j] for n, i in enumerate(own[:24]) for j in own[n + 1:24]]
+            sizes = list({int(lengths[i]): i for i in own}.values())  # pieces of one length are alike
+            offers = [[i] for i in sizes] + _pairs(own, lengths)
             gap = (room - fill)[where]
             after = fill[where]
             for out in offers:

@@ -72,3 +72,16 @@ def test_local_search_empties_a_bin_by_each_kind_of_change():
 
 def test_empty(docs):
     assert P.pack(docs([])).collect() == []
+
+
+def test_a_filled_bin_does_not_end_the_search():
+    """Mid-size lengths: 763 bins by best fit, 762 when the search ended at a bin filled meanwhile."""
+    lengths = np.random.default_rng(5).integers(400, 1100, 2000)
+    bins = P.improve(P.best_fit(lengths, 2048), lengths, 2048)
+    assert sorted(i for b in bins for i in b) == list(range(2000)) and len(bins) <= 755
+
+
+def test_every_pair_of_a_donor_is_offered():
+    own = list(range(40))
+    lengths = np.array([50 + i for i in own])
+    assert {int(lengths[p].sum()) for p in P._pairs(own, lengths)} == {a + b for a in lengths for b in lengths if a < b}
