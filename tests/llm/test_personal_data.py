@@ -89,3 +89,10 @@ def test_sql_says_the_same(docs):
     con.register("documents", table.toPandas())
     got = sorted((*r[:7], round(r[7], 9)) for r in con.execute(D.SQL).fetchall())
     assert got == sorted((*r[:7], round(r[7], 9)) for r in map(tuple, D.personal_data(table).collect()))
+
+
+def test_ibans_end_where_their_country_says(docs):
+    iban = "DE89 3704 0044 0532 0130 00"
+    rows = list(enumerate([f"{iban} BIC COBADEFFXXX", f"{iban} EUR", f"{iban} 2024", f"{iban} GB82 WEST 1234 5698 7654 32", f"{iban}."]))
+    got = {r.doc_id: r.spans.split(",iban:") for r in D.personal_data(docs(rows)).collect()}
+    assert all("iban:0:27" in ",iban:".join(got[i]) for i in range(5)) and got[3][-1] == "28:55"
