@@ -4,14 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest_llm import ODD, docs, many  # noqa: F401
-from lakeward.llm import (exact_dedup, licences, lm_score, merkle, mixing, packing, personal_data, quality, queries,
+from lakeward.llm import (exact_dedup, fingerprints, licences, lm_score, merkle, mixing, packing, personal_data, quality, queries,
                           repeats, simhash, url_filter)
 
 OPERATORS = {
     "simhash": simhash.near_duplicates, "licences": licences.licences, "personal_data": personal_data.personal_data,
     "repeats": repeats.without_repeats, "quality": quality.judge, "mixing": mixing.mix,
     "packing": lambda d: packing.pack(d).select("doc_id", "piece", "start", "length", "ids_crc32"),
-    "lm_score": lm_score.score, "exact_dedup": exact_dedup.exact_groups, "merkle": merkle.verify}
+    "lm_score": lm_score.score, "exact_dedup": exact_dedup.exact_groups, "merkle": merkle.verify,
+    "fingerprints": fingerprints.edit_report}
 CLASHES = ["row", "sha", "fp", "key", "word", "n", "pos", "core", "group", "sequence_id", "offset", "size", "target", "kept",
            "label", "list", "tile", "cuts", "n_words", "spans", "e_email", "m_ip", "rank", "place", "bucket", "_sha", "_rank",
            "_maybe", "component_id", "held_out", "piece"]
