@@ -15,10 +15,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+#: Columns that only say where a row is stored (partitions of streamed tables).
+STORAGE_COLUMNS = ("_part", "_kb", "_batch", "_batch_id")
+
+
 def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     """SRC-09: full batch read of a table by its catalog name, without the columns that only
     say where a row is stored."""
-    return spark.table(name).drop("_kb", "_batch_id")
+    return spark.table(name).drop(*STORAGE_COLUMNS)
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = None,

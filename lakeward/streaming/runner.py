@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
 from lakeward.plans.cleansed import PROJECTIONS
-from lakeward.sources.tables import (append_stream, checked_stream, new_keys_stream,
+from lakeward.sources.tables import (STORAGE_COLUMNS, append_stream, checked_stream, new_keys_stream,
                                      read_lookup_csv, read_table, stream_table, write_table)
 from lakeward.sources.tsv import MALFORMED, folders_with_files
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout
@@ -152,7 +152,7 @@ def load_tables(spark: SparkSession, layout: TableLayout, only=None) -> dict:
             p = layout.path(layer, n)
             if n in have:
                 df = read_table(spark, p)
-                out[n] = df.drop("_kb", "_batch_id") if layer != "bronze" else df
+                out[n] = df.drop(*STORAGE_COLUMNS) if layer != "bronze" else df
     return out
 
 

@@ -1,29 +1,32 @@
 """Incremental type-2 dimension from a stream without a MERGE-capable table format (SCD-02).
 
+The dimension is two tables read as one: *open* versions, one row per key, under
+``_part=open/_kb=<key bucket>``, and *closed* versions under
+``_part=closed/_kb=<key bucket>/_batch=<batch that closed them>``. A closed version is
+never touched again by batches that arrive in order, so what a batch writes is bounded by
+the open versions of the buckets it touches plus the versions it closes, whatever the
+length of the history.
+
 Each micro-batch:
 
-1. appends its rows to a change log partitioned by ``(_kb, _batch)`` where ``_kb`` is a
-   hash bucket of the key; the batch's own partitions are *overwritten*, so a replayed
-   batch id rewrites the same files (idempotent);
-2. learns the touched key buckets from an ``Observation`` on that same write (at most
-   ``key_buckets`` values reach the driver) and lists/reads only those bucket folders of
-   the log, so the cost does not grow with the number of log files elsewhere;
-3. recomputes the history of only those buckets with ``scd2_history`` (which splits
-   hot keys by time bucket) and overwrites exactly those ``_kb`` partitions of the
-   target (dynamic partition overwrite).
-
-Out-of-order micro-batches give the batch result because each recompute reads the
-bucket's whole log. Limit: the partition swap is not atomic across buckets.
-
-In-order fast path (the usual case: the sequence is the load time). After every applied
-batch a single-row state (last batch, applied buckets, largest applied sequence) is
-overwritten. When a batch's smallest sequence is larger than everything applied and the
-state agrees with the target (no partial newer commit, no missing bucket folder), only
-the *open* version of each touched key plus the new rows are run through
-``scd2_history``; closed versions are carried over unchanged. When only a minority of
-the batch's rows are late (counted on the log write), late keys are rebuilt from their
-change log and the other keys take the open-version path. Anything else takes the
-exact full-bucket recompute, which also repairs a target left half-written by a crash.
+1. appends its rows to a change log partitioned by ``(_kb, _batch)``; the batch's own
+   partitions are *overwritten*, so a replayed batch id rewrites the same files. The
+   touched buckets are observed on that write (at most ``key_buckets`` values reach the
+   driver) and only their folders are read from here on;
+2. compares each key's smallest new sequence with its open version (whose sequence is the
+   key's latest applied one). A bucket is *late* if some key has a new row that is not newer;
+3. in the other buckets, runs the open versions of the batch's keys and the new rows
+   through ``scd2_history``; the result and the buckets' untouched open versions are
+   written by one dynamic overwrite: open partitions of the touched buckets, closed
+   partitions of this batch;
+4. rebuilds late buckets (and buckets with logged rows but no open version) from their whole
+   change log: their closed folders are removed and written anew under this batch.
+
+Recovery: Spark delivers a failed batch again before any later one. A bucket whose open
+versions were already replaced shows all of the batch's keys as late and is rebuilt, which
+also repairs its closed versions; any other bucket repeats the step it had before, over
+the same partitions. So the tables themselves tell how far a batch came, and no separate
+record of applied batches is kept. Limit: the partition swap is not atomic across buckets.
 """
 
 from __future__ import annotations
@@ -34,17 +37,29 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.operators.scd2 import scd2_history
+from lakeward.operators.scd2 import END, START, scd2_history
+from lakeward.operators.segmented import _null_safe_join
 
 KEY_BUCKET = "_kb"
 BATCH = "_batch"
-MANIFEST = "_applied"
+PART = "_part"
+OPEN, CLOSED = "open", "closed"
+#: Partition columns of the stored dimension; none of them is data.
+STORED = (PART, KEY_BUCKET, BATCH)
+# Open versions are overwritten in place, so their partitions carry one fixed batch.
+OPEN_BATCH = -1
 
 
 def key_bucket(keys: Sequence[str], n: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the table (nothing happens if there is none)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Scd2Writer:
     """``foreachBatch`` body maintaining a type-2 table at ``target``."""
 
@@ -57,181 +72,121 @@ class Scd2Writer:
         self.incremental = incremental
         self.last_path = ""   # "full", "mixed" or "in_order" (observability / tests)
         self.paths: list = []  # (batch_id, path) per applied micro-batch
-        self._manifest_ready = False
+        self.written: list = []  # {"open": rows, "closed": rows} per applied micro-batch
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seq_type = dict(batch.dtypes)[self.seq]
-        state = self._state(spark, seq_type) if self.incremental else None  # once per batch
-        applied_max = state["max_seq"] if state is not None else None
-        touched, batch_min, rows, late_rows = self.append_log(batch, batch_id, applied_max)
+        touched = self.append_log(batch, batch_id)
         if not touched:
             return
-        if not self.incremental or late_rows * 2 > rows:
-            mode = "full"                              # mostly late: plain recompute
-        else:
-            mode = self._mode(spark, touched, batch_min, batch_id, state)
-        if mode == "in_order":
-            max_seq, seq_type = self.apply_in_order(spark, touched, batch_id)
-        elif mode == "mixed":
-            max_seq, seq_type = self.apply_in_order(spark, touched, batch_id, per_key=True)
-        else:
-            max_seq, seq_type = self.recompute(spark, touched)
-        self.last_path = mode
-        self.paths.append((int(batch_id), mode))
-        self._record(spark, batch_id, touched, max_seq, seq_type, state)
+        late = self.late_buckets(spark, touched, batch_id) if self.incremental else touched
+        on_time = [k for k in touched if k not in late]
+        parts = []
+        if on_time:
+            parts.append(self.advance(spark, on_time, batch_id))
+        if late:
+            parts.append(self.rebuilt(spark, late))
+            for k in late:
+                _remove(spark, f"{self.target}/{PART}={CLOSED}/{KEY_BUCKET}={k}")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        self.written.append(self._write_target(out, batch_id))
+        self.last_path = "mixed" if on_time and late else "full" if late else "in_order"
+        self.paths.append((int(batch_id), self.last_path))
 
     # Both writes are dealt by bucket first (``rebalance``: small buckets share a task, a large
     # one is split), so that a bucket is a few files, not one from every task.
 
-    def append_log(self, batch: DataFrame, batch_id: int, applied_max=None) -> tuple:
-        """Step 1: (over)write this batch's log partitions; return the touched buckets, the
-        smallest sequence, the row count and the rows not newer than ``applied_max`` —
-        all observed on that same write."""
+    def append_log(self, batch: DataFrame, batch_id: int) -> list:
+        """Step 1: (over)write this batch's log partitions; return the touched buckets,
+        observed on that same write. A row without a sequence is never applied."""
         obs = Observation(f"scd2_touched_{batch_id}")
-        seq_type = dict(batch.dtypes)[self.seq]
-        late = (F.count_if(F.col(self.seq) <= F.lit(applied_max).cast(seq_type))
-                if applied_max is not None else F.lit(0).cast("long"))
         (batch.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
-         .observe(obs, F.collect_set(KEY_BUCKET).alias("kb"), F.min(self.seq).alias("mn"),
-                  F.count(F.lit(1)).alias("n"), late.alias("late"))
+         .observe(obs, F.collect_set(F.when(F.col(self.seq).isNotNull(), F.col(KEY_BUCKET))).alias("kb"))
          .withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", KEY_BUCKET)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET, BATCH).parquet(self.change_log))
-        m = obs.get
-        return (sorted(m.get("kb") or []), m.get("mn"), int(m.get("n") or 0),
-                int(m.get("late") or 0))
-
-    def _paths(self, root: str, touched: list) -> list:
-        return [f"{root}/{KEY_BUCKET}={k}" for k in touched]
-
-    def _read(self, spark: SparkSession, root: str, touched: list) -> DataFrame:
-        return spark.read.option("basePath", root).parquet(*self._paths(root, touched))
-
-    def recompute(self, spark: SparkSession, touched: list) -> tuple:
-        """Full path: history of the touched buckets from their whole log, then a dynamic
-        overwrite of exactly those target partitions. Only the touched bucket folders are
-        listed and read."""
-        changes = self._read(spark, self.change_log, touched).drop(KEY_BUCKET, BATCH)
-        hist = scd2_history(changes, self.keys, self.seq, self.tracked, self.bucket_width)
-        return self._write_target(hist), dict(changes.dtypes)[self.seq]
-
-    def _write_target(self, hist: DataFrame):
-        """Dynamic overwrite of the touched target partitions; returns the largest sequence
-        written (observed on the write itself)."""
-        obs = Observation(f"scd2_written_{id(hist)}")
-        (hist.withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
-         .observe(obs, F.max(self.seq).alias("mx")).hint("rebalance", KEY_BUCKET)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(KEY_BUCKET).parquet(self.target))
-        return obs.get.get("mx")
-
-    # ---- in-order fast path ---------------------------------------------------------
-    def _state_schema(self, seq_type: str) -> str:
-        return f"batch_id long, buckets array<int>, max_seq {seq_type}"
-
-    def _state(self, spark: SparkSession, seq_type: str):
-        """The applied-state row (last batch id, applied buckets, largest applied sequence)
-        or None. Its folder is created empty on this writer's first use, so it is never
-        read before it exists; it holds one row whatever the number of batches."""
-        path = f"{self.target}/{MANIFEST}"
-        if not self._manifest_ready:
-            (spark.createDataFrame([], self._state_schema(seq_type))
-             .coalesce(1).write.mode("append").parquet(path))
-            self._manifest_ready = True
-        rows = spark.read.parquet(path).orderBy(F.desc("batch_id")).limit(1).collect()
-        return rows[0] if rows else None
-
-    def _record(self, spark: SparkSession, batch_id: int, touched: list, max_seq,
-                seq_type: str, prev) -> None:
-        """Overwrite the state after the target commit. A crash before or during this
-        write leaves the state behind the target, which sends the next batch to the full
-        (repairing) path."""
-        buckets = sorted({int(k) for k in touched} | set(prev["buckets"] if prev else []))
-        seqs = [v for v in (max_seq, prev["max_seq"] if prev else None) if v is not None]
-        (spark.createDataFrame([(int(batch_id), buckets, max(seqs) if seqs else None)],
-                               self._state_schema(seq_type))
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.target}/{MANIFEST}"))
-
-    def _mode(self, spark: SparkSession, touched: list, batch_min, batch_id: int,
-              st0) -> str:
-        """``in_order`` when the state and the target agree on the touched buckets and the
-        batch is newer than everything applied; ``mixed`` when they agree but the batch is
-        not (decided per key); ``full`` for the first batch, replays of recorded batches
-        and any disagreement (the full path repairs)."""
-        if batch_min is None or st0 is None:
-            return "full"                   # nothing applied yet
-        if st0["batch_id"] is not None and st0["batch_id"] >= batch_id:
-            return "full"                   # replay of an applied batch
-        applied = set(st0["buckets"] or [])
+        return sorted(obs.get.get("kb") or [])
+
+    def _log(self, spark: SparkSession, buckets: list, batch_id: int | None = None) -> DataFrame:
+        """Rows of the buckets' change log (of one batch), read by folder: no other bucket or
+        batch is listed."""
+        own = "" if batch_id is None else f"/{BATCH}={int(batch_id)}"
+        paths = [f"{self.change_log}/{KEY_BUCKET}={k}{own}" for k in buckets]
+        rows = spark.read.option("basePath", self.change_log).parquet(*paths)
+        return rows.filter(F.col(self.seq).isNotNull()).drop(BATCH)
+
+    def _open(self, spark: SparkSession, buckets: list) -> DataFrame | None:
+        """Open versions of the buckets; None if nothing is stored yet."""
+        root = f"{self.target}/{PART}={OPEN}"
         try:
-            st = (self._target_in(spark, touched)
-                  .agg(F.max(self.seq).alias("mx"), F.collect_set(KEY_BUCKET).alias("kb"))
-                  .collect()[0])
+            stored = spark.read.parquet(root)
         except AnalysisException as e:
             if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
-            return "full"                   # no target yet: the full path writes it
-        present = {int(k) for k in (st["kb"] or [])}
-        if present != {k for k in touched if k in applied}:
-            return "full"                   # missing folder, or data without a record
-        if st["mx"] is not None and (st0["max_seq"] is None or st["mx"] > st0["max_seq"]):
-            return "full"                   # newer data than recorded: partial commit
-        if st0["max_seq"] is None or batch_min > st0["max_seq"]:
-            return "in_order"
-        return "mixed"
-
-    def _target_in(self, spark: SparkSession, touched: list) -> DataFrame:
-        """Target rows of the touched buckets (partition pruning; missing folders are
-        simply absent)."""
-        return spark.read.parquet(self.target).filter(F.col(KEY_BUCKET).isin(touched))
-
-    def apply_in_order(self, spark: SparkSession, touched: list, batch_id: int,
-                       per_key: bool = False) -> tuple:
-        """Open version of each touched key + this batch's rows -> new versions; closed
-        versions and untouched keys of the touched buckets are carried over. With
-        ``per_key``, keys with a new row not later than their applied rows ("late" keys)
-        are instead rebuilt from their whole change log."""
-        from lakeward.operators.scd2 import END, START
-        from lakeward.operators.segmented import _null_safe_join
-        # The batch's own folders by name: no listing of other batches.
-        own = [f"{p}/{BATCH}={int(batch_id)}" for p in self._paths(self.change_log, touched)]
-        new = (spark.read.option("basePath", self.change_log).parquet(*own)
-               .drop(KEY_BUCKET, BATCH))
+            return None
+        return stored.filter(F.col(KEY_BUCKET).isin(buckets)).drop(BATCH)
+
+    def late_buckets(self, spark: SparkSession, touched: list, batch_id: int) -> list:
+        """Step 2: touched buckets in which a key's open version is as new as one of its new
+        rows, or whose earlier rows are logged but not stored."""
+        stored = self._open(spark, touched)
+        if stored is None:
+            return touched
+        new = self._log(spark, touched, batch_id).groupBy(*self.keys).agg(F.min(self.seq).alias("_new"))
+        met = _null_safe_join(stored.select(*self.keys, F.col(self.seq).alias("_old"), KEY_BUCKET),
+                              new, self.keys, "left")
+        late = F.coalesce(F.max(F.col("_new") <= F.col("_old")), F.lit(False))
+        told = {r[KEY_BUCKET]: r["late"] for r in met.groupBy(KEY_BUCKET).agg(late.alias("late")).collect()}
+        unseen = [k for k in touched if k not in told]
+        if unseen:   # new buckets, unless earlier batches logged rows for them
+            paths = [f"{self.change_log}/{KEY_BUCKET}={k}" for k in unseen]
+            log = spark.read.option("basePath", self.change_log).parquet(*paths)
+            earlier = log.filter(F.col(BATCH) < batch_id).select(KEY_BUCKET).distinct().collect()
+            told |= dict.fromkeys(unseen, False) | {r[KEY_BUCKET]: True for r in earlier}
+        return [k for k in touched if told[k]]
+
+    def advance(self, spark: SparkSession, buckets: list, batch_id: int) -> DataFrame:
+        """Step 3: open versions of the batch's keys + new rows -> their new versions, with the
+        buckets' other open versions as they are."""
+        new = self._log(spark, buckets, batch_id).drop(KEY_BUCKET)
+        stored = self._open(spark, buckets).drop(KEY_BUCKET)
         cols = new.columns
-        tgt = self._target_in(spark, touched).drop(KEY_BUCKET)
 
         def semi(df, keys, how):
             return df.join(keys, [df[k].eqNullSafe(keys[k]) for k in self.keys], how)
 
         keys = new.select(*self.keys).distinct()
-        mine, others = semi(tgt, keys, "left_semi"), semi(tgt, keys, "left_anti")
-        parts = [others]
-        if per_key:
-            nmin = new.groupBy(*self.keys).agg(F.min(self.seq).alias("_nmin"))
-            tmax = mine.groupBy(*self.keys).agg(F.max(self.seq).alias("_tmax"))
-            late = (_null_safe_join(nmin, tmax, self.keys)
-                    .filter(F.col("_nmin") <= F.col("_tmax")).select(*self.keys))
-            log_late = semi(self._read(spark, self.change_log, touched)
-                            .drop(KEY_BUCKET, BATCH), late, "left_semi")
-            parts.append(scd2_history(log_late, self.keys, self.seq, self.tracked,
-                                      self.bucket_width).select(*others.columns))
-            keys = semi(keys, late, "left_anti")
-            mine, new = semi(mine, keys, "left_semi"), semi(new, keys, "left_semi")
-        open_rows = mine.filter(F.col(END).isNull())
-        seeds = open_rows.select(*self.keys, F.col(self.seq).alias("_seed_seq"),
-                                 F.col(START).alias("_seed_start"))
-        feed = open_rows.select(*cols).unionByName(new.select(*cols))
+        mine, others = semi(stored, keys, "left_semi"), semi(stored, keys, "left_anti")
+        seeds = mine.select(*self.keys, F.col(self.seq).alias("_seed_seq"),
+                            F.col(START).alias("_seed_start"))
+        feed = mine.select(*cols).unionByName(new)
         hist = scd2_history(feed, self.keys, self.seq, self.tracked, self.bucket_width)
         hist = _null_safe_join(hist, seeds, self.keys, "left")
         hist = (hist.withColumn(START, F.when(F.col(START) == F.col("_seed_seq"),
                                               F.col("_seed_start")).otherwise(F.col(START)))
                 .drop("_seed_seq", "_seed_start"))
-        parts += [mine.filter(F.col(END).isNotNull()), hist.select(*others.columns)]
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return self._write_target(out), dict(new.dtypes)[self.seq]
+        return hist.unionByName(others.select(*hist.columns))
+
+    def rebuilt(self, spark: SparkSession, buckets: list) -> DataFrame:
+        """Step 4: all versions of the buckets, from their whole change log."""
+        return scd2_history(self._log(spark, buckets).drop(KEY_BUCKET), self.keys, self.seq,
+                            self.tracked, self.bucket_width)
+
+    def _write_target(self, versions: DataFrame, batch_id: int) -> dict:
+        """Dynamic overwrite of the open partitions and of this batch's closed ones; returns the
+        rows written to each (observed on the write itself)."""
+        is_open = F.col(END).isNull()
+        obs = Observation(f"scd2_written_{id(versions)}")
+        (versions.withColumn(PART, F.when(is_open, F.lit(OPEN)).otherwise(F.lit(CLOSED)))
+         .withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
+         .withColumn(BATCH, F.when(is_open, F.lit(OPEN_BATCH)).otherwise(F.lit(batch_id)).cast("long"))
+         .observe(obs, F.count_if(is_open).alias(OPEN), F.count_if(~is_open).alias(CLOSED))
+         .hint("rebalance", PART, KEY_BUCKET)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*STORED).parquet(self.target))
+        return dict(obs.get)
 
 
 def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkpoint: str,
@@ -250,6 +205,10 @@ def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkp
 
 
 def read_dimension(spark: SparkSession, target: str) -> DataFrame:
-    """The maintained dimension without its storage bucket column (and its manifest)."""
-    return (spark.read.option("basePath", target).parquet(f"{target}/{KEY_BUCKET}=*")
-            .drop(KEY_BUCKET))
+    """The maintained dimension, open and closed versions, without its storage columns."""
+    return spark.read.parquet(target).drop(*STORED)
+
+
+def read_current(spark: SparkSession, target: str) -> DataFrame:
+    """SCD-04 on the stored dimension: open versions only; closed ones are not even listed."""
+    return spark.read.parquet(f"{target}/{PART}={OPEN}").drop(*STORED)

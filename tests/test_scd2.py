@@ -256,3 +256,98 @@ def test_null_key_is_its_own_key_batch_and_stream(spark, tmp_path):
     got = sorted(((r.key, r[START], r[END], r.t, r.u)
                   for r in read_dimension(spark, str(tmp_path / "dim")).collect()), key=str)
     assert got == want
+
+
+def _files(root):
+    return {str(p): p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+
+
+def test_an_in_order_batch_writes_open_versions_and_what_it_closes(spark, tmp_path):
+    """SCD-02: 100 changed keys against 64,000 stored rows: no closed version is written again,
+    open versions of the touched buckets only, and a current read lists no closed file."""
+    from lakeward.streaming.scd2_stream import Scd2Writer, read_current, read_dimension
+    target = tmp_path / "dim"
+    w = Scd2Writer(str(target), str(tmp_path / "log"), ["key"], "seq", ["t"], key_buckets=64)
+    history = spark.range(64_000).selectExpr("id % 8000 AS key", "id AS seq", "concat('v', id div 8000) AS t", "id AS u")
+    w(history, 0)
+    assert w.written == [{"open": 8000, "closed": 56_000}]
+    before = _files(target)
+    change = spark.range(100).selectExpr("id * 3 AS key", "100000 + id AS seq", "'new' AS t", "id AS u")
+    w(change, 1)
+    assert w.last_path == "in_order"
+    after = _files(target)
+    closed = lambda files: {f: t for f, t in files.items() if "_part=closed" in f}
+    assert {f: t for f, t in closed(after).items() if "_batch=1" not in f} == closed(before)
+    touched = {f.split("_kb=")[1].split("/")[0] for f in after if "_batch=1/" in f}
+    rewritten = {f.split("_kb=")[1].split("/")[0] for f, t in after.items() if "_part=open" in f and before.get(f) != t}
+    assert rewritten == touched and len(touched) < 64
+    stored = spark.read.parquet(str(target))
+    in_touched = stored.filter("_part = 'open'").filter(F.col("_kb").isin(sorted(map(int, touched)))).count()
+    assert w.written[1] == {"open": in_touched, "closed": 100}
+    got = read_dimension(spark, str(target))
+    want = scd2_history(history.unionByName(change), ["key"], "seq", ["t"])
+    assert got.count() == 64_100 and got.exceptAll(want.select(*got.columns)).isEmpty()
+    current = read_current(spark, str(target))
+    assert current.count() == 8000 and not any("_part=closed" in f for f in current.inputFiles())
+
+
+class _Dies(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["log", "removed", "written"])
+def test_a_batch_that_fails_anywhere_is_right_after_its_replay(spark, tmp_path, step, monkeypatch):
+    """SCD-02: the batch dies after its log, after removing closed folders of late buckets, or
+    after writing only some buckets; delivered again it gives the batch history."""
+    from lakeward.streaming import scd2_stream as X
+    rnd = random.Random(31)
+    make = lambda lo, hi, n: [(f"k{rnd.randint(0, 20)}", rnd.randint(lo, hi), rnd.choice("ab"), rnd.randint(0, 9))
+                              for _ in range(n)]
+    batches = [make(0, 100, 120), make(101, 200, 40) + [("k1", 50, "z", 1), ("k2", 3, "y", 2)], make(201, 300, 30)]
+    schema = "key string, seq long, t string, u int"
+    w = X.Scd2Writer(str(tmp_path / "dim"), str(tmp_path / "log"), ["key"], "seq", ["t"], key_buckets=8)
+    w(spark.createDataFrame(batches[0], schema), 0)
+    second = spark.createDataFrame(batches[1], schema)
+    write = w._write_target
+
+    def die(*args):
+        raise _Dies
+
+    def some(versions, batch_id):   # half of the buckets come through
+        write(versions.filter(X.key_bucket(["key"], 8) % 2 == 0), batch_id)
+        raise _Dies
+
+    monkeypatch.setattr(w, {"log": "late_buckets", "removed": "_write_target", "written": "_write_target"}[step],
+                        some if step == "written" else die)
+    with pytest.raises(_Dies):
+        w(second, 1)
+    monkeypatch.undo()
+    w(second, 1)
+    w(spark.createDataFrame(batches[2], schema), 2)
+    got = sorted(((r.key, r[START], r[END], r.t, r.u) for r in X.read_dimension(spark, str(tmp_path / "dim")).collect()), key=str)
+    assert got == brute_force(sum(batches, []), 1)
+
+
+def test_late_keys_rebuild_their_buckets_only(spark, tmp_path):
+    """SCD-02: one late key; closed files of buckets without a late key stay as they are."""
+    from lakeward.streaming.scd2_stream import Scd2Writer, read_dimension
+    target = tmp_path / "dim"
+    w = Scd2Writer(str(target), str(tmp_path / "log"), ["key"], "seq", ["t"], key_buckets=16)
+    first = [(i % 50, i, "ab"[(i // 50) % 2], i) for i in range(200)]
+    w(spark.createDataFrame(first, "key long, seq long, t string, u long"), 0)
+    before = _files(target)
+    second = [(7, 10, "late", 0)] + [(k, 500 + k, "n", 0) for k in range(20)]
+    w(spark.createDataFrame(second, "key long, seq long, t string, u long"), 1)
+    assert w.last_path == "mixed"
+    gone = {f.split("_kb=")[1].split("/")[0] for f in before if "_part=closed" in f and f not in _files(target)}
+    assert len(gone) == 1
+    got = sorted(((r.key, r[START], r[END], r.t, r.u) for r in read_dimension(spark, str(target)).collect()), key=str)
+    assert got == brute_force(first + second, 1)
+    # a bucket whose open versions were lost is rebuilt from its log
+    import shutil
+    lost = next(iter(gone))
+    shutil.rmtree(target / "_part=open" / f"_kb={lost}")
+    third = [(7, 900, "x", 0)]
+    w(spark.createDataFrame(third, "key long, seq long, t string, u long"), 2)
+    got = sorted(((r.key, r[START], r[END], r.t, r.u) for r in read_dimension(spark, str(target)).collect()), key=str)
+    assert w.last_path == "full" and got == brute_force(first + second + third, 1)
