@@ -6,7 +6,7 @@ is cast with ``try_cast``: under ANSI mode a plain cast of bad text raises (P1,
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # FIXED VALUES — digit patterns of the pattern-guarded integer casts.
@@ -118,6 +118,20 @@ def carry_load_time(src: str = "_loaded_at") -> list[Column]:
     return [F.col(src).alias("source_loaded_at"), F.current_timestamp().alias("silver_processed_at")]
 
 
+#: Columns that hold the time of the run that wrote a row (PRJ-13, FN-15).
+CLOCK_COLUMNS = ("_loaded_at", "silver_processed_at", "load_dt")
+
+
+def at_clock(df: DataFrame, clock: Column | str | None) -> DataFrame:
+    """``df`` with its clock columns at ``clock`` (an instant; text is read in the session's time
+    zone). None keeps the time of the query itself. Every layer of a run takes the same clock,
+    so that a run can be repeated, or dated to its delivery, with equal rows."""
+    if clock is None:
+        return df
+    at = F.lit(clock).cast("timestamp") if isinstance(clock, str) else clock.cast("timestamp")
+    return df.select(*[at.alias(c) if c in CLOCK_COLUMNS else F.col(f"`{c}`") for c in df.columns])
+
+
 def typed_null(dtype: str = "string") -> Column:
     """FN-13: a typed NULL literal (``lit(None).cast``)."""
     return F.lit(None).cast(dtype)

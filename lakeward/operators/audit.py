@@ -9,6 +9,7 @@ side without a cross join (JN-06), and per-table rows are combined with ``unionB
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,6 +22,10 @@ from lakeward.specs import (AUDIT_STATUS, ISSUE_DUPLICATE_PK, RAW_FILE_SUFFIX, R
                             SCORE_CLEAN, SCORE_WITH_DUPLICATES)
 
 
+# Partition column of the stored row-count history: the run that took the snapshot.
+RUN = "_run"
+
+
 @dataclass(frozen=True)
 class AuditTarget:
     """QL-7: one audited table — name, key columns, expected columns, file name."""
@@ -89,13 +94,19 @@ def with_deltas(history: DataFrame) -> DataFrame:
 
 
 def record_row_counts(tables: Sequence[tuple[DataFrame, AuditTarget]], history_path: str,
-                      recorded_at: Column | None = None) -> DataFrame:
-    """QL-3 persisted: append this run's snapshot to the history table, return the history
-    with ``delta_from_previous`` (first snapshot of a table = 0)."""
-    snap = row_count_snapshot(tables, recorded_at)
-    snap.write.mode("append").parquet(history_path)
-    spark = snap.sparkSession
-    return with_deltas(spark.read.parquet(history_path))
+                      recorded_at: Column | None = None, run_id: str | None = None) -> DataFrame:
+    """QL-3 persisted: add this run's snapshot to the history table, return the history with
+    ``delta_from_previous`` (first snapshot of a table = 0). A snapshot is the partition of its
+    run: a run repeated under its ``run_id`` (after a failure, say) replaces its own."""
+    snap = row_count_snapshot(tables, recorded_at).withColumn(RUN, F.lit(run_id or uuid.uuid4().hex))
+    (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(RUN).parquet(history_path))
+    return row_count_history(snap.sparkSession, history_path)
+
+
+def row_count_history(spark: SparkSession, history_path: str) -> DataFrame:
+    """QL-3: the stored snapshots with their deltas."""
+    return with_deltas(spark.read.parquet(history_path).drop(RUN))
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> list[Column]:

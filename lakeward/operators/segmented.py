@@ -247,58 +247,106 @@ def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
     """Count ordered pairs (a, b) of one key with ``a.start < b.end``, ``a.end > b.start``
     and ``a.start != b.start`` — the self-join metric — without forming pairs.
 
-    Pairs with a NULL bound never match (as in the join), nor do rows with a NULL key. For
-    periods with ``start < end``: #overlapping b for a = #(b.start < a.end) - #(b.end <= a.start)
-    - #(b.start = a.start); each term is a running count in one sorted sweep of
-    start/end/query points per key (``running_sums``), bucketed by position slices of
-    ``width`` (dense slices cut finer when ``max_bucket_rows`` is set). Pairs that hold a
-    period with ``start >= end`` are counted by a keyed join of those periods alone
-    (``_degenerate_pairs``). Returns one row: ``pairs``.
+    Rows with a NULL key or bound never match (as in the join). Of a key's n * n pairs, those
+    that miss a bound are #(b.end <= a.start) twice (once from either side), counted by one
+    sorted sweep of its starts and ends (``running_sums``, bucketed by position slices of
+    ``width``, dense slices cut finer when ``max_bucket_rows`` is set); pairs that miss both were
+    taken off twice, so #(b.end <= a.start and a.end <= b.start) comes back. That needs a period
+    of ``start >= end`` and is a dominance count (``dominated``). Pairs of equal starts meet both
+    bounds if both have ``start < end``; their number is a square per start. One row: ``pairs``.
     """
     keys = list(keys)
-    bounded = periods.filter(F.col(start).isNotNull() & F.col(end).isNotNull()).select(*keys, start, end)
-    closed = bounded.filter(F.col(start) < F.col(end))
-
-    def pt(pos, kind, order, s_w, e_w, sign):
-        return F.struct(F.col(pos).alias("_pos"), F.lit(order).alias("_ord"),
-                        F.lit(kind).alias("_kind"), F.lit(s_w).alias("_sw"),
-                        F.lit(e_w).alias("_ew"), F.lit(sign).alias("_sign"))
-
-    # All sweep points of a period from ONE scan (a generator, no union of re-scans).
-    # Order at equal position: queries counting "< pos" (0), starts (1), ends (2),
-    # queries counting "<= pos" (3).
-    points = F.array(
-        pt(start, "S", 1, 1, 0, 0),
-        pt(end, "E", 2, 0, 1, 0),
-        pt(end, "Q_start_lt_end", 0, 0, 0, 1),       # + #(b.start < a.end)
-        pt(start, "Q_end_le_start", 3, 0, 0, -1),    # - #(b.end <= a.start)
-        pt(start, "Q_start_le_start", 3, 0, 0, -1),  # - #(b.start <= a.start)
-        pt(start, "Q_start_lt_start", 0, 0, 0, 1))   # + #(b.start < a.start)
-    pts_all = closed.select(*keys, F.explode(points).alias("_p")).select(*keys, "_p.*")
-    order = [F.col("_pos"), F.col("_ord"), F.col("_kind")]
-    if max_bucket_rows:
-        pts_all = with_dense_slice_factor(pts_all, keys, "_pos", width, max_bucket_rows)
-        b = bucket_for(pts_all, "_pos", width, F.col(BUCKET_FACTOR))
-    else:
-        b = bucket_for(pts_all, "_pos", width)
-    s = running_sums(pts_all, keys, order, {"_cs": F.col("_sw"), "_ce": F.col("_ew")}, b)
-    term = F.when(F.col("_kind") == "Q_end_le_start", F.col("_ce")).otherwise(F.col("_cs"))
-    swept = s.filter(F.col("_sign") != 0).agg(F.sum(F.col("_sign") * term).alias("pairs"))
-    return (swept.unionByName(_degenerate_pairs(bounded, keys, start, end))
-            .agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("pairs")))
-
-
-def _degenerate_pairs(bounded: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Ordered pairs with at least one period of ``start >= end``: each such period against the
-    periods of its key (the condition is symmetric, so a pair with one of them counts twice,
-    a pair of two is met from both). Periods and starts alike are counted before the join."""
-    alike = bounded.groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_n"))
-    odd = alike.filter(F.col(start) >= F.col(end)).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col(start).alias("_s"), F.col(end).alias("_e"), F.col("_n").alias("_m"))
-    same = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)]
-    meet = ((F.col(start) < F.col("_e")) & (F.col(end) > F.col("_s")) & (F.col(start) != F.col("_s")))
-    times = F.when(F.col(start) < F.col(end), 2).otherwise(1)
-    return alike.join(odd, [*same, meet]).agg(F.sum(F.col("_n") * F.col("_m") * times).alias("pairs"))
-
-
+    rows = periods.select(*keys, start, end)
+    for c in (*keys, start, end):
+        rows = rows.filter(F.col(c).isNotNull())
+
+    def whole(c):
+        return F.col(c).cast("decimal(38,0)")
+
+    per_start = rows.groupBy(*keys, start).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col(start) < F.col(end)).alias("_m"))
+    per_key = per_start.groupBy(*keys).agg(
+        F.sum("_n").alias("_n"), F.sum((whole("_m") * whole("_m")).cast("decimal(38,0)")).alias("_same"))
+    squares = per_key.agg(F.sum((whole("_n") * whole("_n") - F.col("_same")).cast("decimal(38,0)")).alias("pairs"))
+
+    # Two sweep points a period; at one position ends come before starts.
+    points = F.array(F.struct(F.col(end).alias("_pos"), F.lit(1).cast("long").alias("_end")),
+                     F.struct(F.col(start).alias("_pos"), F.lit(0).cast("long").alias("_end")))
+    sweep = rows.select(*keys, F.explode(points).alias("_p")).select(*keys, "_p.*")
+    sweep, b = _sliced(sweep, keys, "_pos", width, max_bucket_rows)
+    sweep = running_sums(sweep, keys, [F.col("_pos"), F.col("_end").desc()], {"_ended": F.col("_end")}, b)
+    missed = sweep.filter(F.col("_end") == 0).agg(
+        (F.sum(whole("_ended")) * -2).cast("decimal(38,0)").alias("pairs"))
+    out = squares.unionByName(missed)
+
+    alike = rows.groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_n"))
+    odd = F.col(start) >= F.col(end)
+    if not alike.filter(odd).isEmpty():
+        some = alike.filter(odd).select(*keys).distinct()
+        mine = alike.join(some, keys, "left_semi")
+        point = F.struct(F.col(end).alias("_x"), F.col(start).alias("_y"), F.lit(0).alias("_asks"),
+                         (F.col("_n") * F.when(odd, 1).otherwise(2)).alias("_w"))
+        query = F.struct(F.col(start).alias("_x"), F.col(end).alias("_y"), F.lit(1).alias("_asks"),
+                         F.col("_n").alias("_w"))
+        both = mine.select(*keys, F.explode(F.when(odd, F.array(point, query)).otherwise(F.array(point))).alias("_p"))
+        out = out.unionByName(dominated(both.select(*keys, "_p.*"), keys, width, max_bucket_rows))
+    return out.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("pairs"))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], pos: str, width: int | None,
+            max_bucket_rows: int | None) -> tuple[DataFrame, Column]:
+    """``df`` and its bucket by slices of ``pos`` (dense ones cut finer, if bounded)."""
+    if not max_bucket_rows:
+        return df, bucket_for(df, pos, width)
+    df = with_dense_slice_factor(df, keys, pos, width, max_bucket_rows)
+    return df, bucket_for(df, pos, width, F.col(BUCKET_FACTOR))
+
+
+# Digits of a rank, per level of the dominance count.
+RADIX = 8
+
+
+def dominated(rows: DataFrame, keys: Sequence[str], width: int | None = None,
+              max_bucket_rows: int | None = None) -> DataFrame:
+    """Two-dimensional dominance count: over queries (``_asks`` = 1) and points (0) of one key,
+    the sum of query weight times point weight (``_w``) where the point has ``_x`` at most and
+    ``_y`` at least the query's. One row: ``pairs``.
+
+    Rows get their rank by ``_x`` and by ``_y`` within the key (two bucketed sweeps). A point
+    is before a query by ``_x`` if, at the highest digit (base ``RADIX``) in which their ranks
+    differ, its digit is smaller; so every row goes once per digit to the group of rows that
+    share the digits above, and in each group one sweep by falling ``_y`` rank keeps a running
+    weight per digit, of which a query takes the smaller ones. Rows times digits are shuffled,
+    no pair is formed, and a group is cut into buckets of about ``max_bucket_rows`` rows.
+    """
+    from lakeward.session import stored
+    keys = list(keys)
+    one, size = F.lit(1).cast("long"), max_bucket_rows or 1_000_000
+    by_x, b = _sliced(rows, keys, "_x", width, max_bucket_rows)
+    # At equal positions a point counts for the query: first by _x, last by _y.
+    by_x = stored(running_sums(by_x, keys, [F.col("_x"), F.col("_asks")], {"_rx": one}, b)
+                  .select(*keys, "_y", "_asks", "_w", "_rx"), "ranks")
+    by_y, b = _sliced(by_x, keys, "_y", width, max_bucket_rows)
+    ranked = stored(running_sums(by_y, keys, [F.col("_y"), F.col("_asks").desc()], {"_ry": one}, b)
+                    .select(*keys, "_asks", "_w", "_rx", "_ry"), "ranks")
+    largest = ranked.agg(F.max("_rx")).head()[0] or 0
+    levels, steps = 0, []
+    while levels == 0 or RADIX ** levels <= largest:
+        below, above = RADIX ** levels, RADIX ** (levels + 1)
+        # A group's rows lie about largest / above ranks apart by _y.
+        steps.append(F.struct(F.lit(levels).alias("_level"),
+                              F.expr(f"_rx div {above}").alias("_group"),
+                              (F.expr(f"_rx div {below}") % RADIX).cast("int").alias("_digit"),
+                              (-F.expr(f"_ry div {size * max(1, -(-largest // above))}")).alias("_slot")))
+        levels += 1
+    every = ranked.select(*keys, "_asks", "_w", "_ry", F.explode(F.array(*steps)).alias("_s")).select(
+        *keys, "_asks", "_w", "_ry", "_s.*")
+    every = every.filter(F.when(F.col("_asks") == 1, F.col("_digit") > 0).otherwise(F.col("_digit") < RADIX - 1))
+    held = {f"_d{d}": F.when((F.col("_asks") == 0) & (F.col("_digit") == d), F.col("_w")).otherwise(F.lit(0).cast("long"))
+            for d in range(RADIX - 1)}
+    swept = running_sums(every, [*keys, "_level", "_group"], [F.col("_ry").desc()], held, F.col("_slot"))
+    less = F.lit(0).cast("decimal(38,0)")
+    for d in range(RADIX - 1):
+        less = less + F.when(F.col("_digit") > d, F.col(f"_d{d}")).otherwise(F.lit(0)).cast("decimal(20,0)")
+    met = (less.cast("decimal(19,0)") * F.col("_w").cast("decimal(19,0)")).cast("decimal(38,0)")
+    return swept.filter(F.col("_asks") == 1).agg(F.sum(met).cast("decimal(38,0)").alias("pairs"))

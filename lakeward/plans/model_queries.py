@@ -20,7 +20,8 @@ from lakeward.plans.reports import gold_report, silver_report, title_type_distri
 from lakeward.session import fresh_dir
 from lakeward.sources import tsv as S
 from lakeward.specs import CLEAN_SPECS, DEPARTMENTS, DEFAULT_DEPARTMENT, DROP, TableLayout
-from lakeward.streaming.runner import load_tables, run_layers
+from lakeward.operators.audit import row_count_history
+from lakeward.streaming.runner import load_tables, run_audits, run_layers
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -120,18 +121,93 @@ def derive_raw_files(spark: SparkSession, sf: str, root: str) -> None:
 _RUNS: dict[tuple, TableLayout] = {}
 
 
-def model_run(spark: SparkSession, sf: str) -> TableLayout:
-    """The layout of this session's run over ``sf`` (made on first use)."""
-    key = (spark.sparkContext.applicationId, sf)
+def _shared_run(spark: SparkSession, sf: str, name: str, tables, make) -> TableLayout:
+    """The layout of this session's run ``name`` over ``sf``, made on first use and again when a
+    file of its input ``tables`` has another name, size or time."""
+    paths = [f"{sf}/{t}.parquet" for t in sorted(set(tables))]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    found = sorted(map(tuple, files.select("path", "length", "modificationTime").collect()))
+    key = (spark.sparkContext.applicationId, name, tuple(found))
     if key not in _RUNS:
-        root = fresh_dir(spark, "layered_model")
-        derive_raw_files(spark, sf, root)
-        layout = TableLayout(root)
-        run_layers(spark, layout, f"{root}/lookups/region", f"{root}/lookups/language", raw_glob="part-*")
+        layout = TableLayout(fresh_dir(spark, name))
+        make(layout)
         _RUNS[key] = layout
     return _RUNS[key]
 
 
+def model_run(spark: SparkSession, sf: str) -> TableLayout:
+    """The layout of this session's run over ``sf``: all raw file sets through all layers."""
+    def make(layout: TableLayout) -> None:
+        root = layout.root
+        derive_raw_files(spark, sf, root)
+        run_layers(spark, layout, f"{root}/lookups/region", f"{root}/lookups/language", raw_glob="part-*")
+    return _shared_run(spark, sf, "layered_model", [t for t, _ in RAW_SQL.values()], make)
+
+
+# ---- two deliveries through the same checkpoints ----------------------------------------------
+
+# The clock of each delivery, and what the second brings of the persons: some not at all, some
+# under another name (tracked), some with another birth year (not tracked), the rest as before.
+CLOCKS = ("2024-03-01 06:00:00", "2024-03-02 06:00:00")
+SECOND = {"primaryName": _cases((_s(3), "concat(s_name, ' II')"), (_s(23), "NULL"), other="s_name"),
+          "birthYear": _cases((_s(5), "'1955'"), other=dict(RAW_SQL["name_basics"][1])["birthYear"]),
+          "deathYear": _cases((_s(11), "'2023'"), (_s(7), "concat('', 2000 + s_suppkey % 20)"), other="NULL")}
+SECOND_ROWS = "s_suppkey % 4 <> 1"
+DELIVERED = [[(c, e) for c, e in RAW_SQL["name_basics"][1]],
+             [(c, SECOND.get(c, e)) for c, e in RAW_SQL["name_basics"][1]]]
+
+
+def two_deliveries(spark: SparkSession, sf: str) -> TableLayout:
+    """The layout after two deliveries of persons (the first also of ratings), each run through
+    all layers at its own clock with the same checkpoints, and audited; the second audit is
+    repeated under its run id, as after a failure."""
+    def make(layout: TableLayout) -> None:
+        root = layout.root
+        persons = spark.read.parquet(f"{sf}/supplier.parquet")
+        ratings = spark.read.parquet(f"{sf}/part.parquet")
+        S.write_tsv(ratings.selectExpr(*[f"{e} AS {c}" for c, e in RAW_SQL["title_ratings"][1]]), f"{root}/raw/title_ratings")
+        for i, (clock, cols) in enumerate(zip(CLOCKS, DELIVERED)):
+            rows = persons.where(SECOND_ROWS) if i else persons
+            S.write_tsv(rows.selectExpr(*[f"{e} AS {c}" for c, e in cols]), f"{root}/raw/name_basics", "append")
+            run_layers(spark, layout, "", "", raw_glob="part-*", clock=clock)
+            for _ in range(i + 1):
+                run_audits(spark, layout, clock, f"delivery_{i + 1}")
+    return _shared_run(spark, sf, "two_deliveries", ["supplier", "part"], make)
+
+
+def _instant(c: str):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+
+
+def person_two_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """GD-01/02, SCD-02/03, STR-06: the person dimension after two deliveries, with the bounds of
+    its versions."""
+    person = load_tables(spark, two_deliveries(spark, sf), ["gold_dim_person"])["gold_dim_person"]
+    instants = ("load_dt", "__START_AT", "__END_AT")
+    return person.select(
+        *[_instant(c) if c in instants else F.array_join(c, "|").alias(c) if c == "knownForTitles" else F.col(c)
+          for c in person.columns])
+
+
+def layer_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    """PRJ-13, FN-15, SRC-06: every load stamp of bronze, silver and gold after two deliveries,
+    with its rows."""
+    tables = load_tables(spark, two_deliveries(spark, sf), [t for t, _ in STAMPED])
+    out = None
+    for name, columns in STAMPED:
+        for c in columns:
+            rows = tables[name].groupBy(F.lit(name).alias("table_name"), F.lit(c).alias("stamp"), _instant(c).alias("at")) \
+                .agg(F.count(F.lit(1)).alias("n"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def row_counts_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """QL-3: the stored row-count history after two runs, of which the second was repeated."""
+    history = row_count_history(spark, two_deliveries(spark, sf).path("qa", "qa_row_count_history"))
+    return history.select("table_name", "row_count", _instant("recorded_at"), "delta_from_previous")
+
+
 # Clock and lineage columns, left out of comparisons.
 STAMPS = ("load_dt", "source_loaded_at", "silver_processed_at", "_source_file", "_loaded_at", "_batch_id",
           "_malformed_record", "__START_AT")
@@ -295,6 +371,63 @@ for _name, _sql in GOLD_SQL.items():
     ORACLE[_name] = _with() + _sql.strip()
 
 
+def _deliveries() -> str:
+    """WITH clause of both deliveries: raw persons d1, d2 and cleansed ones p1, p2 with ``load_dt``;
+    ratings as in the model."""
+    spec = next(s for s in CLEAN_SPECS if s.name == "silver_name_basics")
+    drops = " AND ".join([f"COALESCE({_ansi(r.predicate)}, false)" for r in spec.rules if r.action == DROP] or ["true"])
+    out = []
+    for i, (clock, cols) in enumerate(zip(CLOCKS, DELIVERED), 1):
+        out.append(f"d{i} AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in cols) + " FROM supplier"
+                   + (f" WHERE {SECOND_ROWS}" if i > 1 else "") + ")")
+        typed = ", ".join(f"{e} AS {c}" for c, e in TYPED_SQL["silver_name_basics"])
+        out.append(f"p{i} AS (SELECT *, '{clock}' AS load_dt FROM (SELECT {typed} FROM d{i}) t WHERE {drops})")
+    return _with().rstrip() + ",\n" + ",\n".join(out) + "\n"
+
+
+_KNOWN = {"primary_name": "primaryName", "birth_year": "birthYear", "death_year": "deathYear"}
+
+
+def _version(row: str, start: str, end: str) -> str:
+    return (f"SELECT {row}.nconst, " + ", ".join(f'{row}.{c} AS "{n}"' for c, n in _KNOWN.items())
+            + f""", array_to_string({row}.primary_professions, ',') AS "primaryProfession",
+       len({row}.primary_professions) AS profession_count, array_to_string({row}.known_for_titles, '|') AS "knownForTitles",
+       {row}.load_dt, 'silver_name_basics' AS source_file, {start} AS "__START_AT", CAST({end} AS VARCHAR) AS "__END_AT" """)
+
+
+_BOTH = "FROM p1 JOIN p2 ON p1.nconst = p2.nconst WHERE"
+_SAME = """(p1.primary_name IS NOT DISTINCT FROM p2.primary_name AND p1.death_year IS NOT DISTINCT FROM p2.death_year
+  AND array_to_string(p1.primary_professions, ',') IS NOT DISTINCT FROM array_to_string(p2.primary_professions, ','))"""
+QUERIES["person_two_deliveries"] = person_two_deliveries
+ORACLE["person_two_deliveries"] = _deliveries() + "\nUNION ALL ".join([
+    f"{_version('p1', 'p1.load_dt', 'NULL')} FROM p1 WHERE nconst NOT IN (SELECT nconst FROM p2)",
+    f"{_version('p2', 'p2.load_dt', 'NULL')} FROM p2 WHERE nconst NOT IN (SELECT nconst FROM p1)",
+    f"{_version('p2', 'p1.load_dt', 'NULL')} {_BOTH} {_SAME}",
+    f"{_version('p1', 'p1.load_dt', 'p2.load_dt')} {_BOTH} NOT {_SAME}",
+    f"{_version('p2', 'p2.load_dt', 'NULL')} {_BOTH} NOT {_SAME}"])
+
+STAMPED = [("bronze_name_basics", ["_loaded_at"]), ("bronze_title_ratings", ["_loaded_at"]),
+           ("silver_name_basics", ["source_loaded_at", "silver_processed_at"]),
+           ("silver_title_ratings", ["source_loaded_at", "silver_processed_at"]),
+           ("gold_dim_person", ["load_dt"]), ("gold_fact_ratings", ["load_dt"])]
+_STAMP_ROWS = {"bronze_name_basics": ["d1", "d2"], "silver_name_basics": ["p1", "p2"],
+               "bronze_title_ratings": ["bronze_title_ratings"], "silver_title_ratings": ["silver_title_ratings"],
+               "gold_fact_ratings": ["silver_title_ratings"]}
+QUERIES["layer_stamps"] = layer_stamps
+ORACLE["layer_stamps"] = _deliveries() + "\nUNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, '{c}' AS stamp, '{CLOCKS[i]}' AS at, count(*) AS n FROM {rows}"
+     for t, columns in STAMPED if t in _STAMP_ROWS for c in columns for i, rows in enumerate(_STAMP_ROWS[t])]
+    + [f"SELECT 'gold_dim_person', 'load_dt', load_dt, count(*) FROM ({ORACLE['person_two_deliveries'][len(_deliveries()):]}) g GROUP BY load_dt"])
+
+QUERIES["row_counts_two_runs"] = row_counts_two_runs
+ORACLE["row_counts_two_runs"] = _deliveries() + f"""
+SELECT table_name, n AS row_count, recorded_at, n - COALESCE(before, n) AS delta_from_previous FROM (
+  SELECT 'bronze_name_basics' AS table_name, (SELECT count(*) FROM d1) AS n, '{CLOCKS[0]}' AS recorded_at, NULL AS before
+  UNION ALL SELECT 'bronze_name_basics', (SELECT count(*) FROM d1) + (SELECT count(*) FROM d2), '{CLOCKS[1]}', (SELECT count(*) FROM d1)
+  UNION ALL SELECT 'bronze_title_ratings', (SELECT count(*) FROM part), '{CLOCKS[0]}', NULL
+  UNION ALL SELECT 'bronze_title_ratings', (SELECT count(*) FROM part), '{CLOCKS[1]}', (SELECT count(*) FROM part)) h"""
+
+
 def rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     """EXP-01..03, EX-01..39: violations of every rule, from the stored rule log."""
     log = spark.read.parquet(model_run(spark, sf).path("qa", "expectation_log"))

@@ -24,12 +24,12 @@ def bronze_batch(spark: SparkSession, layout: TableLayout, spec: RawSpec,
 
 def start_bronze(spark: SparkSession, layout: TableLayout, spec: RawSpec,
                  available_now: bool = True, max_files_per_trigger: int | None = None,
-                 glob: str = RAW_GLOB):
+                 glob: str = RAW_GLOB, clock=None):
     """BR-1..7 incremental form (SRC-01, SNK-01): only files not yet ingested."""
     return ingest_stream(spark, layout.path("raw", spec.folder), layout.path("bronze", spec.name),
                          layout.checkpoint(spec.name), spec.multiline, spec.columns, spec.rules,
                          glob, max_files_per_trigger, available_now, dataset=spec.name,
-                         metrics_path=layout.path("qa", "expectation_log"))
+                         metrics_path=layout.path("qa", "expectation_log"), clock=clock)
 
 
 __all__ = ["bronze_batch", "start_bronze", "RAW_SPECS"]

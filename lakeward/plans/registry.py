@@ -604,6 +604,27 @@ def q_scd2_overlap(spark, sf):
                                               F.col("overlaps").alias("strict_overlaps"))
 
 
+_ODD_PERIODS_SQL = """
+SELECT CASE WHEN o_custkey % 5 < 2 THEN 0 ELSE o_custkey % 200 END AS k, o_orderkey AS s,
+       CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 5 < 2 THEN o_orderkey - (o_orderkey % 7) * 40
+            ELSE o_orderkey + (o_orderkey % 13) * 30 END AS e
+FROM orders"""
+
+
+@query("overlap_odd_periods", f"""
+WITH p AS ({_ODD_PERIODS_SQL})
+SELECT count(*) AS pairs FROM p a JOIN p b ON a.k = b.k AND a.s < b.e AND a.e > b.s AND a.s <> b.s""")
+def q_overlap_odd_periods(spark, sf):
+    """QA-22, JN-05: the self-join pair metric where two fifths of the periods end at or before
+    their start and one key holds two fifths of all rows."""
+    key, c = F.col("o_orderkey"), F.col("o_custkey")
+    periods = _t(spark, sf, "orders").select(
+        F.when(c % 5 < 2, 0).otherwise(c % 200).alias("k"), key.alias("s"),
+        F.when(key % 11 == 0, F.lit(None)).when(key % 5 < 2, key - (key % 7) * 40)
+        .otherwise(key + (key % 13) * 30).alias("e"))
+    return reference_overlaps(periods, ["k"], "s", "e", 10_000)
+
+
 # ---------------------------------------------------------------------------------------
 # Validation checks (QA-01..26)
 # ---------------------------------------------------------------------------------------

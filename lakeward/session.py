@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins/partition counts at runtime,
 # splits skewed shuffle partitions and coalesces tiny ones.
@@ -91,3 +91,10 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, never reused folder under the work root (one per run; nothing is deleted)."""
     return f"{work_dir(spark)}/lakeward/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the work root and read back: its lineage ends here."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeward.functions.cleanse import at_clock
 from lakeward.specs import Rule
 
 # FIXED VALUES — the raw file dialect.
@@ -239,7 +240,8 @@ class _EvolvingBatchWriter:
     rule counts go to ``self.metrics`` and an optional log table."""
 
     def __init__(self, target: str, multiline: bool, expected, rules, dataset: str,
-                 metrics_path: str | None):
+                 metrics_path: str | None, clock=None):
+        self.clock = clock
         self.target, self.multiline, self.expected = target, multiline, expected
         self.rules, self.dataset, self.metrics_path = rules, dataset, metrics_path
         self.metrics: list[dict] = []
@@ -276,7 +278,7 @@ class _EvolvingBatchWriter:
 
     def _write(self, df: DataFrame, batch_id: int) -> None:
         rules = [*self.rules, WELL_FORMED]
-        self.metrics.extend(write_checked_batch(df, rules, batch_id, self.target, self.dataset,
+        self.metrics.extend(write_checked_batch(at_clock(df, self.clock), rules, batch_id, self.target, self.dataset,
                                                 self.metrics_path))
 
 
@@ -323,7 +325,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint:
                   multiline: bool = False, expected: Sequence[str] | None = None,
                   rules=(), glob: str | None = None, max_files_per_trigger: int | None = 1000,
                   available_now: bool = True, dataset: str | None = None,
-                  metrics_path: str | None = None):
+                  metrics_path: str | None = None, clock=None):
     """SRC-01 + SRC-05 + SNK-01: incremental, header-aware ingest into an append-only
     parquet table. Returns the started ``StreamingQuery``.
 
@@ -333,7 +335,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint:
     each batch; the counts go to the batch's partition of ``metrics_path`` (the rule log)
     and are kept on the returned query as ``expectation_metrics``. A record with more or
     fewer fields than its header keeps its line in ``_malformed_record`` and counts as a
-    violation of ``well_formed_record``.
+    violation of ``well_formed_record``. ``clock`` sets the load time (``at_clock``).
 
     With ``available_now=False`` a replayed batch writes new files into its partition, which
     a stream that reads ``target`` at the same time would take again: run readers after
@@ -347,7 +349,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     files = r.load(source_dir).select("path")
     writer = _EvolvingBatchWriter(target, multiline, list(expected or []), list(rules),
-                                  dataset or target.rstrip("/").split("/")[-1], metrics_path)
+                                  dataset or target.rstrip("/").split("/")[-1], metrics_path, clock)
     w = files.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()

@@ -11,7 +11,9 @@ are stored in the rule log (``qa/expectation_log``), one partition per dataset a
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from lakeward.functions.cleanse import at_clock
 from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
 from lakeward.plans.cleansed import PROJECTIONS
@@ -52,18 +54,24 @@ def _await_all(queries: dict) -> None:
 
 
 def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, languages_csv: str,
-               key_buckets: int = 64, raw_glob: str = "*.tsv*") -> dict:
+               key_buckets: int = 64, raw_glob: str = "*.tsv*", clock=None) -> dict:
     """Run every layer once (availableNow). Returns observed rule metrics per query.
+    ``clock`` dates the run: every load stamp of every layer (``cleanse.at_clock``).
 
     Streams of one layer are independent, so they run concurrently (one session, several
     streaming queries); layers run in dependency order.
     """
     metrics: dict = {}
+
+    def dated(build):
+        return lambda *frames: at_clock(build(*frames), clock)
+
     # One listing job per layer tells which tables exist (not one probe per table).
     raw = folders_with_files(spark, layout.path("raw", ""), raw_glob)
     # bronze (SRC-01..06, EX-01..08)
     bronze = {spec.name: start_bronze(spark, layout, spec,
-                                      max_files_per_trigger=RAW_FILES_PER_TRIGGER, glob=raw_glob)
+                                      max_files_per_trigger=RAW_FILES_PER_TRIGGER, glob=raw_glob,
+                                      clock=clock)
               for spec in RAW_SPECS if spec.folder in raw}
     _await_all(bronze)
     metrics.update({f"{name}_rules": _rule_totals(q) for name, q in bronze.items()})
@@ -75,7 +83,7 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
         if spec.source in have:
             silver[spec.name] = checked_stream(
                 stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER),
-                PROJECTIONS[spec.name], spec.rules, layout.path("silver", spec.name),
+                dated(PROJECTIONS[spec.name]), spec.rules, layout.path("silver", spec.name),
                 layout.checkpoint(spec.name), spec.name, layout.path("qa", "expectation_log"))
     _await_all(silver)
     metrics.update({f"{name}_rules": _rule_totals(q) for name, q in silver.items()})
@@ -88,16 +96,16 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
         if source in have:
             rows = stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER)
             if name in G.ONE_ROW_PER_KEY:
-                gold[name] = new_keys_stream(rows, build, G.ONE_ROW_PER_KEY[name],
+                gold[name] = new_keys_stream(rows, dated(build), G.ONE_ROW_PER_KEY[name],
                                              layout.path("gold", name), layout.checkpoint(name))
             else:
-                gold[name] = append_stream(build(rows), layout.path("gold", name),
+                gold[name] = append_stream(dated(build)(rows), layout.path("gold", name),
                                            layout.checkpoint(name))
     names = layout.path("silver", "silver_name_basics")
     if "silver_name_basics" in have:
         gold["gold_dim_person"] = apply_changes_stream(
-            G.person_changes(stream_table(spark, names,
-                                          max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
+            dated(G.person_changes)(stream_table(spark, names,
+                                                 max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
             layout.path("gold", "gold_dim_person"),
             layout.path("gold", "_changes_gold_dim_person"), layout.checkpoint("gold_dim_person"),
             ["nconst"], G.STAMP, G.PERSON_TRACKED, key_buckets)
@@ -108,18 +116,19 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     akas = layout.path("silver", "silver_title_akas")
     if "silver_title_akas" in have:
         a = read_table(spark, akas)
-        write_table(G.dim_region(a, read_lookup_csv(spark, countries_csv,
-                                                    ["region_code", "region_name"])),
+        write_table(dated(G.dim_region)(a, read_lookup_csv(spark, countries_csv,
+                                                           ["region_code", "region_name"])),
                     layout.path("gold", "gold_dim_region"))
-        write_table(G.dim_language(a, read_lookup_csv(spark, languages_csv,
-                                                      ["language_code", "language_name"])),
+        write_table(dated(G.dim_language)(a, read_lookup_csv(spark, languages_csv,
+                                                             ["language_code", "language_name"])),
                     layout.path("gold", "gold_dim_language"))
     return metrics
 
 
-def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
+def run_audits(spark: SparkSession, layout: TableLayout, clock=None, run_id: str | None = None) -> dict:
     """QL-1..6: recompute the load-audit and data-quality tables over the raw (bronze)
-    tables and append a row-count snapshot to the history; returns the three paths."""
+    tables and append a row-count snapshot to the history; returns the three paths.
+    ``clock`` dates the checks; a repeated ``run_id`` replaces its own snapshot."""
     from lakeward.operators.audit import AuditTarget, data_quality, load_audit, record_row_counts
     from lakeward.sources.tables import write_table as _write
     tables = []
@@ -133,8 +142,9 @@ def run_audits(spark: SparkSession, layout: TableLayout) -> dict:
                                             "qa_data_quality")}
     if tables:
         _write(load_audit(tables), out["qa_load_audit"])
-        _write(data_quality(tables), out["qa_data_quality"])
-        record_row_counts(tables, out["qa_row_count_history"])
+        at = None if clock is None else F.lit(clock).cast("timestamp")
+        _write(data_quality(tables, at), out["qa_data_quality"])
+        record_row_counts(tables, out["qa_row_count_history"], at, run_id)
     return out
 
 
