@@ -12,7 +12,7 @@ Semantics (from the change-application call being modelled):
 6. ``A -> B -> A`` gives three versions.
 7. A change with a NULL sequence value cannot be ordered and is not applied.
 
-Plan: one shuffle of the feed on (key, time bucket) with windows inside buckets and a
+Plan: one shuffle of the feed on (key, bucket of the sequence) with windows inside buckets and a
 small per-(key, bucket) carry table (``segmented.run_versions``); each version is its
 last row, so there is no aggregate over rows and no task ever holds a whole key.
 """
@@ -41,12 +41,19 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], seq: str, tracked: Seq
                  max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """SCD-01: the full type-2 history of ``changes`` (batch or a micro-batch's log).
 
-    ``bucket_width`` is the time slice (seconds; default one day) a key's rows are split
-    into; a (key, slice) with more than ``max_bucket_rows`` rows is cut finer.
+    A key with many rows is split into slices of about equally many (at most
+    ``max_bucket_rows``), see ``segmented.with_equal_depth_bucket``. With ``bucket_width`` they
+    are slices of that width instead (seconds of a timestamp, days of a date, else units), of
+    which one with more than ``max_bucket_rows`` rows is cut finer.
     """
     keys, cols = list(keys), list(changes.columns)
     if tiebreak is None:   # all other source columns, compared in order (greatest wins)
         tiebreak = [c for c in cols if c not in keys and c != seq]
+    if max_bucket_rows and bucket_width is None:
+        from lakeward.operators.segmented import BUCKET, with_equal_depth_bucket
+        feed = with_equal_depth_bucket(changes, keys, seq, max_bucket_rows, tiebreak)
+        out = run_versions(feed, keys, seq, list(tracked), F.col(BUCKET), tiebreak, start_col, end_col)
+        return out.select(*cols, start_col, end_col)
     if max_bucket_rows:
         from lakeward.operators.segmented import BUCKET_FACTOR, with_dense_slice_factor
         feed = with_dense_slice_factor(changes, keys, seq, bucket_width, max_bucket_rows)

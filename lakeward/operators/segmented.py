@@ -93,6 +93,74 @@ def with_dense_slice_factor(df: DataFrame, keys: Sequence[str], seq: str,
             .drop("_slice"))
 
 
+# Cuts of one key, at most (its quantiles are taken at this many places).
+MAX_CUTS = 1024
+# Cuts are looked up in two steps of about this many comparisons.
+CUT_STEP = 32
+# Rows that are worth a slice of their own, whatever the number of tasks.
+MIN_SLICE_ROWS = 1000
+BROADCAST_MAX_CUTS = 2_000_000
+BUCKET = "_depth_bucket"
+
+
+def with_equal_depth_bucket(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int,
+                            tiebreak: Sequence[str]) -> DataFrame:
+    """Add ``_depth_bucket``: contiguous slices of ``seq`` per key that hold about equally many
+    rows, whatever the unit or the spread of the sequence.
+
+    A slice has about total / (2 * shuffle partitions) rows, ``max_rows`` at most; keys below
+    that (the common case, told by one aggregate) are one slice. The cuts of a larger key come
+    from a quantile sketch of its rows (partial sketches per task). There are fewer cuts than
+    rows / slice rows in all, so the table of cuts is broadcast once its size is checked.
+
+    No cut can split an instant. One that fills two or more slices shows as a repeated quantile;
+    its rows are reduced to the one that the tie rule keeps (the greatest ``tiebreak``) by a
+    partial aggregate inside the tasks, before they meet. Rows without a sequence are dropped.
+    """
+    keys = list(keys)
+    units, _ = _units(df, seq, None)
+    df = df.filter(F.col(seq).isNotNull())
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    seen = counts.agg(F.sum("_cnt").alias("total"), F.max("_cnt").alias("most")).head()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    depth = min(max_rows, max(MIN_SLICE_ROWS, (seen["total"] or 0) // (2 * tasks)))
+    if (seen["most"] or 0) <= depth:
+        return df.withColumn(BUCKET, F.when(F.col(seq).isNull(), -1).otherwise(0).cast("long"))
+
+    from lakeward.session import stored
+    large = stored(counts.filter(F.col("_cnt") > depth), "large-keys")
+    places = [F.lit(i / MAX_CUTS) for i in range(1, MAX_CUTS)]
+    sketch = (_null_safe_join(df.select(*keys, units.alias("_u")), F.broadcast(large)
+                              if large.count() <= BROADCAST_MAX_CUTS else large, keys)
+              .groupBy(*keys).agg(F.percentile_approx("_u", F.array(*places), 20 * MAX_CUTS).alias("_q"),
+                                  F.max("_cnt").alias("_cnt")))
+    cuts = sketch.withColumn("_p", F.expr(f"cast(least({MAX_CUTS}, ceil(_cnt / {depth})) as int)"))
+    cuts = cuts.withColumn("_raw", F.expr(f"transform(sequence(1, _p - 1), i -> _q[int(i * {MAX_CUTS} div _p) - 1])"))
+    cuts = cuts.withColumn("_cuts", F.array_distinct("_raw"))
+    cuts = cuts.withColumn("_full", F.expr("filter(_cuts, c -> size(filter(_raw, r -> r = c)) > 1)"))
+    cuts = stored(cuts.select(*keys, "_cuts", "_full", F.expr(
+        f"transform(sequence(0, (size(_cuts) - 1) div {CUT_STEP}), i -> _cuts[i * {CUT_STEP}])").alias("_coarse")), "cuts")
+    n_cuts = cuts.agg(F.sum(F.size("_cuts"))).head()[0] or 0
+
+    cols = list(df.columns)
+    out = _null_safe_join(df.withColumn("_u", units), F.broadcast(cuts) if n_cuts <= BROADCAST_MAX_CUTS else cuts,
+                          keys, "left")
+    # Cuts at or below the row's sequence: those of the coarse steps, then those in the last step.
+    step = F.expr("size(filter(_coarse, c -> c <= _u)) - 1")
+    inside = F.expr(f"size(filter(slice(_cuts, _step * {CUT_STEP} + 1, {CUT_STEP}), c -> c <= _u))")
+    out = out.withColumn("_step", step).withColumn(
+        BUCKET, F.when(F.col("_cuts").isNull() | (F.col("_step") < 0), 0)
+        .otherwise(F.col("_step") * CUT_STEP + inside).cast("long"))
+    full = F.coalesce(F.expr("array_contains(_full, _u)"), F.lit(False))
+    rest = out.filter(~full).select(*cols, BUCKET)
+    if cuts.filter(F.size("_full") > 0).isEmpty():
+        return rest
+    others = [c for c in cols if c not in keys and c != seq]
+    tied = (out.filter(full).groupBy(*keys, seq, BUCKET)
+            .agg(F.max_by(F.struct(*others), F.struct(*tiebreak)).alias("_row")))
+    return rest.unionByName(tied.select(*[F.col(f"_row.{c}").alias(c) if c in others else F.col(c) for c in cols], BUCKET))
+
+
 def null_safe_differs(a: Column, b: Column) -> Column:
     return ~a.eqNullSafe(b)
 

@@ -12,6 +12,8 @@ Keys follow SURVEY §7.3; docstrings name the operator IDs each query exercises.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1246,6 +1248,24 @@ def q_scd2_hot_key(spark, sf):
     return scd2_history(ev, ["user_id"], "ts", ["event_type"])
 
 
+_HOT_INSTANT = """CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+       CASE WHEN event_id % 3 = 1 THEN 1700000000000000 ELSE {micros} END AS seq, event_type, event_id, value"""
+
+_SCD_INSTANT_SQL = _SCD_TIES_SQL.replace(
+    "user_id, date_trunc('hour', ts) AS seq, event_type, event_id, value",
+    _HOT_INSTANT.format(micros="epoch_us(ts)"))
+
+
+@query("scd2_hot_instant", _SCD_INSTANT_SQL)
+def q_scd2_hot_instant(spark, sf):
+    """SCD-01 by a sequence of whole numbers (epoch microseconds): one key holds a third of all
+    events, and one instant of each key a third of its rows; slices come from a quantile sketch,
+    the rows of full instants meet reduced to one."""
+    ev = _t(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).selectExpr(
+        *[e.strip() for e in re.split(r",(?![^(]*\))", _HOT_INSTANT.format(micros="unix_micros(ts)"))])
+    return scd2_history(ev, ["user_id"], "seq", ["event_type"], max_bucket_rows=1000)
+
+
 # ---------------------------------------------------------------------------------------
 # The whole layered model on raw files derived from the driver tables (STR-01..06)
 # ---------------------------------------------------------------------------------------
