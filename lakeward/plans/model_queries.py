@@ -21,7 +21,8 @@ from lakeward.session import fresh_dir
 from lakeward.sources import tsv as S
 from lakeward.specs import CLEAN_SPECS, DEPARTMENTS, DEFAULT_DEPARTMENT, DROP, TableLayout
 from lakeward.operators.audit import row_count_history
-from lakeward.streaming.runner import load_tables, run_audits, run_layers
+from lakeward.sources.tables import read_catalog_table
+from lakeward.streaming.runner import load_tables, register_layout, run_audits, run_layers
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -419,6 +420,39 @@ ORACLE["layer_stamps"] = _deliveries() + "\nUNION ALL ".join(
      for t, columns in STAMPED if t in _STAMP_ROWS for c in columns for i, rows in enumerate(_STAMP_ROWS[t])]
     + [f"SELECT 'gold_dim_person', 'load_dt', load_dt, count(*) FROM ({ORACLE['person_two_deliveries'][len(_deliveries()):]}) g GROUP BY load_dt"])
 
+def catalog_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-09, SNK-05: every table after two deliveries, registered in the catalog with its layer
+    and read by name (partitioned ones too): rows, columns and rows without the key."""
+    layout = two_deliveries(spark, sf)
+    database = "lakeward_deliveries"
+    out = None
+    for name in sorted(register_layout(spark, layout, database)):
+        table = read_catalog_table(spark, name)
+        quality = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["quality"]
+        columns = ",".join(c for c in table.columns if not c.startswith("_"))
+        rows = table.agg(F.lit(name.split(".")[1]).alias("table_name"), F.lit(quality).alias("quality"),
+                         F.lit(columns).alias("columns"), F.count(F.lit(1)).alias("n_rows"),
+                         F.count_if(F.col(table.columns[0]).isNull()).alias("n_without_key"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+_RATINGS = "tconst,average_rating,num_votes"
+QUERIES["catalog_tables"] = catalog_tables
+ORACLE["catalog_tables"] = _deliveries() + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{q}' AS quality, '{c}' AS columns, count(*) AS n_rows, "
+    f"count(*) FILTER (WHERE {k} IS NULL) AS n_without_key FROM ({rows}) r" for t, q, c, k, rows in (
+        ("bronze_name_basics", "bronze", ",".join(c for c, _ in RAW_SQL["name_basics"][1]), "nconst",
+         "SELECT nconst FROM d1 UNION ALL SELECT nconst FROM d2"),
+        ("bronze_title_ratings", "bronze", ",".join(c for c, _ in RAW_SQL["title_ratings"][1]), "tconst",
+         "SELECT tconst FROM bronze_title_ratings"),
+        ("silver_name_basics", "silver", ",".join(c for c, _ in TYPED_SQL["silver_name_basics"]) + ",source_loaded_at,silver_processed_at",
+         "nconst", "SELECT nconst FROM p1 UNION ALL SELECT nconst FROM p2"),
+        ("silver_title_ratings", "silver", _RATINGS + ",source_loaded_at,silver_processed_at", "tconst", "SELECT tconst FROM silver_title_ratings"),
+        ("gold_fact_ratings", "gold", _RATINGS + ",load_dt,source_file,loaded_by", "tconst", "SELECT tconst FROM silver_title_ratings"),
+        ("gold_dim_person", "gold", "nconst,primaryName,birthYear,deathYear,primaryProfession,profession_count,knownForTitles,load_dt,source_file",
+         "nconst", f"SELECT nconst FROM ({ORACLE['person_two_deliveries'][len(_deliveries()):]}) g")))
+
 QUERIES["row_counts_two_runs"] = row_counts_two_runs
 ORACLE["row_counts_two_runs"] = _deliveries() + f"""
 SELECT table_name, n AS row_count, recorded_at, n - COALESCE(before, n) AS delta_from_previous FROM (

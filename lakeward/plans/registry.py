@@ -95,6 +95,26 @@ def q_ingest_tsv(spark, sf):
     return S.read_ingested(spark, f"{root}/bronze/orders").select(*ORDERS_RAW_COLUMNS)
 
 
+@query("ingest_lone_cr", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, replace(o_orderpriority, '-', chr(13)) AS o_orderpriority,
+       chr(13) || o_orderstatus AS o_orderstatus
+FROM orders""")
+def q_ingest_lone_cr(spark, sf):
+    """SRC-03: raw files whose fields hold a lone carriage return, ingested as a multi-line set:
+    it ends no record. Files stay splittable."""
+    root, columns = fresh_dir(spark, "ingest_lone_cr"), ["o_orderkey", "o_orderpriority", "o_orderstatus"]
+    rows = _t(spark, sf, "orders").select(
+        (F.col("o_orderkey") % 4).alias("file"), F.lit(1).alias("line"),
+        F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.replace("o_orderpriority", F.lit("-"), F.lit("\r")),
+                    F.concat(F.lit("\r"), "o_orderstatus")).alias("value"))
+    heads = spark.range(4).select(F.col("id").alias("file"), F.lit(0).alias("line"), F.lit("\t".join(columns)).alias("value"))
+    (rows.unionByName(heads).repartition("file").sortWithinPartitions("file", "line")
+     .select("file", "value").write.partitionBy("file").text(f"{root}/raw/orders"))
+    S.ingest_stream(spark, f"{root}/raw/orders", f"{root}/bronze/orders", f"{root}/_checkpoints/orders",
+                    multiline=True, expected=columns, glob="part-*").awaitTermination()
+    return S.read_ingested(spark, f"{root}/bronze/orders").select(*columns)
+
+
 CUSTOMER_A = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 CUSTOMER_B = ["c_mktsegment", "c_name", "c_custkey", "c_acctbal", "c_nationkey", "c_phone"]
 

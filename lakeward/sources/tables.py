@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,9 +11,48 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Folder of a table with its schema: one JSON file for each time that columns were added.
+SCHEMA = "_schema"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """SRC-05: the schema kept with the table (without partition columns), None if there is none.
+    Columns are only ever added, so the widest one kept is the latest."""
+    try:
+        kept = spark.read.text(f"{path}/{SCHEMA}").collect()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    schemas = [T.StructType.fromJson(json.loads(r[0])) for r in kept]
+    return max(schemas, key=len) if schemas else None
+
+
+def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> T.StructType:
+    """SRC-05: evolve the table's schema by the columns of a batch that is about to be written,
+    and return it. New columns go to the end; a column that arrives with another type is an
+    error. Kept before the batch's rows, so that no stored row has an unknown column; a batch
+    that fails afterwards leaves a column that reads as NULL."""
+    known = stored_schema(spark, path) or T.StructType()
+    types = {f.name: f.dataType for f in known}
+    for f in schema:
+        if f.name in types and types[f.name] != f.dataType:
+            raise ValueError(f"{path}: column {f.name} is stored as {types[f.name].simpleString()} "
+                             f"and arrives as {f.dataType.simpleString()}")
+    new = [T.StructField(f.name, f.dataType, True) for f in schema if f.name not in types]
+    if not new:
+        return known
+    merged = T.StructType([*known.fields, *new])
+    # A file of its own each time: nothing is replaced, so a reader never meets a missing schema.
+    spark.createDataFrame([(merged.json(),)], "value string").coalesce(1).write.mode("append").text(f"{path}/{SCHEMA}")
+    return merged
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-08/09: full batch read of a stored table."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """SRC-08/09: full batch read of a stored table, by the schema kept with it (no file footer
+    is opened to learn it; a file without a later column reads as NULL there)."""
+    schema = stored_schema(spark, path)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 #: Columns that only say where a row is stored (partitions of streamed tables).
@@ -29,7 +69,7 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType | None = N
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """SRC-07: incremental read of an upstream append-only table."""
     if schema is None:
-        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
+        schema = read_table(spark, path).schema
     from lakeward.sources.tsv import MAX_FILE_AGE
     r = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
@@ -91,6 +131,7 @@ def new_keys_stream(source: DataFrame, build, key: str, path: str, checkpoint: s
     the rest overwrites the batch's own partition (a replay gives the same rows)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = build(batch)
+        keep_schema(batch.sparkSession, path, rows.schema)
         stored = stored_batches(batch.sparkSession, path, batch_id)
         if stored is not None:
             known = stored.select(F.col(key).alias("_known"))
@@ -107,6 +148,7 @@ def new_keys_stream(source: DataFrame, build, key: str, path: str, checkpoint: s
 def append_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                   query_name: str | None = None):
     """SNK-01: append-only streaming table (parquet sink, exactly-once via checkpoint)."""
+    keep_schema(df.sparkSession, path, df.schema)
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
     if query_name:
@@ -120,7 +162,14 @@ def register_table(spark: SparkSession, name: str, path: str, comment: str = "",
     """SNK-05: expose a stored table in the catalog with its comment and layer label."""
     props = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    sql = f"CREATE TABLE {name} USING parquet LOCATION '{path}'"
+    # The schema kept with the table, so that columns added by later batches are there by name.
+    kept, whole = stored_schema(spark, path), read_table(spark, path).schema
+    parts = [f for f in whole if kept is not None and f.name not in kept.names]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole) if kept else ""
+    sql = f"CREATE TABLE {name}" + (f" ({columns})" if columns else "") + " USING parquet"
+    if parts:
+        sql += " PARTITIONED BY (" + ", ".join(f"`{f.name}`" for f in parts) + ")"
+    sql += f" LOCATION '{path}'"
     if comment:
         sql += " COMMENT '" + comment.replace("'", "''") + "'"
     if props:

@@ -23,10 +23,11 @@ which files were ingested. Each micro-batch reads its files as above and overwri
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -113,8 +114,7 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> list[
 def folders_with_files(spark: SparkSession, root: str, glob: str | None = None) -> set:
     """Names of the first-level folders under ``root`` that hold at least one (matching)
     file — one listing job; only the distinct folder names reach the driver."""
-    import re
-    key = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    key = _path_part(root).rstrip("/") + "/"
     key = key.replace("'", "''")
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -130,15 +130,6 @@ def folders_with_files(spark: SparkSession, root: str, glob: str | None = None)
         return set()
 
 
-def file_header(spark: SparkSession, path: str, multiline: bool = False) -> tuple:
-    """``(columns, crlf)`` of one file: its first line only (a one-line job), split on the
-    tab (quoting is off); ``crlf`` tells whether lines end with ``\\r\\n``."""
-    first = spark.read.option("lineSep", "\n").text(path).limit(1).collect()
-    line = first[0][0] if first else ""
-    crlf = line.endswith("\r")
-    return tuple(line[:-1].split("\t") if crlf else line.split("\t")), crlf
-
-
 def group_options(multiline: bool, crlf: bool) -> dict:
     """Read options for one header group, always splittable.
 
@@ -152,23 +143,30 @@ def group_options(multiline: bool, crlf: bool) -> dict:
     return tsv_options(False)
 
 
-HEADER_THREADS = 16
+def _path_part(path: str) -> str:
+    """A path without scheme and authority, which different readers spell differently."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
 
 
 def header_groups(spark: SparkSession, files: Sequence[str], multiline: bool = False
                   ) -> "OrderedDict[tuple, list[str]]":
-    """Files grouped by header line. Each header read is a one-line job; they are
-    submitted concurrently (Spark schedules jobs from several driver threads)."""
+    """Files grouped by ``(columns, crlf)``: their first line split on the tab (quoting is off)
+    and whether lines end with ``\\r\\n``. One job for all files: the first line of each is the
+    least row of its first split (a partial aggregate, so a file sends one line); the lines of
+    as many files as a micro-batch may take reach the driver."""
     files = list(files)
-    if len(files) > 1:
-        with ThreadPoolExecutor(min(HEADER_THREADS, len(files))) as pool:
-            headers = list(pool.map(lambda f: file_header(spark, f, multiline), files))
-    else:
-        headers = [file_header(spark, f, multiline) for f in files]
+    lines = spark.read.option("lineSep", "\n").text(files).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("row"))
+    first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "row").alias("line"))
+    told = {_path_part(unquote(r["path"])): r["line"] for r in first.collect()}
     groups: OrderedDict[tuple, list[str]] = OrderedDict()
-    for f, h in zip(files, headers):
-        if h[0] != ("",):          # empty file: nothing to read
-            groups.setdefault(h, []).append(f)
+    for f in files:
+        line = told.get(_path_part(f), "")     # empty file: nothing to read
+        crlf = line.endswith("\r")
+        header = tuple((line[:-1] if crlf else line).split("\t"))
+        if header != ("",):
+            groups.setdefault((header, crlf), []).append(f)
     return groups
 
 
@@ -301,7 +299,9 @@ def write_checked_batch(df: DataFrame, rules: Sequence[Rule], batch_id: int, tar
     from pyspark.sql import Observation
 
     from lakeward.operators.expectations import expect, observed_counts
+    from lakeward.sources.tables import keep_schema
     spark = df.sparkSession
+    keep_schema(spark, target, df.schema)
     obs = Observation(f"{dataset}_{batch_id}") if rules else None
     if obs is not None:
         df = expect(df, rules, obs)
@@ -359,7 +359,8 @@ def ingest_stream(spark: SparkSession, source_dir: str, target: str, checkpoint:
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
     """Read an ingested table; files of later batches may carry more columns."""
-    return spark.read.option("mergeSchema", "true").parquet(target)
+    from lakeward.sources.tables import read_table
+    return read_table(spark, target)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from lakeward.operators.scd2 import END, START, scd2_history
 from lakeward.operators.segmented import _null_safe_join
+from lakeward.sources.tables import keep_schema, read_table
 
 KEY_BUCKET = "_kb"
 BATCH = "_batch"
@@ -178,6 +179,7 @@ class Scd2Writer:
         """Dynamic overwrite of the open partitions and of this batch's closed ones; returns the
         rows written to each (observed on the write itself)."""
         is_open = F.col(END).isNull()
+        keep_schema(versions.sparkSession, self.target, versions.schema)
         obs = Observation(f"scd2_written_{id(versions)}")
         (versions.withColumn(PART, F.when(is_open, F.lit(OPEN)).otherwise(F.lit(CLOSED)))
          .withColumn(KEY_BUCKET, key_bucket(self.keys, self.key_buckets))
@@ -206,7 +208,7 @@ def apply_changes_stream(source: DataFrame, target: str, change_log: str, checkp
 
 def read_dimension(spark: SparkSession, target: str) -> DataFrame:
     """The maintained dimension, open and closed versions, without its storage columns."""
-    return spark.read.parquet(target).drop(*STORED)
+    return read_table(spark, target).drop(*STORED)
 
 
 def read_current(spark: SparkSession, target: str) -> DataFrame:
