@@ -385,8 +385,8 @@ def dominated(rows: DataFrame, keys: Sequence[str], width: int | None = None,
     differ, its digit is smaller; so every row goes once per digit to the group of rows that
     share the digits above, and in each group one sweep by falling ``_y`` rank keeps a running
     weight per digit, of which a query takes the smaller ones. Rows times digits are shuffled,
-    no pair is formed, and a group is cut into buckets of about ``max_bucket_rows`` rows (by
-    default the largest key's rows / (2 * shuffle partitions), 1 M at most).
+    no pair is formed, and a group is cut into buckets of about as many rows as the
+    largest key's / (2 * shuffle partitions), ``max_bucket_rows`` at most.
     """
     from lakeward.session import stored
     keys = list(keys)
@@ -400,7 +400,7 @@ def dominated(rows: DataFrame, keys: Sequence[str], width: int | None = None,
                     .select(*keys, "_asks", "_w", "_rx", "_ry"), "ranks")
     largest = ranked.agg(F.max("_rx")).head()[0] or 0
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = max_bucket_rows or min(1_000_000, max(MIN_SLICE_ROWS, largest // (2 * tasks)))
+    size = min(max_bucket_rows or 1_000_000, max(MIN_SLICE_ROWS, largest // (2 * tasks)))
     levels, steps = 0, []
     while levels == 0 or RADIX ** levels <= largest:
         below, above = RADIX ** levels, RADIX ** (levels + 1)
