@@ -349,8 +349,11 @@ def overlap_pairs(periods: DataFrame, keys: Sequence[str], start: str, end: str,
 
     alike = rows.groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_n"))
     odd = F.col(start) >= F.col(end)
-    if not alike.filter(odd).isEmpty():
-        some = alike.filter(odd).select(*keys).distinct()
+    some = rows.filter(odd).select(*keys).distinct()
+    n_keys = some.count()
+    if n_keys:
+        # Broadcast when few, so that no key's periods are dealt to one task to learn this.
+        some = F.broadcast(some) if n_keys <= BROADCAST_MAX_DENSE else some
         mine = alike.join(some, keys, "left_semi")
         point = F.struct(F.col(end).alias("_x"), F.col(start).alias("_y"), F.lit(0).alias("_asks"),
                          (F.col("_n") * F.when(odd, 1).otherwise(2)).alias("_w"))
