@@ -1130,7 +1130,25 @@ def q_stream_dedupe(spark, sf):
         return D.exploded_dimension(words, "words", "genre_key", "genre_name")
 
     TB.new_keys_stream(src, build, "genre_key", f"{root}/dim", f"{root}/_checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/dim").drop("_batch_id")
+    return TB.read_table(spark, f"{root}/dim").drop(*TB.STORAGE_COLUMNS)
+
+
+@query("key_store_growth", """
+SELECT l_partkey || '-' || l_suppkey AS supply_key, l_partkey, l_suppkey,
+       CAST(min(l_orderkey % 3) AS INTEGER) AS first_batch
+FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL GROUP BY ALL""")
+def q_key_store_growth(spark, sf):
+    """STR-03, AGG-09: a dimension with about as many keys as its source has parts and suppliers
+    grows over three batches that share keys; each key keeps the batch that brought it."""
+    root = fresh_dir(spark, "key_store_growth")
+    rows = (_t(spark, sf, "lineitem").where("l_partkey IS NOT NULL AND l_suppkey IS NOT NULL")
+            .select(F.concat_ws("-", "l_partkey", "l_suppkey").alias("supply_key"), "l_partkey", "l_suppkey",
+                    (F.col("l_orderkey") % 3).cast("int").alias("first_batch")))
+    for b in range(3):
+        rows.where(F.col("first_batch") == b).write.mode("append").parquet(f"{root}/batches")
+        TB.new_keys_stream(TB.stream_table(spark, f"{root}/batches"), lambda batch: batch.distinct(),
+                           "supply_key", f"{root}/dim", f"{root}/_checkpoint").awaitTermination()
+    return TB.read_table(spark, f"{root}/dim").drop(*TB.STORAGE_COLUMNS)
 
 
 @query("stream_dedupe_stateful", f"""

@@ -112,37 +112,87 @@ def checked_stream(source: DataFrame, project, rules, path: str, checkpoint: str
     return q
 
 
-def stored_batches(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """Rows that earlier micro-batches stored at ``path``; None if there is no table yet."""
+#: Buckets of a one-row-per-key table, and the most keys of a batch that are sent to all tasks.
+KEY_BUCKETS = 16
+FILTER_MAX_ROWS = 500_000
+FILTER_MAX_BYTES = 64 << 20
+
+
+def stored_keys(spark: SparkSession, path: str, key: str, buckets: Sequence[int],
+                before: int) -> DataFrame | None:
+    """Keys that earlier micro-batches stored at ``path`` in ``buckets`` (other buckets' folders
+    are not opened, other columns not read); None if there is no table yet."""
     try:
-        return spark.read.parquet(path).filter(F.col("_batch_id") < before)
+        stored = read_table(spark, path)
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
+    if "_kb" not in stored.columns:
+        # The schema is kept before the first rows, so the folder may be without them.
+        if "_batch_id" in stored.columns:
+            raise ValueError(f"{path}: rows are not stored by key bucket; rebuild the table")
+        return None
+    stored = stored.filter(F.col("_kb").isin(list(buckets)) & (F.col("_batch_id") < before))
+    return stored.select(F.col("_kb").alias("_known_kb"), F.col(key).alias("_known"))
+
+
+def new_keys(rows: DataFrame, stored: DataFrame, key: str, n_rows: int, key_bytes: int) -> DataFrame:
+    """Rows of a batch (with ``_kb``) whose key is not stored. If the batch's keys are few by
+    count and bytes, they filter the stored keys where these are read, so stored keys are not
+    shuffled and only those met again reach the anti-join; else both sides are shuffled by key."""
+    if n_rows <= FILTER_MAX_ROWS and key_bytes <= FILTER_MAX_BYTES:
+        asked = F.broadcast(rows.select(F.col("_kb").alias("_asked_kb"), F.col(key).alias("_asked")))
+        stored = stored.join(asked, (F.col("_known_kb") == F.col("_asked_kb"))
+                             & F.col("_known").eqNullSafe(F.col("_asked")), "left_semi")
+    return rows.join(stored, (rows["_kb"] == stored["_known_kb"])
+                     & rows[key].eqNullSafe(stored["_known"]), "left_anti")
 
 
 def new_keys_stream(source: DataFrame, build, key: str, path: str, checkpoint: str,
-                    available_now: bool = True):
+                    available_now: bool = True, buckets: int = KEY_BUCKETS):
     """STR-03 / AGG-09 without state per row: a dimension with one row per ``key``, kept up to
-    date from a stream. Per micro-batch ``build`` reduces the rows to one per key (a distinct
-    that starts inside the tasks, so a key held by most rows sends one row per task), keys
-    stored by earlier batches are dropped by an anti-join to the small stored dimension, and
-    the rest overwrites the batch's own partition (a replay gives the same rows)."""
+    date from a stream as a store of key buckets (``_kb=<bucket>/_batch_id=<batch>``).
+
+    Per micro-batch ``build`` reduces the rows to one per key (a distinct that starts inside the
+    tasks, so a key held by most rows sends one row per task). Only the buckets that the batch's
+    keys fall into are read, and of them only the keys; keys already there are dropped
+    (``new_keys``), and the rest is written by as many tasks as it has buckets, each overwriting
+    the batch's own partition of its bucket (a replay gives the same rows). A batch without new
+    keys writes nothing. ``buckets`` is fixed when a table is first written: a bucket's new keys
+    of one batch are one task's work, so take about (keys expected) / 1 M of them. NULL is a key
+    like any other. Each batch's numbers are kept on the returned query as ``key_batches``:
+    (batch, keys, buckets touched, bytes of keys)."""
+    told: list[tuple] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows = build(batch)
-        keep_schema(batch.sparkSession, path, rows.schema)
-        stored = stored_batches(batch.sparkSession, path, batch_id)
-        if stored is not None:
-            known = stored.select(F.col(key).alias("_known"))
-            rows = rows.join(known, rows[key].eqNullSafe(known["_known"]), "left_anti")
-        (rows.withColumn("_batch_id", F.lit(batch_id).cast("long")).coalesce(1)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch_id").parquet(path))
+        keep_schema(spark, path, rows.schema)
+        text = F.col(key).cast("string")
+        rows = rows.withColumn("_kb", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")).persist()
+        try:
+            # At most ``buckets`` rows reach the driver.
+            touched = rows.groupBy("_kb").agg(F.count(F.lit(1)).alias("n"),
+                                              F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16)
+                                              .alias("b")).collect()
+            n, size = sum(r["n"] for r in touched), sum(r["b"] for r in touched)
+            told.append((batch_id, n, len(touched), size))
+            if not touched:
+                return
+            stored = stored_keys(spark, path, key, [r["_kb"] for r in touched], batch_id)
+            new = rows if stored is None else new_keys(rows, stored, key, n, size)
+            (new.withColumn("_batch_id", F.lit(batch_id).cast("long")).hint("rebalance", "_kb")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_kb", "_batch_id").parquet(path))
+        finally:
+            rows.unpersist()
 
     w = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    q = w.start()
+    q.key_batches = told
+    return q
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
