@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ from .base import doc_id_of, documents, save, ship, sorted_groups, spread, text_
 LENGTH = 400
 GRAM = 32
 SLICE = 93
+PASSAGE_WORDS = 51
+WORD_BYTES = 4
 MAX_MEMBERS = 20_000
 CHUNK = 1 << 19
 BASE = 0x9E3779B97F4A7C15
@@ -281,25 +284,80 @@ def spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, width: int
                       (F.col("pos") + F.lit(length) - F.col("a0") - F.col("least")).alias("stop"))
 
 
-def without_repeats(docs: DataFrame, keep: str = "none", length: int = LENGTH, **options) -> DataFrame:
-    """One row per document: doc_id, text (binary, what is kept), n_bytes, n_removed, n_spans."""
+def hashed_words(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
+    """doc_id, origin (key of the text) and text: its words ([^\\x20\\x09-\\x0D]+) as their CRC32s
+    of four bytes, one after the other; texts under ``words`` words are left out."""
+    def work(batches):
+        for batch in batches:
+            out = []
+            for d, k, text in zip(*(batch.column(i) for i in range(3))):
+                own = text.as_py().split()   # of bytes: at the contract's white space only
+                if len(own) >= words:
+                    out.append((d.as_py(), k.as_py(), b"".join(zlib.crc32(w).to_bytes(WORD_BYTES, "big") for w in own)))
+            cols = list(zip(*out)) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.binary(), pa.binary()])],
+                                             ["doc_id", "origin", "text"])
+
+    text = text_of(docs)
+    rows = docs.select(doc_id_of(docs).alias("doc_id"), text_key(text).alias("origin"), text.cast("binary").alias("text"))
+    return rows.mapInArrow(work, "doc_id long, origin binary, text binary")
+
+
+def shared_words(docs: DataFrame, words: int = PASSAGE_WORDS, **options) -> DataFrame:
+    """(origin, n_shared): by key of the text, how many of its words stand in runs of ``words``
+    words or more that also start somewhere else, in the same or another document; texts
+    without such a run have no row. Found as repeated strings are, over words in place of
+    characters (``hashed_words``), so blanks and line ends do not matter."""
+    hashed = save(hashed_words(docs, words), "words")
+    rows = hashed.select("origin", text_key(F.col("text")).alias("key"),
+                         (F.octet_length("text") / WORD_BYTES).cast("long").alias("n"))
+    copies = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    cut = spans(hashed, "none", words * WORD_BYTES, **options)
+    # Whole words only: a run of equal words also matches itself between two words.
+    cut = cut.select("key", F.ceil(F.col("start") / WORD_BYTES).alias("start"), F.floor(F.col("stop") / WORD_BYTES).alias("stop"))
+    per = cut.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
+    per = save(per.join(copies, "key", "full").select(F.col("key").alias("_key"), "cuts", "rows"), "runs")
+
+    def work(batches):
+        for batch in batches:
+            got = [n if whole else sum(b - a for a, b in merged(cuts))
+                   for n, cuts, whole in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.int64())], ["origin", "n_shared"])
+
+    # Texts that differ in blanks alone are copies here, each with an origin of its own.
+    rows = rows.join(per, F.col("key") == F.col("_key")).groupBy("origin").agg(
+        F.first("n").alias("n"), F.first("cuts").alias("cuts"), F.first(F.col("rows").isNotNull()).alias("whole"))
+    return rows.mapInArrow(work, "origin binary, n_shared long")
+
+
+def without_repeats(docs: DataFrame, keep: str = "none", length: int = LENGTH, passage: int | None = None,
+                    **options) -> DataFrame:
+    """One row per document: doc_id, text (binary, what is kept), n_bytes, n_removed, n_spans;
+    and with ``passage`` n_shared, the words in runs of that many words that stand elsewhere too
+    (``shared_words``), whether or not their bytes are removed."""
     text = text_of(docs)
     rows = docs.select(text_key(text).alias("key"), doc_id_of(docs).alias("doc_id"), text.cast("binary").alias("text"))
     copies = rows.select("key", "doc_id", F.octet_length("text").alias("n")).where(F.col("n") >= length)
     copies = copies.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("least")).where("rows > 1")
     cut = spans(docs, keep, length, **options)
     per = cut.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
-    per = save(per.join(copies, "key", "full").select(F.col("key").alias("_key"), "cuts", "rows", "least"), "cuts")
+    per = per.join(copies, "key", "full")
+    if passage:
+        per = per.join(shared_words(docs, passage).withColumnRenamed("origin", "key"), "key", "full")
+    else:
+        per = per.withColumn("n_shared", F.lit(None).cast("long"))
+    per = save(per.select(F.col("key").alias("_key"), "cuts", "rows", "least", "n_shared"), "cuts")
     again = F.col("rows").isNotNull()
     if keep == "first":
         again = again & ~F.col("doc_id").eqNullSafe(F.col("least"))
     rows = rows.join(per, F.col("key") == F.col("_key"), "left").select(
-        "doc_id", "text", "cuts", F.coalesce(again, F.lit(False)).alias("again"))
+        "doc_id", "text", "cuts", F.coalesce(again, F.lit(False)).alias("again"),
+        F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared"))
 
     def work(batches):
         for batch in batches:
             out = []
-            for d, text, cuts, whole in zip(*(batch.column(i) for i in range(4))):
+            for d, text, cuts, whole, shared in zip(*(batch.column(i) for i in range(5))):
                 raw = text.as_py()
                 runs = [(0, len(raw))] if whole.as_py() else merged(cuts.as_py() or [])
                 kept, at = [], 0
@@ -307,13 +365,14 @@ def without_repeats(docs: DataFrame, keep: str = "none", length: int = LENGTH, *
                     kept.append(raw[at:a])
                     at = b
                 kept.append(raw[at:])
-                out.append((d.as_py(), b"".join(kept), len(raw), sum(b - a for a, b in runs), len(runs)))
-            cols = list(zip(*out)) if out else [[]] * 5
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+                out.append((d.as_py(), b"".join(kept), len(raw), sum(b - a for a, b in runs), len(runs), shared.as_py()))
+            cols = list(zip(*out)) if out else [[]] * 6
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["doc_id", "text", "n_bytes", "n_removed", "n_spans"])
+                                             ["doc_id", "text", "n_bytes", "n_removed", "n_spans", "n_shared"])
 
-    return rows.mapInArrow(work, "doc_id long, text binary, n_bytes long, n_removed long, n_spans long")
+    out = rows.mapInArrow(work, "doc_id long, text binary, n_bytes long, n_removed long, n_spans long, n_shared long")
+    return out if passage else out.drop("n_shared")
 
 
 def merged(cuts: list[dict]) -> list[tuple[int, int]]:
@@ -328,9 +387,12 @@ def merged(cuts: list[dict]) -> list[tuple[int, int]]:
 
 
 def op4_suffix_array_dedup(spark, sf_dir):
-    """Query: bytes under repeated 400-byte strings, removed from all documents."""
-    out = without_repeats(documents(spark, sf_dir))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+    """Query: bytes under repeated 400-byte strings, removed from all documents. Beside the
+    contract's columns, n_shared_words and has_passage (any) tell of runs of over 50 words that
+    stand elsewhere too; many of them are shorter than 400 bytes and stay in the text."""
+    out = without_repeats(documents(spark, sf_dir), passage=PASSAGE_WORDS)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"),
+                      F.col("n_shared").alias("n_shared_words"), (F.col("n_shared") > 0).alias("has_passage"))
 
 
 ship(__name__)

@@ -112,3 +112,48 @@ def test_extra_columns_and_empty(docs):
     table = docs(many(1, 10)).withColumn("key", F.lit(1)).withColumn("pos", F.lit(2)).withColumn("cuts", F.lit(3))
     assert R.without_repeats(table).count() == 10
     assert R.without_repeats(docs([])).collect() == []
+
+
+def brute_words(rows, need):
+    """(doc_id, words in runs of ``need`` words that start elsewhere too), by looking runs up."""
+    texts = [(r[0], (r[1] or "").encode().split()) for r in rows]
+    places = defaultdict(int)
+    for _, w in texts:
+        for i in range(len(w) - need + 1):
+            places[tuple(w[i:i + need])] += 1
+    out = []
+    for d, w in texts:
+        hit = set()
+        for i in range(len(w) - need + 1):
+            if places[tuple(w[i:i + need])] > 1:
+                hit.update(range(i, i + need))
+        out.append((d, len(hit)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shared_words_match_brute_force(docs, seed):
+    """Runs of 51 words and more count, of 50 do not; blanks and line ends do not matter; short
+    and long words; copies, texts of one word repeated, and every odd text."""
+    rnd = random.Random(seed)
+    words = ["a", "of", "the", "it", "Größe", "internationalisation", "x1", "данные", "so"] + [f"w{i}" for i in range(400)]
+    text = lambda n: rnd.choices(words, k=n)
+    shared = [text(n) for n in (50, 51, 52, 75, 120, 300)]
+    rows = []
+    for i in range(60):
+        own = text(rnd.randint(0, 80)) + rnd.choice(shared) + text(rnd.randint(0, 80))
+        if i % 3 == 0:
+            own += rnd.choice(shared)[rnd.randint(0, 10):]
+        rows.append((1000 + i, "".join(w + rnd.choice([" ", "  ", "\n", "\t"]) for w in own)))
+    rows += [(2000, rows[0][1]), (2001, rows[1][1].replace(" ", "\r\n")), (2002, "so " * 50), (2003, "so " * 51),
+             (2004, "go " * 53), (2005, "short of " * 10), (2006, rows[4][1]), (2006, rows[4][1])]
+    rows += ODD
+    got = R.without_repeats(docs(rows), passage=R.PASSAGE_WORDS).collect()
+    want = brute_words(rows, 51)
+    assert sorted(((r.doc_id, r.n_shared) for r in got), key=str) == want
+    assert sum(n > 0 for _, n in want) > 20 and sum(n == 0 for _, n in want) > 10
+    # The other columns are those of the plain run.
+    plain = R.without_repeats(docs(rows)).collect()
+    assert "n_shared" not in plain[0].asDict()
+    bare = lambda rs: sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.text)) for r in rs), key=str)
+    assert bare(plain) == bare(got)
