@@ -32,7 +32,18 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared work folder and read it back."""
     path = fresh_dir(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.saved_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``save`` that nothing reads any more: what was made of them must be
+    saved by now, since a lost executor's tasks read their input again."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.saved_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

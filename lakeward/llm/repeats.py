@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import doc_id_of, documents, save, ship, sorted_groups, spread, text_key, text_of
+from .base import discard, doc_id_of, documents, save, ship, sorted_groups, spread, text_key, text_of
 
 LENGTH = 400
 GRAM = 32
@@ -271,6 +271,7 @@ def spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, width: int
     twice = kinds.select(F.col("core").alias("_core"), F.col("flanks").alias("_flanks"), F.col("start").alias("_start"),
                          (F.col("start") != F.col("end")).alias("_many"))
     told = save(twice.join(some, ["_core", "_flanks"], "left").where("_many or least is not null"), "verdicts")
+    discard(found, grams, per_text, kinds, sizes, firsts, members, some)
     at = cut.select("core", "flanks", "key", "pos", "a0", F.octet_length("lf").alias("nl"), F.octet_length("rf").alias("nr"),
                     start.alias("start"))
     at = at.join(told, (F.col("core") == F.col("_core")) & (F.col("flanks") == F.col("_flanks")))
@@ -280,8 +281,10 @@ def spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, width: int
     most = F.when(copy, F.least(F.col("nl"), need)).otherwise(F.col("most"))
     least = F.when(copy, F.greatest(F.lit(0), need - F.col("nr"))).otherwise(F.col("least"))
     out = at.select("key", "pos", "a0", least.alias("least"), most.alias("most")).where("least <= most")
-    return out.select("key", (F.col("pos") - F.col("a0") - F.col("most")).alias("start"),
-                      (F.col("pos") + F.lit(length) - F.col("a0") - F.col("least")).alias("stop"))
+    out = save(out.select("key", (F.col("pos") - F.col("a0") - F.col("most")).alias("start"),
+                          (F.col("pos") + F.lit(length) - F.col("a0") - F.col("least")).alias("stop")), "spans")
+    discard(cut, told)
+    return out
 
 
 def hashed_words(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
@@ -312,9 +315,11 @@ def shared_words(docs: DataFrame, words: int = PASSAGE_WORDS, **options) -> Data
     rows = hashed.select("origin", text_key(F.col("text")).alias("key"),
                          (F.octet_length("text") / WORD_BYTES).cast("long").alias("n"))
     copies = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    cut = spans(hashed, "none", words * WORD_BYTES, **options)
+    # One slice for all strings of an anchor: its core is the gram.
+    length = words * WORD_BYTES
+    found = spans(hashed, "none", length, length - GRAM + 1, **options)
     # Whole words only: a run of equal words also matches itself between two words.
-    cut = cut.select("key", F.ceil(F.col("start") / WORD_BYTES).alias("start"), F.floor(F.col("stop") / WORD_BYTES).alias("stop"))
+    cut = found.select("key", F.ceil(F.col("start") / WORD_BYTES).alias("start"), F.floor(F.col("stop") / WORD_BYTES).alias("stop"))
     per = cut.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
     per = save(per.join(copies, "key", "full").select(F.col("key").alias("_key"), "cuts", "rows"), "runs")
 
@@ -327,7 +332,9 @@ def shared_words(docs: DataFrame, words: int = PASSAGE_WORDS, **options) -> Data
     # Texts that differ in blanks alone are copies here, each with an origin of its own.
     rows = rows.join(per, F.col("key") == F.col("_key")).groupBy("origin").agg(
         F.first("n").alias("n"), F.first("cuts").alias("cuts"), F.first(F.col("rows").isNotNull()).alias("whole"))
-    return rows.mapInArrow(work, "origin binary, n_shared long")
+    out = save(rows.mapInArrow(work, "origin binary, n_shared long"), "shared")
+    discard(hashed, found, per)
+    return out
 
 
 def without_repeats(docs: DataFrame, keep: str = "none", length: int = LENGTH, passage: int | None = None,
@@ -343,10 +350,12 @@ def without_repeats(docs: DataFrame, keep: str = "none", length: int = LENGTH, p
     per = cut.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
     per = per.join(copies, "key", "full")
     if passage:
-        per = per.join(shared_words(docs, passage).withColumnRenamed("origin", "key"), "key", "full")
+        shared = shared_words(docs, passage)
+        per = per.join(shared.withColumnRenamed("origin", "key"), "key", "full")
     else:
         per = per.withColumn("n_shared", F.lit(None).cast("long"))
     per = save(per.select(F.col("key").alias("_key"), "cuts", "rows", "least", "n_shared"), "cuts")
+    discard(cut, *([shared] if passage else []))
     again = F.col("rows").isNotNull()
     if keep == "first":
         again = again & ~F.col("doc_id").eqNullSafe(F.col("least"))
