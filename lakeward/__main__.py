@@ -1,12 +1,13 @@
 """Command line: run the layered model and its reports on a folder layout.
 
     python -m lakeward run    --root R --countries C.csv --languages L.csv
-    python -m lakeward report --root R [--as-of "2024-01-31 00:00:00"]
+    python -m lakeward report --root R [--as-of "2024-01-31 00:00:00"] [--database D]
 
 ``run`` processes new raw files under ``R/raw/<folder>/`` through every layer
 (``availableNow``) and recomputes the audit tables; ``report`` writes the two validation
 reports to ``R/qa/qa_silver_report`` and ``R/qa/qa_gold_report`` and prints the
-status counts. Rerunning ``run`` only processes files that arrived since the last run.
+status counts. With ``--database`` the tables are registered there, and audits and reports read
+them by name. Rerunning ``run`` only processes files that arrived since the last run.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ def main(argv=None) -> None:
     q = sub.add_parser("report")
     q.add_argument("--root", required=True)
     q.add_argument("--as-of")
+    q.add_argument("--database")
     a = ap.parse_args(argv)
 
     from lakeward.session import build_session
@@ -43,14 +45,14 @@ def main(argv=None) -> None:
         if not a.no_auto_partitions:
             size_partitions(spark, layout.path("raw", ""))
         metrics = runner.run_layers(spark, layout, a.countries, a.languages, a.key_buckets)
-        audits = runner.run_audits(spark, layout)
         if a.database:
             runner.register_layout(spark, layout, a.database)
+        audits = runner.run_audits(spark, layout, database=a.database)
         print(json.dumps({"expectations": metrics, "audits": audits}, default=str))
     else:
         from lakeward.plans.reports import gold_report, silver_report, title_type_distribution
         from lakeward.sources.tables import write_table
-        tables = runner.load_tables(spark, layout)
+        tables = runner.load_tables(spark, layout, database=a.database)
         as_of = F.to_timestamp(F.lit(a.as_of)) if a.as_of else None
         summary = {}
         for name, build in (("qa_silver_report", silver_report), ("qa_gold_report", gold_report)):

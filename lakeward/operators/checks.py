@@ -2,7 +2,12 @@
 
 Every check yields rows of one schema::
 
-    check_id, table_name, column_name, status (PASS|FAIL|WARN|INFO), metric, threshold
+    check_id, table_name, column_name, status (PASS|FAIL|WARN|INFO), metric, threshold,
+    counted, total
+
+``counted`` and ``total`` are the counts behind a metric: the rows it found (violating, named,
+complete, surplus, orphaned, kept rows) and those it looked at; NULL where a metric rests on
+no count of rows (ages, statistics, schema checks, absent tables).
 
 Checks on one table are *measures* evaluated together in a single aggregate pass
 (``measure_table``) — not one job per check. Checks that need a shuffle (duplicates,
@@ -29,13 +34,16 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("metric", T.DoubleType()),
     T.StructField("threshold", T.StringType()),
+    T.StructField("counted", T.LongType()),
+    T.StructField("total", T.LongType()),
 ])
 RESULT_COLUMNS = [f.name for f in RESULT_SCHEMA.fields]
 
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate ``value`` and the test of the resulting metric (None = report only)."""
+    """An aggregate ``value`` and the test of the resulting metric (None = report only), with
+    the counts behind it."""
     check_id: str
     column: str | None
     value: Column
@@ -43,6 +51,8 @@ class Measure:
     threshold: str = ""
     fail_status: str = FAIL
     null_status: str | None = None   # status when the metric is NULL (default: fail_status)
+    counted: Column | None = None
+    total: Column | None = None
 
 
 def _status(m: Measure, metric: Column) -> Column:
@@ -56,11 +66,16 @@ def _status(m: Measure, metric: Column) -> Column:
 def measure_table(df: DataFrame, table: str, measures: Sequence[Measure]) -> DataFrame:
     """Evaluate all measures of one table in ONE aggregate and return one row each."""
     measures = list(measures)
-    agg = df.agg(*[m.value.cast("double").alias(f"_m{i}") for i, m in enumerate(measures)])
+    none = F.lit(None).cast("long")
+    agg = df.agg(*[c for i, m in enumerate(measures) for c in (
+        m.value.cast("double").alias(f"_m{i}"),
+        (none if m.counted is None else m.counted.cast("long")).alias(f"_c{i}"),
+        (none if m.total is None else m.total.cast("long")).alias(f"_t{i}"))])
     rows = [F.struct(F.lit(m.check_id).alias("check_id"), F.lit(table).alias("table_name"),
                      F.lit(m.column).cast("string").alias("column_name"),
                      _status(m, F.col(f"_m{i}")).alias("status"),
-                     F.col(f"_m{i}").alias("metric"), F.lit(m.threshold).alias("threshold"))
+                     F.col(f"_m{i}").alias("metric"), F.lit(m.threshold).alias("threshold"),
+                     F.col(f"_c{i}").alias("counted"), F.col(f"_t{i}").alias("total"))
             for i, m in enumerate(measures)]
     return agg.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
@@ -79,59 +94,70 @@ def side_by_side(*frames: DataFrame) -> DataFrame:
 
 
 def result_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    """Result rows computed from metadata (schemas), not data."""
-    return spark.createDataFrame(list(rows), RESULT_SCHEMA)
+    """Result rows computed from metadata (schemas), not data; counts may be left out."""
+    width = len(RESULT_COLUMNS)
+    return spark.createDataFrame([(*r, *[None] * (width - len(r))) for r in rows], RESULT_SCHEMA)
 
 
 def _eq0(m: Column) -> Column:
     return m == 0
 
 
+def _no_rows(check_id: str, column: str, condition: Column) -> Measure:
+    """No row may meet ``condition``."""
+    found = F.count_if(condition)
+    return Measure(check_id, column, found, _eq0, "= 0", counted=found, total=F.count(F.lit(1)))
+
+
+def _share(found: Column) -> Column:
+    """``found`` in per cent of all rows; 0 on an empty table."""
+    return F.coalesce(found * F.lit(100.0) / F.nullif(F.count(F.lit(1)), F.lit(0)), F.lit(0.0))
+
+
 # ---- measures (single-pass, per table) -------------------------------------------------
 
 def not_null(column: str, check_id: str = "QA-02") -> Measure:
     """QA-02/QA-14: NULL keys."""
-    return Measure(check_id, column, F.count_if(F.col(column).isNull()), _eq0, "= 0")
+    return _no_rows(check_id, column, F.col(column).isNull())
 
 
 def id_format(column: str, pattern: str, check_id: str = "QA-04") -> Measure:
     """QA-04: values not matching ``pattern`` (NULL is not counted, as in the source)."""
-    return Measure(check_id, column, F.count_if(~F.col(column).rlike(pattern)), _eq0, "= 0")
+    return _no_rows(check_id, column, ~F.col(column).rlike(pattern))
 
 
 def violations(column: str, violation_sql: str, check_id: str = "QA-05") -> Measure:
     """QA-05/17/18, AGG-02: rows for which ``violation_sql`` holds (a conditional count)."""
-    return Measure(check_id, column, F.count_if(F.expr(violation_sql)), _eq0, "= 0")
+    return _no_rows(check_id, column, F.expr(violation_sql))
 
 
 def allowed_values(column: str, values: Sequence, check_id: str = "QA-07") -> Measure:
     """QA-07/15: values outside the enumeration (NULL not counted)."""
-    return Measure(check_id, column, F.count_if(~F.col(column).isin(*values)), _eq0, "= 0")
+    return _no_rows(check_id, column, ~F.col(column).isin(*values))
 
 
 def self_reference(column: str, parent: str, check_id: str = "QA-08") -> Measure:
     """QA-08/18: a row pointing at itself."""
-    return Measure(check_id, f"{column}={parent}", F.count_if(F.col(column) == F.col(parent)),
-                   _eq0, "= 0")
+    return _no_rows(check_id, f"{column}={parent}", F.col(column) == F.col(parent))
 
 
 def non_empty(check_id: str = "QA-11") -> Measure:
     """QA-11, AGG-01: the table has rows (a whole-table count)."""
-    return Measure(check_id, None, F.count(F.lit(1)), lambda m: m > 0, "> 0")
+    rows = F.count(F.lit(1))
+    return Measure(check_id, None, rows, lambda m: m > 0, "> 0", counted=rows, total=rows)
 
 
 def named_share(name: str, key: str, min_pct: float, check_id: str = "QA-16") -> Measure:
     """QA-16: % of rows whose name differs from the key (0 on an empty table)."""
-    pct = F.coalesce(F.count_if(F.col(name) != F.col(key)) * F.lit(100.0)
-                     / F.nullif(F.count(F.lit(1)), F.lit(0)), F.lit(0.0))
-    return Measure(check_id, name, pct, lambda m: m >= min_pct, f">= {min_pct}")
+    named = F.count_if(F.col(name) != F.col(key))
+    return Measure(check_id, name, _share(named), lambda m: m >= min_pct, f">= {min_pct}",
+                   counted=named, total=F.count(F.lit(1)))
 
 
 def completeness(column: str, check_id: str = "QA-23") -> Measure:
     """QA-23: % non-NULL (0 on an empty table); a report."""
-    pct = F.coalesce(F.count(F.col(column)) * F.lit(100.0)
-                     / F.nullif(F.count(F.lit(1)), F.lit(0)), F.lit(0.0))
-    return Measure(check_id, column, pct)
+    found = F.count(F.col(column))
+    return Measure(check_id, column, _share(found), counted=found, total=F.count(F.lit(1)))
 
 
 def statistic(label: str, value: Column, check_id: str = "QA-24") -> Measure:
@@ -182,7 +208,8 @@ def duplicate_keys(df: DataFrame, table: str, keys: Sequence[str], check_id: str
                     F.lit(",".join(keys)).alias("column_name"),
                     F.when(F.col("surplus_rows") == 0, F.lit(PASS)).otherwise(F.lit(FAIL))
                     .alias("status"), F.col("surplus_rows").cast("double").alias("metric"),
-                    F.lit("= 0").alias("threshold"))
+                    F.lit("= 0").alias("threshold"), F.col("surplus_rows").alias("counted"),
+                    F.col("total_rows").alias("total"))
 
 
 def orphan_counts(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
@@ -219,13 +246,15 @@ def foreign_key(child: DataFrame, child_table: str, child_col: str, parent: Data
     return o.select(F.lit(check_id).alias("check_id"), F.lit(child_table).alias("table_name"),
                     F.lit(column).alias("column_name"),
                     F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-                    metric.alias("metric"), F.lit(thr).alias("threshold"))
+                    metric.alias("metric"), F.lit(thr).alias("threshold"),
+                    F.col("orphan_rows").alias("counted"), F.col("total_rows").alias("total"))
 
 
 def reconcile(upstream: DataFrame, downstream: DataFrame, table: str,
               max_drop_pct: float | None = None, min_ratio_pct: float | None = None,
               check_id: str = "QA-01") -> DataFrame:
-    """QA-01 (drop % <= max; 0 when upstream is empty) or QA-13 (ratio % >= min)."""
+    """QA-01 (drop % <= max; 0 when upstream is empty) or QA-13 (ratio % >= min); ``counted`` and
+    ``total`` are the rows downstream and upstream."""
     up = upstream.agg(F.count(F.lit(1)).alias("_up"))
     down = downstream.agg(F.count(F.lit(1)).alias("_down"))
     j = side_by_side(up, down)
@@ -240,7 +269,8 @@ def reconcile(upstream: DataFrame, downstream: DataFrame, table: str,
     return j.select(F.lit(check_id).alias("check_id"), F.lit(table).alias("table_name"),
                     F.lit(None).cast("string").alias("column_name"),
                     F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-                    metric.alias("metric"), F.lit(thr).alias("threshold"))
+                    metric.alias("metric"), F.lit(thr).alias("threshold"),
+                    F.col("_down").alias("counted"), F.col("_up").alias("total"))
 
 
 # ---- schema checks (metadata only) --------------------------------------------------------

@@ -494,16 +494,27 @@ def _report_query(build, ids: str):
     return run
 
 
+def report_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-09, SNK-05, QA-27: the star-schema report over tables read by name from a catalog
+    database in which the run's tables were registered."""
+    layout, database = model_run(spark, sf), "lakeward_model"
+    register_layout(spark, layout, database)
+    rows = gold_report(spark, load_tables(spark, layout, database=database))
+    return rows.withColumn("metric", F.when(F.col("check_id") != "QA-26", F.round("metric", 6)))
+
+
 def _result(check: str, table: str, column: str | None, metric: str, ok: str | None, threshold: str,
-            source: str) -> str:
+            source: str, counted: str = "NULL", total: str = "NULL") -> str:
     status = "'INFO'" if ok is None else f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END"
     named = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
     return (f"SELECT '{check}' AS check_id, '{table}' AS table_name, {named} AS column_name, {status} AS status, "
-            f"round(CAST({metric} AS DOUBLE), 6) AS metric, '{threshold}' AS threshold FROM {source}")
+            f"round(CAST({metric} AS DOUBLE), 6) AS metric, '{threshold}' AS threshold, "
+            f"CAST({counted} AS BIGINT) AS counted, CAST({total} AS BIGINT) AS total FROM {source}")
 
 
 def _violations(check: str, table: str, column: str, where: str) -> str:
-    return _result(check, table, column, "m", "m = 0", "= 0", f"(SELECT count(*) FILTER (WHERE {where}) AS m FROM g_{table}) x")
+    return _result(check, table, column, "m", "m = 0", "= 0",
+                   f"(SELECT count(*) FILTER (WHERE {where}) AS m, count(*) AS n FROM g_{table}) x", "m", "n")
 
 
 def _fixed(check: str, table: str, column: str, threshold: str, metric: str = "0") -> str:
@@ -512,7 +523,8 @@ def _fixed(check: str, table: str, column: str, threshold: str, metric: str = "0
 
 def _surplus(check: str, table: str, keys: str) -> str:
     return _result(check, table, keys, "m", "m = 0", "= 0",
-                   f"(SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM g_{table}) k) AS m FROM g_{table}) x")
+                   f"(SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM g_{table}) k) AS m, "
+                   f"count(*) AS n FROM g_{table}) x", "m", "n")
 
 
 def _orphans(check: str, table: str, column: str, parent: str, key: str, skip_null: bool = False,
@@ -522,14 +534,14 @@ def _orphans(check: str, table: str, column: str, parent: str, key: str, skip_nu
              f"FROM {child}) x")
     name = f"{column}->{parent}.{key}"
     if tolerance is None:
-        return _result(check, table, name, "o", "o = 0", "= 0", found)
+        return _result(check, table, name, "o", "o = 0", "= 0", found, "o", "n")
     share = "coalesce(o * 100.0::DOUBLE / nullif(n, 0), 0)"
-    return _result(check, table, name, share, f"{share} < {tolerance}", f"< {tolerance}", found)
+    return _result(check, table, name, share, f"{share} < {tolerance}", f"< {tolerance}", found, "o", "n")
 
 
 def _reconciled(check: str, up: str, table: str, metric: str, test: str) -> str:
     return _result(check, table, None, metric, f"{metric} {test}", test,
-                   f"(SELECT (SELECT count(*) FROM g_{up}) AS u, (SELECT count(*) FROM g_{table}) AS d) x")
+                   f"(SELECT (SELECT count(*) FROM g_{up}) AS u, (SELECT count(*) FROM g_{table}) AS d) x", "d", "u")
 
 
 def _report_sql(rows: list[str]) -> str:
@@ -596,13 +608,15 @@ _NAMED = "coalesce(count(*) FILTER (WHERE region_name <> region_key) * 100.0::DO
 _PERSON = "(SELECT count(*) AS n, count(DISTINCT nconst) AS k FROM g_gold_dim_person) x"
 QUERIES["gold_report"] = _report_query(gold_report, "QA-11..26, AGG-07, SET-01")
 ORACLE["gold_report"] = _report_sql(
-    [_result("QA-11", t, None, "n", "n > 0", "> 0", f"(SELECT count(*) AS n FROM g_{t}) x") for t in (
+    [_result("QA-11", t, None, "n", "n > 0", "> 0", f"(SELECT count(*) AS n FROM g_{t}) x", "n", "n") for t in (
         *(f"gold_dim_{n}" for n in _GOLD_NON_EMPTY), "gold_fact_episodes", "gold_fact_title_credits",
         "gold_bridge_title_genre")]
     + [_violations(*r) for r in _GOLD_RULES]
     + [_result("QA-16", "gold_dim_region", "region_name", "m", "m >= 80.0", ">= 80.0",
-               f"(SELECT {_NAMED} AS m FROM g_gold_dim_region) x")]
-    + [_result("QA-23", t, c, "m", None, "", f"(SELECT count(\"{c}\") * 100.0::DOUBLE / count(*) AS m FROM g_{t}) x")
+               f"(SELECT {_NAMED} AS m, count(*) FILTER (WHERE region_name <> region_key) AS c, count(*) AS n "
+               "FROM g_gold_dim_region) x", "c", "n")]
+    + [_result("QA-23", t, c, "c * 100.0::DOUBLE / n", None, "",
+               f"(SELECT count(\"{c}\") AS c, count(*) AS n FROM g_{t}) x", "c", "n")
        for t, c in (("gold_dim_title", "primaryTitle"), ("gold_dim_title", "titleType"), ("gold_dim_title", "startYear"),
                     ("gold_dim_person", "primaryName"), ("gold_dim_person", "birthYear"),
                     ("gold_dim_person", "primaryProfession"))]
@@ -630,12 +644,15 @@ ORACLE["gold_report"] = _report_sql(
         ("gold_dim_title_alternates", "alternate_key"), ("gold_fact_ratings", "tconst"))]
     + [_fixed("QA-12", "gold_dim_person", "__START_AT,__END_AT", "all present"),
        _fixed("QA-12", "gold_dim_person", "primaryName,deathYear,primaryProfession", "all present"),
-       _result("QA-21", "gold_dim_person", "current_rows", "n", "n > 0", "> 0", _PERSON),
-       _result("QA-21", "gold_dim_person", "historical_rows", "0", None, "", _PERSON),
-       _result("QA-21", "gold_dim_person", "total_rows", "n", None, "", _PERSON),
-       _result("QA-21", "gold_dim_person", "distinct_keys", "k", None, "", _PERSON),
-       _fixed("QA-22", "gold_dim_person", "overlap_pairs", "= 0"),
-       _fixed("QA-22", "gold_dim_person", "strict_overlaps", "= 0")])
+       _result("QA-21", "gold_dim_person", "current_rows", "n", "n > 0", "> 0", _PERSON, "n", "n"),
+       _result("QA-21", "gold_dim_person", "historical_rows", "0", None, "", _PERSON, "0", "n"),
+       _result("QA-21", "gold_dim_person", "total_rows", "n", None, "", _PERSON, "n", "n"),
+       _result("QA-21", "gold_dim_person", "distinct_keys", "k", None, "", _PERSON, "k", "n"),
+       _result("QA-22", "gold_dim_person", "overlap_pairs", "0", "true", "= 0", _PERSON, "0", "n"),
+       _result("QA-22", "gold_dim_person", "strict_overlaps", "0", "true", "= 0", _PERSON, "0", "n")])
+
+QUERIES["gold_report_by_name"] = report_by_name
+ORACLE["gold_report_by_name"] = ORACLE["gold_report"]
 
 
 def q_title_types(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,6 +13,7 @@ Keys follow SURVEY §7.3; docstrings name the operator IDs each query exercises.
 from __future__ import annotations
 
 import re
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -651,6 +652,18 @@ def q_overlap_odd_periods(spark, sf):
 # Validation checks (QA-01..26)
 # ---------------------------------------------------------------------------------------
 
+def check_query(name: str, sql: str):
+    """Registers a query of check rows without the counts behind them, which ``check_counts``
+    and the reports compare."""
+    def deco(fn):
+        @wraps(fn)
+        def run(spark, sf):
+            return fn(spark, sf).drop("counted", "total")
+        query(name, sql)(run)
+        return fn
+    return deco
+
+
 def _check_sql(check_id, table, column, metric_sql, pass_sql, threshold, fail="FAIL",
                null_status=None, from_sql=None):
     col = "NULL" if column is None else f"'{column}'"
@@ -668,7 +681,7 @@ def _count_check(check_id, table, column, cond_sql, from_sql):
     return _check_sql(check_id, table, column, m, f"{m} = 0", "= 0")
 
 
-@query("row_reconcile", f"""
+@check_query("row_reconcile", f"""
 WITH up AS (SELECT count(*) AS n FROM ({_ORDERS_INJECTED_SQL}) t),
 down AS (SELECT count(*) AS n FROM ({_ORDERS_INJECTED_SQL}) t WHERE {_ORDERS_KEEP_SQL}),
 m AS (SELECT CASE WHEN up.n > 0 THEN CAST(up.n - down.n AS DOUBLE) * 100.0 / CAST(up.n AS DOUBLE) ELSE 0.0 END AS drop_pct,
@@ -705,7 +718,7 @@ def _lineitem_nulls(spark, sf) -> DataFrame:
         "l_returnflag", "l_linestatus", "l_shipdate")
 
 
-@query("key_nulls", "\nUNION ALL ".join(
+@check_query("key_nulls", "\nUNION ALL ".join(
     _count_check("QA-02", "lineitem", c, f"{c} IS NULL", f"({_LINEITEM_NULLS_SQL}) t")
     for c in ("l_orderkey", "l_partkey", "l_suppkey")))
 def q_key_nulls(spark, sf):
@@ -740,7 +753,7 @@ def _types_sql() -> str:
             ") AS v(check_id, table_name, column_name, status, metric, threshold)")
 
 
-@query("column_types", _types_sql())
+@check_query("column_types", _types_sql())
 def q_column_types(spark, sf):
     """QA-03 (exact types, NOT_FOUND), QA-06 (array columns), QA-12 (required columns;
     missing -> WARN) — read from schemas only."""
@@ -755,13 +768,28 @@ def q_column_types(spark, sf):
     return K.result_rows(spark, rows)
 
 
+@query("first_sample", """
+SELECT DISTINCT 'o_orderpriority' AS column_name, 'array<string>' AS data_type, string_split(o_orderpriority, '-')[2] AS second
+FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'o_orderstatus', 'string', NULL WHERE false""")
+def q_first_sample(spark, sf):
+    """LIM-02, QA-06: the first value that is not NULL, told to be an array by its type; a column
+    without values has no sample. All values are alike here, so any sample is the same."""
+    orders = _t(spark, sf, "orders").select(
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.split("o_orderpriority", "-")).alias("o_orderpriority"),
+        F.when(F.col("o_orderkey") < 0, F.array("o_orderstatus")).alias("o_orderstatus"))
+    return K.union_results([
+        K.first_non_null(orders, c).select(F.lit(c).alias("column_name"), F.typeof(c).alias("data_type"),
+                                           F.get(c, F.lit(1)).alias("second")) for c in orders.columns])
+
+
 _SCHEMA_EXPECT = [("orders", "o_orderkey", "bigint"), ("orders", "o_totalprice", "double"),
                   ("orders", "o_custkey", "string"), ("lineitem", "l_linenumber", "int"),
                   ("lineitem", "l_shipmode", "string"), ("documents", "text", "string"),
                   ("part", "p_size", "int"), ("labels", "doc_id", "bigint")]
 
 
-@query("schema_checks", f"""
+@check_query("schema_checks", f"""
 WITH e(table_name, column_name, want) AS (VALUES {', '.join(map(str, _SCHEMA_EXPECT))}),
 a AS (SELECT DISTINCT table_name, column_name,
              CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
@@ -791,7 +819,7 @@ SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'Cust-' || CAST(c_custkey AS
 FROM customer"""
 
 
-@query("id_format", "\nUNION ALL ".join([
+@check_query("id_format", "\nUNION ALL ".join([
     _count_check("QA-04", "customer", "c_name",
                  "NOT regexp_matches(c_name, '^Customer#[0-9]+$')", f"({_CUSTOMER_NAMES_SQL}) t"),
     _count_check("QA-04", "orders", "o_orderpriority",
@@ -818,7 +846,7 @@ _RANGES = {
 }
 
 
-@query("range_checks", "\nUNION ALL ".join(
+@check_query("range_checks", "\nUNION ALL ".join(
     _count_check("QA-05", t, c, cond, t) for t, items in _RANGES.items() for c, cond in items))
 def q_range_checks(spark, sf):
     """QA-05/17: range rules, one aggregate pass per table."""
@@ -830,7 +858,7 @@ def q_range_checks(spark, sf):
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
 
 
-@query("enum_check", _count_check(
+@check_query("enum_check", _count_check(
     "QA-07", "orders", "o_orderpriority",
     "NOT (o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW'))", "orders"))
 def q_enum_check(spark, sf):
@@ -861,7 +889,7 @@ def _fk_sql(check_id, table, child_col, child_from, parent_table, parent_col, pa
                       from_sql=base)
 
 
-@query("self_reference", "\nUNION ALL ".join([
+@check_query("self_reference", "\nUNION ALL ".join([
     _count_check("QA-08", "lineitem", "l_partkey=l_suppkey", "l_partkey = l_suppkey", "lineitem"),
     _fk_sql("QA-08", "lineitem", "l_orderkey", "lineitem", "orders", "o_orderkey", "orders")]))
 def q_self_reference(spark, sf):
@@ -884,7 +912,7 @@ _FKS = [
 ]
 
 
-@query("fk_orphans", "\nUNION ALL ".join(
+@check_query("fk_orphans", "\nUNION ALL ".join(
     _fk_sql("QA-20", t, c, src or f"({_LINEITEM_NULLS_SQL})", pt, pc, pt, skip)
     for t, c, src, pt, pc, skip in _FKS))
 def q_fk_orphans(spark, sf):
@@ -897,7 +925,7 @@ def q_fk_orphans(spark, sf):
     return K.union_results(out)
 
 
-@query("fk_orphan_pct", "\nUNION ALL ".join([
+@check_query("fk_orphan_pct", "\nUNION ALL ".join([
     _fk_sql("QA-20", "documents", "doc_id", "documents", "labels", "doc_id", "labels",
             tolerance=1.0),
     _fk_sql("QA-20", "orders", "o_custkey", "orders", "customer", "c_custkey", "customer",
@@ -921,7 +949,7 @@ def _dup_sql(table, keys):
     return _check_sql("QA-09", table, ",".join(keys), m, f"{m} = 0", "= 0")
 
 
-@query("dup_surplus", "\nUNION ALL ".join(_dup_sql(t, k) for t, k in _DUP_KEYS))
+@check_query("dup_surplus", "\nUNION ALL ".join(_dup_sql(t, k) for t, k in _DUP_KEYS))
 def q_dup_surplus(spark, sf):
     """QA-09/19/25, AGG-05: surplus rows = total - distinct keys (NULL keys form a group);
     whole texts as a key for the documents table."""
@@ -945,7 +973,7 @@ def _fresh_sql(table, col):
     return _check_sql("QA-10", table, col, m, f"{m} < 24.0", "< 24.0")
 
 
-@query("freshness", "\nUNION ALL ".join(_fresh_sql(t, c) for t, c in _FRESH))
+@check_query("freshness", "\nUNION ALL ".join(_fresh_sql(t, c) for t, c in _FRESH))
 def q_freshness(spark, sf):
     """QA-10/26: age in hours of the newest stamp against a fixed as-of time."""
     as_of = F.to_timestamp(F.lit(AS_OF))
@@ -957,7 +985,7 @@ ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lin
               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-@query("non_empty", "\nUNION ALL ".join(
+@check_query("non_empty", "\nUNION ALL ".join(
     _check_sql("QA-11", t, None, f"(SELECT count(*) FROM {t})", f"(SELECT count(*) FROM {t}) > 0",
                "> 0") for t in ALL_TABLES))
 def q_non_empty(spark, sf):
@@ -966,7 +994,7 @@ def q_non_empty(spark, sf):
                             for t in ALL_TABLES])
 
 
-@query("lookup_coverage", _check_sql(
+@check_query("lookup_coverage", _check_sql(
     "QA-16", "dim_coded", "region_name",
     "COALESCE(CAST(count(*) FILTER (WHERE region_name <> region_key) AS DOUBLE) * 100.0 / "
     "CAST(NULLIF(count(*), 0) AS DOUBLE), 0.0)",
@@ -979,7 +1007,7 @@ def q_lookup_coverage(spark, sf):
                            [K.named_share("region_name", "region_key", 80.0)])
 
 
-@query("completeness", "\nUNION ALL ".join(
+@check_query("completeness", "\nUNION ALL ".join(
     _check_sql("QA-23", "orders", c,
                f"COALESCE(CAST(count({c}) AS DOUBLE) * 100.0 / CAST(NULLIF(count(*), 0) AS DOUBLE), 0.0)",
                None, "", from_sql=f"({_ORDERS_INJECTED_SQL}) t")
@@ -1012,7 +1040,7 @@ _STATISTICS = [("avg_size", "avg(p_size)"), ("min_price", "min(p_retailprice)"),
                ("max_price", "max(p_retailprice)"), ("total_size", "sum(p_size)")]
 
 
-@query("statistics", "\nUNION ALL ".join(
+@check_query("statistics", "\nUNION ALL ".join(
     f"SELECT 'QA-24' AS check_id, 'part' AS table_name, '{label}' AS column_name, 'INFO' AS status, "
     f"CAST({value} AS DOUBLE) AS metric, '' AS threshold FROM part" for label, value in _STATISTICS))
 def q_statistics(spark, sf):
@@ -1021,6 +1049,57 @@ def q_statistics(spark, sf):
                            [K.statistic(label, F.expr(value)) for label, value in _STATISTICS])
 
 
+def _counts_sql(check_id, table, column, counted, total, from_sql, metric="counted", ok="counted = 0",
+                threshold="= 0"):
+    return (f"SELECT '{check_id}' AS check_id, '{table}' AS table_name, CAST({column} AS VARCHAR) AS column_name, "
+            f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END AS status, CAST({metric} AS DOUBLE) AS metric, "
+            f"'{threshold}' AS threshold, CAST(counted AS BIGINT) AS counted, CAST(total AS BIGINT) AS total "
+            f"FROM (SELECT {counted} AS counted, {total} AS total FROM {from_sql}) q")
+
+
+_SHARE_SQL = "CAST(counted AS DOUBLE) * 100.0 / CAST(total AS DOUBLE)"
+_KEPT_COUNT_SQL = f"(SELECT count(*) FROM ({_ORDERS_INJECTED_SQL}) k WHERE {_ORDERS_KEEP_SQL})"
+
+
+@query("check_counts", "\nUNION ALL ".join(
+    [_counts_sql("QA-02", "lineitem", f"'{c}'", f"count(*) FILTER (WHERE {c} IS NULL)", "count(*)",
+                 f"({_LINEITEM_NULLS_SQL}) t") for c in ("l_orderkey", "l_partkey", "l_suppkey")]
+    + [_counts_sql("QA-01", "orders", "NULL", _KEPT_COUNT_SQL, "count(*)", f"({_ORDERS_INJECTED_SQL}) t",
+                   "CAST(total - counted AS DOUBLE) * 100.0 / CAST(total AS DOUBLE)",
+                   "CAST(total - counted AS DOUBLE) * 100.0 / CAST(total AS DOUBLE) <= 5.0", "<= 5.0"),
+       _counts_sql("QA-13", "orders", "NULL", _KEPT_COUNT_SQL, "count(*)", f"({_ORDERS_INJECTED_SQL}) t",
+                   _SHARE_SQL, f"{_SHARE_SQL} >= 99.0", ">= 99.0"),
+       _counts_sql("QA-16", "dim_coded", "'region_name'", "count(*) FILTER (WHERE region_name <> region_key)", "count(*)",
+                   f"({_CODED_SQL}) t", _SHARE_SQL, f"{_SHARE_SQL} >= 80.0", ">= 80.0"),
+       _counts_sql("QA-23", "orders", "'o_custkey'", "count(o_custkey)", "count(*)", f"({_ORDERS_INJECTED_SQL}) t",
+                   _SHARE_SQL, "true", "").replace("CASE WHEN true THEN 'PASS' ELSE 'FAIL' END", "'INFO'"),
+       _counts_sql("QA-11", "events", "NULL", "count(*)", "count(*)", "events t", ok="counted > 0", threshold="> 0"),
+       _counts_sql("QA-09", "documents", "'text'",
+                   "count(*) - (SELECT count(*) FROM (SELECT DISTINCT text FROM documents) d)", "count(*)", "documents t"),
+       _counts_sql("QA-20", "lineitem", "'l_partkey->part.p_partkey'",
+                   "count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey))", "count(*)",
+                   f"({_LINEITEM_NULLS_SQL}) t WHERE l_partkey IS NOT NULL"),
+       _counts_sql("QA-20", "lineitem", "'l_orderkey->orders.o_orderkey'",
+                   "count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey))", "count(*)",
+                   f"({_LINEITEM_NULLS_SQL}) t", _SHARE_SQL, f"{_SHARE_SQL} < 1.0", "< 1.0")]))
+def q_check_counts(spark, sf):
+    """QA-27: check rows of every kind with both counts behind each metric, on tables with
+    injected NULL keys and dropped rows."""
+    lines, up = _lineitem_nulls(spark, sf), _orders_injected(spark, sf)
+    down = expect(up, ORDER_RULES)
+    return K.union_results([
+        K.measure_table(lines, "lineitem", [K.not_null(c) for c in ("l_orderkey", "l_partkey", "l_suppkey")]),
+        K.reconcile(up, down, "orders", max_drop_pct=5.0, check_id="QA-01"),
+        K.reconcile(up, down, "orders", min_ratio_pct=99.0, check_id="QA-13"),
+        K.measure_table(_coded(spark, sf), "dim_coded", [K.named_share("region_name", "region_key", 80.0)]),
+        K.measure_table(up, "orders", [K.completeness("o_custkey")]),
+        K.measure_table(_t(spark, sf, "events"), "events", [K.non_empty()]),
+        K.duplicate_keys(_t(spark, sf, "documents"), "documents", ["text"]),
+        K.foreign_key(lines, "lineitem", "l_partkey", _t(spark, sf, "part"), "part", "p_partkey", skip_null=True),
+        K.foreign_key(lines, "lineitem", "l_orderkey", _t(spark, sf, "orders"), "orders", "o_orderkey",
+                      tolerance_pct=1.0)])
+
+
 # ---------------------------------------------------------------------------------------
 # Audit tables (QL-1..7, SET-01, JN-06)
 # ---------------------------------------------------------------------------------------

@@ -15,40 +15,11 @@ from pyspark.sql import functions as F
 
 from lakeward.operators import checks as K
 from lakeward.operators.scd2 import END, START, reference_overlaps, split_counts, strict_overlaps
-from lakeward.specs import (FOREIGN_KEYS, FRESHNESS_HOURS, GOLD_KEYS, MAX_DROP_PCT,
+from lakeward.specs import (FOREIGN_KEYS, FRESHNESS_HOURS, GOLD_FRESH, GOLD_KEYS, MAX_DROP_PCT,
                             MAX_TITLE_YEAR, MIN_RATINGS_RATIO_PCT, MIN_REGION_NAMED_PCT,
-                            MIN_TITLE_RATIO_PCT, MIN_TITLE_YEAR, PERSON_TRACKED,
-                            VALID_DEPARTMENTS, VALID_TITLE_TYPES)
-
-SILVER_PAIRS = [("bronze_name_basics", "silver_name_basics"),
-                ("bronze_title_basics", "silver_title_basics"),
-                ("bronze_title_ratings", "silver_title_ratings"),
-                ("bronze_title_episode", "silver_title_episode"),
-                ("bronze_title_akas", "silver_title_akas"),
-                ("bronze_title_principals", "silver_title_principals"),
-                ("bronze_title_crew", "silver_title_crew")]
-
-# FIXED VALUES — expected cleansed types (QA-03).
-SILVER_TYPES = [("silver_name_basics", "birth_year", "int"),
-                ("silver_name_basics", "death_year", "int"),
-                ("silver_title_basics", "start_year", "int"),
-                ("silver_title_basics", "end_year", "int"),
-                ("silver_title_basics", "runtime_minutes", "int"),
-                ("silver_title_basics", "is_adult", "boolean"),
-                ("silver_title_ratings", "average_rating", "double"),
-                ("silver_title_ratings", "num_votes", "int"),
-                ("silver_title_episode", "season_number", "int"),
-                ("silver_title_episode", "episode_number", "int"),
-                ("silver_title_akas", "ordering", "int"),
-                ("silver_title_akas", "is_original_title", "boolean"),
-                ("silver_title_principals", "ordering", "int")]
-
-SILVER_KEYS = {"silver_name_basics": ["nconst"], "silver_title_basics": ["tconst"],
-               "silver_title_ratings": ["tconst"], "silver_title_crew": ["tconst"],
-               "silver_title_akas": ["title_id", "ordering"],
-               "silver_title_principals": ["tconst", "ordering"]}
-
-NM, TT = "^nm[0-9]+$", "^tt[0-9]+$"
+                            MIN_TITLE_RATIO_PCT, MIN_TITLE_YEAR, PERSON_ID, PERSON_TRACKED,
+                            RATING_OUT_OF_RANGE, SILVER_KEYS, SILVER_NOT_NULL, SILVER_PAIRS,
+                            SILVER_TYPES, TITLE_ID, VALID_DEPARTMENTS, VALID_TITLE_TYPES)
 
 
 def _measured(tables: dict, measures: dict, absent: list) -> list[DataFrame]:
@@ -73,16 +44,13 @@ def silver_report(spark: SparkSession, tables: dict, as_of: Column | None = None
     """Raw -> cleansed checks (QA-01..10). ``tables``: name -> DataFrame."""
     as_of = as_of if as_of is not None else F.current_timestamp()
     m: dict = defaultdict(list)
-    for t, c in [("silver_name_basics", "nconst"), ("silver_title_basics", "tconst"),
-                 ("silver_title_ratings", "tconst"), ("silver_title_episode", "tconst"),
-                 ("silver_title_akas", "title_id"), ("silver_title_principals", "tconst"),
-                 ("silver_title_principals", "nconst"), ("silver_title_crew", "tconst")]:
+    for t, c in SILVER_NOT_NULL:
         m[t].append(K.not_null(c))
-    m["silver_name_basics"].append(K.id_format("nconst", NM))
+    m["silver_name_basics"].append(K.id_format("nconst", PERSON_ID))
     for t in ("silver_title_basics", "silver_title_ratings", "silver_title_episode",
               "silver_title_principals", "silver_title_crew"):
-        m[t].append(K.id_format("tconst", TT))
-    m["silver_title_akas"].append(K.id_format("title_id", TT))
+        m[t].append(K.id_format("tconst", TITLE_ID))
+    m["silver_title_akas"].append(K.id_format("title_id", TITLE_ID))
     m["silver_name_basics"] += [
         K.violations("birth_year", "birth_year IS NOT NULL AND birth_year <= 0"),
         K.violations("death_year", "death_year IS NOT NULL AND death_year <= 0")]
@@ -94,7 +62,7 @@ def silver_report(spark: SparkSession, tables: dict, as_of: Column | None = None
         K.violations("runtime_minutes", "runtime_minutes IS NOT NULL AND runtime_minutes <= 0"),
         K.allowed_values("title_type", VALID_TITLE_TYPES)]
     m["silver_title_ratings"] += [
-        K.violations("average_rating", "average_rating < 1.0 OR average_rating > 10.0"),
+        K.violations("average_rating", RATING_OUT_OF_RANGE),
         K.violations("num_votes", "num_votes <= 0")]
     m["silver_title_episode"].append(K.self_reference("tconst", "parent_tconst"))
     for _, t in SILVER_PAIRS:
@@ -135,11 +103,6 @@ def title_type_distribution(tables: dict) -> DataFrame | None:
     return None if titles is None else distribution(titles, "title_type")
 
 
-GOLD_FRESH = ["gold_dim_title", "gold_dim_genre", "gold_dim_category", "gold_dim_region",
-              "gold_dim_language", "gold_dim_title_alternates", "gold_bridge_title_genre",
-              "gold_fact_ratings", "gold_fact_episodes", "gold_fact_title_credits"]
-
-
 def gold_report(spark: SparkSession, tables: dict, as_of: Column | None = None) -> DataFrame:
     """Cleansed -> star-schema checks (QA-11..26). ``tables``: name -> DataFrame."""
     as_of = as_of if as_of is not None else F.current_timestamp()
@@ -153,7 +116,7 @@ def gold_report(spark: SparkSession, tables: dict, as_of: Column | None = None)
     m["gold_dim_region"].append(K.named_share("region_name", "region_key",
                                               MIN_REGION_NAMED_PCT))
     m["gold_fact_ratings"] += [
-        K.violations("average_rating", "average_rating < 1.0 OR average_rating > 10.0", "QA-17"),
+        K.violations("average_rating", RATING_OUT_OF_RANGE, "QA-17"),
         K.violations("num_votes", "num_votes <= 0", "QA-17"),
         K.not_null("tconst", "QA-14")]
     m["gold_fact_episodes"] += [
@@ -232,10 +195,12 @@ def scd2_report(history: DataFrame, keys, table: str = "gold_dim_person") -> Dat
     j = K.side_by_side(s, ref, strict)
 
     def row(cid, col, metric, ok, thr):
+        count = metric.cast("long")
         status = F.lit(K.INFO) if ok is None else F.when(ok, F.lit(K.PASS)).otherwise(F.lit(K.FAIL))
         return F.struct(F.lit(cid).alias("check_id"), F.lit(table).alias("table_name"),
                         F.lit(col).alias("column_name"), status.alias("status"),
-                        metric.cast("double").alias("metric"), F.lit(thr).alias("threshold"))
+                        metric.cast("double").alias("metric"), F.lit(thr).alias("threshold"),
+                        count.alias("counted"), F.col("total_rows").cast("long").alias("total"))
 
     rows = F.array(
         row("QA-21", "current_rows", F.col("current_rows"), F.col("current_rows") > 0, "> 0"),

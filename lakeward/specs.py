@@ -111,6 +111,51 @@ FRESHNESS_HOURS = 24.0
 SCORE_WITH_DUPLICATES = 80.0
 SCORE_CLEAN = 100.0
 
+# Raw tables and the cleansed tables made of them (QA-01).
+SILVER_PAIRS = [("bronze_name_basics", "silver_name_basics"),
+                ("bronze_title_basics", "silver_title_basics"),
+                ("bronze_title_ratings", "silver_title_ratings"),
+                ("bronze_title_episode", "silver_title_episode"),
+                ("bronze_title_akas", "silver_title_akas"),
+                ("bronze_title_principals", "silver_title_principals"),
+                ("bronze_title_crew", "silver_title_crew")]
+
+# Key columns that must not be NULL (QA-02).
+SILVER_NOT_NULL = [("silver_name_basics", "nconst"), ("silver_title_basics", "tconst"),
+                   ("silver_title_ratings", "tconst"), ("silver_title_episode", "tconst"),
+                   ("silver_title_akas", "title_id"), ("silver_title_principals", "tconst"),
+                   ("silver_title_principals", "nconst"), ("silver_title_crew", "tconst")]
+
+# Identifier patterns and the range of ratings (QA-04/05/17).
+PERSON_ID, TITLE_ID = "^nm[0-9]+$", "^tt[0-9]+$"
+RATING_OUT_OF_RANGE = "average_rating < 1.0 OR average_rating > 10.0"
+
+# Expected cleansed types (QA-03).
+SILVER_TYPES = [("silver_name_basics", "birth_year", "int"),
+                ("silver_name_basics", "death_year", "int"),
+                ("silver_title_basics", "start_year", "int"),
+                ("silver_title_basics", "end_year", "int"),
+                ("silver_title_basics", "runtime_minutes", "int"),
+                ("silver_title_basics", "is_adult", "boolean"),
+                ("silver_title_ratings", "average_rating", "double"),
+                ("silver_title_ratings", "num_votes", "int"),
+                ("silver_title_episode", "season_number", "int"),
+                ("silver_title_episode", "episode_number", "int"),
+                ("silver_title_akas", "ordering", "int"),
+                ("silver_title_akas", "is_original_title", "boolean"),
+                ("silver_title_principals", "ordering", "int")]
+
+# Keys of cleansed tables (QA-09).
+SILVER_KEYS = {"silver_name_basics": ["nconst"], "silver_title_basics": ["tconst"],
+               "silver_title_ratings": ["tconst"], "silver_title_crew": ["tconst"],
+               "silver_title_akas": ["title_id", "ordering"],
+               "silver_title_principals": ["tconst", "ordering"]}
+
+# Star-schema tables whose load time is checked (QA-26).
+GOLD_FRESH = ["gold_dim_title", "gold_dim_genre", "gold_dim_category", "gold_dim_region",
+              "gold_dim_language", "gold_dim_title_alternates", "gold_bridge_title_genre",
+              "gold_fact_ratings", "gold_fact_episodes", "gold_fact_title_credits"]
+
 # Literal values written into audit and fact tables.
 RAW_TABLE_PREFIX = "bronze_"        # stripped to name the raw file in the load audit
 RAW_FILE_SUFFIX = ".tsv.gz"

@@ -17,7 +17,7 @@ from lakeward.functions.cleanse import at_clock
 from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
 from lakeward.plans.cleansed import PROJECTIONS
-from lakeward.sources.tables import (STORAGE_COLUMNS, append_stream, checked_stream, new_keys_stream,
+from lakeward.sources.tables import (STORAGE_COLUMNS, append_stream, checked_stream, new_keys_stream, read_catalog_table,
                                      read_lookup_csv, read_table, stream_table, write_table)
 from lakeward.sources.tsv import MALFORMED, folders_with_files
 from lakeward.specs import CLEAN_SPECS, RAW_SPECS, TableLayout
@@ -125,19 +125,17 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     return metrics
 
 
-def run_audits(spark: SparkSession, layout: TableLayout, clock=None, run_id: str | None = None) -> dict:
+def run_audits(spark: SparkSession, layout: TableLayout, clock=None, run_id: str | None = None,
+               database: str | None = None) -> dict:
     """QL-1..6: recompute the load-audit and data-quality tables over the raw (bronze)
     tables and append a row-count snapshot to the history; returns the three paths.
-    ``clock`` dates the checks; a repeated ``run_id`` replaces its own snapshot."""
+    ``clock`` dates the checks; a repeated ``run_id`` replaces its own snapshot; with
+    ``database`` the raw tables are read by name."""
     from lakeward.operators.audit import AuditTarget, data_quality, load_audit, record_row_counts
     from lakeward.sources.tables import write_table as _write
-    tables = []
-    have = folders_with_files(spark, layout.path("bronze", ""), "*.parquet")
-    for spec in RAW_SPECS:
-        p = layout.path("bronze", spec.name)
-        if spec.name in have:
-            tables.append((read_table(spark, p).drop("_batch_id", MALFORMED),
-                           AuditTarget(spec.name, spec.keys, spec.columns)))
+    stored = load_tables(spark, layout, [s.name for s in RAW_SPECS], database)
+    tables = [(stored[s.name].drop("_batch_id", MALFORMED), AuditTarget(s.name, s.keys, s.columns))
+              for s in RAW_SPECS if s.name in stored]
     out = {n: layout.path("qa", n) for n in ("qa_load_audit", "qa_row_count_history",
                                             "qa_data_quality")}
     if tables:
@@ -148,20 +146,25 @@ def run_audits(spark: SparkSession, layout: TableLayout, clock=None, run_id: str
     return out
 
 
-def load_tables(spark: SparkSession, layout: TableLayout, only=None) -> dict:
+def load_tables(spark: SparkSession, layout: TableLayout, only=None, database: str | None = None) -> dict:
     """Every stored table of the layout (or those named in ``only``) as a batch DataFrame
-    (name -> DataFrame)."""
+    (name -> DataFrame). With ``database`` the tables registered there are read by name
+    (SRC-09); the layout is not looked at then."""
     out = {}
+    named = {t.name for t in spark.catalog.listTables(database)} if database else set()
     for layer, names in (("bronze", [s.name for s in RAW_SPECS]),
                          ("silver", [s.name for s in CLEAN_SPECS]),
                          ("gold", list(G.STREAMING_GOLD) + ["gold_dim_person", "gold_dim_region",
                                                              "gold_dim_language"])):
         names = [n for n in names if only is None or n in only]
-        have = folders_with_files(spark, layout.path(layer, ""), "*.parquet") if names else ()
+        if database:
+            have = named
+        else:
+            have = folders_with_files(spark, layout.path(layer, ""), "*.parquet") if names else ()
         for n in names:
-            p = layout.path(layer, n)
             if n in have:
-                df = read_table(spark, p)
+                df = (read_catalog_table(spark, f"{database}.{n}") if database
+                      else read_table(spark, layout.path(layer, n)))
                 out[n] = df.drop(*STORAGE_COLUMNS) if layer != "bronze" else df
     return out
 
