@@ -9,12 +9,13 @@ the same or another document (texts are UTF-8 bytes; matches never cross documen
 2. Anchors whose gram occurs at one place only are dropped by a partial aggregate.
 3. For the others, the strings they anchor are taken in slices of ``SLICE`` consecutive
    starts. A slice's strings share a core; what differs are two flanks. Occurrences with equal
-   core meet by the core's hash. Equal occurrences (same flanks) are counted, not gathered.
+   core meet by the core's hash. Equal occurrences (same flanks) are one kind, which stands in
+   the order below with its first and its last place.
 4. Distinct flanks of a core form a small suffix order: sorted by what follows the core, with
    the longest common prefixes of neighbours. Within those that agree x bytes to the left,
    the previous and next smaller positions in that order give each suffix its longest
-   previous factor (and, for ``keep="none"``, its longest following one). A string is repeated
-   if its factor reaches LENGTH. Only x at which some class changes are tried.
+   previous factor. A string is repeated if its factor reaches LENGTH; ``keep="none"`` marks
+   both ends of such a factor. Only x at which some class changes are tried.
 5. A core with over ``MAX_MEMBERS`` distinct flanks is not gathered: each of its strings is
    hashed and counted on its own (``_by_counting``), with the same result.
 
@@ -64,10 +65,10 @@ def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM):
-    """(pos, first start, last start, gram hash) of every anchor of a text."""
+def anchor_arrays(text: bytes, length: int = LENGTH, gram: int = GRAM) -> list[np.ndarray]:
+    """Arrays pos, first start, last start and gram hash of the anchors of a text, by pos."""
     n, width = len(text), length - gram + 1
-    found: dict[int, list[int]] = {}
+    found: list[list[np.ndarray]] = []
     low = np.uint64((1 << 20) - 1)
     for at in range(0, n - length + 1, CHUNK):
         raw = np.frombuffer(text, np.uint8, min(CHUNK + length - 1, n - at), at)
@@ -85,23 +86,34 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM):
         place = (low - (least & low)).astype(np.int64)
         edge = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         last = np.concatenate([edge[1:], [starts]]) - 1
-        for p, a, b in zip(place[edge].tolist(), edge.tolist(), last.tolist()):
-            own = found.setdefault(at + p, [at + a, at + b, int(h[p])])
-            own[1] = at + b
-    return [(p, a, b, g) for p, (a, b, g) in found.items()]
+        part = [place[edge] + at, edge + at, last + at, h[place[edge]]]
+        # An anchor may serve the last starts of a chunk and the first ones of the next.
+        if found and part[0][0] == found[-1][0][-1]:
+            found[-1][2][-1] = part[2][0]
+            part = [c[1:] for c in part]
+        if len(part[0]):
+            found.append(part)
+    if not found:
+        return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)]
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM):
+    """(pos, first start, last start, gram hash) of every anchor of a text."""
+    return list(zip(*(c.tolist() for c in anchor_arrays(text, length, gram))))
 
 
 def anchor_rows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """key, doc_id, pos, first, last, gram of every anchor of every text."""
     def work(batches):
         for batch in batches:
-            rows = [(k, d, p, a, b, g - (1 << 63))
-                    for k, d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
-                    for p, a, b, g in anchors(t.as_py(), length)]
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["key", "doc_id", "pos", "first", "last", "gram"])
+            cols = [anchor_arrays(t.as_py(), length) for t in batch.column(2)]
+            counts = pa.array(np.repeat(np.arange(len(cols)), [len(c[0]) for c in cols]))
+            pos, first, last, gram = (np.concatenate(c) for c in zip(*cols)) if cols else [np.zeros(0, np.int64)] * 4
+            gram = (gram.astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(counts), batch.column(1).take(counts), *map(pa.array, (pos, first, last, gram))],
+                ["key", "doc_id", "pos", "first", "last", "gram"])
 
     text = text_of(docs)
     rows = docs.select(text_key(text).alias("key"), doc_id_of(docs).alias("doc_id"),
@@ -124,33 +136,37 @@ def common(a: bytes, b: bytes) -> int:
     return len(os.path.commonprefix([a, b]))
 
 
-def factors(ranks: list, lcps: list[int], later: bool) -> list[int]:
-    """For suffixes in suffix order (lcps[i]: common prefix of i - 1 and i), the longest
-    factor shared with a suffix of smaller rank: the larger of those with the previous and
-    the next smaller rank in the order; -1 if there is none. ``later`` also counts suffixes of
-    greater rank."""
+def candidates(ranks: list, lcps: list[int]) -> list[tuple[int, int, int, int]]:
+    """For suffixes in suffix order (lcps[i]: common prefix of i - 1 and i), the suffixes of the
+    previous and of the next smaller rank in that order, each with the prefix it has in common:
+    (previous, common, next, common); -1 and -1 where there is none."""
     n = len(ranks)
-    best = [-1] * n
-    if later:
-        for i in range(1, n):
-            best[i] = max(best[i], lcps[i])
-            best[i - 1] = max(best[i - 1], lcps[i])
-        return best
+    sides = []
     for order in (range(n), range(n - 1, -1, -1)):
-        stack: list[tuple] = []  # (rank, common prefix with the one stacked below)
+        own = [(-1, -1)] * n
+        stack: list[tuple] = []  # (suffix, common prefix with the one stacked below)
         for i in order:
             near = lcps[i] if order.step > 0 else (lcps[i + 1] if i + 1 < n else 0)
-            while stack and stack[-1][0] > ranks[i]:
+            while stack and ranks[stack[-1][0]] > ranks[i]:
                 near = min(near, stack.pop()[1])
             if stack:
-                best[i] = max(best[i], near)
-            stack.append((ranks[i], near))
-    return best
+                own[i] = (stack[-1][0], near)
+            stack.append((i, near))
+        sides.append(own)
+    return [(*a, *b) for a, b in zip(*sides)]
+
+
+def factors(ranks: list, lcps: list[int]) -> list[int]:
+    """The longest previous factor of each suffix, -1 if no suffix has a smaller rank."""
+    return [max(a, b) for _, a, _, b in candidates(ranks, lcps)]
 
 
 def repeated_starts(lefts: list[bytes], rights: list[bytes], ranks: list, need: int, later: bool):
     """(least, greatest) x of each member whose string with x bytes of its left flank and
-    need - x of its right flank is repeated among the members; None if there is none."""
+    need - x of its right flank stands in a member of smaller rank too; None if there is none.
+    ``later`` marks both ends of such a factor, which finds every repeated string: of equal
+    strings, all but the first have an earlier one among their two candidates, and the first is
+    a candidate of its neighbour in suffix order."""
     n = len(lefts)
     right = sorted(range(n), key=lambda i: rights[i])
     right_lcp = [0] + [common(rights[a], rights[b]) for a, b in zip(right, right[1:])]
@@ -171,49 +187,65 @@ def repeated_starts(lefts: list[bytes], rights: list[bytes], ranks: list, need:
                 continue
             # Neighbours within the class: the least common prefix on the way between them.
             lcps = [0] + [min(right_lcp[a + 1:b + 1]) for a, b in zip(own, own[1:])]
-            for p, got in zip(own, factors([ranks[right[p]] for p in own], lcps, later)):
-                m = right[p]
-                if got >= need - x and len(lefts[m]) >= x and len(rights[m]) >= need - x:
-                    out[m] = (x, x) if out[m] is None else (out[m][0], x)
+            if max(lcps) < need - x:
+                continue
+            for i, (before, a, after, b) in enumerate(candidates([ranks[right[p]] for p in own], lcps)):
+                for j, got in ((before, a), (after, b)):
+                    if j >= 0 and got >= need - x:
+                        for e in (i, j) if later else (i,):
+                            m = right[own[e]]
+                            out[m] = (x, x) if out[m] is None else (out[m][0], x)
     return out
 
 
+#: Verdicts of a kind: at its first place and, if it has more places, at those after it.
+VERDICT = ["core", "flanks", "d", "k", "p", "least", "most", "later_least", "later_most"]
+
+
 def _by_gathering(members: DataFrame, width: int, later: bool) -> DataFrame:
-    dealt = spread(members.select("core", "flanks", "lf", "rf", F.col("start.d").alias("d"),
-                                  F.col("start.k").alias("k"), F.col("start.p").alias("p")), "core")
+    dealt = spread(members.select("core", "flanks", "lf", "rf", *[F.col(f"{e}.{c}").alias(f"{e}_{c}")
+                                                                  for e in ("start", "end") for c in "dkp"]), "core")
 
     def work(batches):
         for t in sorted_groups(batches, 1):
-            if t.num_rows < 2:
+            lefts, rights, *places = (t.column(i).to_pylist() for i in range(2, 10))
+            ranks, ends = list(zip(*places[:3])), list(zip(*places[3:]))
+            # A kind of several places has two suffixes of the order: its first and its last one.
+            again = [i for i, (a, b) in enumerate(zip(ranks, ends)) if a != b]
+            if len(ranks) + len(again) < 2:
                 continue
-            lefts, rights, d, k, p = (t.column(i).to_pylist() for i in range(2, 7))
-            ranks = [(a is None, a or 0, b, c) for a, b, c in zip(d, k, p)]
-            got = repeated_starts(lefts, rights, ranks, width - 1, later)
-            hit = [i for i, g in enumerate(got) if g]
+            got = repeated_starts(lefts + [lefts[i] for i in again], rights + [rights[i] for i in again],
+                                  ranks + [ends[i] for i in again], width - 1, later)
+            after = dict(zip(again, got[len(ranks):]))
+            hit = [i for i in range(len(ranks)) if got[i] or after.get(i)]
             if hit:
+                pairs = [(*(got[i] or (None, None)), *(after.get(i) or (None, None))) for i in hit]
                 yield pa.RecordBatch.from_arrays(
-                    [t.column(0).combine_chunks().take(hit), t.column(1).combine_chunks().take(hit),
-                     pa.array([got[i][0] for i in hit], pa.int64()), pa.array([got[i][1] for i in hit], pa.int64())],
-                    ["core", "flanks", "least", "most"])
+                    [t.column(c).combine_chunks().take(pa.array(hit)) for c in (0, 1, 4, 5, 6)]
+                    + [pa.array(c, pa.int64()) for c in zip(*pairs)], VERDICT)
 
-    return dealt.mapInArrow(work, "core binary, flanks long, least long, most long")
+    return dealt.mapInArrow(work, "core binary, flanks long, d long, k binary, p long, least long, most long, "
+                                  "later_least long, later_most long")
 
 
 def _by_counting(members: DataFrame, width: int, later: bool) -> DataFrame:
     """The same for cores of any size: every string by itself, hashed and counted."""
     need = width - 1
-    tried = members.select("core", "flanks", "lf", "rf", "start", F.explode(F.sequence(F.lit(0), F.lit(need))).alias("x"))
+    tried = members.select("core", "flanks", "lf", "rf", "start", "end", F.explode(F.sequence(F.lit(0), F.lit(need))).alias("x"))
     tried = tried.where((F.octet_length("lf") >= F.col("x")) & (F.octet_length("rf") >= need - F.col("x")))
     string = F.sha2(F.concat(F.expr(f"substring(lf, cast(octet_length(lf) - x + 1 as int), cast(x as int))"),
                              F.expr(f"substring(rf, 1, cast({need} - x as int))")), 256)
-    tried = tried.select("core", "flanks", "start", "x", string.alias("s"))
-    many = save(tried.groupBy("core", "x", "s").agg(F.min("start").alias("a"), F.max("start").alias("b"))
+    tried = tried.select("core", "flanks", "start", "end", "x", string.alias("s"))
+    many = save(tried.groupBy("core", "x", "s").agg(F.min("start").alias("a"), F.max("end").alias("b"))
                 .where("a <> b").select(F.col("core").alias("_c"), F.col("x").alias("_x"), F.col("s").alias("_s"), "a"),
                 "counted")
     hit = tried.join(many, (F.col("core") == F.col("_c")) & (F.col("x") == F.col("_x")) & (F.col("s") == F.col("_s")))
-    if not later:
-        hit = hit.where("start > a")
-    return hit.groupBy("core", "flanks").agg(F.min("x").cast("long").alias("least"), F.max("x").cast("long").alias("most"))
+    x = F.col("x").cast("long")
+    at_first = x if later else F.when(F.col("start") > F.col("a"), x)
+    after = F.when(F.col("start") != F.col("end"), x)
+    return hit.groupBy("core", "flanks", F.col("start.d").alias("d"), F.col("start.k").alias("k"), F.col("start.p").alias("p")).agg(
+        F.min(at_first).alias("least"), F.max(at_first).alias("most"),
+        F.min(after).alias("later_least"), F.max(after).alias("later_most"))
 
 
 def spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, width: int = SLICE,
@@ -252,34 +284,27 @@ def spans(docs: DataFrame, keep: str = "none", length: int = LENGTH, width: int
     cut = save(cut.withColumn("flanks", F.xxhash64("lf", "rf", F.octet_length("lf"))), "slices")
     start = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("key").alias("k"), F.col("pos").alias("p"))
     kinds = save(cut.groupBy("core", "flanks").agg(F.min(start).alias("start"), F.max(start).alias("end")), "kinds")
-    sizes = save(kinds.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                 .select(F.col("core").alias("_core"), "n"), "cores")
+    # Cores with several kinds, or with a kind of several places.
+    sizes = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("start") != F.col("end")).alias("many"))
+    sizes = save(sizes.where("n > 1 or many").select(F.col("core").alias("_core"), "n"), "cores")
     # Flanks of the first occurrence of each kind, found by its own place: no hot key.
     firsts = kinds.join(sizes, F.col("core") == F.col("_core")).select(
-        F.col("core").alias("_core"), F.col("flanks").alias("_flanks"), "n", "start",
+        F.col("core").alias("_core"), F.col("flanks").alias("_flanks"), "n", "start", "end",
         F.col("start.k").alias("_key"), F.col("start.p").alias("_pos"))
-    firsts = save(firsts, "firsts")
     place = ["_core", "_flanks", "_key", "_pos"]
     members = cut.join(firsts, (F.col("core") == F.col("_core")) & (F.col("flanks") == F.col("_flanks"))
                        & (F.col("key") == F.col("_key")) & (F.col("pos") == F.col("_pos")))
-    members = members.groupBy(*place).agg(*[F.first(c).alias(c) for c in ("lf", "rf", "n", "start")])
+    members = members.groupBy(*place).agg(*[F.first(c).alias(c) for c in ("lf", "rf", "n", "start", "end")])
     members = save(members.select(F.col("_core").alias("core"), F.col("_flanks").alias("flanks"),
-                                  "lf", "rf", "n", "start"), "members")
-    some = _by_gathering(members.where(F.col("n") <= max_members), width, later)
-    some = some.unionByName(_by_counting(members.where(F.col("n") > max_members), width, later))
-    some = save(some.select(F.col("core").alias("_core"), F.col("flanks").alias("_flanks"), "least", "most"), "repeated")
-    twice = kinds.select(F.col("core").alias("_core"), F.col("flanks").alias("_flanks"), F.col("start").alias("_start"),
-                         (F.col("start") != F.col("end")).alias("_many"))
-    told = save(twice.join(some, ["_core", "_flanks"], "left").where("_many or least is not null"), "verdicts")
-    discard(found, grams, per_text, kinds, sizes, firsts, members, some)
-    at = cut.select("core", "flanks", "key", "pos", "a0", F.octet_length("lf").alias("nl"), F.octet_length("rf").alias("nr"),
-                    start.alias("start"))
+                                  "lf", "rf", "n", "start", "end"), "members")
+    told = _by_gathering(members.where(F.col("n") <= max_members), width, later)
+    told = told.unionByName(_by_counting(members.where(F.col("n") > max_members), width, later))
+    told = save(told.select(*[F.col(c).alias(f"_{c}") for c in VERDICT]), "verdicts")
+    discard(found, grams, per_text, kinds, sizes, members)
+    at = cut.select("core", "flanks", "key", "pos", "a0", start.alias("start"))
     at = at.join(told, (F.col("core") == F.col("_core")) & (F.col("flanks") == F.col("_flanks")))
-    # With equal flanks elsewhere every string of the slice is repeated, as far as flanks go.
-    copy = F.col("_many") if later else (F.col("start") != F.col("_start"))
-    need = F.lit(width - 1)
-    most = F.when(copy, F.least(F.col("nl"), need)).otherwise(F.col("most"))
-    least = F.when(copy, F.greatest(F.lit(0), need - F.col("nr"))).otherwise(F.col("least"))
+    own = F.col("start") == F.struct(F.col("_d").alias("d"), F.col("_k").alias("k"), F.col("_p").alias("p"))
+    least, most = (F.when(own, F.col(f"_{c}")).otherwise(F.col(f"_later_{c}")) for c in ("least", "most"))
     out = at.select("key", "pos", "a0", least.alias("least"), most.alias("most")).where("least <= most")
     out = save(out.select("key", (F.col("pos") - F.col("a0") - F.col("most")).alias("start"),
                           (F.col("pos") + F.lit(length) - F.col("a0") - F.col("least")).alias("stop")), "spans")
@@ -320,19 +345,19 @@ def shared_words(docs: DataFrame, words: int = PASSAGE_WORDS, **options) -> Data
     found = spans(hashed, "none", length, length - GRAM + 1, **options)
     # Whole words only: a run of equal words also matches itself between two words.
     cut = found.select("key", F.ceil(F.col("start") / WORD_BYTES).alias("start"), F.floor(F.col("stop") / WORD_BYTES).alias("stop"))
-    per = cut.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
-    per = save(per.join(copies, "key", "full").select(F.col("key").alias("_key"), "cuts", "rows"), "runs")
+    cuts = cut.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
 
     def work(batches):
         for batch in batches:
-            got = [n if whole else sum(b - a for a, b in merged(cuts))
-                   for n, cuts, whole in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.int64())], ["origin", "n_shared"])
+            got = [sum(b - a for a, b in merged(c)) for c in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.int64())], ["key", "covered"])
 
+    per = cuts.mapInArrow(work, "key binary, covered long").join(copies, "key", "full")
+    per = save(per.select(F.col("key").alias("_key"), "covered", "rows"), "runs")
     # Texts that differ in blanks alone are copies here, each with an origin of its own.
-    rows = rows.join(per, F.col("key") == F.col("_key")).groupBy("origin").agg(
-        F.first("n").alias("n"), F.first("cuts").alias("cuts"), F.first(F.col("rows").isNotNull()).alias("whole"))
-    out = save(rows.mapInArrow(work, "origin binary, n_shared long"), "shared")
+    shared = F.when(F.col("rows").isNotNull(), F.col("n")).otherwise(F.col("covered"))
+    rows = rows.join(per, F.col("key") == F.col("_key")).groupBy("origin").agg(F.max(shared).alias("n_shared"))
+    out = save(rows, "shared")
     discard(hashed, found, per)
     return out
 

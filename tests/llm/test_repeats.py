@@ -103,9 +103,14 @@ def test_factors_are_longest_previous_factors():
         text = "".join(rnd.choices("ab", k=12))
         order = sorted(range(12), key=lambda i: text[i:])
         lcps = [0] + [R.common(text[a:].encode(), text[b:].encode()) for a, b in zip(order, order[1:])]
-        got = R.factors(order, lcps, False)
+        got = R.factors(order, lcps)
         for i, f in zip(order, got):
             assert f == max([R.common(text[i:].encode(), text[j:].encode()) for j in range(i)], default=-1)
+        for k, (before, a, after, b) in enumerate(R.candidates(order, lcps)):
+            assert before == max([x for x in range(k) if order[x] < order[k]], default=-1)
+            assert after == min([x for x in range(k + 1, 12) if order[x] < order[k]], default=-1)
+            for j, c in ((before, a), (after, b)):
+                assert c == (-1 if j < 0 else R.common(text[order[k]:].encode(), text[order[j]:].encode()))
 
 
 def test_extra_columns_and_empty(docs):
