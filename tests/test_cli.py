@@ -6,7 +6,7 @@ from conftest import FIXTURES, copy_raw
 
 from lakeward.__main__ import main
 from lakeward.specs import TableLayout
-from lakeward.streaming.runner import run_audits
+from lakeward.streaming.runner import load_tables, register_layout
 
 
 def test_run_and_report(spark, tmp_path, capsys):
@@ -23,27 +23,18 @@ def test_run_and_report(spark, tmp_path, capsys):
     assert gold.filter("check_id = 'QA-26' AND status = 'FAIL'").count() == 10   # stale as of 2030
 
 
-def test_audits_and_reports_by_table_name(spark, tmp_path, capsys):
-    """The same results whether tables are read by path or by their names in a database."""
-    root = str(tmp_path)
-    copy_raw("run1", root)
-
-    def read(name):
-        df = spark.read.parquet(f"{root}/qa/{name}")
-        return sorted(map(str, df.select(*[c for c, t in df.dtypes if not t.startswith("timestamp")]).collect()))
-
-    main(["run", "--root", root, "--countries", os.path.join(FIXTURES, "lookups/iso_country_codes.csv"),
-          "--languages", os.path.join(FIXTURES, "lookups/iso_language_codes.csv"), "--key-buckets", "4",
-          "--database", "lakeward_cli"])
-    by_name = read("qa_load_audit"), read("qa_data_quality")
-    run_audits(spark, TableLayout(root))
-    assert by_name[0] and (read("qa_load_audit"), read("qa_data_quality")) == by_name
-    main(["report", "--root", root, "--as-of", "2030-01-01 00:00:00"])
-    gold = read("qa_gold_report")
-    main(["report", "--root", root, "--as-of", "2030-01-01 00:00:00", "--database", "lakeward_cli"])
-    assert gold and read("qa_gold_report") == gold
-    share = spark.read.parquet(f"{root}/qa/qa_gold_report").where("check_id = 'QA-16'").collect()[0]
-    assert (share.counted, share.total) == (2, 3)
+def test_tables_by_name_are_those_by_path(spark, tmp_path):
+    """SRC-09: what audits and reports read with and without a database."""
+    layout, names = TableLayout(str(tmp_path)), ["bronze_title_ratings", "gold_dim_genre", "silver_title_ratings"]
+    for name in names:
+        spark.createDataFrame([("tt0000001", name), (None, "x")], "k string, v string").write.parquet(
+            layout.path(name.split("_")[0], name))
+    assert sorted(register_layout(spark, layout, "lakeward_named")) == [f"lakeward_named.{n}" for n in names]
+    by_path, by_name = load_tables(spark, layout), load_tables(spark, layout, database="lakeward_named")
+    assert sorted(by_path) == sorted(by_name) == names
+    for n in names:
+        assert sorted(map(str, by_path[n].collect())) == sorted(map(str, by_name[n].collect()))
+    assert list(load_tables(spark, layout, ["gold_dim_genre"], "lakeward_named")) == ["gold_dim_genre"]
 
 
 def test_size_partitions_from_raw_metadata(spark, tmp_path):
