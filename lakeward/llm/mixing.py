@@ -24,10 +24,13 @@ one; an empty table gives an empty result. Extra columns do not matter.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import doc_id_of, documents, repeat_rows, save, text_key, text_of
+from .base import doc_id_of, documents, save, text_key, text_of
 
 WEIGHTS = (5, 2, 1)
 SLOPES = (0.5, 0.0, -0.5)
@@ -115,12 +118,29 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` as mixed: a row for each pass in which at least half of its words are taken."""
+    """``docs`` as mixed: a row for each pass in which at least half of its words are taken, in
+    training order (range-sorted by the time that the curriculum gives the pass)."""
+    key = ["doc_id", "sha", "source"]
+    pass_at = lambda c, ahead: F.when((F.col("size") > 0) & (2 * F.col(c) >= F.col("size")),
+                                      _time(ahead.cast("double"), F.col("target"), F.col("slope")))
     rows = queue(save(sizes_of(docs), "sizes"))
-    taken = lambda c: F.when((F.col("size") > 0) & (2 * F.col(c) >= F.col("size")), 1).otherwise(0)
-    told = rows.groupBy("doc_id", "sha").agg(F.count(F.lit(1)).alias("rows"),
-                                             F.sum(taken("first") + taken("second")).alias("copies"))
-    return repeat_rows(docs, save(told, "copies"))
+    rows = save(rows.select(*key, F.array_compact(F.array(
+        pass_at("first", F.col("before")),
+        pass_at("second", F.col("before") + F.col("source_size")))).alias("times")), "mix")
+    # Rows alike in all of the key stand for each other; the times of a row of its own come with it.
+    told = save(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("times")).alias("passes"),
+                                       F.max("times").alias("times")).where("passes > 0"), "passes")
+    told = told.select(*[F.col(c).alias(f"_{c}") for c in [*key, "rows", "times"]])
+    alike = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), doc_id_of(docs).alias("doc_id"),
+                         text_key(text_of(docs)).alias("sha"), docs["source"].cast("string").alias("source"))
+    found = packed.join(told, alike)
+    one = found.where("_rows = 1").select("row", *key, F.explode("_times").alias("time"))
+    again = rows.join(told.where("_rows > 1"), alike, "left_semi").select(
+        *[F.col(c).alias(f"_{c}") for c in key], F.explode("times").alias("time"))
+    many = found.where("_rows > 1").groupBy(*key).agg(F.first("row").alias("row"))
+    many = many.join(again, alike).select("row", *key, "time")
+    return one.unionByName(many).orderBy("time", "doc_id", "sha").select("row.*")
 
 
 SQL = r"""

@@ -85,6 +85,40 @@ def test_mixed_documents_come_as_often_as_taken(docs):
     assert found == {k: v for k, v in n.items() if v} and 2 in n.values() and 0 in n.values()
 
 
+def test_mixed_documents_come_in_training_order(docs):
+    """Each pass stands where the curriculum puts it; repeated rows keep a time each."""
+    rows = [(i, f"word {i} " + "x " * (i % 9), f"s{i % 3}") for i in range(300)] + [(400, "a b c", "s0")] * 3
+    want = []
+    for r in M.queue(M.sizes_of(docs(rows))).collect():
+        for taken, ahead in ((r.first, r.before), (r.second, r.before + r.source_size)):
+            if 2 * taken >= r.size:
+                x, c = min(1.0, ahead / r.target), r.slope
+                time = 2 * x / ((1 - c) + ((1 - c) ** 2 + 4 * c * x) ** 0.5)
+                want.append((round(time, 9), r.doc_id, r.source))
+    want.sort()
+    for n in (1, 5):
+        got = M.mixed_documents(docs(rows).repartition(n)).collect()
+        assert [(r.doc_id, r.source) for r in got] == [w[1:] for w in want]
+    # s0 comes later, s2 earlier in training (in words; s1 evenly).
+    half = sum(size(r.text) for r in got) / 2
+    words, early = 0, {"s0": 0, "s1": 0, "s2": 0}
+    for r in got:
+        words += size(r.text)
+        if words <= half:
+            early[r.source] += size(r.text)
+    share = {s: early[s] / sum(size(r.text) for r in got if r.source == s) for s in early}
+    assert share["s0"] < 0.47 < 0.5 < share["s2"]
+
+
+def test_rows_of_other_sources_are_mixed_as_their_own(docs):
+    """Alike in doc_id and text, unlike in source: each comes as often as its own source takes it."""
+    rows = [(1, "a b c d", s) for s in ("p", "q", "r", None)]
+    table = docs(rows)
+    want = {r.source: int(2 * r.first >= r.size) + int(2 * r.second >= r.size) for r in M.queue(M.sizes_of(table)).collect()}
+    got = [r.source for r in M.mixed_documents(table).collect()]
+    assert {s: got.count(s) for s in want} == want
+
+
 def test_no_source_in_one_bucket(docs):
     rows = [(i, "a b", "hot") for i in range(2000)]
     assert M.queue(M.sizes_of(docs(rows))).select("bucket").distinct().count() >= 2000 // M.BUCKET
