@@ -71,8 +71,13 @@ def lower_code(c) -> Column:
 
 
 def strip_brackets(c) -> Column:
-    """PRJ-12: drop a leading ``["`` and a trailing ``"]`` only (inner ``","`` stays)."""
-    return F.regexp_replace(F.regexp_replace(F.trim(_c(c)), r'^\["', ""), r'"\]$', "")
+    """PRJ-12: drop a leading ``["`` and a trailing ``"]`` only (inner ``","`` stays). Cut by
+    position; a ``"]`` that is not the very end is left to the pattern, whose ``$`` also stands
+    before a last line break."""
+    c = F.trim(_c(c))
+    c = F.when(c.startswith('["'), F.substring(c, 3, 2**31 - 1)).otherwise(c)
+    return (F.when(c.endswith('"]'), F.left(c, F.length(c) - 2))
+            .when(c.contains('"]'), F.regexp_replace(c, r'"\]$', "")).otherwise(c))
 
 
 def joined(c, sep: str = ",") -> Column:

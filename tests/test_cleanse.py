@@ -77,3 +77,14 @@ def test_mapped(spark):  # FN-12, GD-05 department mapping
 def test_typed_null(spark):  # FN-13
     assert spark.range(1).select(C.typed_null("string").alias("x")).schema["x"].dataType.typeName() == "string"
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def test_strip_brackets_equals_its_patterns(spark):
+    """Cut by position, with the results of ``^\\["`` and ``"\\]$`` on odd texts."""
+    odd = [None, "", '["', '"]', '["]', '[""]', ' ["a"] ', '["a"]\n', '["a"]\r\n', '["a"]\n\n', '["a","b"] x', 'a"]b"]', '\n["a"]',
+           '["["é\U0001f600"]"]', '["a"]\u2028', "plain"]
+    df = spark.createDataFrame([(v,) for v in odd], "v string")
+    by_pattern = F.regexp_replace(F.regexp_replace(F.trim("v"), r'^\["', ""), r'"\]$', "")
+    got = df.select(C.strip_brackets("v").alias("a"), by_pattern.alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+    assert r'^\["' not in str(df.select(C.strip_brackets("v").alias("a"))._jdf.queryExecution().optimizedPlan())
