@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from lakeward.plans.raw_tables import RAW_SPECS
 from lakeward.plans.reports import gold_report, silver_report, title_type_distribution
-from lakeward.session import fresh_dir
+from lakeward.session import fresh_dir, in_threads
 from lakeward.sources import tsv as S
 from lakeward.specs import CLEAN_SPECS, DEPARTMENTS, DEFAULT_DEPARTMENT, DROP, TableLayout
 from lakeward.operators.audit import row_count_history
@@ -110,10 +110,11 @@ LANGUAGES = [("en", "English"), ("DE", "German")]
 
 
 def derive_raw_files(spark: SparkSession, sf: str, root: str) -> None:
-    """Write the seven raw file sets and the two lookups."""
-    for folder, (table, cols) in RAW_SQL.items():
+    """Write the seven raw file sets, all at the same time, and the two lookups."""
+    def write(folder: str, table: str, cols: list) -> None:
         src = spark.read.parquet(f"{sf}/{table}.parquet")
         S.write_tsv(src.selectExpr(*[f"{e} AS {c}" for c, e in cols]), f"{root}/raw/{folder}")
+    in_threads(spark, [lambda f=folder, t=table, c=cols: write(f, t, c) for folder, (table, cols) in RAW_SQL.items()])
     for name, rows in (("region", COUNTRIES), ("language", LANGUAGES)):
         spark.createDataFrame(rows, f"{name}_code string, {name}_name string").coalesce(1) \
             .write.option("header", "true").csv(f"{root}/lookups/{name}")

@@ -12,7 +12,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins/partition counts at runtime,
@@ -93,6 +95,16 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/lakeward/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def in_threads(spark: SparkSession, calls) -> None:
+    """Run ``calls`` (driver code that waits for Spark jobs) at the same time, each under the
+    caller's job group and properties; after all have ended, raise the first failure."""
+    calls = list(calls)
+    with ThreadPoolExecutor(max(1, len(calls))) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+    for d in done:
+        d.result()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written under the work root and read back: its lineage ends here."""
     path = fresh_dir(df.sparkSession, name)

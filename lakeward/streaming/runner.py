@@ -17,6 +17,7 @@ from lakeward.functions.cleanse import at_clock
 from lakeward.plans import star as G
 from lakeward.plans.raw_tables import start_bronze
 from lakeward.plans.cleansed import PROJECTIONS
+from lakeward.session import in_threads
 from lakeward.sources.tables import (STORAGE_COLUMNS, append_stream, checked_stream, new_keys_stream, read_catalog_table,
                                      read_lookup_csv, read_table, stream_table, write_table)
 from lakeward.sources.tsv import MALFORMED, folders_with_files
@@ -58,70 +59,81 @@ def run_layers(spark: SparkSession, layout: TableLayout, countries_csv: str, lan
     """Run every layer once (availableNow). Returns observed rule metrics per query.
     ``clock`` dates the run: every load stamp of every layer (``cleanse.at_clock``).
 
-    Streams of one layer are independent, so they run concurrently (one session, several
-    streaming queries); layers run in dependency order.
+    A table depends on one raw file set only, so each set goes through its layers in order and
+    the sets run concurrently (one session, several streaming queries): no table waits for
+    another's layer. If some fail, the others go on to their end, then the first failure is raised.
     """
     metrics: dict = {}
 
     def dated(build):
         return lambda *frames: at_clock(build(*frames), clock)
 
-    # One listing job per layer tells which tables exist (not one probe per table).
+    # One listing job tells which raw file sets exist (not one probe per set).
     raw = folders_with_files(spark, layout.path("raw", ""), raw_glob)
-    # bronze (SRC-01..06, EX-01..08)
-    bronze = {spec.name: start_bronze(spark, layout, spec,
-                                      max_files_per_trigger=RAW_FILES_PER_TRIGGER, glob=raw_glob,
-                                      clock=clock)
-              for spec in RAW_SPECS if spec.folder in raw}
-    _await_all(bronze)
-    metrics.update({f"{name}_rules": _rule_totals(q) for name, q in bronze.items()})
-    # silver (SV-1..7, EXP-01..03), one stream per table
-    have = folders_with_files(spark, layout.path("bronze", ""), "*.parquet")
-    silver = {}
-    for spec in CLEAN_SPECS:
-        src = layout.path("bronze", spec.source)
-        if spec.source in have:
-            silver[spec.name] = checked_stream(
-                stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER),
-                dated(PROJECTIONS[spec.name]), spec.rules, layout.path("silver", spec.name),
-                layout.checkpoint(spec.name), spec.name, layout.path("qa", "expectation_log"))
-    _await_all(silver)
-    metrics.update({f"{name}_rules": _rule_totals(q) for name, q in silver.items()})
-    # gold streaming tables (GD-03..06, GD-09..13, STR-03/04) and the type-2 person
-    # dimension from the change feed (GD-01/02, SCD-02, STR-06)
-    have = folders_with_files(spark, layout.path("silver", ""), "*.parquet")
-    gold = {}
-    for name, (source, build) in G.STREAMING_GOLD.items():
-        src = layout.path("silver", source)
-        if source in have:
-            rows = stream_table(spark, src, max_files_per_trigger=TABLE_FILES_PER_TRIGGER)
+
+    def stored(layer: str, name: str) -> bool:
+        return bool(folders_with_files(spark, layout.path(layer, name), "*.parquet"))
+
+    def rows_of(layer: str, name: str):
+        return stream_table(spark, layout.path(layer, name), max_files_per_trigger=TABLE_FILES_PER_TRIGGER)
+
+    def bronze(spec) -> None:
+        """SRC-01..06, EX-01..08."""
+        if spec.folder in raw:
+            q = start_bronze(spark, layout, spec, max_files_per_trigger=RAW_FILES_PER_TRIGGER,
+                             glob=raw_glob, clock=clock)
+            _await_all({spec.name: q})
+            metrics[f"{spec.name}_rules"] = _rule_totals(q)
+
+    def silver(spec) -> None:
+        """SV-1..7, EXP-01..03, one stream per table."""
+        if stored("bronze", spec.source):
+            q = checked_stream(rows_of("bronze", spec.source), dated(PROJECTIONS[spec.name]), spec.rules,
+                               layout.path("silver", spec.name), layout.checkpoint(spec.name), spec.name,
+                               layout.path("qa", "expectation_log"))
+            _await_all({spec.name: q})
+            metrics[f"{spec.name}_rules"] = _rule_totals(q)
+
+    def gold(silver_name: str) -> None:
+        """Gold streaming tables of one cleansed table (GD-03..06, GD-09..13, STR-03/04), the
+        type-2 person dimension from the change feed (GD-01/02, SCD-02, STR-06), and batch
+        dimensions after the table's stream drained (GD-07/08, STR-05)."""
+        if not stored("silver", silver_name):
+            return
+        queries = {}
+        for name, (source, build) in G.STREAMING_GOLD.items():
+            if source != silver_name:
+                continue
             if name in G.ONE_ROW_PER_KEY:
-                gold[name] = new_keys_stream(rows, dated(build), G.ONE_ROW_PER_KEY[name],
-                                             layout.path("gold", name), layout.checkpoint(name))
+                queries[name] = new_keys_stream(rows_of("silver", source), dated(build), G.ONE_ROW_PER_KEY[name],
+                                                layout.path("gold", name), layout.checkpoint(name))
             else:
-                gold[name] = append_stream(dated(build)(rows), layout.path("gold", name),
-                                           layout.checkpoint(name))
-    names = layout.path("silver", "silver_name_basics")
-    if "silver_name_basics" in have:
-        gold["gold_dim_person"] = apply_changes_stream(
-            dated(G.person_changes)(stream_table(spark, names,
-                                                 max_files_per_trigger=TABLE_FILES_PER_TRIGGER)),
-            layout.path("gold", "gold_dim_person"),
-            layout.path("gold", "_changes_gold_dim_person"), layout.checkpoint("gold_dim_person"),
-            ["nconst"], G.STAMP, G.PERSON_TRACKED, key_buckets)
-    _await_all(gold)
-    if "gold_dim_person" in gold:
-        metrics["gold_dim_person_paths"] = list(getattr(gold["gold_dim_person"], "scd2_paths", []))
-    # batch dimensions after the streams drained (GD-07/08, STR-05)
-    akas = layout.path("silver", "silver_title_akas")
-    if "silver_title_akas" in have:
-        a = read_table(spark, akas)
-        write_table(dated(G.dim_region)(a, read_lookup_csv(spark, countries_csv,
-                                                           ["region_code", "region_name"])),
-                    layout.path("gold", "gold_dim_region"))
-        write_table(dated(G.dim_language)(a, read_lookup_csv(spark, languages_csv,
-                                                             ["language_code", "language_name"])),
-                    layout.path("gold", "gold_dim_language"))
+                queries[name] = append_stream(dated(build)(rows_of("silver", source)), layout.path("gold", name),
+                                              layout.checkpoint(name))
+        if silver_name == "silver_name_basics":
+            queries["gold_dim_person"] = apply_changes_stream(
+                dated(G.person_changes)(rows_of("silver", silver_name)), layout.path("gold", "gold_dim_person"),
+                layout.path("gold", "_changes_gold_dim_person"), layout.checkpoint("gold_dim_person"),
+                ["nconst"], G.STAMP, G.PERSON_TRACKED, key_buckets)
+        _await_all(queries)
+        if "gold_dim_person" in queries:
+            metrics["gold_dim_person_paths"] = list(getattr(queries["gold_dim_person"], "scd2_paths", []))
+        if silver_name == "silver_title_akas":
+            a = read_table(spark, layout.path("silver", silver_name))
+            write_table(dated(G.dim_region)(a, read_lookup_csv(spark, countries_csv,
+                                                               ["region_code", "region_name"])),
+                        layout.path("gold", "gold_dim_region"))
+            write_table(dated(G.dim_language)(a, read_lookup_csv(spark, languages_csv,
+                                                                 ["language_code", "language_name"])),
+                        layout.path("gold", "gold_dim_language"))
+
+    def chain(spec) -> None:
+        bronze(spec)
+        for clean in (c for c in CLEAN_SPECS if c.source == spec.name):
+            silver(clean)
+            gold(clean.name)
+
+    in_threads(spark, [lambda spec=spec: chain(spec) for spec in RAW_SPECS])
     return metrics
 
 

@@ -204,3 +204,20 @@ def test_streaming_gold_equals_batch_builders(layered, spark):
         stored = spark.read.parquet(layout.path("gold", name)).drop("load_dt")
         assert sorted(map(str, batch.collect())) == \
             sorted(map(str, stored.select(*batch.columns).collect())), name
+
+
+def test_a_failing_file_set_holds_up_no_other(spark, tmp_path, monkeypatch):
+    """Each raw file set goes through its layers by itself; the failure is raised in the end."""
+    from lakeward.streaming import runner
+    copy_raw("run1", str(tmp_path))
+    layout, start = TableLayout(str(tmp_path)), runner.start_bronze
+
+    def broken(spark, layout, spec, **how):
+        if spec.name == "bronze_title_crew":
+            raise OSError("no such disk")
+        return start(spark, layout, spec, **how)
+    monkeypatch.setattr(runner, "start_bronze", broken)
+    with pytest.raises(OSError, match="no such disk"):
+        run_layers(spark, layout, COUNTRIES, LANGUAGES, key_buckets=4)
+    made = load_tables(spark, layout)
+    assert "silver_title_crew" not in made and {"gold_fact_ratings", "gold_dim_person", "gold_dim_region"} <= set(made)
