@@ -162,3 +162,43 @@ def test_shared_words_match_brute_force(docs, seed):
     assert "n_shared" not in plain[0].asDict()
     bare = lambda rs: sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.text)) for r in rs), key=str)
     assert bare(plain) == bare(got)
+
+
+def test_many_cores_at_once_match_strings_looked_up(monkeypatch):
+    """Members of many cores in any order, in one call: x of the strings that stand in a member of
+    their core of smaller rank (first kept) or in any other (all marked); bytes of zero, empty
+    flanks, classes that take one step or several, small pieces of work."""
+    import numpy as np
+    rnd = random.Random(11)
+    for rounds, expanded in ((64, 1 << 18), (0, 9), (1, 50)):
+        monkeypatch.setattr(R, "ROUNDS", rounds)
+        monkeypatch.setattr(R, "EXPANDED", expanded)
+        for need in (0, 1, 5, 9):
+            ranks = rnd.sample(range(1000), 90)
+            flank = lambda: bytes(rnd.choices(b"\0a", k=rnd.randint(0, need)))
+            rows = [(i % rnd.choice([3, 20]), flank(), flank(), ranks[i]) for i in range(90)]
+            group, lefts, rights, ranks = zip(*rows)
+            places = defaultdict(list)
+            for i, (g, lf, rf, rank) in enumerate(rows):
+                for x in range(need + 1):
+                    if len(lf) >= x and len(rf) >= need - x:
+                        places[g, x, lf[len(lf) - x:], rf[:need - x]].append((rank, i))
+            for later in (False, True):
+                want = defaultdict(list)
+                for (_, x, *_), own in places.items():
+                    for place in own:
+                        if len(own) > 1 and (later or place != min(own)):
+                            want[place[1]].append(x)
+                least, most = R.repeated_starts(np.array(group), list(lefts), list(rights), np.array(ranks), need, later)
+                got = {i: (a, b) for i, (a, b) in enumerate(zip(least.tolist(), most.tolist())) if b >= 0}
+                assert got == {i: (min(x), max(x)) for i, x in want.items()}
+
+
+def test_texts_hashed_together_have_their_own_anchors(monkeypatch):
+    """Strings that lie in two texts are none; texts over the joined size go alone."""
+    rnd = random.Random(12)
+    monkeypatch.setattr(R, "JOINED", 5000)
+    texts = [bytes(rnd.choices(b"ab ", k=rnd.choice([400, 401, 700, 4000, 9000]))) for _ in range(40)] + [b"z" * 900] * 3
+    own, *cols = (c.tolist() for c in R.many_anchors(texts))
+    assert list(zip(own, *cols)) == [(i, *a) for i, t in enumerate(texts) for a in R.anchors(t)]
+    assert [len(c) for c in R.many_anchors([])] == [0] * 5
