@@ -26,7 +26,7 @@ group, where NCE without a tie between words has its optimum, drawn to its smoot
 all token probabilities after any context.
 
 Scoring: tasks score all tokens they know and give the rest, words beyond KNOWN, as (document,
-word, group, n) rows, which meet the distributed tables of words in joins.
+word, group, n) rows, which meet the distributed table of words, a row each, in a join.
 
 Defined results: a null text is empty: one token, the end; a null doc_id is the empty text for
 crc32, so held out; without training documents every count is 0 and the model is uniform; a text
@@ -176,15 +176,15 @@ def grouped(table: np.ndarray, often: np.ndarray, rounds: int = 10) -> np.ndarra
 
 
 def other_counts(training: DataFrame, shared, group: np.ndarray) -> DataFrame:
-    """(word, g, n): how often each word outside the classes comes after a context of group g."""
+    """(word, after): how often each word outside the classes comes after a context of each group."""
     def work(batches):
         known = {w: i for i, w in enumerate(shared.value[0][:CLASSES - 2])}
         marks = [bytes([g]) for g in range(GROUPS)]
         counts: Counter = Counter()
 
         def out():
-            table = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["key", "n"])
+            words, g = _unmarked(counts)
+            table = pa.RecordBatch.from_arrays([words, g, pa.array(list(counts.values()), pa.int64())], ["word", "g", "n"])
             counts.clear()
             return table
         for batch in batches:
@@ -192,15 +192,19 @@ def other_counts(training: DataFrame, shared, group: np.ndarray) -> DataFrame:
                 words = text.as_py().lower().split()
                 _, ids = class_ids(words, known)
                 at = group[context_ids(words, ids)[:-1]].tolist()
-                counts.update(words[i] + marks[at[i]] for i in np.flatnonzero(ids[1:-1] == OTHER).tolist())
+                counts.update([words[i] + marks[at[i]] for i in np.flatnonzero(ids[1:-1] == OTHER).tolist()])
                 if len(counts) > FLUSH:
                     yield out()
         yield out()
 
-    size = F.octet_length("key")
-    return (training.select("text").mapInArrow(work, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
-            .select(F.expr("substring(key, 1, octet_length(key) - 1)").alias("word"),
-                    F.ascii(F.substring("key", size, F.lit(1)).cast("string")).alias("g"), "n"))
+    own = [F.sum(F.when(F.col("g") == g, F.col("n")).otherwise(F.lit(0))).alias(f"n{g}") for g in range(GROUPS)]
+    return (training.select("text").mapInArrow(work, "word binary, g int, n long").groupBy("word").agg(*own)
+            .select("word", F.array(*[f"n{g}" for g in range(GROUPS)]).alias("after")))
+
+
+def _unmarked(marked) -> tuple[pa.Array, pa.Array]:
+    """Words and groups of words that end in a byte for their group."""
+    return pa.array([w[:-1] for w in marked], pa.binary()), pa.array([w[-1] for w in marked], pa.int32())
 
 
 def known_counts(other: DataFrame, shared) -> np.ndarray:
@@ -210,12 +214,11 @@ def known_counts(other: DataFrame, shared) -> np.ndarray:
         for batch in batches:
             at = np.fromiter((known.get(w, -1) for w in batch.column(0).to_pylist()), np.int64, batch.num_rows)
             keep = pa.array(at >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(at).filter(keep), batch.column(1).filter(keep),
-                                              batch.column(2).filter(keep)], ["at", "g", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(at).filter(keep), batch.column(1).filter(keep)], ["at", "after"])
 
-    got = other.mapInArrow(work, "at long, g int, n long").toArrow()
+    got = other.mapInArrow(work, "at long, after array<long>").toArrow()
     out = np.zeros((len(shared.value[0]), GROUPS))
-    out[got.column("at").to_numpy(), got.column("g").to_numpy()] = got.column("n").to_numpy()
+    out[got.column("at").to_numpy()] = got.column("after").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
     return out
 
 
@@ -260,63 +263,79 @@ def fit(docs: DataFrame):
     table = train(pair, often, CLASSES, contexts=CLASSES + HASHED)
     h, w = np.divmod(pair, CLASSES)
     group = grouped(table, np.bincount(h, often, CLASSES + HASHED))
-    other = save(other_counts(training, shared, group), "other")
+    after_of = save(other_counts(training, shared, group), "other")
     n_tokens, n_types = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     inside = number[:CLASSES - 2]
     rare_mass = (total["n"] or 0) - int(inside.sum()) + SMOOTH * (total["v"] - len(inside) + 1)
     whole = np.bincount(group[h], often * (w == OTHER), GROUPS)
-    after = known_counts(other, shared)
+    after = known_counts(after_of, shared)
     plain = (number + SMOOTH) / rare_mass
     s = strength(after, plain, whole)
     rare = np.log10(after + s * plain[:, None]) - np.log10(whole + s)
     rare[:CLASSES - 2] = 0
     facts = {"tokens": n_tokens, "ends": ends, "base_mass": n_tokens + SMOOTH * (n_types + 1), "rare_mass": rare_mass,
-             "strength": s, "whole": whole.tolist(), "group": group, "rare": rare.astype(np.float32), "other": other}
-    told = {k: v for k, v in facts.items() if k != "other"}
+             "strength": s, "whole": whole.tolist(), "group": group, "rare": rare.astype(np.float32), "after": after_of,
+             "other": after_of.select("word", F.posexplode("after").alias("g", "n")).where("n > 0")}
+    told = {k: v for k, v in facts.items() if k not in ("after", "other")}
     return counts, spark.sparkContext.broadcast((words, number, table, told)), facts
 
 
 def score(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score (log10 of the text's probability under the model)."""
-    counts, shared, facts = fit(docs)
+    _, shared, facts = fit(docs)
 
     def work(batches):
-        words, number, table, facts = shared.value
+        words, number, table_of, facts = shared.value
         known = {w: i for i, w in enumerate(words)}
         base = np.log10(number + SMOOTH) - np.log10(facts["base_mass"])
         rare, group = facts["rare"], facts["group"]
         end = np.log10(facts["ends"] + SMOOTH) - np.log10(facts["base_mass"])
+        marks = [bytes([g]) for g in range(GROUPS)]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32()]
+        names = ["doc_id", "key", "word", "n", "n_known", "base", "model", "g"]
+
+        def table(size, **cols):
+            return pa.RecordBatch.from_arrays([cols[c] if c in cols else pa.nulls(size, k) for c, k in zip(names, kinds)], names)
+
         for batch in batches:
-            rows, rest = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = text.as_py()
-                key = hashlib.blake2b(raw, digest_size=16, salt=(str(doc_id).encode())[:16]).digest()
+            keys, n, n_known, of_base, model, marked, times, each = [], [], [], [], [], [], [], []
+            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keys.append(hashlib.blake2b(raw, digest_size=16, salt=(str(doc_id).encode())[:16]).digest())
                 own = raw.lower().split()
                 at, ids = class_ids(own, known)
-                seen = at[at >= 0]
+                inside = at >= 0
+                seen = at[inside]
                 before = context_ids(own, ids)
                 near = group[before[:-1]]
-                rows.append((doc_id, key, None, len(own) + 1, len(seen) + (facts["ends"] > 0),
-                             float(base[seen].sum() + end),
-                             float(table[before, ids[1:]].sum() + rare[seen, near[at >= 0]].sum(dtype=float)), None))
+                n.append(len(own) + 1)
+                n_known.append(len(seen) + (facts["ends"] > 0))
+                of_base.append(float(base[seen].sum() + end))
+                model.append(float(table_of[before, ids[1:]].sum() + rare[seen, near[inside]].sum(dtype=float)))
+                other = Counter()
                 if len(seen) < len(own):
-                    other = Counter((own[i], int(near[i])) for i in np.flatnonzero(at < 0).tolist())
-                    other[b"", 0] = 1  # stands for the row: rows with equal keys are told by it
-                    rest.extend((None, key, w, n, None, None, None, g) for (w, g), n in other.items())
-            cols = list(zip(*rows, *rest)) if rows else [[]] * 8
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["doc_id", "key", "word", "n", "n_known", "base", "model", "g"])
+                    near = near.tolist()
+                    other.update([own[i] + marks[near[i]] for i in np.flatnonzero(~inside).tolist()])
+                    other[marks[0]] = 1  # stands for the row: rows with equal keys are told by it
+                    marked.extend(other)
+                    times.extend(other.values())
+                each.append(len(other))
+            keys = pa.array(keys, pa.binary())
+            yield table(len(keys), doc_id=batch.column(0), key=keys, n=pa.array(n, pa.int64()), n_known=pa.array(n_known, pa.int64()),
+                        base=pa.array(of_base, pa.float64()), model=pa.array(model, pa.float64()))
+            words, g = _unmarked(marked)
+            yield table(len(words), key=keys.take(pa.array(np.repeat(np.arange(len(each)), each))), word=words,
+                        n=pa.array(times, pa.int64()), g=g)
 
     done = save(_rows(docs).mapInArrow(
         work, "doc_id long, key binary, word binary, n long, n_known long, base double, model double, g int"), "scored")
     rows, rest = done.where("word is null"), done.where("word is not null").select("key", "word", "g", "n")
-    seen = counts.select(F.col("word").alias("_word"), F.col("n").alias("c"))
+    # All numbers of a word in one row: outside the classes, each of its places is after some group.
+    after = facts["after"].select(F.col("word").alias("_word"), F.col("after").alias("_after"))
     real = F.octet_length("word") > 0
-    words = rest.where(real).join(seen, F.col("word") == F.col("_word"), "left").drop("_word")
-    after = facts["other"].select(F.col("word").alias("_word"), F.col("g").alias("_g"), F.col("n").alias("after"))
-    words = words.join(after, (F.col("word") == F.col("_word")) & (F.col("g") == F.col("_g")), "left").drop("_word", "_g")
+    words = rest.where(real).join(after, F.col("word") == F.col("_word"), "left")
+    in_all = sum((F.get("_after", F.lit(g)) for g in range(1, GROUPS)), F.get("_after", F.lit(0)))
+    words = words.select("key", "word", "g", "n", in_all.alias("c"), F.get("_after", F.col("g")).alias("after"))
     none = F.lit(None).cast("long")
     marks = rest.where(~real).withColumn("c", none).withColumn("after", none)
     rest = words.unionByName(marks).withColumn("c", F.coalesce("c", F.lit(0)))

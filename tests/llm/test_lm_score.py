@@ -143,3 +143,17 @@ def test_shares_of_other_words_sum_to_one(docs, monkeypatch):
         own = sum(10.0 ** told["rare"][i, g] for i in range(6, len(words)))
         unseen = s * S.SMOOTH / facts["rare_mass"] / (facts["whole"][g] + s)
         assert abs(own + unseen - 1) < 1e-5
+
+
+def test_numbers_of_a_word_stand_in_one_row(docs, monkeypatch):
+    """Words beyond the known ones meet all their numbers in one join: a row per word, with a
+    number for each group that sums to the word's count."""
+    monkeypatch.setattr(S, "CLASSES", 8)
+    counts, shared, facts = S.fit(docs(chain(40, 60, 2)))
+    after = {bytes(r.word): list(r.after) for r in facts["after"].collect()}
+    inside = set(shared.value[0][:6])
+    assert {w: sum(a) for w, a in after.items()} == {bytes(r.word): r.n for r in counts.collect() if bytes(r.word) not in inside}
+    assert len(after) == facts["after"].count() and all(len(a) == S.GROUPS for a in after.values())
+    monkeypatch.setattr(S.frequent, "__defaults__", (12,))
+    plan = S.score(docs(chain(40, 60, 2)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # only that of documents and sums is left
