@@ -2,7 +2,8 @@
 
 * ``ship`` sends a module's functions to Python workers by value, so that tasks need no
   copy of the package on the executors' import path.
-* ``save`` cuts lineage with a table written in the shared work folder.
+* ``save`` cuts lineage with a table written in the shared work folder; within
+  ``shuffles_removed`` its shuffle files go as soon as the table is written.
 * ``sorted_groups`` walks Arrow batches that are sorted by key and yields one key's rows at
   a time (a group is only held as long as it is worked on).
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -22,6 +24,9 @@ from lakeward.session import fresh_dir
 #: Characters of [\x20\x09-\x0D], the white space of every contract of this package.
 BLANKS = " \t\n\x0b\x0c\r"
 
+#: Spark's setting that removes a query's shuffle files when the query ends.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def ship(name: str) -> None:
     """Pickle the functions of module ``name`` by value for the workers."""
@@ -37,6 +42,22 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries that run in here remove their shuffle files when they end; otherwise these stay
+    until the driver's garbage collector finds them, however many there are by then. For queries
+    that run once: another run would have to shuffle again."""
+    before = spark.conf.get(REMOVE_SHUFFLES, None)
+    spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables of ``save`` that nothing reads any more: what was made of them must be
     saved by now, since a lost executor's tasks read their input again."""

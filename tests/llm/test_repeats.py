@@ -1,5 +1,8 @@
+import glob
 import hashlib
+import os
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -202,3 +205,35 @@ def test_texts_hashed_together_have_their_own_anchors(monkeypatch):
     own, *cols = (c.tolist() for c in R.many_anchors(texts))
     assert list(zip(own, *cols)) == [(i, *a) for i, t in enumerate(texts) for a in R.anchors(t)]
     assert [len(c) for c in R.many_anchors([])] == [0] * 5
+
+
+def test_what_is_read_goes_at_once(docs, spark, monkeypatch):
+    """Each saved table leaves no shuffle files behind, the hashed words go once they are cut, and of
+    all scratch tables the last one alone stays; strings counted one by one too."""
+    from lakeward.session import work_dir
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for d in manager.localDirs() for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+    tables = lambda: set(glob.glob(f"{work_dir(spark)}/lakeward/llm-*"))
+    names = lambda paths: sorted(os.path.basename(p).split("-")[1] for p in paths)
+    save, old, earlier, seen, left = R.save, shuffles(), tables(), [], []
+
+    def watched(df, name):
+        # Files are removed beside the caller, so a while after it has gone on; one wait is enough to fail.
+        until = time.time() + 10
+        while shuffles() - old and time.time() < until and not any(left):
+            time.sleep(0.05)
+        left.append(len(shuffles() - old))
+        old.update(shuffles())
+        seen.append((name, names(tables() - earlier)))
+        return save(df, name)
+
+    monkeypatch.setattr(R, "save", watched)
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = many(3, 40) + [(900, "so " * 300), (901, "to be " * 200)]
+    out = R.without_repeats(docs(rows), passage=R.PASSAGE_WORDS, max_members=3)
+    assert names(tables() - earlier) == ["cuts"]
+    kinds = [there for name, there in seen if name == "kinds"]
+    assert len(kinds) == 2 and not any("words" in there for there in kinds)
+    assert len(left) > 15 and not any(left)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+    assert sum(r.n_removed > 0 for r in out.collect()) > 5
