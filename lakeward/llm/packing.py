@@ -27,9 +27,11 @@ import sys
 import types
 import unicodedata
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,17 +42,25 @@ SEQUENCE = 2048
 GROUP = 8192
 END_ID = 0
 CACHE_WORDS = 500_000
+#: Texts of about so many characters are encoded at once, their words in blocks.
+BLOCK_CHARS = 4_000_000
+BLOCK_WORDS = 1 << 19
 #: Fixed value: the tokenizer file's own pattern for the parts of a text.
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+PARTS_AND_ENDS = regex.compile(PARTS.pattern + r"|\n")
 #: Letters that stand for bytes in byte-level vocabularies: printable bytes for themselves,
 #: the others, in order, for the letters from 256 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+#: The letter of each byte; a blank, which no part holds, stays to part them.
+LETTERS = np.array([32 if b == 32 else BYTE_LETTERS.get(b, b) for b in range(256)], "<u2")
 #: Bins filled to this share are left as they are after the first round.
 FILLED = 0.98
 #: Beyond Latin letters, or what white space and composition could change: encode whole.
-UNSURE = re.compile("<\\||[\x1c-\x1f\x85İɐ-\U0010ffff]")
-PLAIN = re.compile("[‐-‧‰-⁞₠-₿℀-⅏←-⇿]")
+#: Dashes, quotes, currency signs, letter-like signs and arrows are plain.
+UNSURE = re.compile(r"[\x1c-\x1f\x85\u0130\u0250-\u200f\u2028-\u202f\u205f-\u209f\u20c0-\u20ff"
+                    r"\u2150-\u218f\u2200-\U0010ffff]")
+UNSURE_ASCII = re.compile(r"[\x1c-\x1f]")
 
 
 def default_tokenizer() -> str:
@@ -59,47 +69,123 @@ def default_tokenizer() -> str:
 
 
 def _encoder(path: str):
-    """Tokenizer and word table of this worker process, kept between tasks."""
+    """Kept between this worker process's tasks: tokenizer, its model over parts between blanks,
+    which ids end a part, and two tables of words' ids (recently met words and older ones)."""
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
     kept = sys.modules.setdefault("_lakeward_words", types.ModuleType("_lakeward_words")).__dict__
     if path not in kept:
-        kept[path] = (Tokenizer.from_file(path), {}, {})
+        tok = Tokenizer.from_file(path)
+        bare = Tokenizer(tok.model)
+        bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = getattr(tok.model, "end_of_word_suffix", None)
+        vocab = tok.get_vocab()
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            ends[[i for name, i in vocab.items() if name.endswith(suffix)]] = True
+        kept[path] = (tok, bare, ends, [{}, {}])
     return kept[path]
 
 
+def _unsure(text: str) -> bool:
+    """Whether a text's words by themselves might not give what the tokenizer gives for it."""
+    if "<|" in text:
+        return True
+    if text.isascii():
+        return UNSURE_ASCII.search(text) is not None
+    return UNSURE.search(text) is not None or not unicodedata.is_normalized("NFC", text)
+
+
 def token_bytes(text: str, path: str) -> bytes:
     """Ids of a text as little-endian 32-bit numbers, without the end id."""
-    tok, table, parts = _encoder(path)
-    whole = UNSURE.search(PLAIN.sub("", text)) or not unicodedata.is_normalized("NFC", text)
-    if whole:
-        ids = tok.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-    words = text.lower().split()
-    try:
-        return b"".join(map(table.__getitem__, words))
-    except KeyError:
-        pass
-    own = {}
-    for word in set(words):
-        if (ids := table.get(word)) is None:
-            ids = b"".join([_part_bytes(p, tok, parts) for p in PARTS.findall(word)])
-        own[word] = ids
-    for known in (table, parts):
-        if len(known) > CACHE_WORDS:
-            known.clear()
-    table.update(own)
-    return b"".join(map(own.__getitem__, words))
-
-
-def _part_bytes(part: str, tok, parts: dict[str, bytes]) -> bytes:
-    """Ids of one match of the tokenizer's pattern, by the tokenizer's model."""
-    ids = parts.get(part)
-    if ids is None:
-        found = tok.model.tokenize(part.encode().decode("latin-1").translate(BYTE_LETTERS))
-        ids = parts[part] = b"".join([t.id.to_bytes(4, "little") for t in found])
-    return ids
+    return texts_bytes([text], path)[0]
+
+
+def texts_bytes(texts: list[str], path: str) -> list[bytes]:
+    """``token_bytes`` of many texts: each distinct word of a block of words is looked up once."""
+    tok = _encoder(path)[0]
+    whole: dict[int, bytes] = {}
+    words: list[str] = []
+    until = [0]  # words up to the end of each text
+    for k, text in enumerate(texts):
+        if _unsure(text):
+            whole[k] = np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            words += text.lower().split()
+        until.append(len(words))
+    blocks, sizes = [], [np.zeros(1, np.int64)]
+    for at in range(0, len(words), BLOCK_WORDS):
+        distinct, codes = _distinct(words[at:at + BLOCK_WORDS])
+        found = _word_bytes(distinct, path)
+        ids, counts = _gather(b"".join(found), np.fromiter(map(len, found), np.int64, len(found)) // 4, codes)
+        blocks.append(ids.tobytes())
+        sizes.append(4 * counts)
+    data = b"".join(blocks)
+    bounds = np.cumsum(np.concatenate(sizes))[until].tolist()
+    return [whole[k] if k in whole else data[bounds[k]:bounds[k + 1]] for k in range(len(texts))]
+
+
+def _distinct(strings: list[str]) -> tuple[list[str], np.ndarray]:
+    """Distinct strings, and the number of each string among them."""
+    coded = pa.array(strings, pa.large_string()).dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+
+
+def _gather(data: bytes, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the coded strings one after the other, and how many each has: ``data`` holds the
+    ids of the distinct strings, ``counts`` how many each of these has."""
+    starts = np.cumsum(counts) - counts
+    own = counts[codes]
+    at = np.repeat(starts[codes] - (np.cumsum(own) - own), own)
+    at += np.arange(len(at))
+    return np.frombuffer(data, "<u4")[at], own
+
+
+def _word_bytes(words: list[str], path: str) -> list[bytes]:
+    """Ids of distinct words. When the table of recent words is full, it becomes the one of older
+    words, from which words still in use come back."""
+    tables = _encoder(path)[3]
+    if len(tables[0]) > CACHE_WORDS:
+        tables[:] = {}, tables[0]
+    recent, older = tables
+    unmet = [w for w in words if w not in recent]
+    unknown = [w for w in unmet if w not in older]
+    recent.update((w, older[w]) for w in unmet if w in older)
+    if unknown:
+        recent.update(zip(unknown, _new_words(unknown, path)))
+    return list(map(recent.__getitem__, words))
+
+
+def _new_words(words: list[str], path: str) -> list[bytes]:
+    """Ids of words by the tokenizer's model, which sees each distinct part once."""
+    parts, codes = _distinct(PARTS_AND_ENDS.findall("\n".join(words) + "\n"))
+    end = parts.index("\n")
+    data, counts = _part_ids([p for p in parts if p != "\n"], path)
+    ids, own = _gather(data, np.insert(counts, end, 0), codes)
+    data = ids.astype("<u4").tobytes()
+    bounds = [0, *(4 * np.cumsum(own)[codes == end]).tolist()]
+    return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def _part_ids(parts: list[str], path: str) -> tuple[bytes, np.ndarray]:
+    """Ids of matches of the tokenizer's pattern, by the tokenizer's model, and their numbers."""
+    tok, bare, ends, _ = _encoder(path)
+    letters = LETTERS[np.frombuffer(" ".join(parts).encode(), np.uint8)].tobytes().decode("utf-16-le")
+    ids = np.array(bare.encode_batch_fast([letters], add_special_tokens=False)[0].ids, "<u4")
+    last = np.flatnonzero(ends[ids])
+    if len(last) == len(parts):  # a part's last id, and no other, has the end mark
+        return ids.tobytes(), np.diff(last, prepend=-1)
+    found = [[t.id for t in tok.model.tokenize(p)] for p in letters.split(" ")] if parts else []
+    return np.array([*chain(*found)], "<u4").tobytes(), np.array([len(f) for f in found], np.int64)
+
+
+def _portions(batch: pa.RecordBatch):
+    """Slices of a batch, each of about ``BLOCK_CHARS`` characters of text or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    cuts = np.flatnonzero(np.diff(ends // BLOCK_CHARS)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        yield batch.slice(a, b - a)
 
 
 def pieces(docs: DataFrame, path: str | None = None, longest: int = SEQUENCE) -> DataFrame:
@@ -107,10 +193,10 @@ def pieces(docs: DataFrame, path: str | None = None, longest: int = SEQUENCE) ->
     path = path or default_tokenizer()
 
     def work(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in _portions(b)):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = token_bytes(text.as_py(), path) + END_ID.to_bytes(4, "little")
+            for doc_id, ids in zip(batch.column(0).to_pylist(), texts_bytes(batch.column(1).to_pylist(), path)):
+                ids += END_ID.to_bytes(4, "little")
                 for k, at in enumerate(range(0, len(ids), 4 * longest)):
                     part = ids[at:at + 4 * longest]
                     rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))

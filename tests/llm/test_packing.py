@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -85,3 +86,43 @@ def test_every_pair_of_a_donor_is_offered():
     own = list(range(40))
     lengths = np.array([50 + i for i in own])
     assert {int(lengths[p].sum()) for p in P._pairs(own, lengths)} == {a + b for a in lengths for b in lengths if a < b}
+
+
+@pytest.mark.parametrize("words, chars", [(1 << 19, 4_000_000), (7, 100)])
+def test_texts_together_have_the_tokenizers_ids(monkeypatch, words, chars):
+    monkeypatch.setattr(P, "BLOCK_WORDS", words)
+    monkeypatch.setattr(P, "BLOCK_CHARS", chars)
+    path = P.default_tokenizer()
+    tok = Tokenizer.from_file(path)
+    texts = TEXTS + [r[1] for r in many(4, 40)] + ["", " \n", "a<‐|b !</w>! </w> Å.. x y", "end"]
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert P.texts_bytes(texts, path) == want
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    portions = list(P._portions(batch))
+    assert pa.Table.from_batches(portions) == pa.Table.from_batches([batch])
+    assert all(p.num_rows == 1 or sum(map(len, p.column(1).to_pylist())) <= chars + max(map(len, texts)) for p in portions)
+
+
+def test_parts_without_end_marks_go_to_the_model_one_by_one(monkeypatch):
+    path = P.default_tokenizer()
+    parts = ["tokenizing", "é", "'s", "7", "...", "ﬁ"]
+    want = P._part_ids(parts, path)
+    tok, bare, ends, tables = P._encoder(path)
+    monkeypatch.setattr(P, "_encoder", lambda _: (tok, bare, np.zeros_like(ends), tables))
+    got = P._part_ids(parts, path)
+    assert got[0] == want[0] and got[1].tolist() == want[1].tolist()
+
+
+def test_words_in_use_outlive_a_full_table(monkeypatch):
+    """Each word is given to the model once while it is in use, however many others come by."""
+    path = P.default_tokenizer()
+    known = P._encoder(path)
+    monkeypatch.setattr(P, "_encoder", lambda _: (*known[:3], tables))
+    monkeypatch.setattr(P, "CACHE_WORDS", 50)
+    tables, given = [{}, {}], []
+    new_words = P._new_words
+    monkeypatch.setattr(P, "_new_words", lambda words, path: given.extend(words) or new_words(words, path))
+    for k in range(30):
+        P.texts_bytes([f"common words stay {' '.join(f'rare{k}x{i}' for i in range(20))} common"], path)
+    assert sorted(given) == sorted({*given}) and len(given) == 3 + 30 * 20
+    assert sum(map(len, tables)) <= 2 * (50 + 23)
