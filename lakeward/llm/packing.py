@@ -9,10 +9,10 @@ one, as long as the sum of squared fills rises, until bins are empty. Pieces of
 underfull go into a second round, where those of all groups meet.
 
 Tokenizing: the tokenizer's result for a text is the concatenation of its model's results for
-the parts that its pattern finds in the text's words, which are kept in bounded tables for
-each worker process; texts where that does not hold for sure (special tokens' strings,
-separators, letters whose lower case or composition depends on context) are given to the
-tokenizer whole.
+the parts that its pattern finds in the text's words. Distinct words of a block of texts are
+looked up in bounded tables kept by each worker process, parts of new words go through the
+model together; texts where that does not hold for sure (special tokens' strings, separators,
+letters whose lower case or composition depends on context) are given to the tokenizer whole.
 
 Defined results: a null text is empty and gives one piece holding id 0; a text of any length
 is encoded whole; repeated rows are packed one by one; an empty table gives an empty result;
@@ -105,18 +105,14 @@ def token_bytes(text: str, path: str) -> bytes:
 def texts_bytes(texts: list[str], path: str) -> list[bytes]:
     """``token_bytes`` of many texts: each distinct word of a block of words is looked up once."""
     tok = _encoder(path)[0]
-    whole: dict[int, bytes] = {}
-    words: list[str] = []
-    until = [0]  # words up to the end of each text
-    for k, text in enumerate(texts):
-        if _unsure(text):
-            whole[k] = np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            words += text.lower().split()
-        until.append(len(words))
+    whole = {k: np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+             for k, text in enumerate(texts) if _unsure(text)}
+    plain = pa.array(["" if k in whole else text.lower() for k, text in enumerate(texts)], pa.large_string())
+    split = pc.utf8_split_whitespace(plain)  # for texts that are not unsure, the blanks of the tokenizer
+    words, until = split.flatten(), split.offsets.to_numpy()  # words up to the end of each text
     blocks, sizes = [], [np.zeros(1, np.int64)]
     for at in range(0, len(words), BLOCK_WORDS):
-        distinct, codes = _distinct(words[at:at + BLOCK_WORDS])
+        distinct, codes = _distinct(words.slice(at, BLOCK_WORDS))
         found = _word_bytes(distinct, path)
         ids, counts = _gather(b"".join(found), np.fromiter(map(len, found), np.int64, len(found)) // 4, codes)
         blocks.append(ids.tobytes())
@@ -126,9 +122,9 @@ def texts_bytes(texts: list[str], path: str) -> list[bytes]:
     return [whole[k] if k in whole else data[bounds[k]:bounds[k + 1]] for k in range(len(texts))]
 
 
-def _distinct(strings: list[str]) -> tuple[list[str], np.ndarray]:
+def _distinct(strings: pa.Array) -> tuple[list[str], np.ndarray]:
     """Distinct strings, and the number of each string among them."""
-    coded = pa.array(strings, pa.large_string()).dictionary_encode()
+    coded = strings.dictionary_encode()
     return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
 
 
@@ -149,17 +145,24 @@ def _word_bytes(words: list[str], path: str) -> list[bytes]:
     if len(tables[0]) > CACHE_WORDS:
         tables[:] = {}, tables[0]
     recent, older = tables
-    unmet = [w for w in words if w not in recent]
-    unknown = [w for w in unmet if w not in older]
-    recent.update((w, older[w]) for w in unmet if w in older)
+    found = list(map(recent.get, words))
+    unmet = [k for k, ids in enumerate(found) if ids is None]
+    unknown = []
+    for k in unmet:
+        if (ids := older.get(words[k])) is None:
+            unknown.append(k)
+        else:
+            found[k] = ids
     if unknown:
-        recent.update(zip(unknown, _new_words(unknown, path)))
-    return list(map(recent.__getitem__, words))
+        for k, ids in zip(unknown, _new_words([words[k] for k in unknown], path)):
+            found[k] = ids
+    recent.update((words[k], found[k]) for k in unmet)
+    return found
 
 
 def _new_words(words: list[str], path: str) -> list[bytes]:
     """Ids of words by the tokenizer's model, which sees each distinct part once."""
-    parts, codes = _distinct(PARTS_AND_ENDS.findall("\n".join(words) + "\n"))
+    parts, codes = _distinct(pa.array(PARTS_AND_ENDS.findall("\n".join(words) + "\n"), pa.large_string()))
     end = parts.index("\n")
     data, counts = _part_ids([p for p in parts if p != "\n"], path)
     ids, own = _gather(data, np.insert(counts, end, 0), codes)
